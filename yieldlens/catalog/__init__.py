@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "drift_q",
+    "profile_q",
 ]
 
 

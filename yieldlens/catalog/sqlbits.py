@@ -39,3 +39,9 @@ def health(sevs: Mapping[str, str], weights: Mapping[str, float]) -> str:
 
 def r6(expr: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6)"
+
+
+def sig(expr: str, digits: int = 10) -> str:
+    x = f"CAST({expr} AS DOUBLE)"
+    p = f"power(10.0, {digits - 1} - floor(log10(abs({x}))))"
+    return f"(CASE WHEN {x} IS NULL OR {x} = 0 THEN {x} ELSE round({x} * {p}, 0) / {p} END)"

@@ -73,3 +73,11 @@ def cut(value: Column, edges: Sequence[float], labels: Sequence[str], right: boo
         cond = (value > lo) & (value <= hi) if right else (value >= lo) & (value < hi)
         expr = F.when(cond, labels[i]).otherwise(expr)
     return expr
+
+
+def sig(c: Column, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (large-magnitude statistics such as variances)."""
+    x = c.cast("double")
+    k = F.lit(digits - 1) - F.floor(F.log10(F.abs(x)))
+    p = F.pow(F.lit(10.0), k)
+    return F.when(x.isNull() | (x == 0), x).otherwise(F.round(x * p, 0) / p)

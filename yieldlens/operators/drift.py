@@ -46,7 +46,9 @@ def value_table(long: DataFrame) -> DataFrame:
         F.count(F.when(F.col("side") == CUR, 1)).alias("c_cur"),
     )
     return vt.select("*", (F.col("c_ref") * F.col("value")).alias("sv_ref"),
-                     (F.col("c_cur") * F.col("value")).alias("sv_cur"))
+                     (F.col("c_cur") * F.col("value")).alias("sv_cur"),
+                     (F.col("c_ref") * F.abs(F.col("value"))).alias("sa_ref"),
+                     (F.col("c_cur") * F.abs(F.col("value"))).alias("sa_cur"))
 
 
 class DriftBase:
@@ -60,7 +62,7 @@ class DriftBase:
         # running counts per side in value order, plus side totals and value sums (-> means)
         self.cum = cumulative(
             self.vt.where(F.col("value").isNotNull()), ["feature"], ["value"], ["c_ref", "c_cur"],
-            with_totals=True, totals_only=["sv_ref", "sv_cur"], materialize=True,
+            with_totals=True, totals_only=["sv_ref", "sv_cur", "sa_ref", "sa_cur"], materialize=True,
         )
         self.rows = self.vt.groupBy("feature").agg(
             F.sum("c_ref").alias("rows_ref"), F.sum("c_cur").alias("rows_cur")
@@ -83,6 +85,8 @@ class DriftBase:
                 aggs += [
                     F.first(f"tot_c_{s}").alias(f"n_{s}"),
                     F.first(mean).alias(f"mean_{s}"),
+                    F.first(F.col(f"tot_sa_{s}") / F.col(f"tot_c_{s}")).alias(f"mean_abs_{s}"),
+                    F.count(F.when(cnt > 0, 1)).alias(f"distinct_{s}"),
                     F.sum(cnt * F.pow(F.col("value") - mean, 2)).alias(f"ss_{s}"),
                     F.min(F.when(cnt > 0, F.col("value"))).alias(f"min_{s}"),
                     F.max(F.when(cnt > 0, F.col("value"))).alias(f"max_{s}"),
@@ -94,6 +98,9 @@ class DriftBase:
                 cols += [
                     n.alias(f"n_{s}"),
                     F.when(n > 0, F.col(f"mean_{s}")).alias(f"mean_{s}"),
+                    F.when(n > 0, F.col(f"mean_abs_{s}")).alias(f"mean_abs_{s}"),
+                    F.coalesce(F.col(f"distinct_{s}"), F.lit(0)).alias(f"distinct_{s}"),
+                    F.when(n > 1, F.col(f"ss_{s}")).alias(f"ss_{s}"),
                     F.when(n > 1, F.sqrt(F.col(f"ss_{s}") / (n - 1))).alias(f"std_{s}"),
                     F.col(f"min_{s}"), F.col(f"max_{s}"),
                     F.when(F.col(f"rows_{s}") > 0, 1 - n / F.col(f"rows_{s}")).alias(f"missing_rate_{s}"),
@@ -104,9 +111,11 @@ class DriftBase:
         return self._stats
 
     # -- every order statistic in one claim pass ----------------------------
-    def order_stats(self, bins: int) -> DataFrame:
+    def order_stats(self, bins: int = 10, extra_probs: Sequence[float] = (0.25, 0.75),
+                    wasserstein_grid: bool = True) -> DataFrame:
         """(feature, side, kind, j, quantile): kind 0 = median, 1 = PSI reference edge j/bins,
-        2 = Wasserstein grid point j/(Q-1) with Q = max(20, min(1000, max side n))."""
+        2 = Wasserstein grid point j/(Q-1) with Q = max(20, min(1000, max side n)),
+        3 = extra_probs[j] (quartiles by default)."""
         if self._order is not None:
             return self._order
         c = self.cum.select(
@@ -138,7 +147,8 @@ class DriftBase:
         jlo = F.greatest(F.lit(0), F.floor((F.col("_start") - 1) * (q - 1) / span)).cast("int")
         jhi = F.least(q - 1, F.ceil((F.col("_end") + 1) * (q - 1) / span)).cast("int")
         wgrid = F.transform(F.sequence(jlo, jhi), lambda j: item(2, j, j / (q - 1)))
-        grid = F.concat(median, edges, wgrid)
+        extra = F.array(*[item(3, F.lit(j), F.lit(float(p))) for j, p in enumerate(extra_probs)])
+        grid = F.concat(median, edges, wgrid, extra) if wasserstein_grid else F.concat(median, edges, extra)
         in_span = lambda x: (x >= F.col("_start")) & (x <= F.col("_end"))
         claims = spans.select(
             "feature", "side", "value",
