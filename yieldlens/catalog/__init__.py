@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "drift_q",
     "profile_q",
+    "metrics_q",
 ]
 
 

@@ -86,8 +86,8 @@ DEFAULT_LOWER_THRESHOLD = 0.035
 DEFAULT_UPPER_THRESHOLD = 0.08
 DECISIONS = ["Low Risk", "Engineering Review", "High Risk"]
 ADJUSTED_DECISIONS = ["Low Risk", "Engineering Review", "High Risk", "Insufficient Evidence"]
-# policy cost = 20 * low-risk failures + 0.5 * review passes + 1 * review failures + 3 * high-risk passes
-POLICY_COSTS = {"low_risk_failure": 20.0, "review_pass": 0.5, "review_failure": 1.0, "high_risk_pass": 3.0}
+# policy cost = 20 * low-risk failures + 0.5 * review failures + 1 * review passes + 3 * high-risk passes
+POLICY_COSTS = {"low_risk_failure": 20.0, "review_failure": 0.5, "review_pass": 1.0, "high_risk_pass": 3.0}
 # operational cost = 10 * missed failures + 1 * false alarms
 MISSED_FAILURE_COST = 10.0
 FALSE_ALARM_COST = 1.0
