@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -31,10 +32,51 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _local_running_sums(keys: list[str], sums: list[str]):
+    """mapInPandas body: rows arrive sorted by (keys, order) within one range partition; emit
+    the running sum of each column per key.  Input is sorted, so only the first key group of a
+    batch can continue the previous batch: it alone receives the carried sums."""
+
+    def run(batches):
+        prev_key = None
+        carry = None
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(**{f"_l_{c}": pdf[c] for c in sums})
+                continue
+            if keys:
+                local = pdf.groupby(keys, sort=False, dropna=False)[sums].cumsum()
+            else:
+                local = pdf[sums].cumsum()
+            if carry is not None:
+                if keys:
+                    same = (pdf[keys] == pd_row(prev_key, keys)).all(axis=1).to_numpy()
+                else:
+                    same = slice(None)
+                for c in sums:
+                    vals = local[c].to_numpy().copy()
+                    vals[same] = vals[same] + carry[c]
+                    local[c] = vals
+            for c in sums:
+                pdf[f"_l_{c}"] = local[c].to_numpy()
+            last = pdf.iloc[-1]
+            prev_key = tuple(last[k] for k in keys)
+            carry = {c: last[f"_l_{c}"] for c in sums}
+            yield pdf
+
+    return run
+
+
+def pd_row(key: tuple, cols: list[str]):
+    import pandas as pd
+
+    return pd.Series(list(key), index=cols)
+
+
 def cumulative(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str | Column],
+    order: Sequence[str],
     sums: Sequence[str],
     *,
     partitions: int | None = None,
@@ -47,26 +89,31 @@ def cumulative(
     """Inclusive running sums of ``sums`` in ``order`` within ``keys``.
 
     ``order`` must be unique within ``keys`` (aggregate to distinct values
-    first).  ``bounded_keys`` says the number of distinct keys is small
-    (features, models, sides), so the per-partition offset table can be
-    broadcast; otherwise it is joined by a shuffle.  ``with_totals`` adds the
-    group totals ``tot_<c>`` (taken from the same small offset table);
+    first).  Rows are range-partitioned on (keys, order) -- a hot key spreads
+    over many tasks -- and sorted inside each partition; one vectorised pass
+    per partition computes local running sums, and the result is written once
+    to the shared checkpoint folder.  Because the partition id is then stored
+    data, the per-(partition, key) totals (at most ``partitions + #keys``
+    rows) and the offsets derived from them agree with the rows in every
+    reader and in every retried task.  ``bounded_keys`` says the number of
+    keys is small (features, models, classes), so that offset table is
+    broadcast.  ``with_totals`` adds the group totals ``tot_<c>``;
     ``totals_only`` columns get a group total but no running sum.
-    ``materialize`` checkpoints the result for frames read by many branches.
     """
     keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    order = list(order)
+    sums = list(sums)
     n = _partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols).withColumn(
-        "_pid", F.spark_partition_id()
+    ranged = (
+        df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
+        .withColumn("_pid", F.spark_partition_id())
+        .sortWithinPartitions(*keys, *order)
     )
-    # The range partitioner samples with a seed tied to the RDD id, so two
-    # readers of an un-materialised `ranged` could see different boundaries.
-    # A reliable checkpoint makes the partition ids data: every reader (and
-    # every retried task after an executor loss) sees the same ones.
-    ranged = cut_lineage(ranged)
-    all_sums = list(sums) + [c for c in totals_only if c not in sums]
-    totals = ranged.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in all_sums])
+    fields = list(ranged.schema.fields)
+    out_schema = T.StructType(fields + [T.StructField(f"_l_{c}", ranged.schema[c].dataType) for c in sums])
+    local = cut_lineage(ranged.mapInPandas(_local_running_sums(keys, sums), out_schema))
+    all_sums = sums + [c for c in totals_only if c not in sums]
+    totals = local.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in all_sums])
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = totals.select(
@@ -76,16 +123,12 @@ def cumulative(
     )
     if bounded_keys:
         offsets = F.broadcast(offsets)
-    joined = ranged.join(offsets, ["_pid", *keys], "inner") if keys else ranged.join(offsets, ["_pid"], "inner")
-    running = Window.partitionBy("_pid", *keys).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    out_cols = [c for c in df.columns]
-    tot_cols = [c for c in sums] if with_totals else []
+    joined = local.join(offsets, ["_pid", *keys], "inner", ) if keys else local.join(offsets, ["_pid"], "inner")
+    tot_cols = list(sums) if with_totals else []
     tot_cols += [c for c in totals_only if c not in tot_cols]
     out = joined.select(
-        *out_cols,
-        *[(F.col(f"_o_{c}") + F.sum(c).over(running)).alias(f"{prefix}{c}") for c in sums],
+        *df.columns,
+        *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in sums],
         *[F.col(f"tot_{c}") for c in tot_cols],
     )
     return cut_lineage(out) if materialize else out

@@ -26,6 +26,7 @@ from ..config import DriftConfig
 from ..functions.columns import to_long
 from ..functions.expressions import max_severity, r6, severity, severity_rank, weighted_health
 from ..functions.ranking import cumulative
+from ..session import cut_lineage
 
 REF, CUR = "reference", "current"
 SIDES = ((REF, "ref"), (CUR, "cur"))
@@ -58,11 +59,12 @@ class DriftBase:
                  side_col: str = "side"):
         self.eps = eps
         self.long = side_long(df, features, id_col, side_col)
-        self.vt = value_table(self.long)
+        # the reduced table is read by every metric: materialise it once in the shared checkpoint folder
+        self.vt = cut_lineage(value_table(self.long))
         # running counts per side in value order, plus side totals and value sums (-> means)
         self.cum = cumulative(
             self.vt.where(F.col("value").isNotNull()), ["feature"], ["value"], ["c_ref", "c_cur"],
-            with_totals=True, totals_only=["sv_ref", "sv_cur", "sa_ref", "sa_cur"], materialize=True,
+            with_totals=True, totals_only=["sv_ref", "sv_cur", "sa_ref", "sa_cur"],
         )
         self.rows = self.vt.groupBy("feature").agg(
             F.sum("c_ref").alias("rows_ref"), F.sum("c_cur").alias("rows_cur")
