@@ -8,6 +8,7 @@ _MODULES = [
     "drift_q",
     "profile_q",
     "metrics_q",
+    "audit_q",
 ]
 
 
