@@ -33,12 +33,15 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if hasattr(v, "item") and getattr(v, "ndim", 1) == 0:
+        v = v.item()
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        v = round(v, 6)
+        return int(v) if v.is_integer() else v
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None).isoformat() if v.tzinfo else v.isoformat()
     if hasattr(v, "tolist") and not isinstance(v, (str, bytes)):

@@ -9,6 +9,7 @@ _MODULES = [
     "profile_q",
     "metrics_q",
     "audit_q",
+    "health_q",
 ]
 
 
