@@ -10,6 +10,7 @@ _MODULES = [
     "metrics_q",
     "audit_q",
     "health_q",
+    "decisions_q",
 ]
 
 
