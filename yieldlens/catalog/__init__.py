@@ -11,6 +11,7 @@ _MODULES = [
     "audit_q",
     "health_q",
     "decisions_q",
+    "similarity_q",
 ]
 
 
