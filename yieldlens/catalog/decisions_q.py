@@ -86,7 +86,7 @@ def q_decision_margin(spark, sf):
 
 
 def q_confidence_components(spark, sf):
-    return _cc(spark, sf).select("record_id", "completeness", "ood_percentile", "neighbour_percentile", "model_agreement",
+    return U.rounded(_cc(spark, sf)).select("record_id", "completeness", "ood_percentile", "neighbour_percentile", "model_agreement",
                                  "prediction_stability", "data_confidence", "decision_margin", "prediction_confidence",
                                  "combined_uncertainty")
 
@@ -100,7 +100,7 @@ def q_abstention(spark, sf):
 
 
 def q_uncertainty_output(spark, sf):
-    return _cc(spark, sf)
+    return U.rounded(_cc(spark, sf))
 
 
 def q_uncertainty_decision_summary(spark, sf):
@@ -326,18 +326,23 @@ _UNC = [
       ELSE 'Engineering Review' END AS original_decision FROM uc2, q2)""",
     f"""uc AS (SELECT *, original_decision IN ('Low Risk', 'High Risk') AND (ood_percentile >= qo OR (prediction_confidence < c10
       AND combined_uncertainty >= u95)) AS abstain FROM uc3)""",
-    f"""uo AS (SELECT record_id, target, side, round(probability, 6) AS calibrated_failure_probability, members, member_mean,
-      member_std, interval_lower, interval_upper, interval_width, round(completeness, 6) AS completeness,
-      round(ood_percentile, 6) AS ood_percentile, round(neighbour_percentile, 6) AS neighbour_percentile,
-      round(model_agreement, 6) AS model_agreement, round(prediction_stability, 6) AS prediction_stability,
-      round(data_confidence, 6) AS data_confidence, round(decision_margin, 6) AS decision_margin,
-      round(prediction_confidence, 6) AS prediction_confidence, round(combined_uncertainty, 6) AS combined_uncertainty,
+    f"""ur AS (SELECT record_id, target, side, probability AS calibrated_failure_probability, members, member_mean,
+      member_std, interval_lower, interval_upper, interval_width, completeness, ood_percentile, neighbour_percentile,
+      model_agreement, prediction_stability, data_confidence, decision_margin, prediction_confidence, combined_uncertainty,
       CASE WHEN combined_uncertainty < u50 THEN 'Low' WHEN combined_uncertainty < u95 THEN 'Moderate' ELSE 'High' END AS uncertainty_band,
       CASE WHEN prediction_confidence >= 0.8 THEN 'Very High' WHEN prediction_confidence >= 0.6 THEN 'High'
            WHEN prediction_confidence >= 0.4 THEN 'Moderate' ELSE 'Low' END AS confidence_band,
       original_decision, CASE WHEN abstain THEN 'Insufficient Evidence' ELSE original_decision END AS uncertainty_adjusted_decision,
       CASE WHEN abstain AND ood_percentile >= qo THEN '{U.REASONS['ood']}' WHEN abstain THEN '{U.REASONS['conflict']}' END AS abstention_reason
     FROM uc)""",
+    """uo AS (SELECT record_id, target, side, round(calibrated_failure_probability, 6) AS calibrated_failure_probability,
+      members, round(member_mean, 6) AS member_mean, round(member_std, 6) AS member_std, round(interval_lower, 6) AS interval_lower,
+      round(interval_upper, 6) AS interval_upper, round(interval_width, 6) AS interval_width, round(completeness, 6) AS completeness,
+      round(ood_percentile, 6) AS ood_percentile, round(neighbour_percentile, 6) AS neighbour_percentile,
+      round(model_agreement, 6) AS model_agreement, round(prediction_stability, 6) AS prediction_stability,
+      round(data_confidence, 6) AS data_confidence, round(decision_margin, 6) AS decision_margin,
+      round(prediction_confidence, 6) AS prediction_confidence, round(combined_uncertainty, 6) AS combined_uncertainty,
+      uncertainty_band, confidence_band, original_decision, uncertainty_adjusted_decision, abstention_reason FROM ur)""",
 ]
 
 # explanations -----------------------------------------------------------------
@@ -460,7 +465,7 @@ SQL = {
     "uncertainty_decision_summary": fx.sql_with("wide_records", "scores", "members", extra=_UNC) + """,
       dom AS (SELECT * FROM (VALUES (0, 'Low Risk'), (1, 'Engineering Review'), (2, 'High Risk'), (3, 'Insufficient Evidence')) t(decision_order, decision)),
       agg AS (SELECT uncertainty_adjusted_decision AS decision, count(*) AS records, count(*) FILTER (WHERE target = 1) AS failures,
-        count(*) FILTER (WHERE target = 0) AS passes, avg(calibrated_failure_probability) AS mp FROM uo GROUP BY 1)
+        count(*) FILTER (WHERE target = 0) AS passes, avg(calibrated_failure_probability) AS mp FROM ur GROUP BY 1)
       SELECT decision_order, decision, CAST(coalesce(records, 0) AS BIGINT) AS records,
         round(CASE WHEN sum(coalesce(records, 0)) OVER () > 0 THEN coalesce(records, 0) / sum(coalesce(records, 0)) OVER () ELSE 0.0 END, 6) AS share,
         CAST(coalesce(failures, 0) AS BIGINT) AS failures, CAST(coalesce(passes, 0) AS BIGINT) AS passes,
@@ -472,7 +477,7 @@ SQL = {
         count(*) FILTER (WHERE target = 1 AND uncertainty_adjusted_decision = 'High Risk') AS high_risk_failures,
         count(*) FILTER (WHERE target = 1 AND uncertainty_adjusted_decision IN ('Engineering Review', 'Insufficient Evidence')) AS review_or_abstain_failures,
         round(avg(calibrated_failure_probability), 6) AS mean_probability, round(avg(prediction_confidence), 6) AS mean_confidence,
-        round(avg(combined_uncertainty), 6) AS mean_uncertainty FROM uo GROUP BY uncertainty_band""",
+        round(avg(combined_uncertainty), 6) AS mean_uncertainty FROM ur GROUP BY uncertainty_band""",
     "attributions": _wx() + "SELECT record_id, target, feature, round(value, 6) AS value, round(contribution, 6) AS contribution FROM att",
     "global_importance": _wx() + "SELECT * FROM gi2",
     "local_top_k": _wx() + """, r AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY abs(contribution) DESC, feature) AS rank FROM att)

@@ -124,20 +124,24 @@ def confidence_components(wide: DataFrame, scores: DataFrame, members: DataFrame
         unc >= F.col(f"combined_uncertainty_q{_qn(ABSTAIN_HIGH_UNCERTAINTY_QUANTILE)}"))
     abstain = automatic & (ood_hit | conflict)
     reason = F.when(abstain & ood_hit, REASONS["ood"]).when(abstain, REASONS["conflict"])
+    # full precision (roll-ups average these); ``rounded`` prepares an emitted table
     return t.select(
-        "record_id", "target", "side", r6(F.col("probability")).alias("calibrated_failure_probability"),
+        "record_id", "target", "side", F.col("probability").alias("calibrated_failure_probability"),
         "members", "member_mean", "member_std", "interval_lower", "interval_upper", "interval_width",
-        r6(F.col("completeness")).alias("completeness"), r6(F.col("ood_percentile")).alias("ood_percentile"),
-        r6(F.col("neighbour_percentile")).alias("neighbour_percentile"),
-        r6(F.col("model_agreement")).alias("model_agreement"), r6(F.col("prediction_stability")).alias("prediction_stability"),
-        r6(F.col("data_confidence")).alias("data_confidence"), r6(F.col("decision_margin")).alias("decision_margin"),
-        r6(cf).alias("prediction_confidence"), r6(unc).alias("combined_uncertainty"),
+        "completeness", "ood_percentile", "neighbour_percentile", "model_agreement", "prediction_stability",
+        "data_confidence", "decision_margin", cf.alias("prediction_confidence"), unc.alias("combined_uncertainty"),
         ub.alias("uncertainty_band"), cb.alias("confidence_band"), original.alias("original_decision"),
         F.when(abstain, PO.ABSTAIN).otherwise(original).alias("uncertainty_adjusted_decision"),
         reason.alias("abstention_reason"),
     )
 
 
+def rounded(df: DataFrame) -> DataFrame:
+    """Every double column rounded to 6 places (for emitted tables)."""
+    return df.select(*[r6(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def band_performance(u: DataFrame, band_col: str) -> DataFrame:
     d, y = F.col("uncertainty_adjusted_decision"), F.col("target") == 1
     return u.groupBy(F.col(band_col).alias("band")).agg(
