@@ -12,6 +12,7 @@ _MODULES = [
     "health_q",
     "decisions_q",
     "similarity_q",
+    "reporting_q",
 ]
 
 
