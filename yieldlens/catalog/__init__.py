@@ -13,6 +13,7 @@ _MODULES = [
     "decisions_q",
     "similarity_q",
     "reporting_q",
+    "features_q",
 ]
 
 
