@@ -14,6 +14,7 @@ _MODULES = [
     "similarity_q",
     "reporting_q",
     "features_q",
+    "streams_q",
 ]
 
 
