@@ -15,6 +15,7 @@ _MODULES = [
     "reporting_q",
     "features_q",
     "streams_q",
+    "models_q",
 ]
 
 
