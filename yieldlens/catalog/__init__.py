@@ -16,6 +16,7 @@ _MODULES = [
     "features_q",
     "streams_q",
     "models_q",
+    "sources_q",
 ]
 
 
