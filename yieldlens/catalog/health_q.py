@@ -25,15 +25,15 @@ def _scored(spark, sf_dir):
         "decision", PO.assign_decision(F.col("probability"), LOWER, UPPER))
 
 
+def _run(spark, sf_dir):
+    from ..plans.monitoring_run import MonitoringRun
+    return MonitoringRun(_scored(spark, sf_dir), fx.SENSORS, RUN_ID, OUT_METRICS, "decision", CFG)
+
+
 def _parts(spark, sf_dir):
-    sc = _scored(spark, sf_dir)
-    fd = D.feature_drift(sc, fx.SENSORS, CFG)
-    fsum = D.feature_drift_summary(fd)
-    od = H.output_drift(sc, OUT_METRICS, CFG)
-    cat = H.category_drift(sc, "decision", CFG)
-    dq = H.data_quality(sc, fx.SENSORS)
-    dqs = H.data_quality_summary(dq)
-    return sc, fd, fsum, od, cat, dq, dqs
+    r = _run(spark, sf_dir)
+    return (r.records, r.feature_drift, r.feature_summary, r.output_drift, r.category_drift, r.data_quality,
+            r.data_quality_summary)
 
 
 def q_output_drift(spark, sf_dir):
@@ -100,11 +100,7 @@ def q_health_components(spark, sf_dir):
 
 
 def q_health_assessment(spark, sf_dir):
-    sc, fd, fsum, od, cat, dq, dqs = _parts(spark, sf_dir)
-    comp = H.health_components(fsum, od, cat, dqs, CFG)
-    al = H.alerts(RUN_ID, fd, od, cat, dq)
-    rows = sc.where(F.col("side") == D.CUR).agg(F.count(F.lit(1)).alias("current_rows"))
-    return H.health_assessment(RUN_ID, comp, al, fsum, dqs, rows, CFG)
+    return _run(spark, sf_dir).assessment
 
 
 def _quarter_runs(df):

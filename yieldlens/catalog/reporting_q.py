@@ -17,13 +17,15 @@ LOWER, UPPER = 0.035, 0.08
 SENS = fx.SENSORS
 
 
-def _parts(spark, sf):
+def _plan(spark, sf):
+    from ..plans.decision_report import DecisionReport
     w = fx.wide_records(spark, sf)
-    s = fx.scores(spark, sf, w)
-    cc = U.confidence_components(w, s, fx.members(spark, sf, w), SENS, LOWER, UPPER)
-    att = X.attributions(w, SENS)
-    rep = EV.evidence_report(cc, X.local_summary(att), s, LOWER, UPPER)
-    return w, s, att, rep
+    return DecisionReport(w, fx.scores(spark, sf, w), fx.members(spark, sf, w), SENS, LOWER, UPPER)
+
+
+def _parts(spark, sf):
+    p = _plan(spark, sf)
+    return p.wide, p.scores, p.attributions, p.evidence
 
 
 def _prio(w, att):
@@ -102,8 +104,7 @@ def q_weighted_readiness(spark, sf):
 
 
 def _index(spark, sf):
-    w, s, att, rep = _parts(spark, sf)
-    return EV.report_index(rep, PR.record_priority_summary(_prio(w, att)))
+    return _plan(spark, sf).index
 
 
 def q_report_index(spark, sf):
@@ -124,8 +125,7 @@ def q_queue_score(spark, sf):
 
 
 def _docs(spark, sf):
-    w, s, att, rep = _parts(spark, sf)
-    return EV.report_document(rep, X.local_top_k(att), _prio(w, att))
+    return _plan(spark, sf).documents
 
 
 def q_report_document(spark, sf):
