@@ -36,3 +36,15 @@ def test_exact_quantiles_equal_numpy_linear(spark, xs):
     want = np.quantile(np.array(xs), probs)
     for j, w in enumerate(want):
         assert abs(got[j] - w) <= 1e-9 * max(1.0, abs(w))
+
+
+def test_previous_in_order_with_hot_key_equals_window_lag(spark):
+    from pyspark.sql import Window
+
+    from yieldlens.functions.ranking import previous_in_order
+
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"),
+                                     ((F.col("id") * 7919) % 10007).alias("t"), F.col("id").alias("v"))
+    got = previous_in_order(df, ["k"], ["t"], ["v"], partitions=9)
+    want = df.select("*", F.lag("v").over(Window.partitionBy("k").orderBy("t")).alias("prev_v"))
+    assert sorted(got.select("k", "t", "v", "prev_v").collect()) == sorted(want.collect())

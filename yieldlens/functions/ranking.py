@@ -243,3 +243,61 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, *, partitions:
     return pos.select(
         *keys, value, "_c", "_n", ((F.col("_start") + F.col("_end")) / 2 + 1).alias("avg_rank")
     )
+
+
+def _local_lag(keys: list[str], cols: list[str]):
+    """mapInPandas body: rows sorted by (keys, order) within a range partition; previous row's ``cols`` within
+    the same key (carried across Arrow batches); ``_first`` marks a key's first row in this partition."""
+
+    def run(batches):
+        prev_key, prev_vals = None, None
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(_first=pdf[keys[0]].notna() if keys else [], **{f"_lag_{c}": pdf[c] for c in cols})
+                continue
+            k = pdf[keys].astype(object).agg(tuple, axis=1) if keys else None
+            same_prev = (k == k.shift(1)) if keys else None
+            for c in cols:
+                lagged = pdf[c].shift(1)
+                if keys:
+                    lagged = lagged.where(same_prev)
+                pdf[f"_lag_{c}"] = lagged
+            first = ~same_prev if keys else None
+            if keys and prev_key is not None:
+                cont = (k == [prev_key] * len(k)) & first
+                cont.iloc[1:] = False
+                if cont.iloc[0]:
+                    for c in cols:
+                        pdf.loc[pdf.index[0], f"_lag_{c}"] = prev_vals[c]
+                    first.iloc[0] = False
+            pdf["_first"] = first.fillna(True).astype(bool) if keys else False
+            prev_key = k.iloc[-1] if keys else None
+            prev_vals = {c: pdf[c].iloc[-1] for c in cols}
+            yield pdf
+
+    return run
+
+
+def previous_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], *,
+                      partitions: int | None = None) -> DataFrame:
+    """``lag`` of ``cols`` within ``keys`` in ``order`` without gathering a key into one task.
+
+    Rows are range-partitioned on (keys, order) and sorted; each partition shifts in one vectorised pass and is
+    written once to the shared checkpoint folder.  A key's first row in a partition takes its previous values
+    from the last row of that key in the nearest earlier partition: a table of one row per (partition, key),
+    lagged over partitions and joined back by shuffle (it grows with the number of keys, so it is not
+    broadcast)."""
+    keys, order, cols = list(keys), list(order), list(cols)
+    n = _partitions(df, partitions)
+    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
+              .withColumn("_pid", F.spark_partition_id()).sortWithinPartitions(*keys, *order))
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(f"_lag_{c}", ranged.schema[c].dataType) for c in cols]
+                          + [T.StructField("_first", T.BooleanType())])
+    local = cut_lineage(ranged.mapInPandas(_local_lag(keys, cols), schema))
+    last = local.groupBy("_pid", *keys).agg(F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"_v_{c}")
+                                                                                          for c in cols])).alias("_last"))
+    w = Window.partitionBy(*keys).orderBy("_pid")  # one row per partition a key spans
+    carry = last.select("_pid", *keys, *[F.lag(F.col(f"_last._v_{c}")).over(w).alias(f"_carry_{c}") for c in cols])
+    j = local.join(carry, ["_pid", *keys], "left")
+    return j.select(*df.columns, *[F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")).alias(
+        f"prev_{c}") for c in cols])

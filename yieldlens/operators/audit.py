@@ -100,9 +100,11 @@ def hash_chain(ev: DataFrame) -> DataFrame:
 def verify_chain(ev: DataFrame, chained: DataFrame) -> DataFrame:
     """Link check (previous = preceding row's hash within the day chain) and content check (recomputed
     sha256), both row-parallel given the stored hashes; one row per chain day with the first failure."""
+    from ..functions.ranking import previous_in_order
+
     c = ev.select("event_id", canonical_event(ev).alias("canonical")).join(chained, "event_id")
-    w = Window.partitionBy("chain_day").orderBy("timestamp_utc", "event_id")
-    expected_prev = F.coalesce(F.lag("event_hash").over(w), F.lit(GENESIS))
+    c = previous_in_order(c, ["chain_day"], ["timestamp_utc", "event_id"], ["event_hash"])  # no per-day gather
+    expected_prev = F.coalesce(F.col("prev_event_hash"), F.lit(GENESIS))
     t = c.select("chain_day", "event_id", "timestamp_utc",
                  (F.col("previous_event_hash") == expected_prev).alias("link_ok"),
                  (F.sha2(F.concat(F.col("previous_event_hash"), F.col("canonical")), 256) == F.col("event_hash")).alias(
@@ -137,13 +139,20 @@ def _us(col: str) -> Column:
 
 
 def sessions(ev: DataFrame, timeout_minutes: int = SESSION_TIMEOUT_MINUTES) -> DataFrame:
-    """Fold each user's events into sessions split by gaps longer than the timeout (gaps and islands)."""
-    u = ev.where(F.col("user_email").isNotNull()).select("user_email", "event_id", "timestamp_utc")
-    w = Window.partitionBy("user_email").orderBy("timestamp_utc", "event_id")
-    gap = _us("timestamp_utc") - F.lag(_us("timestamp_utc")).over(w)
-    starts = u.select("*", F.when(gap.isNull() | (gap > timeout_minutes * 60 * 1_000_000), 1).otherwise(0).alias("_start"))
-    numbered = starts.select("*", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("session_no"))
-    return numbered.groupBy("user_email", "session_no").agg(
+    """Fold each user's events into sessions split by gaps longer than the timeout (gaps and islands).
+
+    The previous event per user comes from the distributed ordered lag and the session number from the
+    distributed prefix sum, so a user with a third of all events is still spread over many tasks."""
+    from ..functions.ranking import cumulative, previous_in_order
+
+    u = ev.where(F.col("user_email").isNotNull()).select("user_email", "event_id", "timestamp_utc",
+                                                         _us("timestamp_utc").alias("_t"))
+    p = previous_in_order(u, ["user_email"], ["_t", "event_id"], ["_t"])
+    starts = p.select("user_email", "event_id", "timestamp_utc", "_t",
+                      F.when(F.col("prev__t").isNull() | ((F.col("_t") - F.col("prev__t")) > timeout_minutes * 60 * 1_000_000),
+                             1).otherwise(0).alias("_start"))
+    numbered = cumulative(starts, ["user_email"], ["_t", "event_id"], ["_start"], bounded_keys=False)
+    return numbered.groupBy("user_email", F.col("cum__start").alias("session_no")).agg(
         F.min("timestamp_utc").alias("started_utc"), F.max("timestamp_utc").alias("last_activity_utc"),
         F.count(F.lit(1)).alias("events"),
     ).select(
