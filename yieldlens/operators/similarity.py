@@ -42,6 +42,12 @@ def euclid(a: Column, b: Column) -> Column:
                               F.lit(0.0), lambda acc, v: acc + v))
 
 
+def _pair_distance():
+    from ..functions.vectors import euclidean_distance
+
+    return euclidean_distance
+
+
 def _with_pivots(df: DataFrame, vec: str, pivots: list[list[float]]) -> DataFrame:
     cols = [euclid(F.col(vec), F.array(*[F.lit(float(x)) for x in p])).alias(f"_d{j}") for j, p in enumerate(pivots)]
     return df.select("*", *cols)
@@ -70,8 +76,9 @@ def knn(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
 
     # step 1: an upper bound on the k-th distance from the query's own and adjacent buckets
     q1 = qp.select("*", F.explode(F.sequence(bucket(F.col("_d0")) - 1, bucket(F.col("_d0")) + 1)).alias("_b"))
+    dist = _pair_distance()
     near = q1.join(refb.select("_rid", "_rv", "_b"), "_b").where(not_self).select(
-        "_qid", euclid(F.col("_qv"), F.col("_rv")).alias("_dist"))
+        "_qid", dist(F.col("_qv"), F.col("_rv")).alias("_dist"))
     w1 = Window.partitionBy("_qid").orderBy("_dist")  # a few buckets of ~4k points per query
     bound = near.withColumn("_r", F.row_number().over(w1)).groupBy("_qid").agg(
         F.max(F.when(F.col("_r") == k, F.col("_dist"))).alias("_ub"))
@@ -84,7 +91,7 @@ def knn(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     band = F.lit(True)
     for j in range(len(piv)):
         band = band & (F.col("_ub").isNull() | (F.abs(F.col(f"_d{j}") - F.col(f"_e{j}")) <= F.col("_ub") + tol))
-    pairs = cand.where(not_self & band).select("_qid", "_rid", euclid(F.col("_qv"), F.col("_rv")).alias("_dist"))
+    pairs = cand.where(not_self & band).select("_qid", "_rid", dist(F.col("_qv"), F.col("_rv")).alias("_dist"))
     w2 = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # band candidates of one query
     top = pairs.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
     return top.select(F.col("_qid").alias("query_id"), "rank", F.col("_rid").alias("neighbour_id"),
