@@ -28,7 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.ansi.enabled", "false")
+        .config("spark.sql.ansi.enabled", os.environ.get("YL_ANSI", "false"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
