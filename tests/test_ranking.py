@@ -48,3 +48,24 @@ def test_previous_in_order_with_hot_key_equals_window_lag(spark):
     got = previous_in_order(df, ["k"], ["t"], ["v"], partitions=9)
     want = df.select("*", F.lag("v").over(Window.partitionBy("k").orderBy("t")).alias("prev_v"))
     assert sorted(got.select("k", "t", "v", "prev_v").collect()) == sorted(want.collect())
+
+
+def test_helpers_carry_state_across_small_arrow_batches(spark):
+    """Partitions larger than one Arrow batch: running sums and lags must continue across batches."""
+    from pyspark.sql import Window
+
+    from yieldlens.functions.ranking import previous_in_order
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        df = spark.range(0, 3000).select((F.col("id") % 4).alias("k"), ((F.col("id") * 7919) % 10007).alias("t"),
+                                         F.col("id").alias("v"))
+        got = previous_in_order(df, ["k"], ["t"], ["v"], partitions=3)
+        want = df.select("*", F.lag("v").over(Window.partitionBy("k").orderBy("t")).alias("prev_v"))
+        assert sorted(got.select("k", "t", "v", "prev_v").collect()) == sorted(want.collect())
+        c = cumulative(df.withColumn("one", F.lit(1)), ["k"], ["t"], ["one"], partitions=3)
+        w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+        want2 = df.select("k", "t", F.count(F.lit(1)).over(w).alias("cum_one"))
+        assert sorted(c.select("k", "t", "cum_one").collect()) == sorted(want2.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -263,13 +263,11 @@ def _local_lag(keys: list[str], cols: list[str]):
                     lagged = lagged.where(same_prev)
                 pdf[f"_lag_{c}"] = lagged
             first = ~same_prev if keys else None
-            if keys and prev_key is not None:
-                cont = (k == [prev_key] * len(k)) & first
-                cont.iloc[1:] = False
-                if cont.iloc[0]:
-                    for c in cols:
-                        pdf.loc[pdf.index[0], f"_lag_{c}"] = prev_vals[c]
-                    first.iloc[0] = False
+            if keys and prev_key is not None and k.iloc[0] == prev_key:
+                # sorted input: only the batch's first key can continue the previous batch
+                for c in cols:
+                    pdf.loc[pdf.index[0], f"_lag_{c}"] = prev_vals[c]
+                first.iloc[0] = False
             pdf["_first"] = first.fillna(True).astype(bool) if keys else False
             prev_key = k.iloc[-1] if keys else None
             prev_vals = {c: pdf[c].iloc[-1] for c in cols}
