@@ -21,8 +21,13 @@ def _w(spark, sf):
     return fx.wide_records(spark, sf)
 
 
+def _snap(spark, sf):
+    from ..session import cut_lineage
+    return cut_lineage(_w(spark, sf))  # one record snapshot for multi-stage queries
+
+
 def _em(spark, sf):
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     return w, E.error_master(w, fx.scores(spark, sf, w), SENS, THRESHOLD)
 
 
@@ -57,7 +62,7 @@ def q_error_diagnostics(spark, sf):
 
 
 def _cc(spark, sf):
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     return U.confidence_components(w, fx.scores(spark, sf, w), fx.members(spark, sf, w), SENS, LOWER, UPPER)
 
 
@@ -158,7 +163,7 @@ def q_review_queue(spark, sf):
 
 
 def _prio(spark, sf):
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     att = X.attributions(w, SENS)
     return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att))
 

@@ -27,7 +27,9 @@ def _scored(spark, sf_dir):
 
 def _run(spark, sf_dir):
     from ..plans.monitoring_run import MonitoringRun
-    return MonitoringRun(_scored(spark, sf_dir), fx.SENSORS, RUN_ID, OUT_METRICS, "decision", CFG)
+    from ..session import cut_lineage
+    # one snapshot of the scored records per run, read by every stage
+    return MonitoringRun(cut_lineage(_scored(spark, sf_dir)), fx.SENSORS, RUN_ID, OUT_METRICS, "decision", CFG)
 
 
 def _parts(spark, sf_dir):

@@ -19,7 +19,8 @@ SENS = fx.SENSORS
 
 def _plan(spark, sf):
     from ..plans.decision_report import DecisionReport
-    w = fx.wide_records(spark, sf)
+    from ..session import cut_lineage
+    w = cut_lineage(fx.wide_records(spark, sf))  # one record snapshot per run
     return DecisionReport(w, fx.scores(spark, sf, w), fx.members(spark, sf, w), SENS, LOWER, UPPER)
 
 
