@@ -163,12 +163,14 @@ class DriftBase:
             F.max(F.when(in_span(F.ceil(F.col("g.h"))), F.col("value"))).alias("_vhi"),
         )
         frac = F.col("_h") - F.floor(F.col("_h"))
-        self._order = agg.select(
+        order = agg.select(
             "feature", "side", "kind", "j",
             F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(
                 "quantile"
             ),
         )
+        # small (features x grid points) and read by medians, PSI edges and the Wasserstein grid: claim once
+        self._order = cut_lineage(order)
         return self._order
 
 
