@@ -32,45 +32,22 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _local_running_sums(keys: list[str], sums: list[str]):
-    """mapInPandas body: rows arrive sorted by (keys, order) within one range partition; emit
-    the running sum of each column per key.  Input is sorted, so only the first key group of a
-    batch can continue the previous batch: it alone receives the carried sums."""
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Null-safe equality of ``cols`` (a NULL key is a key like any other)."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
 
-    def run(batches):
-        prev_key = None
-        carry = None
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{f"_l_{c}": pdf[c] for c in sums})
-                continue
-            if keys:
-                local = pdf.groupby(keys, sort=False, dropna=False)[sums].cumsum()
-            else:
-                local = pdf[sums].cumsum()
-            if carry is not None:
-                if keys:
-                    same = (pdf[keys] == pd_row(prev_key, keys)).all(axis=1).to_numpy()
-                else:
-                    same = slice(None)
-                for c in sums:
-                    vals = local[c].to_numpy().copy()
-                    vals[same] = vals[same] + carry[c]
-                    local[c] = vals
-            for c in sums:
-                pdf[f"_l_{c}"] = local[c].to_numpy()
-            last = pdf.iloc[-1]
-            prev_key = tuple(last[k] for k in keys)
-            carry = {c: last[f"_l_{c}"] for c in sums}
-            yield pdf
 
-    return run
+def _ranged(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
+    """Rows dealt by range of (keys, order) with their partition number ``_pid``, stored once.
 
-
-def pd_row(key: tuple, cols: list[str]):
-    import pandas as pd
-
-    return pd.Series(list(key), index=cols)
+    The range bounds come from a sample, so only stored partition numbers agree between readers and retries."""
+    return cut_lineage(
+        df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
+        .withColumn("_pid", F.spark_partition_id())
+    )
 
 
 def cumulative(
@@ -90,9 +67,9 @@ def cumulative(
 
     ``order`` must be unique within ``keys`` (aggregate to distinct values
     first).  Rows are range-partitioned on (keys, order) -- a hot key spreads
-    over many tasks -- and sorted inside each partition; one vectorised pass
-    per partition computes local running sums, and the result is written once
-    to the shared checkpoint folder.  Because the partition id is then stored
+    over many tasks -- and written once to the shared checkpoint folder with
+    their partition number; a window inside (partition, keys) gives local
+    running sums (exact for longs).  Because the partition id is then stored
     data, the per-(partition, key) totals (at most ``partitions + #keys``
     rows) and the offsets derived from them agree with the rows in every
     reader and in every retried task.  ``bounded_keys`` says the number of
@@ -103,17 +80,11 @@ def cumulative(
     keys = list(keys)
     order = list(order)
     sums = list(sums)
-    n = _partitions(df, partitions)
-    ranged = (
-        df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
-        .withColumn("_pid", F.spark_partition_id())
-        .sortWithinPartitions(*keys, *order)
-    )
-    fields = list(ranged.schema.fields)
-    out_schema = T.StructType(fields + [T.StructField(f"_l_{c}", ranged.schema[c].dataType) for c in sums])
-    local = cut_lineage(ranged.mapInPandas(_local_running_sums(keys, sums), out_schema))
+    stored = _ranged(df, keys, order, _partitions(df, partitions))
+    inside = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = stored.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in sums])
     all_sums = sums + [c for c in totals_only if c not in sums]
-    totals = local.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in all_sums])
+    totals = stored.groupBy("_pid", *keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in all_sums])
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = totals.select(
@@ -123,7 +94,9 @@ def cumulative(
     )
     if bounded_keys:
         offsets = F.broadcast(offsets)
-    joined = local.join(offsets, ["_pid", *keys], "inner", ) if keys else local.join(offsets, ["_pid"], "inner")
+    joined = local.join(offsets, _same(local, offsets, ["_pid", *keys]), "inner")
+    joined = joined.select(*[local[c] for c in local.columns], *[offsets[c] for c in offsets.columns
+                                                                 if c != "_pid" and c not in keys])
     tot_cols = list(sums) if with_totals else []
     tot_cols += [c for c in totals_only if c not in tot_cols]
     out = joined.select(
@@ -144,11 +117,8 @@ def positioned(df: DataFrame, keys: Sequence[str], value: str, *, partitions: in
     """Distinct values with their 0-based order-statistic span [_start, _end] and group size _n."""
     keys = list(keys)
     vc = value_counts(df, keys, value)
-    cum = cumulative(vc, keys, [value], ["_c"], partitions=partitions, bounded_keys=bounded_keys)
-    sizes = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    if bounded_keys:
-        sizes = F.broadcast(sizes)
-    cum = cum.join(sizes, keys, "inner") if keys else cum.crossJoin(sizes)
+    cum = cumulative(vc, keys, [value], ["_c"], partitions=partitions, bounded_keys=bounded_keys, with_totals=True)
+    cum = cum.withColumnRenamed("tot__c", "_n")
     return cum.select(
         *keys, value, "_c", "_n",
         (F.col("cum__c") - F.col("_c")).alias("_start"),
@@ -245,57 +215,25 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, *, partitions:
     )
 
 
-def _local_lag(keys: list[str], cols: list[str]):
-    """mapInPandas body: rows sorted by (keys, order) within a range partition; previous row's ``cols`` within
-    the same key (carried across Arrow batches); ``_first`` marks a key's first row in this partition."""
-
-    def run(batches):
-        prev_key, prev_vals = None, None
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_first=pdf[keys[0]].notna() if keys else [], **{f"_lag_{c}": pdf[c] for c in cols})
-                continue
-            k = pdf[keys].astype(object).agg(tuple, axis=1) if keys else None
-            same_prev = (k == k.shift(1)) if keys else None
-            for c in cols:
-                lagged = pdf[c].shift(1)
-                if keys:
-                    lagged = lagged.where(same_prev)
-                pdf[f"_lag_{c}"] = lagged
-            first = ~same_prev if keys else None
-            if keys and prev_key is not None and k.iloc[0] == prev_key:
-                # sorted input: only the batch's first key can continue the previous batch
-                for c in cols:
-                    pdf.loc[pdf.index[0], f"_lag_{c}"] = prev_vals[c]
-                first.iloc[0] = False
-            pdf["_first"] = first.fillna(True).astype(bool) if keys else False
-            prev_key = k.iloc[-1] if keys else None
-            prev_vals = {c: pdf[c].iloc[-1] for c in cols}
-            yield pdf
-
-    return run
-
-
 def previous_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], *,
                       partitions: int | None = None) -> DataFrame:
     """``lag`` of ``cols`` within ``keys`` in ``order`` without gathering a key into one task.
 
-    Rows are range-partitioned on (keys, order) and sorted; each partition shifts in one vectorised pass and is
-    written once to the shared checkpoint folder.  A key's first row in a partition takes its previous values
+    Rows are range-partitioned on (keys, order) and written once to the shared checkpoint folder; a window inside
+    (partition, keys) gives the local lag.  A key's first row in a partition takes its previous values
     from the last row of that key in the nearest earlier partition: a table of one row per (partition, key),
     lagged over partitions and joined back by shuffle (it grows with the number of keys, so it is not
     broadcast)."""
     keys, order, cols = list(keys), list(order), list(cols)
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
-              .withColumn("_pid", F.spark_partition_id()).sortWithinPartitions(*keys, *order))
-    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(f"_lag_{c}", ranged.schema[c].dataType) for c in cols]
-                          + [T.StructField("_first", T.BooleanType())])
-    local = cut_lineage(ranged.mapInPandas(_local_lag(keys, cols), schema))
-    last = local.groupBy("_pid", *keys).agg(F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"_v_{c}")
-                                                                                          for c in cols])).alias("_last"))
+    stored = _ranged(df, keys, order, _partitions(df, partitions))
+    inside = Window.partitionBy("_pid", *keys).orderBy(*order)
+    local = stored.select("*", *[F.lag(c).over(inside).alias(f"_lag_{c}") for c in cols],
+                          (F.row_number().over(inside) == 1).alias("_first"))
+    last = stored.groupBy("_pid", *keys).agg(F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"_v_{c}")
+                                                                                           for c in cols])).alias("_last"))
     w = Window.partitionBy(*keys).orderBy("_pid")  # one row per partition a key spans
     carry = last.select("_pid", *keys, *[F.lag(F.col(f"_last._v_{c}")).over(w).alias(f"_carry_{c}") for c in cols])
-    j = local.join(carry, ["_pid", *keys], "left")
-    return j.select(*df.columns, *[F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")).alias(
-        f"prev_{c}") for c in cols])
+    j = local.join(carry, _same(local, carry, ["_pid", *keys]), "left")
+    return j.select(*[local[c] for c in df.columns],
+                    *[F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
+                      for c in cols])

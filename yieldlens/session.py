@@ -8,7 +8,10 @@ resolving the shared checkpoint folder the cluster names in
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -37,15 +40,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """The shared checkpoint folder of the session.
+
+    ``spark.checkpoint.dir`` names it on a cluster.  Only a local session, where driver and executors are one
+    process, gets a scratch folder of its own when nothing is configured; any other session without the setting
+    is refused, because executors could not see each other's files."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="yieldlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    return spark.sparkContext.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, kind: str = "tables") -> str:
+    """A new path in the shared checkpoint folder; whatever is written there is deleted when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -55,7 +73,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     storage, so later readers and retried tasks after an executor loss see the
     same rows), but columnar and compressed instead of Java-serialised rows.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
