@@ -93,14 +93,16 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     plan = take(docs, **options)
     plan = plan.where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
         F.max("taken").alias("_taken"))
-    words = word_count(F.col("text"))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(F.col("_id")) & (words == F.col("_size")))
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    held = held.select("_doc", F.col("_doc.doc_id").alias("_own"), word_count(F.col("_doc.text")).alias("_words"))
+    joined = held.join(plan, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
     copies = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
     rows = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     here = F.least(F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"), F.col("_size")).cast("int")
-    pieces = F.regexp_extract_all("text", F.lit(f"{SPACE}*{WORD}"), F.lit(0))
-    cut = F.when(here < F.col("_size"), F.array_join(F.slice(pieces, 1, here), "")).otherwise(F.col("text"))
-    return rows.select(*[(cut if c == "text" else docs[c]).alias(c) for c in docs.columns])
+    text = F.col("_doc.text")
+    pieces = F.regexp_extract_all(text, F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+    cut = F.when(here < F.col("_size"), F.array_join(F.slice(pieces, F.lit(1), here), "")).otherwise(text)
+    return rows.select(*[(cut if c == "text" else F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import op1_mixing, op5_quality
+from . import op1_mixing, op2_token_ids, op5_quality, op7_warc
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
+    "op2_token_ids": op2_token_ids.op2_token_ids,
     "op5_quality": op5_quality.op5_quality,
+    "op7_warc": op7_warc.op7_warc,
 }
 
 SQL = {
     "op1_mixing": op1_mixing.SQL,
     "op5_quality": op5_quality.SQL,
+    "op7_warc": op7_warc.SQL,
 }
