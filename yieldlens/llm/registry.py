@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import op1_mixing, op2_token_ids, op5_quality, op7_warc
+from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op7_warc, op10_pii
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op2_token_ids": op2_token_ids.op2_token_ids,
+    "op4_secrets": op4_secrets.op4_secrets,
     "op5_quality": op5_quality.op5_quality,
     "op7_warc": op7_warc.op7_warc,
+    "op10_pii": op10_pii.op10_pii,
 }
 
 SQL = {
