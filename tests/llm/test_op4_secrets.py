@@ -41,11 +41,11 @@ def test_held_out_accuracy_and_added_spans(make_docs, spark):
     rows = [(i, f"{word(6)} {word(14)} token = \"{hexes(24 + i % 17)}\" {word(5)}") for i in range(300)]
     rows += [(1000 + i, f"{word(6)} mail{i % 9}.{word(8)}.com {word(15)} {word(4)}") for i in range(300)]
     docs = make_docs(rows + [(5000, f'{word(6)} {word(14)} token is "{hexes(23)}" {word(5)}'), (5001, "see mail3.example.com there")])
-    net = op.train(spark.createDataFrame([(1, op.window(t, t.index('"') + 1, t.rindex('"'))) for _, t in rows[:200]]
-                                         + [(0, op.window(t, 7, 25)) for _, t in rows[300:500]], "label int, view string"))
-    views = [op.window(t, t.index('"') + 1, t.rindex('"')) for _, t in rows[200:300]]
-    assert (net.chance(op.encode(views)) >= net.threshold).mean() >= 0.95
-    assert (net.chance(op.encode([op.window(t, 7, 25) for _, t in rows[500:]])) >= net.threshold).mean() <= 0.05
+    nets = op.train(spark.createDataFrame([(1, op.window(t, t.index('"') + 1, t.rindex('"'))) for _, t in rows[:200]]
+                                          + [(0, op.window(t, 7, 25)) for _, t in rows[300:500]], "label int, view string"))
+    held = op.accepted(nets, [op.window(t, t.index('"') + 1, t.rindex('"')) for _, t in rows[200:300]])
+    assert sum(held) >= 95
+    assert sum(op.accepted(nets, [op.window(t, 7, 25) for _, t in rows[500:600]])) <= 5
     got = {r["doc_id"]: r for r in op.find(docs).collect()}
     assert got[5000]["n_model"] == 1 and got[5001]["spans"] == ""
     assert sum(got[1000 + i]["n_model"] for i in range(300)) <= 6

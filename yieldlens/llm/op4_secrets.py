@@ -3,8 +3,8 @@
 One pass over the texts finds the base spans (assign, access, hex) and the candidates: runs of 12 or more token
 characters that hold a letter and a digit, with the text around them.  A small network (character embedding,
 one convolution, maximum over positions, logistic output) is trained on labelled findings: what the base patterns
-matched is positive, other candidates and long plain words are negative.  Scores are calibrated on findings held back,
-and the threshold must keep the wanted recall there.  Candidates above it that no base span touches
+matched is positive, other candidates and long plain words are negative.  Two networks are fitted on halves of the findings;
+each is calibrated on the half it has not seen, where its threshold must keep the wanted recall, and rates that half.  Candidates above it that no base span touches
 are added as kind ``model``; base spans stay as they are.
 
 Bounds: the network is fitted on at most ``TRAIN_ROWS`` findings of each class, those with the smallest hashes; every
@@ -196,10 +196,19 @@ class CharNet:
         return 1 / (1 + np.exp(-np.clip(a * self.forward(x)[0] + b, -40, 40)))
 
 
-def train(findings: DataFrame, rows: int = TRAIN_ROWS) -> CharNet | None:
-    """A calibrated network from (label, view) findings, or None where a class has too few.
+def fold(view: str) -> int:
+    """Half of the findings that a view belongs to."""
+    import zlib
 
-    Distinct views are taken by smallest hash, at most ``rows`` of each class; every fourth is held back."""
+    return zlib.crc32(view.encode()) & 1
+
+
+def train(findings: DataFrame, rows: int = TRAIN_ROWS) -> list[CharNet] | None:
+    """Two calibrated networks from (label, view) findings, or None where a class has too few.
+
+    Distinct views are taken by smallest hash, at most ``rows`` of each class.  Network k is fitted on the views of the
+    other half and calibrated on half k, whose candidates it rates: no candidate is rated by a network that saw it
+    as a negative."""
     import numpy as np
 
     views, labels = [], []
@@ -210,12 +219,20 @@ def train(findings: DataFrame, rows: int = TRAIN_ROWS) -> CharNet | None:
             return None
         views += [r["view"] for r in held]
         labels += [label] * len(held)
-    x, y = encode(views), np.array(labels)
-    back = np.arange(len(y)) % 4 == 3
-    return CharNet().fit(x[~back], y[~back]).calibrate(x[back], y[back])
+    x, y, half = encode(views), np.array(labels), np.array([fold(v) for v in views])
+    return [CharNet().fit(x[half != k], y[half != k]).calibrate(x[half == k], y[half == k]) for k in (0, 1)]
+
+
+def accepted(nets: list[CharNet], views: list[str]) -> list[bool]:
+    """Whether each view reaches the threshold of its network."""
+    import numpy as np
+
+    half, x = np.array([fold(v) for v in views]), encode(views)
+    chance = [net.chance(x) >= net.threshold for net in nets]
+    return np.where(half == 0, chance[0], chance[1]).tolist()
 
 
-def _score(net: CharNet | None):
+def _score(nets: list[CharNet] | None):
     def run(batches):
         import hashlib
 
@@ -223,14 +240,14 @@ def _score(net: CharNet | None):
 
         for pdf in batches:
             views = [c["view"] for row in pdf["candidates"] for c in row]
-            chances = []
-            for a in range(0, len(views) if net else 0, 2000):
-                chances += net.chance(encode(views[a : a + 2000])).tolist()
+            good = []
+            for a in range(0, len(views) if nets else 0, 2000):
+                good += accepted(nets, views[a : a + 2000])
             at, out = 0, {k: [] for k in ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model")}
             for base, row in zip(pdf["base"], pdf["candidates"]):
                 spans = [(s["start"], s["kind"], s["end"]) for s in base]
                 said = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
-                more = [(c["start"], 3, c["end"]) for i, c in enumerate(row) if net and chances[at + i] >= net.threshold]
+                more = [(c["start"], 3, c["end"]) for i, c in enumerate(row) if nets and good[at + i]]
                 at += len(row)
                 for k in range(3):
                     out["n_" + KINDS[k]].append(sum(s[1] == k for s in spans))
@@ -247,11 +264,11 @@ def find(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     key = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     scanned = cut_lineage(docs.select("doc_id", F.col("text").alias("_text")).mapInPandas(
         _scan(), T.StructType([key, *SCANNED.fields])))
-    net = train(scanned.select(F.explode("findings").alias("f")).select("f.label", "f.view"), rows)
+    nets = train(scanned.select(F.explode("findings").alias("f")).select("f.label", "f.view"), rows)
     schema = T.StructType([key] + [T.StructField(c, T.LongType()) for c in ("n_assign", "n_access", "n_hex")]
                           + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()),
                              T.StructField("n_model", T.LongType())])
-    return scanned.select("doc_id", "base", "candidates").mapInPandas(_score(net), schema)
+    return scanned.select("doc_id", "base", "candidates").mapInPandas(_score(nets), schema)
 
 
 def op4_secrets(spark, sf_dir: str) -> DataFrame:

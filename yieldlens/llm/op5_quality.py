@@ -33,7 +33,7 @@ def repeated_words(words: Column) -> Column:
     hashes = F.transform(F.slice(words, F.lit(1), last), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
     def positions(h: Column) -> Column:
-        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         return _let(pairs, lambda s: F.sort_array(F.array_compact(F.transform(s, lambda p, k: F.when(
             (p["h"] == F.get(s, k - 1)["h"]) | (p["h"] == F.get(s, k + 1)["h"]), p["i"])))))
 
