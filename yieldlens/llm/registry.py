@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op7_warc, op10_pii
+from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op7_warc, op8_decontamination, op9_neardup, op10_pii
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_secrets": op4_secrets.op4_secrets,
     "op5_quality": op5_quality.op5_quality,
     "op7_warc": op7_warc.op7_warc,
+    "op8_decontamination": op8_decontamination.op8_decontamination,
+    "op9_neardup": op9_neardup.op9_neardup,
     "op10_pii": op10_pii.op10_pii,
 }
 
@@ -17,4 +19,5 @@ SQL = {
     "op1_mixing": op1_mixing.SQL,
     "op5_quality": op5_quality.SQL,
     "op7_warc": op7_warc.SQL,
+    "op8_decontamination": op8_decontamination.SQL,
 }
