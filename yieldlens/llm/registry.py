@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op7_warc, op8_decontamination, op9_neardup, op10_pii
+from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op2_token_ids": op2_token_ids.op2_token_ids,
     "op4_secrets": op4_secrets.op4_secrets,
     "op5_quality": op5_quality.op5_quality,
+    "op6_suffix_dedup": op6_suffix_dedup.op6_suffix_dedup,
     "op7_warc": op7_warc.op7_warc,
     "op8_decontamination": op8_decontamination.op8_decontamination,
     "op9_neardup": op9_neardup.op9_neardup,
