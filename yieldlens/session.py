@@ -66,7 +66,7 @@ def shared_path(spark: SparkSession, kind: str = "tables") -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Same guarantee as a reliable ``checkpoint()`` (the data is on shared
@@ -74,5 +74,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     same rows), but columnar and compressed instead of Java-serialised rows.
     """
     path = shared_path(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
