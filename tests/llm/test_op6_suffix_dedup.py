@@ -52,7 +52,8 @@ def test_against_brute_force(make_docs, monkeypatch, block):
 
 
 def test_repeated_rows_and_empty_table(make_docs):
-    t = "".join(random.Random(1).choice("abcdef") for _ in range(300))
+    rng = random.Random(1)
+    t = "".join(rng.choice("abcdef") for _ in range(300))
     got = op.remove_repeats(make_docs([(1, t), (1, t), (2, t), (3, None), (None, "z")])).collect()
     assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in got) == [(0, 0), (1, 0), (1, 0), (2, 300), (3, 0)]
     assert op.remove_repeats(make_docs([(1, "a")]).limit(0)).count() == 0

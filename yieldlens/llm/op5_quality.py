@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import SPACE, WORD, table
+from ..session import cut_lineage
+from .text import SPACE, WORD, matching, table
 
 MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50  # per cent of words in repeated three-word windows
@@ -66,7 +67,7 @@ def measures(docs: DataFrame) -> DataFrame:
                                                    F.regexp_count(line, F.lit(WORD)).alias("n")))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     return docs.select(
-        "doc_id", F.col("source").alias("host"), F.xxhash64(text, F.length(text)).alias("content"),
+        "doc_id", F.col("source").alias("host"), content_key(F.col("text")).alias("content"),
         (F.length(text) - F.regexp_count(text, F.lit(SPACE))).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size(raw) - F.size(F.array_distinct(raw))).cast("long").alias("n_dup_lines"),
@@ -90,32 +91,38 @@ def boilerplate(lines: DataFrame, min_docs: int = LINE_DOCS, share: float = LINE
             .where(F.col("docs") > share * F.col("n")).select("host", "h"))
 
 
+def content_key(text: Column) -> Column:
+    """A hash that names the text of a document."""
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text, F.length(text))
+
+
 def judge(docs: DataFrame, min_docs: int = LINE_DOCS, share: float = LINE_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """doc_id, the base figures, base_failed, left_words and kept for every document."""
+    """doc_id, host, content, the base figures, base_failed, left_words and kept for every document."""
     m = measures(docs).withColumn("_row", F.monotonically_increasing_id())
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_SHARE * F.col("n_words"))
-    stored = _store(m.withColumn("base_failed", base))
+    stored = cut_lineage(m.withColumn("base_failed", base))
     common = boilerplate(stored.select("host", "content", F.array_distinct(F.col("lines.h")).alias("hs")), min_docs, share)
     common = common.select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     each = stored.select("_row", "host", F.explode("lines").alias("line")).select("_row", "host", "line.h", "line.n")
     gone = each.join(common, F.col("host").eqNullSafe(F.col("_host")) & (F.col("h") == F.col("_h")))
     gone = gone.groupBy(F.col("_row").alias("_r")).agg(F.sum("n").alias("_gone"))
-    out = stored.drop("lines", "content").join(gone, F.col("_row") == F.col("_r"), "left")
+    out = stored.drop("lines").join(gone, F.col("_row") == F.col("_r"), "left")
     left = F.col("n_words") - F.coalesce(F.col("_gone"), F.lit(0))
     out = out.withColumn("left_words", left.cast("long"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+    return out.select("doc_id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "left_words", (~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))).alias("kept"))
 
 
-def _store(df: DataFrame) -> DataFrame:
-    from ..session import cut_lineage
-
-    return cut_lineage(df)
+def keep(docs: DataFrame, **limits) -> DataFrame:
+    """The documents that the rules keep."""
+    gone = judge(docs, **limits).where("not kept").select("doc_id", "host", "content").distinct()
+    return matching(docs, gone, {"doc_id": F.col("doc_id"), "host": F.col("source"), "content": content_key(F.col("text"))}, "left_anti")
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Base figures and the verdict of the line-frequency rule for every document."""
-    return judge(table(spark, sf_dir, "documents"))
+    return judge(table(spark, sf_dir, "documents")).drop("host", "content")
 
 
 SQL = r"""

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .op5_quality import _let
-from .text import table
+from .text import matching, table
 
 WINDOW = 10
 WORDS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
@@ -154,6 +154,12 @@ def rate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
                        (F.coalesce("_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents without any benchmark window."""
+    hit = matches(docs, benchmark, window).select("_id", "_th").distinct()
+    return matching(docs, hit, {"_id": F.col("doc_id"), "_th": F.xxhash64(F.col("text"))}, "left_anti")
+
+
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     """Benchmark windows that occur in every document."""
     return rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import lowered, mixed, range_sums, slices, table, utf8, words
+from .text import lowered, matching, mixed, range_sums, slices, table, utf8, words
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
@@ -212,6 +212,14 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
                       component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id; of equal rows with one doc_id one stays."""
+    gone = group(docs, width, percent).where("not kept").select("doc_id").distinct()
+    kept = matching(docs, gone, {"doc_id": F.col("doc_id")}, "left_anti")
+    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+
+
 def op9_neardup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return group(table(spark, sf_dir, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii
 
 QUERIES = {
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination.op8_decontamination,
     "op9_neardup": op9_neardup.op9_neardup,
     "op10_pii": op10_pii.op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {

@@ -22,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def matching(docs: DataFrame, rows: DataFrame, keys: dict[str, Column], how: str) -> DataFrame:
+    """Rows of ``docs`` that have (left_semi) or have not (left_anti) a partner in ``rows``, null keys being equal.
+
+    ``keys`` gives the value of each column of ``rows`` as an expression over ``docs``; columns of ``docs`` may have any
+    names."""
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
+                       *[value.alias(f"_key{i}") for i, value in enumerate(keys.values())])
+    other = rows.select(*[F.col(c).alias(f"_match{i}") for i, c in enumerate(keys)])
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"_key{i}").eqNullSafe(F.col(f"_match{i}"))
+    return held.join(other, same, how).select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as a long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
