@@ -422,7 +422,7 @@ def _wx(*extra):
 
 
 _ROLL = """SELECT {scope} AS scope, feature, count(*) AS times_in_top_ten, count(*) FILTER (WHERE priority_rank = 1) AS times_first,
-    round(avg(priority_score), 6) AS mean_priority_score, count(*) FILTER (WHERE priority_level = 'Very High') AS very_high_count
+    (2 * sum(CAST(round(priority_score * 1000000) AS BIGINT)) + count(*)) // (2 * count(*)) / 1000000 AS mean_priority_score, count(*) FILTER (WHERE priority_level = 'Very High') AS very_high_count
   FROM prio JOIN dec USING (record_id) {where} GROUP BY {group}"""
 
 SQL = {

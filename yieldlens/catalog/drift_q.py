@@ -111,23 +111,12 @@ _BASE = [
             list_transform(range(1, 101), lambda k: power(-1.0, k - 1) * exp(-2.0 * k * k * sc * sc)),
             lambda a, b: a + b, 0.0), 0.0), 1.0) END END AS ks_p_value
       FROM kss)""",
-    """ranked AS (SELECT feature, side, value, row_number() OVER (PARTITION BY feature, side ORDER BY value) - 1 AS pos
-      FROM lf WHERE value IS NOT NULL)""",
-    """wq AS (SELECT feature, ref_n, cur_n, CAST(greatest(least(greatest(ref_n, cur_n), 1000), 20) AS INTEGER) AS q FROM fw)""",
-    """grid AS (SELECT g.feature, g.side, g.j, g.q, (g.n - 1) * (g.j / (g.q - 1)) AS h FROM (
-        SELECT feature, 'reference' AS side, ref_n AS n, q, unnest(range(q)) AS j FROM wq WHERE ref_n > 0
-        UNION ALL
-        SELECT feature, 'current' AS side, cur_n AS n, q, unnest(range(q)) AS j FROM wq WHERE cur_n > 0) g)""",
-    """gq AS (SELECT g.feature, g.side, g.j,
-        CASE WHEN g.h - floor(g.h) = 0 THEN lo.value ELSE lo.value + (hi.value - lo.value) * (g.h - floor(g.h)) END AS qv
-      FROM grid g
-      JOIN ranked lo ON lo.feature = g.feature AND lo.side = g.side AND lo.pos = floor(g.h)
-      JOIN ranked hi ON hi.feature = g.feature AND hi.side = g.side AND hi.pos = ceil(g.h))""",
-    """gap AS (SELECT feature, j, abs(max(CASE WHEN side = 'reference' THEN qv END) - max(CASE WHEN side = 'current' THEN qv END)) AS g
-      FROM gq GROUP BY feature, j)""",
-    """seg AS (SELECT feature, (g + lead(g) OVER (PARTITION BY feature ORDER BY j)) / 2 AS s FROM gap)""",
-    """wd_t AS (SELECT wq.feature, CASE WHEN ref_n > 0 AND cur_n > 0 THEN sum(s) / (wq.q - 1) END AS wasserstein_distance
-      FROM wq LEFT JOIN seg USING (feature) GROUP BY wq.feature, wq.q, wq.ref_n, wq.cur_n)""",
+    """gap AS (SELECT feature, abs(cr / ref_n - cc / cur_n) * (lead(kv.value) OVER (PARTITION BY kv.feature ORDER BY kv.value) - kv.value) AS s
+      FROM (SELECT feature, value, sum(c_ref) OVER w AS cr, sum(c_cur) OVER w AS cc FROM kv
+        WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) kv
+      JOIN fw USING (feature))""",
+    """wd_t AS (SELECT fw.feature, CASE WHEN ref_n > 0 AND cur_n > 0 THEN coalesce(sum(s), 0.0) END AS wasserstein_distance
+      FROM fw LEFT JOIN gap USING (feature) GROUP BY fw.feature, fw.ref_n, fw.cur_n)""",
 ]
 
 

@@ -244,7 +244,7 @@ def _with_all(*extra):
     # feature drift CTEs renamed with an f_ prefix so they do not clash with the output-drift ones
     import re
     names = ["lf", "mom", "fw", "edges", "ed", "binned", "dom", "fullb", "props", "clipped", "normed", "psi_t", "kv",
-             "kc", "ksd", "kss", "ks_t", "ranked", "wq", "grid", "gq", "gap", "seg", "wd_t", "fd0", "fd1", "fd", "fdr",
+             "kc", "ksd", "kss", "ks_t", "gap", "wd_t", "fd0", "fd1", "fd", "fdr",
              "long_records"]
     pat = re.compile(r"\b(" + "|".join(names) + r")\b")
     feat = [pat.sub(lambda m: "f_" + m.group(1), x) for x in [feat_long] + DQ._BASE + list(DQ._FD)]

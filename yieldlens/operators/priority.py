@@ -103,18 +103,21 @@ def record_priority_summary(pr: DataFrame, id_col: str = "record_id") -> DataFra
 def sensor_priority_rollups(pr: DataFrame, groups: DataFrame, id_col: str = "record_id") -> DataFrame:
     """Per sensor over all records, per decision (top 30) and over actual failures."""
     t = pr.join(groups.select(id_col, "decision", "target"), id_col)
+    t = t.withColumn("_micro", F.round(F.col("priority_score") * 1000000).cast("long"))
+    # the mean in whole millionths, rounded half up: the same whatever the order of summation
+    mean = (F.expr("(2 * sum(_micro) + count(1)) div (2 * count(1))") / 1000000).alias("mean_priority_score")
 
     def roll(df, scope):
         a = df.groupBy("feature").agg(
             F.count(F.lit(1)).alias("times_in_top_ten"), F.count(F.when(F.col("priority_rank") == 1, 1)).alias("times_first"),
-            r6(F.avg("priority_score")).alias("mean_priority_score"),
+            mean,
             F.count(F.when(F.col("priority_level") == "Very High", 1)).alias("very_high_count"))
         return a.select(F.lit(scope).alias("scope"), "*")
 
     parts = [roll(t, "all"), roll(t.where(F.col("target") == 1), "failures")]
     d = t.groupBy("decision", "feature").agg(
         F.count(F.lit(1)).alias("times_in_top_ten"), F.count(F.when(F.col("priority_rank") == 1, 1)).alias("times_first"),
-        r6(F.avg("priority_score")).alias("mean_priority_score"),
+        mean,
         F.count(F.when(F.col("priority_level") == "Very High", 1)).alias("very_high_count"))
     parts.append(d.select(F.concat(F.lit("decision:"), F.col("decision")).alias("scope"), "feature", "times_in_top_ten",
                           "times_first", "mean_priority_score", "very_high_count"))

@@ -49,7 +49,7 @@ def profile_base(df: DataFrame, features: Sequence[str], id_col: str = "record_i
 
 def feature_stats(b: DriftBase) -> DataFrame:
     """One row per feature: counts, distinct, variance, min/max/mean/median/quartiles/mean |x|."""
-    o = b.order_stats(extra_probs=(0.25, 0.75), wasserstein_grid=False).where(F.col("side") == "reference")
+    o = b.order_stats(extra_probs=(0.25, 0.75)).where(F.col("side") == "reference")
     q = o.groupBy("feature").agg(
         F.max(F.when(F.col("kind") == 0, F.col("quantile"))).alias("median"),
         F.max(F.when((F.col("kind") == 3) & (F.col("j") == 0), F.col("quantile"))).alias("q1"),
