@@ -23,8 +23,7 @@ SQL = {
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn FROM g)
       SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
         strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS events
-      FROM n GROUP BY user_id, sn
-      HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+      FROM n GROUP BY user_id, sn""",
     "stream_decide": """WITH t AS (SELECT 'R-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS record_id,
         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS target, o_orderkey, o_custkey FROM orders),
       s AS (SELECT record_id, target, CAST((o_orderkey * 7919 + o_custkey * 104729) % 10007 + 4000 * target AS DOUBLE) / 14006 AS p FROM t)
@@ -32,4 +31,16 @@ SQL = {
         CASE WHEN p < 0.035 THEN 'Low Risk' WHEN p >= 0.08 THEN 'High Risk' ELSE 'Engineering Review' END AS operational_decision FROM s""",
     "stream_alert_dedupe": """SELECT DISTINCT substr(sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, strftime(ts, '%Y-%m-%d'))), 1, 20) AS alert_id,
         user_id, event_type, strftime(ts, '%Y-%m-%d') AS alert_day FROM events WHERE event_type = 'error'""",
+    "stream_drift": """WITH m AS (SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) / 2 AS mid FROM events),
+      r AS (SELECT value FROM events, m WHERE epoch_us(ts) < mid AND value IS NOT NULL),
+      e AS (SELECT list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS a FROM r),
+      i AS (SELECT list_slice(a, 2, len(a) - 1) AS a FROM e),
+      b AS (SELECT unnest(range(len(a) + 1)) AS b FROM i),
+      x AS (SELECT len([y for y in a if y <= value]) AS b, count(*) AS n FROM r, i GROUP BY 1),
+      z AS (SELECT len([y for y in a if y <= value]) AS b, count(*) AS n FROM events, i WHERE value IS NOT NULL GROUP BY 1),
+      p AS (SELECT b.b, greatest(coalesce(x.n, 0) / (SELECT sum(n) FROM x), 1e-8) AS pr,
+        greatest(coalesce(z.n, 0) / (SELECT sum(n) FROM z), 1e-8) AS pc FROM b LEFT JOIN x USING (b) LEFT JOIN z USING (b)),
+      q AS (SELECT pr / sum(pr) OVER () AS pr, pc / sum(pc) OVER () AS pc FROM p)
+      SELECT CAST(0 AS BIGINT) AS batch_id, CAST((SELECT sum(n) FROM z) AS BIGINT) AS events,
+        round(greatest(0.0, sum((pc - pr) * ln(pc / pr))), 6) AS psi FROM q""",
 }

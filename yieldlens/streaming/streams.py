@@ -5,13 +5,12 @@ Every stream reads a file source (the given Parquet tables), runs with
 and its sink under the shared checkpoint folder, and returns the sink as a
 DataFrame.  Stateful operators use event-time watermarks so state is bounded:
 rows later than the watermark are dropped.  Sinks are written through
-``foreachBatch`` (update mode), and readers keep the last version of every
-key, so a restarted micro-batch (executor loss) rewrites, never duplicates.
+``foreachBatch``, one folder for each batch, and readers keep the last version of every
+key, so a restarted micro-batch (executor loss) rewrites its folder and never duplicates.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import r6
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, shared_path
 
 WATERMARK = "2 hours"
 SESSION_GAP = "30 minutes"
@@ -28,41 +27,60 @@ LOCKOUT_MINUTES = 15
 
 
 def _dirs(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    base = shared_path(spark, f"streams/{name}")
     return f"{base}/checkpoint", f"{base}/sink"
 
 
+def _status(spark: SparkSession, path: str):
+    """(exists, is a folder) of a path in any store Spark reads."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (True, fs.getFileStatus(jpath).isDirectory()) if fs.exists(jpath) else (False, False)
+
+
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A streaming file source over one of the given Parquet tables (schema taken from the batch read)."""
+    """A streaming file source over one of the given Parquet tables, a folder of part files or a single file
+    (schema taken from the batch read)."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    schema = spark.read.parquet(path).schema
-    # a file stream watches a folder: watch the data folder, admit only this table's file(s)
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if _status(spark, path)[1]:
+        return stream.parquet(path)
+    # a file stream watches a folder: watch the data folder, admit only this table's file
+    return stream.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+
+
+def batch_sink(spark: SparkSession, sink: str):
+    """A ``foreachBatch`` writer: each micro-batch has a folder of its own, so a retried batch overwrites its rows."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    return write
+
+
+def read_sink(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    """All batches of a sink with their ``batch`` id; a replay without batches has no rows, any other failure raises."""
+    if not _status(spark, sink)[0]:
+        return spark.createDataFrame([], schema).withColumn("batch", F.lit(0))
+    return spark.read.parquet(sink)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, keys: list[str] | None = None,
                  mode: str = "update") -> DataFrame:
     """Run ``stream`` to completion over the available input; return what it wrote.
 
-    Each micro-batch is appended with its batch id; with ``keys`` the reader keeps the row of the latest
-    batch per key (update-mode upsert semantics)."""
+    With ``keys`` the reader keeps the row of the latest batch per key (update-mode upsert semantics)."""
     ckpt, sink = _dirs(spark, name)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(sink)
-
-    q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(write)
+    q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(batch_sink(spark, sink))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        out = spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - an empty replay writes nothing
-        return spark.createDataFrame([], stream.schema)
+    out = read_sink(spark, sink, stream.schema)
     if keys:
-        from pyspark.sql import Window
-        w = Window.partitionBy(*keys).orderBy(F.desc("_batch"))
-        out = out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return out.drop("_batch")
+        rest = [c for c in out.columns if c not in (*keys, "batch")]
+        out = out.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("_last")).select(
+            *keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+        return out.select(*stream.columns)
+    return out.drop("batch")
 
 
 def _events(spark, sf_dir):
@@ -92,16 +110,24 @@ def sliding_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("window_start", "events", "failures", r6(F.col("failures") / F.col("events")).alias("failure_rate"))
 
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session windows per user with a 30-minute gap (gaps and islands in event time)."""
-    e = _events(spark, sf_dir).withWatermark("ts", WATERMARK)
-    agg = e.groupBy("user_id", F.session_window("ts", SESSION_GAP).alias("s")).agg(F.count(F.lit(1)).alias("events"))
-    out = run_to_table(spark, agg.select(
-        "user_id", F.date_format("s.start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
-        F.date_format("s.end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_end"), "events"), "sessions",
-        ["user_id", "session_start"], mode="append")
-    # append mode emits a session once the watermark passes its end: open sessions stay in state
-    return out
+def sessions(spark: SparkSession, sf_dir: str, close_open: bool = True) -> DataFrame:
+    """Session windows per user with a 30-minute gap (gaps and islands in event time).
+
+    Append mode emits a session once the watermark passes its end.  At the end of a replay, ``close_open`` adds the
+    sessions still in state, read from the static table."""
+    def rows(e):
+        agg = e.groupBy("user_id", F.session_window("ts", SESSION_GAP).alias("s")).agg(F.count(F.lit(1)).alias("events"))
+        return agg.select("user_id", F.date_format("s.start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
+                          F.date_format("s.end", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_end"), "events")
+
+    out = run_to_table(spark, rows(_events(spark, sf_dir).withWatermark("ts", WATERMARK)), "sessions",
+                       ["user_id", "session_start"], mode="append")
+    if not close_open:
+        return out
+    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    # written first: the optimizer would move the anti join below the session aggregate, before sessions are merged
+    closing = cut_lineage(rows(static)).join(out.select("user_id", "session_start"), ["user_id", "session_start"], "left_anti")
+    return out.unionByName(closing)
 
 
 def decide(spark: SparkSession, sf_dir: str, lower: float = 0.035, upper: float = 0.08) -> DataFrame:
@@ -139,7 +165,7 @@ def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8) -
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     static = spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
     mid = static.agg(((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).alias("m")).first()["m"]
-    ref = static.where(F.unix_micros("ts") < mid)
+    ref = static.where((F.unix_micros("ts") < mid) & F.col("value").isNotNull())
     q = exact_quantiles(ref.select("value"), [], "value", [j / bins for j in range(bins + 1)])
     edges = sorted({float(r["quantile"]) for r in q.collect()})
     inner = edges[1:-1]
@@ -164,12 +190,13 @@ def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8) -
             pr, pc = [x / sr for x in pr], [x / sc for x in pc]
             psi = max(0.0, sum((c - r) * math.log(c / r) for r, c in zip(pr, pc)))
         batch.sparkSession.createDataFrame([(batch_id, tot, psi)], "batch_id long, events long, psi double") \
-            .write.mode("append").parquet(sink)
+            .write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     s = source(spark, sf_dir, "events")
     qq = s.writeStream.option("checkpointLocation", ck).foreachBatch(per_batch).trigger(availableNow=True).start()
     qq.awaitTermination()
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, T.StructType.fromDDL("batch_id long, events long, psi double")).select(
+        "batch_id", "events", r6(F.col("psi")).alias("psi"))
 
 
 LOCK_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("locked_at", T.TimestampType()),
@@ -177,36 +204,48 @@ LOCK_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructFiel
 LOCK_STATE = T.StructType([T.StructField("failures", T.IntegerType()), T.StructField("locked_until", T.TimestampType())])
 
 
+def lock_step(key, rows, failures: int, until):
+    """Locks of one user from (ts, is_error) rows in time order, and the state after them."""
+    import datetime
+
+    out = []
+    for ts, error in rows:
+        if until is not None and ts < until:
+            continue
+        failures = failures + 1 if error else 0
+        if failures >= LOCKOUT_FAILURES:
+            until = ts + datetime.timedelta(minutes=LOCKOUT_MINUTES)
+            out.append((key, ts, until, failures))
+            failures = 0
+    return out, failures, until
+
+
 def lockout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N consecutive failed logins lock a user for M minutes (per-user state, ``applyInPandasWithState``).
 
-    Failed login = an ``error`` event; any other event resets the count; failures while locked are ignored."""
+    Failed login = an ``error`` event; any other event resets the count; failures while locked are ignored.  A user's
+    rows of a micro-batch are put in time order over all their Arrow batches; state without news for a day of event
+    time past the watermark is dropped."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    e = _events(spark, sf_dir).withWatermark("ts", WATERMARK).select("user_id", "ts", "event_type")
+    e = _events(spark, sf_dir).withWatermark("ts", WATERMARK).select(
+        "user_id", "ts", "event_id", (F.col("event_type") == "error").alias("error"))
 
     def step(key, pdfs, state):
         import pandas as pd
 
+        if state.hasTimedOut:
+            state.remove()
+            return
         failures, until = (state.get if state.exists else (0, None))
-        out = []
-        for pdf in pdfs:
-            for ts, et in pdf.sort_values("ts")[["ts", "event_type"]].itertuples(index=False):
-                if until is not None and ts < until:
-                    continue
-                if et == "error":
-                    failures += 1
-                    if failures >= LOCKOUT_FAILURES:
-                        until = ts + pd.Timedelta(minutes=LOCKOUT_MINUTES)
-                        out.append((key[0], ts, until, failures))
-                        failures = 0
-                else:
-                    failures = 0
+        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"])
+        out, failures, until = lock_step(key[0], zip(rows["ts"], rows["error"]), failures, until)
         state.update((failures, until))
+        state.setTimeoutTimestamp(max(int(rows["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + 86_400_000)
         yield pd.DataFrame(out, columns=["user_id", "locked_at", "locked_until", "failures"])
 
     locks = e.groupBy("user_id").applyInPandasWithState(step, LOCK_SCHEMA, LOCK_STATE, "append",
-                                                         GroupStateTimeout.NoTimeout)
+                                                         GroupStateTimeout.EventTimeTimeout)
     return run_to_table(spark, locks, "lockout", mode="append")
 
 
