@@ -221,7 +221,7 @@ _COEF = X.coefficients(SENS)
 def _inject(rate):
     seed = int(42 + 1000 * rate)
     return ", ".join(
-        f"CASE WHEN ((o_orderkey * 1103515245 + {i * 12345 + seed}) % 2147483648) / 2147483648.0 < {rate!r} THEN NULL ELSE {s} END AS {s}"
+        f"CASE WHEN CAST('0x' || substr(md5(o_orderkey || '|{s}|{seed}'), 1, 8) AS BIGINT) / 4294967296.0 < {rate!r} THEN NULL ELSE {s} END AS {s}"
         for i, s in enumerate(SENS))
 
 

@@ -86,14 +86,16 @@ def missingness_features(wide: DataFrame, features: Sequence[str], id_col: str =
 
 def inject_missingness(wide: DataFrame, features: Sequence[str], rate: float, key: str = "o_orderkey",
                        id_col: str = "record_id") -> DataFrame:
-    """Blank each observed cell when a deterministic hash of (key, column, seed 42 + 1000 r) falls below r."""
+    """Blank each observed cell when a mixing hash of (key, column, seed 42 + 1000 r) falls below r, so that the cells of a
+    record are blanked independently of each other."""
     seed = int(42 + 1000 * rate)
 
-    def u(i):
-        return ((F.col(key) * 1103515245 + F.lit(i * 12345 + seed)) % 2147483648) / 2147483648.0
+    def u(c):
+        word = F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(c), F.lit(str(seed)))), 1, 8)
+        return F.conv(word, 16, 10).cast("long") / 4294967296.0
 
-    return wide.select(id_col, key, *[F.when(u(i) < rate, F.lit(None).cast("double")).otherwise(finite(c)).alias(c)
-                                      for i, c in enumerate(features)])
+    return wide.select(id_col, key, *[F.when(u(c) < rate, F.lit(None).cast("double")).otherwise(finite(c)).alias(c)
+                                      for c in features])
 
 
 def min_max_normalise(df: DataFrame, col: str, id_col: str = "record_id", out: str | None = None) -> DataFrame:
