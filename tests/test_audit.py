@@ -14,3 +14,12 @@ def test_chain_verifies_and_detects_tampering(spark):
     victim = ev.orderBy("event_id").first()["event_id"]
     tampered = ev.withColumn("outcome", F.when(F.col("event_id") == victim, F.lit("denied")).otherwise(F.col("outcome")))
     assert A.verify_chain(tampered, chained).where(~F.col("chain_valid")).count() == 1
+
+
+def test_nested_and_odd_case_secrets_are_redacted(spark):
+    texts = ['{"token": {"a": "x}", "b": [1, {"c": 2}]}, "k": 1}', '{"secret": ["a", "b"], "n": {"Password": "p"}}', '{"a": 1}', None,
+             '{"api_key": {"broken": "sec', '{"AUTHORIZATION": true, "x": "token"}']
+    ev = spark.createDataFrame(list(enumerate(texts)), "event_id long, details_json string")
+    got = [r["details_json"] for r in A.redact_details(ev).orderBy("event_id").collect()]
+    assert got == ['{"token": "[REDACTED]", "k": 1}', '{"secret": "[REDACTED]", "n": {"Password": "[REDACTED]"}}', '{"a": 1}', None,
+                   '{"api_key": "[REDACTED]"', '{"AUTHORIZATION": "[REDACTED]", "x": "token"}']

@@ -3,9 +3,10 @@
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def euclidean_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Arrow-batched Euclidean distance of two array columns (one numpy pass per batch)."""
     if len(a) == 0:
@@ -14,3 +15,12 @@ def euclidean_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     y = np.stack(b.to_numpy()).astype("float64")
     d = x - y
     return pd.Series(np.sqrt(np.einsum("ij,ij->i", d, d)))
+
+
+def text_udf(function):
+    """A pandas UDF of one string column that maps every non-null value."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(function, na_action="ignore")
+
+    return F.pandas_udf(run, T.StringType())

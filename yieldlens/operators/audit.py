@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import r6
+from ..functions.vectors import text_udf
 
 # ---------------------------------------------------------------------------
 # fixed values
@@ -52,12 +53,38 @@ def normalise_events(ev: DataFrame) -> DataFrame:
     )
 
 
-SENSITIVE_PATTERN = '"(' + "|".join(SENSITIVE_KEYS) + ')"\\s*:\\s*("(?:[^"\\\\]|\\\\.)*"|-?[0-9.eE+-]+|true|false|null)'
+_KEY = '"(' + "|".join(SENSITIVE_KEYS) + ')"\\s*:\\s*'
+SENSITIVE_PATTERN = "(?i)" + _KEY + '("(?:[^"\\\\]|\\\\.)*"|-?[0-9.eE+-]+|true|false|null)'
+NESTED_PATTERN = "(?i)" + _KEY + "[\\[{]"
+
+
+def redact_nested(text: str) -> str:
+    """``text`` with the object or array behind every sensitive key replaced; a value that does not end takes the rest."""
+    import json
+    import re
+
+    out, at = [], 0
+    for m in re.finditer(NESTED_PATTERN, text):
+        if m.start() < at:
+            continue
+        try:
+            end = json.JSONDecoder().raw_decode(text, m.end() - 1)[1]
+        except ValueError:
+            end = len(text)
+        out.append(f'{text[at:m.start()]}"{m[1]}": "{REDACTED}"')
+        at = end
+    return "".join(out) + text[at:]
 
 
 def redact_details(ev: DataFrame, col: str = "details_json") -> DataFrame:
-    """Replace the value of every sensitive key, at any nesting depth, by a fixed marker (scalar values)."""
-    red = F.regexp_replace(F.col(col), SENSITIVE_PATTERN, f'"$1": "{REDACTED}"')
+    """Replace the value of every sensitive key (any case, any nesting depth, any kind of value) by a fixed marker.
+
+    Scalar values are replaced by one pattern in the JVM; only texts with an object or array behind a sensitive key are
+    handed to Python, which knows where such a value ends."""
+
+    hard = F.col(col).rlike(NESTED_PATTERN)
+    plain = F.when(hard, text_udf(redact_nested)(F.when(hard, F.col(col)))).otherwise(F.col(col))
+    red = F.regexp_replace(plain, SENSITIVE_PATTERN, f'"$1": "{REDACTED}"')
     return ev.select("event_id", red.alias(col), (red != F.col(col)).alias("was_redacted"))
 
 
