@@ -151,7 +151,7 @@ def data_quality(df: DataFrame, features: Sequence[str], id_col: str = "record_i
     dups = df.groupBy("side", *features).count().groupBy("side").agg(F.sum(F.col("count") - 1).alias("dup_rows"))
     const = df.select("side", *features)
     const_rows = const.groupBy("side").agg(*[
-        (F.count_distinct(F.col(f)) <= 1).cast("int").alias(f) for f in features])
+        F.coalesce(F.min(f) == F.max(f), F.lit(True)).cast("int").alias(f) for f in features])
     const_rate = const_rows.select("side", (sum(F.col(f) for f in features) / k).alias("constant_feature_rate"))
     unmatched = 0.0
     if reference_features is not None:

@@ -7,14 +7,14 @@ loop; every other step is a projection or a join on that position.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ranking import cumulative
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 LABEL_PATTERN = r'^\s*(-?1)\s+"([^"]*)"\s*$'
 LABEL_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"
@@ -24,7 +24,7 @@ ENVELOPE_KEYS = ["items", "records", "data", "rows"]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+    return shared_path(spark, f"files/{name}")
 
 
 def with_line_position(lines: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def with_line_position(lines: DataFrame) -> DataFrame:
 
 def read_sensor_matrix(spark: SparkSession, path: str, n_columns: int | None = None) -> DataFrame:
     """Whitespace-separated numbers without header; the token NaN is missing; columns sensor_001...
-    (``n_columns`` fixes the width; otherwise it is taken from the first line)."""
+    (``n_columns`` fixes the width; otherwise it is taken from the first line).  Other tokens that are no numbers, and
+    lines of another width, are listed by ``sensor_matrix_problems``; here they are missing values."""
     lines = spark.read.text(path)
     if n_columns is None:
         first = lines.first()
@@ -51,6 +52,14 @@ def read_sensor_matrix(spark: SparkSession, path: str, n_columns: int | None = N
     return with_line_position(lines.select(*cols))
 
 
+def sensor_matrix_problems(spark: SparkSession, path: str, n_columns: int) -> DataFrame:
+    """Quarantine of a sensor matrix: position, tokens (how many the line has) and bad_tokens of every faulty line."""
+    tok = F.split(F.trim(F.col("value")), r"\s+")
+    bad = F.filter(tok, lambda t: t.try_cast("double").isNull() & (F.lower(t) != "nan"))
+    t = with_line_position(spark.read.text(path).select(F.size(tok).alias("tokens"), bad.alias("bad_tokens")))
+    return t.where((F.col("tokens") != n_columns) | (F.size("bad_tokens") > 0)).select("position", "tokens", "bad_tokens")
+
+
 def read_labels(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Lines ``-1|1 "dd/MM/yyyy HH:mm:ss"`` -> (labels, quarantine).  -1 -> 0/Pass, 1 -> 1/Fail; a malformed
     line raises in strict mode and goes to the quarantine frame otherwise."""
@@ -70,15 +79,21 @@ def read_labels(spark: SparkSession, path: str, strict: bool = False) -> tuple[D
 
 
 def build_master(sensors: DataFrame, labels: DataFrame, id_prefix: str = "WF-") -> DataFrame:
-    """Positional 1:1 join of sensor rows and labels; id, calendar columns, shift, per-row missing count."""
+    """Positional 1:1 join of sensor rows and labels; id, calendar columns, shift, per-row missing count.
+
+    A position that only one side has is an error: the two files then do not describe the same records."""
     sens = [c for c in sensors.columns if c.startswith("sensor_")]
-    j = labels.join(sensors, "position", "inner")
+    j = labels.withColumn("_label", F.lit(True)).join(sensors.withColumn("_row", F.lit(True)), "position", "full")
+    alone = F.col("_label").isNull() | F.col("_row").isNull()
+    alone_error = F.raise_error(F.concat(F.lit("no partner for line "), (F.col("position") + 1).cast("string"),
+                                         F.lit(": sensor rows and labels differ in number")))
     hour = F.hour("timestamp")
     shift = F.when((hour > -1) & (hour <= 7), SHIFTS[0]).when((hour > 7) & (hour <= 15), SHIFTS[1]).when(
         (hour > 15) & (hour <= 23), SHIFTS[2])
     miss = sum(F.col(c).isNull().cast("int") for c in sens) if sens else F.lit(0)
     return j.select(
-        F.concat(F.lit(id_prefix), F.lpad((F.col("position") + 1).cast("string"), 6, "0")).alias("wafer_id"),
+        F.when(alone, alone_error).otherwise(
+            F.concat(F.lit(id_prefix), F.lpad((F.col("position") + 1).cast("string"), 6, "0"))).alias("wafer_id"),
         "timestamp", "original_label", "target", "status",
         F.date_format("timestamp", "yyyy-MM-dd").alias("production_date"),
         hour.alias("production_hour"), F.date_format("timestamp", "EEEE").alias("production_day"), shift.alias("shift"),
@@ -86,21 +101,22 @@ def build_master(sensors: DataFrame, labels: DataFrame, id_prefix: str = "WF-")
 
 
 def write_sensor_text(df: DataFrame, features: Sequence[str], path: str, order: str) -> str:
-    """Sink in the raw matrix format (NaN for missing), one file in ``order`` (positional format)."""
+    """Sink in the raw matrix format (NaN for missing): numbered part files that follow each other in ``order``."""
     txt = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in features])
-    df.orderBy(order).select(txt.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    df.orderBy(order).select(txt.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
 def write_label_text(df: DataFrame, path: str, order: str, ts: str = "ts") -> str:
     line = F.concat(F.when(F.col("target") == 1, "1").otherwise("-1"), F.lit(' "'),
                     F.date_format(ts, LABEL_TIME_FORMAT), F.lit('"'))
-    df.orderBy(order).select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    df.orderBy(order).select(line.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
 def load_tabular(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Format by suffix (csv, parquet/pq, json); a JSON object may wrap its rows under items/records/data/rows."""
+    """Format by suffix (csv, parquet/pq, json); a file that is one JSON object may wrap its rows as an array of objects
+    under items/records/data/rows (a column of that name in a table of several rows stays a column)."""
     f = (fmt or path.rsplit(".", 1)[-1]).lower()
     if f in ("parquet", "pq"):
         return spark.read.parquet(path)
@@ -109,7 +125,8 @@ def load_tabular(spark: SparkSession, path: str, fmt: str | None = None) -> Data
     if f == "json":
         raw = spark.read.option("multiLine", True).json(path)
         for k in ENVELOPE_KEYS:
-            if k in raw.columns:
+            kind = raw.schema[k].dataType if k in raw.columns else None
+            if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and raw.limit(2).count() == 1:
                 return raw.select(F.explode(k).alias("_r")).select("_r.*")
         return raw
     raise ValueError(f"unsupported format: {f}")
@@ -121,7 +138,7 @@ def dataset_summary(master: DataFrame, id_col: str = "wafer_id", ts_col: str = "
     a = master.agg(F.count(F.lit(1)).alias("rows"), F.sum(miss).alias("missing_cells"),
                    F.count(F.when(F.col("target") == 0, 1)).alias("pass_count"),
                    F.count(F.when(F.col("target") == 1, 1)).alias("fail_count"),
-                   *[(F.count_distinct(c) <= 1).cast("int").alias(f"_k_{c}") for c in sens],
+                   *[F.coalesce(F.min(c) == F.max(c), F.lit(True)).cast("int").alias(f"_k_{c}") for c in sens],
                    F.min(ts_col).alias("start_time"), F.max(ts_col).alias("end_time"))
     return a.select("rows", F.lit(len(sens)).alias("sensors"), F.col("missing_cells").cast("bigint").alias("missing_cells"),
                     sum(F.col(f"_k_{c}") for c in sens).alias("constant_sensors"), "pass_count", "fail_count",
