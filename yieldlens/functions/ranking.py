@@ -57,7 +57,7 @@ def cumulative(
     sums: Sequence[str],
     *,
     partitions: int | None = None,
-    bounded_keys: bool = True,
+    bounded_keys: bool = False,
     prefix: str = "cum_",
     with_totals: bool = False,
     totals_only: Sequence[str] = (),
@@ -74,7 +74,8 @@ def cumulative(
     rows) and the offsets derived from them agree with the rows in every
     reader and in every retried task.  ``bounded_keys`` says the number of
     keys is small (features, models, classes), so that offset table is
-    broadcast.  ``with_totals`` adds the group totals ``tot_<c>``;
+    broadcast; by default the join is left to the optimizer, which knows the
+    table's size at run time.  ``with_totals`` adds the group totals ``tot_<c>``;
     ``totals_only`` columns get a group total but no running sum.
     """
     keys = list(keys)
@@ -113,7 +114,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def positioned(df: DataFrame, keys: Sequence[str], value: str, *, partitions: int | None = None,
-               bounded_keys: bool = True) -> DataFrame:
+               bounded_keys: bool = False) -> DataFrame:
     """Distinct values with their 0-based order-statistic span [_start, _end] and group size _n."""
     keys = list(keys)
     vc = value_counts(df, keys, value)
@@ -162,7 +163,7 @@ def exact_quantiles(
     probs: Sequence[float],
     *,
     partitions: int | None = None,
-    bounded_keys: bool = True,
+    bounded_keys: bool = False,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per key: columns keys..., j, prob, quantile."""
     keys = list(keys)
@@ -182,7 +183,7 @@ def exact_quantile_grid(
     q_keys: Sequence[str],
     *,
     partitions: int | None = None,
-    bounded_keys: bool = True,
+    bounded_keys: bool = False,
 ) -> DataFrame:
     """Quantiles at probabilities j/(Q-1), j = 0..Q-1, where ``q_table`` gives Q (column ``_q``) per
     ``q_keys`` (a subset of keys).  Only the grid points a value row covers are generated, so the work is
@@ -207,7 +208,7 @@ def exact_quantile_grid(
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, *, partitions: int | None = None,
-                 bounded_keys: bool = True) -> DataFrame:
+                 bounded_keys: bool = False) -> DataFrame:
     """Tie-averaged 1-based rank of every distinct value within keys: keys..., value, _c, _n, avg_rank."""
     pos = positioned(df, keys, value, partitions=partitions, bounded_keys=bounded_keys)
     return pos.select(
