@@ -2,9 +2,9 @@
 
 The corpus frequency of every benchmark term is counted; each benchmark window is looked up by its rarest term, and
 windows of an item that share it are looked up together.  The index holds the postings (document, position, words
-around) of those terms and of the second-rarest ones.  Postings less the term's offset in the item name a diagonal of
-the document; the lists of both terms are intersected on it, and what is left is compared word by word outwards from
-the rarest term, which gives the exact extent of all windows that occur.  With ``slop`` the lists may
+around) of those terms and of second terms whose lists are not much longer.  Postings less the term's offset in the item
+name a diagonal of the document; the lists of both terms are intersected on it, and what is left is compared word by word
+outwards from the rarest term, which gives the exact extent of all windows that occur.  With ``slop`` the lists may
 differ by so many words, which gives proximity matches.
 
 Bounds: item tables are broadcast only up to ``BROADCAST_ROWS`` rows, counted first; larger ones are joined by shuffle,
@@ -26,17 +26,20 @@ from .text import matching, table
 
 WINDOW = 10
 WORDS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+#: Letters beyond ASCII that the built-in lower() would change.
+OTHER_CAPITALS = r"[\x{80}-\x{10FFFF}&&[\p{IsUppercase}\p{Lt}]]"
+SECOND = 4  # a second term's list is intersected if it is at most so many times as long as the first's
 BROADCAST_ROWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lowered(word: Column) -> Column:
-    """A-Z in lower case, other letters as they are (a plain ASCII word can use the fast built-in)."""
-    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+def lowered(text: Column) -> Column:
+    """A-Z in lower case, other letters as they are; the fast built-in does it where it would change nothing else."""
+    return F.when(text.rlike(OTHER_CAPITALS), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
-def raw_words(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORDS), F.lit(0))
+def text_words(text: Column) -> Column:
+    return F.regexp_extract_all(lowered(F.coalesce(text, F.lit(""))), F.lit(WORDS), F.lit(0))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -46,17 +49,18 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """_id, _text_hash (together a document's key) and the words of each document."""
-    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), raw_words(F.col("text")).alias("_words"))
+    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), text_words(F.col("text")).alias("_words"))
 
 
 def lookups(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row for each item and rarest-term place: item_id, term, j (its place), lo and hi (first and last start of
     the windows looked up by it), size (words in a window), left and right (the item's words outwards from j),
-    term2 and j2 (the rarest other term that all these windows share, or null)."""
-    items = benchmark.select("item_id", F.transform(raw_words(F.col("text")), lowered).alias("words")).where(F.size("words") > 0)
+    term2 and j2 (the rarest other term that all these windows share, if its list is short enough to help, or null)."""
+    items = benchmark.select("item_id", text_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = cut_lineage(items.distinct().withColumn("item", F.xxhash64("item_id", "words")))
     terms = cut_lineage(items.select(F.explode("words").alias("term")).distinct())
-    held = _keyed(docs).select(F.explode("_words").alias("_raw")).select(lowered(F.col("_raw")).alias("term"))
+    # the outer form: the plain one would add a filter that finds all words once more
+    held = _keyed(docs).select(F.explode_outer("_words").alias("term")).where("term is not null")
     freq = cut_lineage(held.join(_small(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
     places = items.select("item", F.posexplode("words").alias("j", "term")).join(_small(freq), "term", "left")
     places = places.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("j", "freq"))).alias("places"))  # of one item
@@ -72,9 +76,10 @@ def lookups(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         F.first("item_id").alias("item_id"), F.first("words").alias("words"), F.first("places").alias("places"),
         F.first("size").alias("size"), F.min("s").alias("lo"), F.max("s").alias("hi"))
     core = F.filter(F.slice("places", F.col("hi") + 1, F.col("lo") + F.col("size") - F.col("hi")), lambda p: p["j"] != F.col("j"))
-    second = F.array_min(F.transform(core, lambda p: F.struct(p["freq"].alias("freq"), p["j"].alias("j"))))["j"]
+    second = F.array_min(F.transform(core, lambda p: F.struct(p["freq"].alias("freq"), p["j"].alias("j"))))
+    first = F.get("places", F.col("j"))["freq"]
     reach = F.lit(window - 1)
-    rows = rows.withColumn("j2", second).select(
+    rows = rows.withColumn("j2", F.when(second["freq"] <= SECOND * first, second["j"])).select(
         "item", "item_id", "j", "lo", "hi", "size", F.get("words", F.col("j")).alias("term"), "j2",
         F.get("words", F.col("j2")).alias("term2"), *_around("words", F.col("j"), reach))
     return cut_lineage(rows)
@@ -91,12 +96,11 @@ def postings(docs: DataFrame, groups: DataFrame, window: int = WINDOW) -> DataFr
     first = groups.select("term", F.lit(1).alias("first"))
     both = first.unionByName(groups.where("term2 is not null").select(F.col("term2").alias("term"), F.lit(0).alias("first")))
     wanted = cut_lineage(both.groupBy("term").agg(F.max("first").alias("first")))
-    rows = _keyed(docs).select("_id", "_th", "_words", F.posexplode("_words").alias("pos", "_raw"))
-    rows = rows.withColumn("term", lowered(F.col("_raw"))).join(_small(wanted), "term")
+    rows = _keyed(docs).select("_id", "_th", "_words", F.posexplode_outer("_words").alias("pos", "term"))
+    rows = rows.where("term is not null").join(_small(wanted), "term")
     left, right = _around("_words", F.col("pos"), F.lit(window - 1))
-    return cut_lineage(rows.select(
-        "_id", "_th", "term", "pos", F.when(F.col("first") == 1, F.transform(left, lowered)).alias("dleft"),
-        F.when(F.col("first") == 1, F.transform(right, lowered)).alias("dright")))
+    return cut_lineage(rows.select("_id", "_th", "term", "pos", F.when(F.col("first") == 1, left).alias("dleft"),
+                                   F.when(F.col("first") == 1, right).alias("dright")))
 
 
 def _shared(a: Column, b: Column) -> Column:

@@ -7,11 +7,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: A word of the size, quality and shingle operators: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: One white-space character of that definition.
 SPACE = r"[\x20\x09-\x0D]"
 
+#: Rows of a few numbers that may be broadcast.
+BROADCAST_ROWS = 200_000
+
 #: Odd base of the polynomial hash modulo 2**64 and its inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
@@ -26,10 +31,13 @@ def matching(docs: DataFrame, rows: DataFrame, keys: dict[str, Column], how: str
     """Rows of ``docs`` that have (left_semi) or have not (left_anti) a partner in ``rows``, null keys being equal.
 
     ``keys`` gives the value of each column of ``rows`` as an expression over ``docs``; columns of ``docs`` may have any
-    names."""
+    names.  ``rows`` is stored and counted first: up to BROADCAST_ROWS of them are broadcast, so that the texts stay where they
+    are; more are joined by shuffle."""
+    rows = cut_lineage(rows)
     held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
                        *[value.alias(f"_key{i}") for i, value in enumerate(keys.values())])
     other = rows.select(*[F.col(c).alias(f"_match{i}") for i, c in enumerate(keys)])
+    other = F.broadcast(other) if rows.count() <= BROADCAST_ROWS else other
     same = F.lit(True)
     for i in range(len(keys)):
         same = same & F.col(f"_key{i}").eqNullSafe(F.col(f"_match{i}"))
