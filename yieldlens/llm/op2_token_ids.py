@@ -11,7 +11,7 @@ Bounds: the vocabulary's size bounds the frequency table, the only thing that pa
 table of shard totals.
 
 Cases: null text is empty and gives the end id alone; a repeated doc_id keeps one row for each of its rows, ordered by
-a hash of the text; a text of any length is cut at single spaces, which no token of this tokenizer crosses, so its
+a hash of the text; a text of any length is cut where no token of this tokenizer crosses, so its
 words are encoded once each; an empty table gives an empty file; other columns are ignored.
 """
 
@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage, shared_path
-from .text import table
+from .text import slices, table, utf8
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 TOKENS_PER_SHARD = 8_000_000
 MAX_SHARDS = 10_000
-SLICE_CHARS = 2_000_000   # characters encoded at a time
-CACHED_WORDS = 300_000    # a task's table of encoded words starts anew beyond this
+SLICE_BYTES = 6 << 20     # text encoded at a time
+GROUP_IDS = 1 << 20       # ids packed or unpacked at a time
+CACHED_PARTS = 400_000    # a task's table of encoded parts starts anew beyond this
 
 
 def load_tokenizer(path: str):
@@ -46,59 +47,118 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def ranges(start, length):
+    """The indices start[0], start[0] + 1, ... of all ranges one after another."""
+    import numpy as np
+
+    ends = np.cumsum(length)
+    return np.repeat(start - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+#: Two white-space characters in a row, for the two regular-expression libraries.
+DOUBLE = r"[\t-\r \x{1c}-\x{1f}\x{85}\p{Z}]{2}"
+
+
 class WordTable:
-    """Ids of words already encoded: code of a word -> its ids, in flat arrays; code 0 is the end id.
+    """Ids of pieces of text already encoded.
 
-    A text is cut at single spaces between two characters that are no white space.  The tokenizer cuts there too (a
-    space begins the next piece), so a text's ids are the ids of its first piece and of each later piece with its
-    space in front."""
+    A text is cut at single spaces between two characters that are no white space: the tokenizer cuts there too (the
+    space begins the next piece).  A piece is cut further at single line ends, which are tokens of their own, and before
+    a final comma or full stop that follows a letter.  So a text's ids are those of its parts, and each different
+    part is encoded once while it is remembered."""
 
     def __init__(self, tokenizer, end_id: int):
+        import re
+
         self.tokenizer, self.end_id = tokenizer, end_id
+        self.double, self.single = re.compile(r"\s\s"), re.compile(r"(?<!\s) (?!\s)")
         self.reset()
 
     def reset(self):
         import numpy as np
 
-        self.codes = {None: 0}
+        self.codes: dict[str, int] = {}   # of parts as they stand
+        self.spaced: dict[str, int] = {}  # of words with the space before them
         self.flat, self.start, self.length = np.array([self.end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def add(self, pieces: set):
-        import numpy as np
+    def find(self, table: dict, keys: list[str], space: str = ""):
+        """Codes of keys, new ones encoded first."""
+        import itertools
 
-        new = [p for p in pieces if p not in self.codes]
-        if not new:
-            return
-        found = self.tokenizer.encode_batch_fast([p[0] if type(p) is tuple else " " + p for p in new], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        start = len(self.flat) + np.cumsum(length) - length
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))])
-        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
-
-    def encode(self, texts: list[str]):
-        """Flat ids of the texts, each closed by the end id, and the number of ids of each."""
-        import re
+        import numpy as np
 
+        codes = np.fromiter((table.get(k, -1) for k in keys), np.int64, len(keys))
+        missing = np.nonzero(codes < 0)[0]
+        if len(missing):
+            new = list(dict.fromkeys(keys[i] for i in missing.tolist()))
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([space + k for k in new] if space else new, add_special_tokens=False)]
+            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            table.update(zip(new, range(len(self.start), len(self.start) + len(new))))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+            self.length = np.concatenate([self.length, length])
+            self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum()))])
+            codes[missing] = [table[keys[i]] for i in missing.tolist()]
+        return codes
+
+    def cut(self, piece: str) -> list[str]:
+        """The parts of a piece that is no plain word."""
+        if "\n" in piece and not self.double.search(piece):
+            out = []
+            for i, line in enumerate(piece.split("\n")):
+                if i:
+                    out.append("\n")
+                if line:
+                    out += self.cut(line)
+            return out
+        if piece[-1:] in (",", ".") and piece[-2:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return [piece]
+
+    def encode(self, texts):
+        """Flat ids of an Arrow string column without nulls, each text closed by the end id, and the ids of each.
+
+        Entries are the different words of the column, its texts' first pieces and the end; each has some parts."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        double, single = re.compile(r"\s\s"), re.compile(r"(?<!\s) (?!\s)")
-        if len(self.codes) > CACHED_WORDS:
+        if len(self.start) > CACHED_PARTS:
             self.reset()
-        line, sizes = [], []
-        for text in texts:
-            pieces = single.split(text) if double.search(text) else text.split(" ")
-            line.append((pieces[0],))
-            line.extend(pieces[1:])
-            line.append(None)
-            sizes.append(len(pieces) + 1)
-        self.add(set(line))
-        codes = np.fromiter(map(self.codes.__getitem__, line), np.int64, len(line))
-        length = self.length[codes]
-        ends = np.cumsum(length)
-        ids = self.flat[np.repeat(self.start[codes] - ends + length, length) + np.arange(int(ends[-1]))]
-        return ids, np.diff(ends[np.cumsum(sizes) - 1], prepend=0)
+        if pc.any(pc.match_substring_regex(texts, DOUBLE)).as_py():
+            pieces = pa.array([self.single.split(t) if self.double.search(t) else t.split(" ") for t in texts.to_pylist()])
+        else:
+            pieces = pc.split_pattern(texts, " ")
+        flat = pieces.flatten()
+        bounds = np.append(0, np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))).astype(np.int64)
+        coded = flat.dictionary_encode()
+        words = coded.dictionary
+        plain = pc.invert(pc.match_substring(words, "\n"))
+        tail = pc.and_(plain, pc.match_substring_regex(words, r"\p{L}[,.]$")).to_numpy(zero_copy_only=False)
+        stems = pc.if_else(pa.array(tail), pc.utf8_slice_codeunits(words, 0, -1), words).filter(plain).dictionary_encode()
+        plain = plain.to_numpy(zero_copy_only=False)
+        stem = self.find(self.spaced, stems.dictionary.to_pylist(), " ")[stems.indices.to_numpy(zero_copy_only=False)]
+        other = [self.cut(" " + w) for w in words.filter(pa.array(~plain)).to_pylist()]
+        other += [self.cut(w) for w in flat.take(pa.array(bounds[:-1])).to_pylist()]
+        rest = self.find(self.codes, [p for c in other for p in c])
+        comma, stop = self.find(self.codes, [",", "."])
+        extra = np.fromiter(map(len, other), np.int64, len(other))
+        many = np.concatenate([1 + tail, np.ones(len(texts) + 1, np.int64)])  # parts of each entry
+        nests = np.append(np.nonzero(~plain)[0], len(words) + np.arange(len(texts)))
+        many[nests] = extra
+        begin = np.cumsum(many) - many
+        part = np.zeros(int(many.sum()), np.int64)                            # the end's part is 0
+        part[begin[: len(words)][plain]] = stem
+        ends = pc.match_substring_regex(words.filter(pa.array(tail)), r",$").to_numpy(zero_copy_only=False)
+        part[begin[: len(words)][tail] + 1] = np.where(ends, comma, stop)
+        part[ranges(begin[nests], extra)] = rest
+        pick = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pick[bounds[:-1]] = len(words) + np.arange(len(texts))
+        pick = np.insert(pick, bounds[1:], len(many) - 1)
+        upto = np.append(0, np.cumsum(self.length[part]))
+        size = upto[begin + many] - upto[begin]
+        part = part[ranges(begin[pick], many[pick])]
+        ids = self.flat[ranges(self.start[part], self.length[part])]
+        return ids, np.add.reduceat(size[pick], bounds[:-1] + np.arange(len(texts)))
 
 
 def _tokenise(path: str, end_id: int, id_type: str):
@@ -108,21 +168,15 @@ def _tokenise(path: str, end_id: int, id_type: str):
 
         words = WordTable(load_tokenizer(path), end_id)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            at = 0
-            while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and (to == at or chars + len(texts[to]) <= SLICE_CHARS):
-                    chars += len(texts[to])
-                    to += 1
-                ids, n = words.encode(texts[at:to])
+            texts = batch.column("text").fill_null("")
+            for at, to in slices(utf8(texts)[1], SLICE_BYTES):
+                ids, n = words.encode(texts.slice(at, to - at))
                 data = ids.astype(id_type)
                 ends = np.cumsum(n)
                 raw = [data[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, to - at), batch.column("tie").slice(at, to - at),
                      pa.array(n, pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "tie", "n", "ids"])
-                at = to
 
     return run
 
@@ -141,31 +195,51 @@ def _count(size: int, id_type: str):
     return run
 
 
-def pack(ranks) -> tuple[bytes, bytes]:
-    """Control bytes and codes of an array of uint32."""
+def pack(ranks, counts) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and codes of each of some rows of uint32, given one after another with their counts."""
     import numpy as np
 
     ranks = np.ascontiguousarray(ranks, np.dtype("<u4"))
     extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    quads = np.zeros((len(ranks) + 3) // 4 * 4, np.uint8)
-    quads[: len(ranks)] = extra
-    quads = quads.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    return control.astype(np.uint8).tobytes(), codes.tobytes()
-
-
-def unpack(control, codes, n: int):
-    """The n values of ``pack``: lengths come from a table with a row for each possible control byte."""
+    codes = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= extra[:, None]]
+    upto = np.append(0, np.cumsum(extra, dtype=np.int64) + np.arange(1, len(extra) + 1))
+    ends = np.append(0, np.cumsum(counts))
+    quads = (np.asarray(counts) + 3) // 4
+    closes = np.append(0, np.cumsum(quads))
+    two = np.zeros(4 * int(closes[-1]), np.uint8)
+    two[ranges(4 * closes[:-1], np.asarray(counts))] = extra
+    two = two.reshape(-1, 4)
+    control = two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
+    cut = lambda x, at: [x[i:j].tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+    return cut(control, closes), cut(codes, upto[ends])
+
+
+def unpack(control, codes, counts):
+    """The values of some rows that ``pack`` made, one after another: lengths come from a table with a row for each
+    possible control byte."""
     import numpy as np
 
     lengths = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8)
-    extra = lengths[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) <= extra[:, None]] = np.frombuffer(codes, np.uint8)
+    counts = np.asarray(counts, np.int64)
+    quads = (counts + 3) // 4
+    extra = lengths[np.frombuffer(b"".join(control), np.uint8)].reshape(-1)[ranges(4 * (np.cumsum(quads) - quads), counts)]
+    out = np.zeros((len(extra), 4), np.uint8)
+    out[np.arange(4, dtype=np.uint8) <= extra[:, None]] = np.frombuffer(b"".join(codes), np.uint8)
     return out.view("<u4").reshape(-1)
 
 
+def _groups(counts: list[int]):
+    """Row ranges of about ``GROUP_IDS`` ids."""
+    at, held = 0, 0
+    for i, n in enumerate(counts):
+        held += n
+        if held >= GROUP_IDS:
+            yield at, i + 1
+            at, held = i + 1, 0
+    if at < len(counts):
+        yield at, len(counts)
+
+
 def _encode(rank_of, id_type: str):
     def run(batches):
         import numpy as np
@@ -173,17 +247,18 @@ def _encode(rank_of, id_type: str):
 
         before = 0
         for batch in batches:
-            control, codes, starts = [], [], []
-            for raw, n in zip(batch.column("ids"), batch.column("n").to_pylist()):
-                a, b = pack(rank_of[np.frombuffer(raw.as_buffer(), id_type)])
-                control.append(a)
-                codes.append(b)
-                starts.append(before)
-                before += n
+            counts, raw = batch.column("n").to_pylist(), batch.column("ids").to_pylist()
+            control, codes = [], []
+            for a, b in _groups(counts):
+                x, y = pack(rank_of[np.frombuffer(b"".join(raw[a:b]), id_type)], counts[a:b])
+                control += x
+                codes += y
+            ends = before + np.cumsum(counts, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("shard"), pa.array(starts, pa.int64()), batch.column("n"),
+                [batch.column("doc_id"), batch.column("shard"), pa.array(ends - counts, pa.int64()), batch.column("n"),
                  pa.array(control, pa.binary()), pa.array(codes, pa.binary())],
                 names=["doc_id", "shard", "shard_start", "n_tokens", "control", "codes"])
+            before = int(ends[-1]) if len(ends) else before
 
     return run
 
@@ -192,13 +267,16 @@ def _decode(id_of):
     def run(batches):
         import zlib
 
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
+            counts, control, codes = (batch.column(c).to_pylist() for c in ("n_tokens", "control", "codes"))
             sums = []
-            for control, codes, n in zip(batch.column("control"), batch.column("codes"), batch.column("n_tokens").to_pylist()):
-                ids = id_of[unpack(control.as_buffer(), codes.as_buffer(), n)]
-                sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
+            for a, b in _groups(counts):
+                ids = memoryview(id_of[unpack(control[a:b], codes[a:b], counts[a:b])].astype("<u4").tobytes())
+                ends = np.cumsum(counts[a:b]).tolist()
+                sums += [zlib.crc32(ids[4 * (e - n) : 4 * e]) for e, n in zip(ends, counts[a:b])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("shard"), batch.column("shard_start"), batch.column("n_tokens"),
                  pa.array(sums, pa.int64())], names=["doc_id", "shard", "shard_start", "n_tokens", "ids_crc32"])
@@ -217,7 +295,7 @@ def write_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
     ids = cut_lineage(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text").mapInArrow(
         _tokenise(tokenizer, end_id, id_type),
         T.StructType([key, T.StructField("tie", T.LongType()), T.StructField("n", T.LongType()),
-                      T.StructField("ids", T.BinaryType())])))
+                      T.StructField("ids", T.BinaryType())])), "zstd")
     seen = ids.select("ids").mapInArrow(_count(size, id_type), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     often = np.zeros(size, np.int64)
     for row in seen.collect():  # at most one row for each id of the vocabulary
@@ -232,7 +310,7 @@ def write_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
                            T.StructField("n_tokens", T.LongType()), T.StructField("control", T.BinaryType()),
                            T.StructField("codes", T.BinaryType())])
     path = shared_path(spark, "token-ids")
-    dealt.mapInArrow(_encode(rank_of, id_type), schema).write.parquet(f"{path}/documents")
+    dealt.mapInArrow(_encode(rank_of, id_type), schema).write.option("compression", "zstd").parquet(f"{path}/documents")
     spark.createDataFrame(list(enumerate(id_of.tolist())), "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     return path
 
