@@ -207,7 +207,7 @@ def _read(with_chunks: bool):
 
 def read_chunks(spark: SparkSession, index: DataFrame, with_chunks: bool = True) -> DataFrame:
     """The chunk table of all archives of an index: one row for each chunk of each record, about one task an archive."""
-    names = index.select("archive").distinct()
+    names = cut_lineage(index.select("archive").distinct())
     names = names.repartition(max(1, min(names.count(), MAX_TASKS)), "archive")
     return names.mapInArrow(_read(with_chunks), CHUNKS)
 
