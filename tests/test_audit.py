@@ -3,17 +3,29 @@
 from pyspark.sql import functions as F
 
 from yieldlens.operators import audit as A
+from yieldlens.session import cut_lineage
 from yieldlens.sources import fixtures as fx
 from conftest import SF_SMALL
 
 
 def test_chain_verifies_and_detects_tampering(spark):
     ev = fx.audit_events(spark, SF_SMALL)
-    chained = A.hash_chain(ev)
-    assert A.verify_chain(ev, chained).where(~F.col("chain_valid")).count() == 0
+    chained = cut_lineage(A.hash_chain(ev, segment=50))
+    n = ev.count()
+
+    def broken(events, chain):
+        return A.verify_chain(events, chain, segment=50, expected_events=n).where(~F.col("chain_valid")).collect()
+
+    assert not broken(ev, chained)
     victim = ev.orderBy("event_id").first()["event_id"]
-    tampered = ev.withColumn("outcome", F.when(F.col("event_id") == victim, F.lit("denied")).otherwise(F.col("outcome")))
-    assert A.verify_chain(tampered, chained).where(~F.col("chain_valid")).count() == 1
+    assert len(broken(ev.withColumn("outcome", F.when(F.col("event_id") == victim, F.lit("x")).otherwise(F.col("outcome"))), chained)) == 1
+    day = chained.groupBy("chain_day").count().orderBy("chain_day").collect()[3]["chain_day"]
+    last = chained.orderBy(F.desc("position")).first()["event_id"]
+    for gone in (F.col("event_id") == victim, F.to_date("timestamp_utc") == F.lit(day), F.col("event_id") == last):
+        assert broken(ev.where(~gone), chained)                      # only the events were cut
+        assert broken(ev.where(~gone), chained.where(~gone))         # both tables were cut
+    swapped = chained.withColumn("event_hash", F.when(F.col("event_id") == victim, F.lit("0")).otherwise(F.col("event_hash")))
+    assert broken(ev, swapped)
 
 
 def test_nested_and_odd_case_secrets_are_redacted(spark):

@@ -3,9 +3,8 @@
 Events: event_id, timestamp_utc, event_type, category, outcome, user_email,
 resource_id, duration_ms, details_json.  Everything is a filter, projection
 or grouped aggregate except the tamper-evident hash chain, which is serial by
-definition and is therefore cut into independent (day) chains built in
-parallel by ``applyInPandas`` and linked through a one-row-per-day anchor
-table.
+definition and is therefore cut into linked segments of a fixed number of
+events, chained in parallel by ``applyInPandas``.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import r6
+from ..functions.ranking import cumulative, previous_in_order
 from ..functions.vectors import text_udf
 
 # ---------------------------------------------------------------------------
@@ -31,6 +31,7 @@ SESSION_TIMEOUT_MINUTES = 30
 FAILED_OUTCOMES = ["failure", "denied"]
 UNKNOWN_USER = "Unknown user"
 GENESIS = "0" * 64
+CHAIN_SEGMENT = 1000
 
 
 def _clean(c: Column) -> Column:
@@ -89,58 +90,75 @@ def redact_details(ev: DataFrame, col: str = "details_json") -> DataFrame:
 
 
 def canonical_event(ev: DataFrame) -> Column:
-    """Canonical text of an event: fixed field order, '|' separated, NULL as empty."""
+    """Canonical text of an event: a JSON object of all fields in fixed order, nulls written (two events never share it)."""
     fields = ["event_id", "timestamp_utc", "event_type", "category", "outcome", "user_email", "resource_id",
               "duration_ms", "details_json"]
-    return F.concat_ws("|", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
+    return F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false"})
 
 
-def hash_chain(ev: DataFrame) -> DataFrame:
-    """event_hash = sha256(previous_hash || canonical event) along (day) chains ordered by (time, id).
+def hash_chain(ev: DataFrame, segment: int = CHAIN_SEGMENT) -> DataFrame:
+    """event_hash = sha256(previous_hash || canonical event) along the log ordered by (time, id).
 
-    Each day is chained independently in parallel (``applyInPandas`` by day), starting from the
-    genesis hash; ``day_anchor`` links days: the hash of (previous day's anchor || day's last hash),
-    computed on a one-row-per-day table."""
-    base = ev.select(F.to_date("timestamp_utc").alias("chain_day"), "event_id", "timestamp_utc",
-                     canonical_event(ev).alias("canonical"))
+    The log is cut into segments of ``segment`` events, which are chained in parallel.  A segment starts from the digest of
+    the event before it, so segments are linked although none waits for another; the first starts from the genesis hash.
+    Positions come from the distributed running count, so no task holds more than a segment."""
+    text = canonical_event(ev)
+    base = ev.select(F.to_date("timestamp_utc").alias("chain_day"), "event_id", "timestamp_utc", text.alias("canonical"),
+                     F.lit(1).cast("long").alias("_one"))
+    placed = cumulative(base, [], ["timestamp_utc", "event_id"], ["_one"]).withColumn("position", F.col("cum__one") - 1)
+    placed = placed.withColumn("segment", F.floor(F.col("position") / segment))
+    heads = placed.where(F.col("position") % segment == segment - 1).select(
+        (F.col("segment") + 1).alias("_next"), F.sha2("canonical", 256).alias("link"))
+    rows = placed.join(heads, F.col("segment") == F.col("_next"), "left").select(
+        "chain_day", "event_id", "timestamp_utc", "canonical", "position", "segment", "link")
 
     def chain(pdf):
         import hashlib
 
-        pdf = pdf.sort_values(["timestamp_utc", "event_id"])
-        prev = GENESIS
+        pdf = pdf.sort_values("position")
+        link = pdf["link"].iloc[0]
+        prev = hashlib.sha256((GENESIS + link).encode("utf-8")).hexdigest() if isinstance(link, str) else GENESIS
         prevs, hashes = [], []
         for text in pdf["canonical"]:
-            h = hashlib.sha256((prev + text).encode("utf-8")).hexdigest()
             prevs.append(prev)
-            hashes.append(h)
-            prev = h
+            prev = hashlib.sha256((prev + text).encode("utf-8")).hexdigest()
+            hashes.append(prev)
         pdf["previous_event_hash"] = prevs
         pdf["event_hash"] = hashes
-        return pdf[["chain_day", "event_id", "timestamp_utc", "previous_event_hash", "event_hash"]]
-
-    return base.groupBy("chain_day").applyInPandas(
-        chain, "chain_day date, event_id string, timestamp_utc timestamp_ntz, previous_event_hash string, event_hash string"
-    )
-
-
-def verify_chain(ev: DataFrame, chained: DataFrame) -> DataFrame:
-    """Link check (previous = preceding row's hash within the day chain) and content check (recomputed
-    sha256), both row-parallel given the stored hashes; one row per chain day with the first failure."""
-    from ..functions.ranking import previous_in_order
-
-    c = ev.select("event_id", canonical_event(ev).alias("canonical")).join(chained, "event_id")
-    c = previous_in_order(c, ["chain_day"], ["timestamp_utc", "event_id"], ["event_hash"])  # no per-day gather
-    expected_prev = F.coalesce(F.col("prev_event_hash"), F.lit(GENESIS))
-    t = c.select("chain_day", "event_id", "timestamp_utc",
-                 (F.col("previous_event_hash") == expected_prev).alias("link_ok"),
-                 (F.sha2(F.concat(F.col("previous_event_hash"), F.col("canonical")), 256) == F.col("event_hash")).alias(
-                     "content_ok"))
-    bad = ~(F.col("link_ok") & F.col("content_ok"))
-    return t.groupBy("chain_day").agg(
+        return pdf[["chain_day", "event_id", "timestamp_utc", "position", "previous_event_hash", "event_hash"]]
+
+    return rows.groupBy("segment").applyInPandas(
+        chain, "chain_day date, event_id string, timestamp_utc timestamp_ntz, position long, previous_event_hash string, "
+               "event_hash string")
+
+
+def verify_chain(ev: DataFrame, chained: DataFrame, segment: int = CHAIN_SEGMENT, expected_events: int | None = None) -> DataFrame:
+    """One row per chain day with the number of broken events and the first one; row-parallel given the stored hashes.
+
+    An event is broken if either table lacks it, if its text does not give its hash, if its previous hash is not that of the
+    event before (for the first of a segment: not made from that event's digest), or if positions have a gap before
+    it, as when a day was removed.  A removed tail leaves no trace in the rows: with ``expected_events``, the stored number
+    of events, the last event is broken if the number differs."""
+    now = ev.select(F.col("event_id").alias("_id"), F.col("timestamp_utc").alias("_ts"), canonical_event(ev).alias("canonical"))
+    both = chained.join(now, F.col("event_id") == F.col("_id"), "full")
+    gone = both.where(F.col("position").isNull()).select(
+        F.to_date("_ts").alias("chain_day"), F.col("_ts").alias("timestamp_utc"), F.col("_id").alias("event_id"), F.lit(True).alias("bad"))
+    held = both.where(F.col("position").isNotNull()).withColumn("digest", F.sha2("canonical", 256))
+    held = previous_in_order(held.drop("_id", "_ts"), [], ["position"], ["position", "event_hash", "digest"])
+    first = F.col("position") % segment == 0
+    before = (F.when(F.col("position") == 0, F.lit(GENESIS))
+              .when(first, F.sha2(F.concat(F.lit(GENESIS), F.col("prev_digest")), 256)).otherwise(F.col("prev_event_hash")))
+    good = ((F.col("previous_event_hash") == before)
+            & (F.sha2(F.concat(F.col("previous_event_hash"), F.col("canonical")), 256) == F.col("event_hash"))
+            & ((F.col("position") == 0) | (F.col("prev_position") == F.col("position") - 1)))
+    if expected_events is not None:
+        total, last = chained.agg(F.count(F.lit(1)), F.max("position")).first()
+        good = good & (F.lit(total == expected_events) | (F.col("position") != F.lit(last)))
+    held = held.select("chain_day", "timestamp_utc", "event_id", (~F.coalesce(good, F.lit(False))).alias("bad"))
+    return held.unionByName(gone).groupBy("chain_day").agg(
         F.count(F.lit(1)).alias("events"),
-        F.count(F.when(bad, 1)).alias("broken_events"),
-        F.min(F.when(bad, F.struct("timestamp_utc", "event_id"))).getField("event_id").alias("first_broken_event"),
+        F.count(F.when(F.col("bad"), 1)).alias("broken_events"),
+        F.min(F.when(F.col("bad"), F.struct("timestamp_utc", "event_id"))).getField("event_id").alias("first_broken_event"),
     ).select("*", (F.col("broken_events") == 0).alias("chain_valid"))
 
 
