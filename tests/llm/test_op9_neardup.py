@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from yieldlens.llm import op9_neardup as op
 
@@ -50,12 +51,29 @@ def corpus(seed, groups):
     return list(zip(ids, rows))
 
 
-def test_against_brute_force(make_docs):
+@pytest.mark.parametrize("block", [4096, 4])
+def test_against_brute_force(make_docs, monkeypatch, block):
+    monkeypatch.setattr(op, "BLOCK", block)
     rows = corpus(1, 25)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
     assert got == brute(rows)
 
 
+def test_star_of_copies(make_docs):
+    """Copies of one text with different edits: most are linked to the text only, not to each other."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        t = list(base)
+        for k in rng.sample(range(0, 150, 6), rng.choice([1, 2, 2, 3, 4])):
+            t[k] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
+    assert got == brute(rows)
+
+
 def test_empty_table(make_docs):
     assert op.group(make_docs([(1, "a")]).limit(0)).count() == 0
     assert [r["kept"] for r in op.group(make_docs([(1, None), (2, "")])).collect()] == [True, True]

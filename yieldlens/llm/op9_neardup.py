@@ -2,15 +2,17 @@
 
 1. One pass over the texts makes each document's set of word shingles, its size, a digest of the set and the
    SuperMinHash signature, folded to one number for each band.  Documents with equal sets are grouped by the digest.
-2. Among distinct sets, those that share a band meet in a bucket.  A bucket never emits all its pairs: its members get
-   levels (one member level 0, about twice as many members at each level after that); in round t the members of level t
-   are compared with those of their bucket at their level or above that are not yet in their group.  So every pair that
-   shares a bucket is compared or already joined through others, and large buckets of linked texts are done
-   after the first round.
+2. Among distinct sets, those that share a band meet in a bucket.  A bucket never emits its pairs: it compares the
+   members' signatures where it stands and first emits the tree of most similar pairs that joins what may be linked.
+   Later rounds look only at buckets with members in different groups and emit the most similar pairs of each two
+   groups, more in each round, until none is left that was not tried.  Buckets of more than BLOCK members are dealt out
+   as pairs of blocks.
 3. Pairs are confirmed on the full sets.  Confirmed links are folded into groups by minimum labels with pointer jumping,
    all in tables of the shared folder.
 
-A pair with similarity s shares a band with chance 1 - (1 - s**5)**25: 0.9999996 at 0.85.
+A pair with similarity s shares a band with chance 1 - (1 - s**5)**25: 0.9999996 at 0.85.  Pairs go on to the full sets if
+their signatures agree in all but SLACK less than the wanted share of SIZE places, 3.2 standard deviations at 0.85 (and a
+group has many pairs).
 
 Cases: null text and texts without words have the empty set and are linked with nothing; a text of fewer words than a
 shingle is one shingle; repeated doc_ids are one document if their sets are equal, and share the smaller component
@@ -27,7 +29,11 @@ from .text import lowered, matching, mixed, range_sums, slices, table, utf8, wor
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
+SIZE = 200     # components of a signature; the first BANDS * ROWS make the bands
+SLACK = 0.08   # how far below the wanted similarity signatures may agree
 PERCENT = 85
+BLOCK = 4096   # members of a bucket that one task compares with as many others
+GROWTH = 4     # how many more pairs of two groups a round tries than the one before
 SLICE = 1 << 20  # bytes of text whose shingles are made at a time
 
 
@@ -80,7 +86,7 @@ def superminhash(elements, m: int):
     return best
 
 
-def _sketch(width: int, bands: int, rows: int):
+def _sketch(width: int, bands: int, rows: int, size: int):
     def run(batches):
         import hashlib
 
@@ -90,19 +96,20 @@ def _sketch(width: int, bands: int, rows: int):
         weights = mixed(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
         salt = mixed(np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(20))
         for batch in batches:
-            sizes, keys, folded = [], [], []
+            sizes, keys, folded, signs = [], [], [], []
             for s in shingle_sets(batch.column("text"), width):
                 sizes.append(len(s))
                 if not len(s):
-                    keys.append(None)
-                    folded.append(None)
+                    for x in (keys, folded, signs):
+                        x.append(None)
                     continue
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                signature = superminhash(s, bands * rows).reshape(bands, rows)
-                folded.append(mixed((signature * weights).sum(1) + salt).view(np.int64))
+                signature = superminhash(s, size)
+                folded.append(mixed((signature[: bands * rows].reshape(bands, rows) * weights).sum(1) + salt).view(np.int64))
+                signs.append(mixed(signature).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(folded, pa.list_(pa.int64()))], names=["doc_id", "n", "key", "bands"])
+                 pa.array(folded, pa.list_(pa.int64())), pa.array(signs, pa.binary())], names=["doc_id", "n", "key", "bands", "sign"])
 
     return run
 
@@ -154,56 +161,132 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """band, hash, rep, n, level for the members of buckets of several distinct sets."""
-    rows = sets.select("rep", "n", F.posexplode("bands").alias("band", "hash"))
-    many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("first")).where("members > 1")
-    many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), "members", "first")
-    met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h")))
-    share = F.pmod(F.xxhash64("rep", "band"), F.lit(1 << 40)) / float(1 << 40)
-    level = F.greatest(F.ceil(F.log2(share * F.col("members") + 1e-9)), F.lit(1)).cast("int")
-    return met.select("band", "hash", "rep", "n", F.when(F.col("rep") == F.col("first"), 0).otherwise(level).alias("level"))
+    """band, hash, lo, hi, block, rep, n, sign for the members of buckets of several distinct sets; a bucket of more than
+    BLOCK members is dealt out as all pairs (lo, hi) of its blocks."""
+    rows = sets.select("rep", F.posexplode("bands").alias("band", "hash"))
+    many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h"))).select("band", "hash", "rep", "blocks")
+    met = cut_lineage(met).join(sets.select(F.col("rep").alias("_rep"), "n", "sign"), F.col("rep") == F.col("_rep"))
+    met = met.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select("band", "hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                      "rep", "n", "sign")
+
+
+def likely(signs, sizes, labels, sides, least: float, percent: int, most: int | None):
+    """(i, j) index arrays of pairs of different labels that may be linked: the tree of the most similar pairs that joins
+    them (``most`` None), or the ``most`` most similar of each two labels; and whether more are left."""
+    import numpy as np
+
+    found, step = [], max(1, (1 << 24) // (len(signs) * signs.shape[1] + 1))
+    for a in range(0, len(signs), step):
+        same = (signs[a : a + step, None, :] == signs[None, a:, :]).sum(2, dtype=np.int32)
+        i, j = np.nonzero(same >= least * signs.shape[1])
+        share, i, j = same[i, j], i + a, j + a
+        good = (i < j) & (labels[i] != labels[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))
+        if sides is not None:
+            good &= sides[i] != sides[j]
+        found.append((share[good], i[good], j[good]))
+    share, i, j = (np.concatenate(x) for x in zip(*found))
+    if most is not None:
+        key = np.stack([np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])])
+        order = np.lexsort((-share, key[1], key[0]))
+        i, j, key = i[order], j[order], key[:, order]
+        new = np.ones(len(i), bool)
+        new[1:] = (key[:, 1:] != key[:, :-1]).any(0)
+        at = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
+        return i[at < most], j[at < most], bool((at >= most).any())
+    up = {}
+
+    def find(x):
+        while x in up:
+            x = up[x]
+        return x
+
+    keep = []
+    for k in np.argsort(-share, kind="stable").tolist():
+        x, y = find(int(labels[i[k]])), find(int(labels[j[k]]))
+        if x != y:
+            up[x] = y
+            keep.append(k)
+    return i[keep], j[keep], len(keep) < len(i)
+
+
+def _candidates(percent: int, most: int | None):
+    """Pairs (a, b) of each bucket to be confirmed, and a row without pair if a bucket has more; rows arrive sorted by bucket."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def settle(rows):
+            signs = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), -1)
+            reps, sizes, labels, block = (np.array([r[k] for r in rows], np.int64) for k in range(1, 5))
+            sides = block if block.min() != block.max() else None
+            i, j, more = likely(signs, sizes, labels, sides, percent / 100 - SLACK, percent, most)
+            return np.minimum(reps[i], reps[j]).tolist() + [None] * more, np.maximum(reps[i], reps[j]).tolist() + [None] * more
+
+        def out(a, b):
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        now, rows = None, []
+        for batch in batches:
+            a, b = [], []
+            cols = [batch.column(c).to_pylist() for c in ("band", "hash", "lo", "hi", "sign", "rep", "n", "label", "block")]
+            for *key, sign, rep, n, label, block in zip(*cols):
+                if key != now and rows:
+                    x, y = settle(rows)
+                    a, b, rows = a + x, b + y, []
+                now = key
+                rows.append((sign, rep, n, label, block))
+            yield out(a, b)
+        if rows:
+            yield out(*settle(rows))
+
+    return run
 
 
 def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sketch = cut_lineage(docs.select("doc_id", "text").mapInArrow(
-        _sketch(width, BANDS, ROWS), f"doc_id {kind}, n long, key binary, bands array<long>"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sketch = cut_lineage(docs.mapInArrow(
+        _sketch(width, BANDS, ROWS, SIZE), "doc_id long, n long, key binary, bands array<long>, sign binary"))
     sets = cut_lineage(sketch.where("key is not null and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sign").alias("sign")))
     members = cut_lineage(buckets(sets))
-    wanted = members.select("rep").distinct()
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
-    full = cut_lineage(texts.mapInArrow(_sets(width), f"doc_id {kind}, items binary"))
-    labels = cut_lineage(sets.select(F.col("rep").alias("node"), F.col("rep").alias("label")).join(
-        wanted, F.col("node") == F.col("rep"), "left_semi"))
-    last = members.agg(F.max("level")).first()[0]
-    for level in range(0 if last is None else last + 1):
-        named = members.where(F.col("level") >= level).join(labels, F.col("rep") == F.col("node")).select(
-            "band", "hash", "rep", "n", "level", "label")
-        if level:  # buckets whose members are all joined need no more comparisons
-            open_ = named.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-            named = cut_lineage(named.join(open_.select("band", "hash"), ["band", "hash"], "left_semi"))
-            if named.isEmpty():
-                continue
-        one = named.where(F.col("level") == level).select("band", "hash", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("label").alias("cl"))
-        pairs = named.join(one, ["band", "hash"]).where(
-            (F.col("label") != F.col("cl")) & ((F.col("level") > level) | (F.col("rep") > F.col("c")))
-            & (100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")))
-        pairs = pairs.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    wanted = cut_lineage(members.select("rep").distinct())
+    full = cut_lineage(matching(docs, wanted, {"rep": F.col("doc_id")}, "left_semi").mapInArrow(_sets(width), "doc_id long, items binary"))
+    labels = cut_lineage(wanted.select(F.col("rep").alias("node"), F.col("rep").alias("label")))
+    tried, most = None, None
+    while True:
+        if most is None:
+            rows = members.withColumn("label", F.col("rep"))
+        else:  # buckets whose members are all joined need no more comparisons
+            named = members.select("band", "hash", "rep").join(labels, F.col("rep") == F.col("node"))
+            open_ = named.groupBy("band", "hash").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
+            rows = members.join(open_.select("band", "hash"), ["band", "hash"], "left_semi")
+            rows = rows.join(labels, F.col("rep") == F.col("node"))
+        key = ["band", "hash", "lo", "hi"]
+        found = cut_lineage(rows.select(*key, "sign", "rep", "n", "label", "block").repartition(*key).sortWithinPartitions(*key)
+                            .mapInArrow(_candidates(percent, most), "a long, b long").distinct())
+        pairs = found.where("a is not null")
+        pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
         x = full.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
         y = full.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
         links = cut_lineage(pairs.join(x, "b").join(y, "a").select("a", "b", "x", "y").mapInArrow(
-            _confirm(percent), f"a {kind}, b {kind}"))
-        if links.isEmpty():
-            continue
-        own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        other = labels.select(F.col("node").alias("_m"), F.col("label").alias("_k"))
-        between = links.join(own, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(
-            F.col("_l").alias("a"), F.col("_k").alias("b"))
-        joined = components(between).select(F.col("node").alias("_n"), F.col("label").alias("_to"))
-        labels = cut_lineage(labels.join(joined, F.col("label") == F.col("_n"), "left").select(
-            "node", F.coalesce("_to", "label").alias("label")))
+            _confirm(percent), "a long, b long"))
+        if not links.isEmpty():
+            own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+            other = labels.select(F.col("node").alias("_m"), F.col("label").alias("_k"))
+            between = links.join(own, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(
+                F.col("_l").alias("a"), F.col("_k").alias("b"))
+            joined = components(between).select(F.col("node").alias("_n"), F.col("label").alias("_to"))
+            labels = cut_lineage(labels.join(joined, F.col("label") == F.col("_n"), "left").select(
+                "node", F.coalesce("_to", "label").alias("label")))
+        if found.where("a is null").isEmpty():
+            break
+        tried = found.where("a is not null") if tried is None else tried.unionByName(found.where("a is not null"))
+        most = 2 if most is None else most * GROWTH
     found = sets.select(F.col("key").alias("_key"), "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "_key", F.coalesce("label", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n", "key").join(found, F.col("key") == F.col("_key"), "left")
