@@ -261,6 +261,12 @@ _FD_METRIC = """CASE WHEN psi_severity = overall_severity THEN 'psi' WHEN ks_sta
     WHEN missing_rate_difference_severity = overall_severity THEN 'missing_rate_difference'
     WHEN constant_sensor_change_severity = overall_severity THEN 'constant_sensor_change' ELSE 'measurement_availability' END"""
 
+_TH_NAME = ("CASE WHEN metric_name = 'total_variation_distance' THEN 'decision_total_variation' WHEN category = 'prediction_drift' THEN "
+            "(CASE resource_id " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in H.OUTPUT_METRICS.items()) + " END) ELSE metric_name END")
+_TH = (f"CASE {_TH_NAME} " + " ".join(
+    f"WHEN '{k}' THEN (CASE severity WHEN 'Watch' THEN {a!r} WHEN 'Warning' THEN {b!r} WHEN 'Critical' THEN {c!r} END)"
+    for k, (a, b, c) in H.threshold_levels(CFG).items()) + " END")
+
 _ALERTS = [
     f"""fda AS (SELECT *, {_FD_METRIC} AS m FROM f_fdr WHERE overall_severity <> 'Normal')""",
     """al0 AS (
@@ -274,7 +280,7 @@ _ALERTS = [
     UNION ALL SELECT 'data_quality', 'data_quality', severity, metric, metric, round(value, 6) FROM dqr WHERE severity <> 'Normal')""",
     f"""alerts AS (SELECT substr(sha256(concat_ws('|', '{RUN_ID}', category, alert_type, resource_id, metric_name)), 1, 20) AS alert_id,
       '{RUN_ID}' AS run_id, category, alert_type, severity, resource_id, metric_name, observed_value,
-      CAST(NULL AS DOUBLE) AS threshold_value,
+      ({_TH}) AS threshold_value,
       coalesce(printf('%s %s on %s (%s)', severity, alert_type, resource_id, metric_name), '') AS message,
       CASE WHEN severity = 'Critical' THEN 'Investigate now and assess retraining'
            WHEN severity = 'Warning' THEN 'Review at the next monitoring meeting' ELSE 'Keep watching' END AS recommended_action,

@@ -212,6 +212,18 @@ def alert_id(run_id: Column, category: Column, alert_type: Column, resource: Col
     return F.substring(F.sha2(F.concat_ws("|", run_id, category, alert_type, resource, metric), 256), 1, 20)
 
 
+def threshold_levels(cfg: DriftConfig | None = None) -> dict[str, tuple[float, float, float]]:
+    """Watch, Warning and Critical limits by threshold name, of all four alert sources."""
+    cfg = cfg or DriftConfig()
+    return {**cfg.feature_thresholds, **cfg.prediction_thresholds, **cfg.quality_thresholds}
+
+
+def threshold_reached(name: Column, sev: Column, cfg: DriftConfig | None = None) -> Column:
+    """The limit that a severity stands for; NULL for metrics without limits (constant change, availability, ...)."""
+    levels = F.create_map(*[x for k, v in threshold_levels(cfg).items() for x in (F.lit(k), F.array(*[F.lit(float(y)) for y in v]))])
+    return F.get(levels[name], severity_rank(sev) - 1)
+
+
 def alerts(run_id: str, feature_drift: DataFrame, out_drift: DataFrame, cat: DataFrame, dq: DataFrame) -> DataFrame:
     """One row per non-Normal finding from four sources, with id, message, action and JSON evidence."""
     def sel(df, category, alert_type, resource, metric, value, threshold, extra):
@@ -232,15 +244,17 @@ def alerts(run_id: str, feature_drift: DataFrame, out_drift: DataFrame, cat: Dat
     fd_value = (F.when(fd_metric == "psi", F.col("psi")).when(fd_metric == "ks_statistic", F.col("ks_statistic"))
                 .when(fd_metric == "standardised_mean_shift", F.col("standardised_mean_shift"))
                 .when(fd_metric == "missing_rate_difference", F.col("missing_rate_difference")))
-    a1 = sel(fd, "feature_drift", "sensor_drift", F.col("feature"), fd_metric, fd_value, F.lit(None).cast("double"),
+    reached = lambda name: threshold_reached(name, F.col("severity"))
+    outputs = F.create_map(*[F.lit(x) for kv in OUTPUT_METRICS.items() for x in kv])
+    a1 = sel(fd, "feature_drift", "sensor_drift", F.col("feature"), fd_metric, fd_value, reached(fd_metric),
              F.struct("psi", "ks_statistic", "standardised_mean_shift", "missing_rate_difference"))
     a2 = sel(out_drift, "prediction_drift", "output_distribution", F.col("metric_name"), F.lit("absolute_mean_shift"),
-             F.col("absolute_mean_shift"), F.lit(None).cast("double"), F.struct("absolute_mean_shift", "psi", "ks_statistic"))
+             F.col("absolute_mean_shift"), reached(outputs[F.col("metric_name")]), F.struct("absolute_mean_shift", "psi", "ks_statistic"))
     a3 = sel(cat, "prediction_drift", "decision_mix", F.col("metric_name"), F.lit("total_variation_distance"),
-             F.col("total_variation_distance"), F.lit(None).cast("double"),
+             F.col("total_variation_distance"), reached(F.lit("decision_total_variation")),
              F.struct("total_variation_distance", "largest_shift_category"))
     a4 = sel(dq, "data_quality", "data_quality", F.col("metric"), F.col("metric"), F.col("value"),
-             F.lit(None).cast("double"), F.struct("value", "reference_value"))
+             reached(F.col("metric")), F.struct("value", "reference_value"))
     allr = a1.unionByName(a2).unionByName(a3).unionByName(a4)
     rid = F.lit(run_id)
     msg = F.format_string("%s %s on %s (%s)", F.col("severity"), F.col("alert_type"), F.col("resource_id"),
