@@ -96,6 +96,15 @@ def q_alerts(spark, sf_dir):
     return H.alerts(RUN_ID, fd, od, cat, dq)
 
 
+def q_alert_ids(spark, sf_dir):
+    return q_alerts(spark, sf_dir).select("alert_id", "run_id", "category", "alert_type", "resource_id", "metric_name")
+
+
+def q_retraining_policy(spark, sf_dir):
+    return _run(spark, sf_dir).assessment.select(
+        "run_id", "recommendation", "overall_health_score", "critical_alerts", "warning_alerts", "critical_feature_rate")
+
+
 def q_health_components(spark, sf_dir):
     sc, fd, fsum, od, cat, dq, dqs = _parts(spark, sf_dir)
     return H.health_components(fsum, od, cat, dqs, CFG)
@@ -122,6 +131,8 @@ def q_run_history(spark, sf_dir):
 
 
 QUERIES = {
+    "alert_ids": q_alert_ids,
+    "retraining_policy": q_retraining_policy,
     "output_drift": q_output_drift,
     "category_shares": q_category_shares,
     "category_drift": q_category_drift,
@@ -362,6 +373,9 @@ SQL = {
         CASE WHEN coalesce(in_ref, false) AND coalesce(in_cur, false) THEN 'Normal' WHEN coalesce(in_ref, false) THEN 'Critical' ELSE 'Warning' END AS severity
       FROM r FULL OUTER JOIN c ON r.feature = c.feature""",
     "alerts": _with_all(*_ALERTS) + "SELECT * FROM alerts",
+    "alert_ids": _with_all(*_ALERTS) + "SELECT alert_id, run_id, category, alert_type, resource_id, metric_name FROM alerts",
+    "retraining_policy": "SELECT run_id, recommendation, overall_health_score, critical_alerts, warning_alerts, critical_feature_rate FROM ("
+                         + _with_all(_FSUM, *_ALERTS, *_COMP) + ", " + _ASSESS + ")",
     "health_components": _with_all(_FSUM, *_COMP) + "SELECT * FROM comp",
     "health_assessment": _with_all(_FSUM, *_ALERTS, *_COMP) + ", " + _ASSESS,
     "run_history": fx.sql_with("wide_records") + f""", h AS ({_QRUNS.format(where='')}),
