@@ -33,7 +33,7 @@ SIZE = 200     # components of a signature; the first BANDS * ROWS make the band
 SLACK = 0.08   # how far below the wanted similarity signatures may agree
 PERCENT = 85
 BLOCK = 4096   # members of a bucket that one task compares with as many others
-GROWTH = 4     # how many more pairs of two groups a round tries than the one before
+GROWTH = 16    # how many more pairs of two groups a round tries than the one before
 SLICE = 1 << 20  # bytes of text whose shingles are made at a time
 
 
@@ -167,16 +167,17 @@ def buckets(sets: DataFrame) -> DataFrame:
     many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h"))).select("band", "hash", "rep", "blocks")
-    met = cut_lineage(met).join(sets.select(F.col("rep").alias("_rep"), "n", "sign"), F.col("rep") == F.col("_rep"))
+    met = cut_lineage(met).join(sets.select(F.col("rep").alias("_rep"), "n", "sign", "bands"), F.col("rep") == F.col("_rep"))
     met = met.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return met.select("band", "hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                      "rep", "n", "sign")
+                      "rep", "n", "sign", "bands")
 
 
-def likely(signs, sizes, labels, sides, least: float, percent: int, most: int | None):
+def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent: int, most: int | None):
     """(i, j) index arrays of pairs of different labels that may be linked: the tree of the most similar pairs that joins
-    them (``most`` None), or the ``most`` most similar of each two labels; and whether more are left."""
+    them (``most`` None), or the ``most`` most similar of each two labels; and whether more are left.  A pair that shares
+    several bands is looked at in the first of them only."""
     import numpy as np
 
     found, step = [], max(1, (1 << 24) // (len(signs) * signs.shape[1] + 1))
@@ -187,7 +188,9 @@ def likely(signs, sizes, labels, sides, least: float, percent: int, most: int |
         good = (i < j) & (labels[i] != labels[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))
         if sides is not None:
             good &= sides[i] != sides[j]
-        found.append((share[good], i[good], j[good]))
+        share, i, j = share[good], i[good], j[good]
+        once = ~(bands[i, :band] == bands[j, :band]).any(1)
+        found.append((share[once], i[once], j[once]))
     share, i, j = (np.concatenate(x) for x in zip(*found))
     if most is not None:
         key = np.stack([np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])])
@@ -219,11 +222,11 @@ def _candidates(percent: int, most: int | None):
         import numpy as np
         import pyarrow as pa
 
-        def settle(rows):
+        def settle(band, rows):
             signs = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), -1)
-            reps, sizes, labels, block = (np.array([r[k] for r in rows], np.int64) for k in range(1, 5))
+            reps, sizes, labels, block, bands = (np.array([r[k] for r in rows], np.int64) for k in range(1, 6))
             sides = block if block.min() != block.max() else None
-            i, j, more = likely(signs, sizes, labels, sides, percent / 100 - SLACK, percent, most)
+            i, j, more = likely(signs, sizes, labels, sides, bands, band, percent / 100 - SLACK, percent, most)
             return np.minimum(reps[i], reps[j]).tolist() + [None] * more, np.maximum(reps[i], reps[j]).tolist() + [None] * more
 
         def out(a, b):
@@ -232,16 +235,16 @@ def _candidates(percent: int, most: int | None):
         now, rows = None, []
         for batch in batches:
             a, b = [], []
-            cols = [batch.column(c).to_pylist() for c in ("band", "hash", "lo", "hi", "sign", "rep", "n", "label", "block")]
-            for *key, sign, rep, n, label, block in zip(*cols):
+            cols = [batch.column(c).to_pylist() for c in ("band", "hash", "lo", "hi", "sign", "rep", "n", "label", "block", "bands")]
+            for *key, sign, rep, n, label, block, bands in zip(*cols):
                 if key != now and rows:
-                    x, y = settle(rows)
+                    x, y = settle(now[0], rows)
                     a, b, rows = a + x, b + y, []
                 now = key
-                rows.append((sign, rep, n, label, block))
+                rows.append((sign, rep, n, label, block, bands))
             yield out(a, b)
         if rows:
-            yield out(*settle(rows))
+            yield out(*settle(now[0], rows))
 
     return run
 
@@ -267,7 +270,7 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
             rows = members.join(open_.select("band", "hash"), ["band", "hash"], "left_semi")
             rows = rows.join(labels, F.col("rep") == F.col("node"))
         key = ["band", "hash", "lo", "hi"]
-        found = cut_lineage(rows.select(*key, "sign", "rep", "n", "label", "block").repartition(*key).sortWithinPartitions(*key)
+        found = cut_lineage(rows.select(*key, "sign", "rep", "n", "label", "block", "bands").repartition(*key).sortWithinPartitions(*key)
                             .mapInArrow(_candidates(percent, most), "a long, b long").distinct())
         pairs = found.where("a is not null")
         pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
@@ -286,7 +289,7 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
         if found.where("a is null").isEmpty():
             break
         tried = found.where("a is not null") if tried is None else tried.unionByName(found.where("a is not null"))
-        most = 2 if most is None else most * GROWTH
+        most = GROWTH if most is None else most * GROWTH
     found = sets.select(F.col("key").alias("_key"), "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "_key", F.coalesce("label", "rep").alias("component_id"))
     out = sketch.select("doc_id", "n", "key").join(found, F.col("key") == F.col("_key"), "left")
