@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import op1_mixing, op2_token_ids, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii
+from . import op1_mixing, op2_token_ids, op3_licenses, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op2_token_ids": op2_token_ids.op2_token_ids,
+    "op3_licenses": op3_licenses.op3_licenses,
     "op4_secrets": op4_secrets.op4_secrets,
     "op5_quality": op5_quality.op5_quality,
     "op6_suffix_dedup": op6_suffix_dedup.op6_suffix_dedup,
@@ -21,6 +22,7 @@ QUERIES = {
 
 SQL = {
     "op1_mixing": op1_mixing.SQL,
+    "op3_licenses": op3_licenses.SQL,
     "op5_quality": op5_quality.SQL,
     "op7_warc": op7_warc.SQL,
     "op8_decontamination": op8_decontamination.SQL,
