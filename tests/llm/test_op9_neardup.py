@@ -91,3 +91,11 @@ def test_superminhash_estimates_similarity():
             diffs.append((s[0] == s[1]).mean() - k / (2 * n - k))
         assert abs(np.mean(diffs)) < 0.02 and np.std(diffs) < 0.05
     assert len(set((op.superminhash(pool[:1], 125) >> np.uint64(32)).tolist())) == 125  # one element: a permutation
+
+
+def test_borderline_pair_that_signatures_underrate(make_docs):
+    """Similarity is exactly 0.85 and a band is shared, but only 151 of the 200 places agree."""
+    words = [f"s9021w{i}" for i in range(2004)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:1704]))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
+    assert got == brute(rows) == {1: (2000, 1, True), 2: (1700, 1, False)}
