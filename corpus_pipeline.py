@@ -1,6 +1,6 @@
 """From documents to token ids: five stages, each written as Parquet and read again as the next one's documents.
 
-Quality rules drop rejected documents, near-duplicate groups keep one document, documents with a benchmark window go,
+Quality rules drop boilerplate lines and rejected documents, near-duplicate groups keep one document, documents with a benchmark window go,
 the rest is mixed to target weights (documents taken several times appear several times), and the mix is
 encoded and read back.  All stages but the last return the columns of documents.
 
@@ -19,7 +19,7 @@ from yieldlens.session import cut_lineage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, without their boilerplate lines."""
     return op5_quality.keep(docs)
 
 

@@ -51,3 +51,17 @@ def test_depleted_documents_are_rejected_and_copies_kept(make_docs):
 
 def test_empty_table(make_docs):
     assert op.judge(make_docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_kept_texts_lose_their_boilerplate_lines(make_docs):
+    def body(i, n):
+        name = "".join(chr(97 + int(c)) for c in str(i))
+        return " ".join(f"w{name}x{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n))
+
+    docs = [(i, f"Page {i}  of Site\n\n{body(i, 60)}\n\tpage {i + 1} OF site\nend", "h") for i in range(30)]
+    docs += [(100, "Page 1 of Site\n" + body(100, 60), "other"), (101, "page 7 of site\n" + body(101, 60), None)]
+    docs += [(None, "page 9 of site\n" + body(102, 70), "h"), (3, "page 8 of site\n" + body(103, 70), "h"), (104, "end", "h")]
+    rows = op.keep(make_docs(docs)).select("doc_id", "text", "source", "h").collect()
+    want = [(i, f"\n{body(i, 60)}", "h", "clash") for i in range(30)]
+    want += [(d, t, h, "clash") for d, t, h in docs[30:32]] + [(None, body(102, 70), "h", "clash"), (3, body(103, 70), "h", "clash")]
+    assert collections.Counter(tuple(r) for r in rows) == collections.Counter(want)

@@ -2,8 +2,8 @@
 
 Lines are normalised (ASCII white space collapsed, lower case, digits folded) and hashed; for every host (the
 document's source) the number of distinct documents with the line is counted, exact copies of a document counting
-once.  A line in more documents of its host than the limit is boilerplate and is removed; a document that keeps
-less than ``min_left`` of its words is depleted and rejected, as are documents that fail the base rules.
+once.  A line in more documents of its host than the limit is boilerplate and is removed from the texts that
+``keep`` hands on; a document that keeps less than ``min_left`` of its words is depleted and rejected, as are documents that fail the base rules.
 
 Cases: null or empty text has no words and fails the base rules; a null source is a host of its own; repeated rows
 are exact copies and count once; a text of any length is handled in its own row; extra columns are ignored.  All
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import SPACE, WORD, matching, table
+from .text import BROADCAST_ROWS, SPACE, WORD, table
 
 MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50  # per cent of words in repeated three-word windows
@@ -53,17 +53,18 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def line_key(line: Column) -> Column:
+    """Hash of a normalised line."""
+    flat = F.trim(F.regexp_replace(line, F.lit(SPACE + "+"), F.lit(" ")))
+    return F.xxhash64(F.regexp_replace(F.lower(flat), F.lit("[0-9]+"), F.lit("0")))
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """One row for each document: its id, host, a hash of the text, the base figures and its lines as
     (hash, words) pairs."""
     text = F.coalesce(F.col("text"), F.lit(""))
     raw = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-
-    def normal(line: Column) -> Column:
-        flat = F.trim(F.regexp_replace(line, F.lit(SPACE + "+"), F.lit(" ")))
-        return F.regexp_replace(F.lower(flat), F.lit("[0-9]+"), F.lit("0"))
-
-    pairs = F.transform(raw, lambda line: F.struct(F.xxhash64(normal(line)).alias("h"),
+    pairs = F.transform(raw, lambda line: F.struct(line_key(line).alias("h"),
                                                    F.regexp_count(line, F.lit(WORD)).alias("n")))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     return docs.select(
@@ -98,7 +99,8 @@ def content_key(text: Column) -> Column:
 
 
 def judge(docs: DataFrame, min_docs: int = LINE_DOCS, share: float = LINE_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """doc_id, host, content, the base figures, base_failed, left_words and kept for every document."""
+    """doc_id, host, content, the base figures, base_failed, left_words, kept and cut (the keys of the document's
+    boilerplate lines, or null) for every document."""
     m = measures(docs).withColumn("_row", F.monotonically_increasing_id())
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_SHARE * F.col("n_words"))
     stored = cut_lineage(m.withColumn("base_failed", base))
@@ -106,23 +108,38 @@ def judge(docs: DataFrame, min_docs: int = LINE_DOCS, share: float = LINE_SHARE,
     common = common.select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     each = stored.select("_row", "host", F.explode("lines").alias("line")).select("_row", "host", "line.h", "line.n")
     gone = each.join(common, F.col("host").eqNullSafe(F.col("_host")) & (F.col("h") == F.col("_h")))
-    gone = gone.groupBy(F.col("_row").alias("_r")).agg(F.sum("n").alias("_gone"))
+    gone = gone.groupBy(F.col("_row").alias("_r")).agg(F.sum("n").alias("_gone"), F.collect_set("h").alias("cut"))  # of one document
     out = stored.drop("lines").join(gone, F.col("_row") == F.col("_r"), "left")
     left = F.col("n_words") - F.coalesce(F.col("_gone"), F.lit(0))
     out = out.withColumn("left_words", left.cast("long"))
     return out.select("doc_id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "left_words", (~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))).alias("kept"))
+                      "left_words", (~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))).alias("kept"), "cut")
 
 
 def keep(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that the rules keep."""
-    gone = judge(docs, **limits).where("not kept").select("doc_id", "host", "content").distinct()
-    return matching(docs, gone, {"doc_id": F.col("doc_id"), "host": F.col("source"), "content": content_key(F.col("text"))}, "left_anti")
+    """The documents that the rules keep, their texts without the boilerplate lines (n_chars, where there is one, counted
+    anew for texts that lost lines)."""
+    marks = judge(docs, **limits).where("not kept or cut is not null")
+    marks = cut_lineage(marks.select("doc_id", "host", "content", "kept", "cut").dropDuplicates(["doc_id", "host", "content"]))
+    size = marks.agg(F.sum(F.when(F.col("cut").isNull(), 1).otherwise(1 + F.size("cut"))).alias("n")).first()["n"] or 0
+    marks = marks.select(F.struct("doc_id", "host", "content", "kept", "cut").alias("_mark"))
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), content_key(F.col("text")).alias("_content"))
+    same = (F.col("_doc.doc_id").eqNullSafe(F.col("_mark.doc_id")) & F.col("_doc.source").eqNullSafe(F.col("_mark.host"))
+            & (F.col("_content") == F.col("_mark.content")))
+    rows = held.join(F.broadcast(marks) if size <= BROADCAST_ROWS else marks, same, "left")
+    rows = rows.where(F.col("_mark").isNull() | F.col("_mark.kept"))
+    own = F.filter(F.split(F.col("_doc.text"), "\n"),
+                   lambda line: ~line.rlike(WORD) | ~F.array_contains(F.col("_mark.cut"), line_key(line)))
+    rows = rows.withColumn("_left", F.when(F.col("_mark.cut").isNotNull(), F.array_join(own, "\n")))
+    out = {"text": F.coalesce("_left", "_doc.text"), "n_chars": F.when(
+        F.col("_left").isNotNull(), F.length("_left")).otherwise(F.col("_doc")["n_chars"]).cast(docs.schema["n_chars"].dataType)
+        if "n_chars" in docs.columns else None}
+    return rows.select(*[out.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Base figures and the verdict of the line-frequency rule for every document."""
-    return judge(table(spark, sf_dir, "documents")).drop("host", "content")
+    return judge(table(spark, sf_dir, "documents")).drop("host", "content", "cut")
 
 
 SQL = r"""
