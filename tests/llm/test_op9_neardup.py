@@ -99,3 +99,21 @@ def test_borderline_pair_that_signatures_underrate(make_docs):
     rows = [(1, " ".join(words)), (2, " ".join(words[:1704]))]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
     assert got == brute(rows) == {1: (2000, 1, True), 2: (1700, 1, False)}
+
+
+def test_null_and_repeated_doc_ids_are_judged_by_their_sets(make_docs):
+    text = lambda name, n=150: " ".join(f"{name}{i}" for i in range(n))
+    near = lambda name: text(name) + " more"
+    rows = [(1, text("a")), (None, text("a")),                        # a copy under a null doc_id
+            (None, text("b")), (None, text("b")), (None, near("b")),  # copies and a near copy, all without doc_id
+            (None, text("c")), (None, None), (None, ""),              # unique, and without words
+            (2, text("d")), (5, text("d")), (5, text("e")),           # a repeated doc_id: a copy, and a unique text
+            (6, text("f")), (6, text("F")), (6, near("f")), (6, text("f")),  # one doc_id, one group
+            (7, ""), (7, "")]
+    got = sorted(((r["doc_id"], r["text"]) for r in op.keep_one(make_docs(rows)).select("doc_id", "text").collect()),
+                 key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    b = [t for d, t in got if d is None and t and t.startswith("b0 ")]
+    f = [t for d, t in got if d == 6]
+    assert len(b) == 1 and b[0] in (text("b"), near("b")) and len(f) == 1 and f[0] in (text("f"), text("F"), near("f"))
+    assert [r for r in got if r[1] not in (b[0], f[0])] == [
+        (1, text("a")), (2, text("d")), (5, text("e")), (7, ""), (None, None), (None, ""), (None, text("c"))]

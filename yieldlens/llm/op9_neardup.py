@@ -14,9 +14,13 @@ A pair with similarity s shares a band with chance 1 - (1 - s**5)**25: 0.9999996
 their signatures agree in all but SLACK less than the wanted share of SIZE places, 5.5 standard deviations at 0.85: by the
 binomial 1.4 pairs in ten million are lost there, fewer than by the bands (4.3).
 
+A set is known by its digest, not by a doc_id; a component is named by the smallest doc_id of its rows, and the set that
+has it (of several, the one with the smallest digest) is kept.
+
 Cases: null text and texts without words have the empty set and are linked with nothing; a text of fewer words than a
-shingle is one shingle; repeated doc_ids are one document if their sets are equal, and share the smaller component
-otherwise; an empty table gives an empty result; extra columns are ignored.
+shingle is one shingle; rows of one doc_id with equal sets are one document, with different sets they are documents of
+their own; a null doc_id comes after all others, so that its rows are grouped by their sets like any, and a component of
+such rows only has a null name; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .text import lowered, matching, mixed, range_sums, slices, table, utf8, words
+from .op5_quality import content_key
+from .text import BROADCAST_ROWS, lowered, matching, mixed, range_sums, slices, table, utf8, words
 
 WIDTH = 5
 BANDS, ROWS = 25, 5
@@ -108,8 +113,9 @@ def _sketch(width: int, bands: int, rows: int, size: int):
                 folded.append(mixed((signature[: bands * rows].reshape(bands, rows) * weights).sum(1) + salt).view(np.int64))
                 signs.append(mixed(signature).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(folded, pa.list_(pa.int64())), pa.array(signs, pa.binary())], names=["doc_id", "n", "key", "bands", "sign"])
+                [batch.column("doc_id"), batch.column("content"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(folded, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
+                names=["doc_id", "content", "n", "key", "bands", "sign"])
 
     return run
 
@@ -120,7 +126,7 @@ def _sets(width: int):
 
         for batch in batches:
             raw = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(raw, pa.binary())], names=["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(raw, pa.binary())], names=["node", "items"])
 
     return run
 
@@ -249,16 +255,31 @@ def _candidates(percent: int, most: int | None):
     return run
 
 
-def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the row (doc_id, content) that stands for each set of ``wanted``, one row a node."""
+    rows = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    rows = rows.select(F.col("node"), F.col("doc_id").alias("_d"), F.col("content").alias("_c"))
+    return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("content") == F.col("_c"))).select("node", "text")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, content, n_shingles, key, component_id, kept for every document; key is the digest of its set."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", content_key(F.col("text")).alias("content"))
     sketch = cut_lineage(docs.mapInArrow(
-        _sketch(width, BANDS, ROWS, SIZE), "doc_id long, n long, key binary, bands array<long>, sign binary"))
-    sets = cut_lineage(sketch.where("key is not null and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sign").alias("sign")))
+        _sketch(width, BANDS, ROWS, SIZE), "doc_id long, content long, n long, key binary, bands array<long>, sign binary"))
+    sets = sketch.where("key is not null").groupBy("key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("head"), F.first("n").alias("n"),
+        F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+    sets = cut_lineage(sets.withColumn("rep", F.monotonically_increasing_id()))  # stored: every reader sees the same numbers
     members = cut_lineage(buckets(sets))
     wanted = cut_lineage(members.select("rep").distinct())
-    full = cut_lineage(matching(docs, wanted, {"rep": F.col("doc_id")}, "left_semi").mapInArrow(_sets(width), "doc_id long, items binary"))
+    heads = cut_lineage(wanted.join(sets.select(F.col("rep").alias("node"), "head.doc_id", "head.content"), F.col("rep") == F.col("node"))
+                        .select("node", "doc_id", "content"))
+    again = heads.join(sketch.groupBy(F.col("doc_id").alias("_d"), F.col("content").alias("_c")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("content") == F.col("_c")), "left_semi")
+    texts = _texts(docs, heads)
+    texts = texts if again.isEmpty() else texts.dropDuplicates(["node"])  # repeated rows
+    full = cut_lineage(texts.mapInArrow(_sets(width), "node long, items binary"))
     labels = cut_lineage(wanted.select(F.col("rep").alias("node"), F.col("rep").alias("label")))
     tried, most = None, None
     while True:
@@ -274,8 +295,8 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
                             .mapInArrow(_candidates(percent, most), "a long, b long").distinct())
         pairs = found.where("a is not null")
         pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
-        x = full.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
-        y = full.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
+        x = full.select(F.col("node").alias("b"), F.col("items").alias("y"))
+        y = full.select(F.col("node").alias("a"), F.col("items").alias("x"))
         links = cut_lineage(pairs.join(x, "b").join(y, "a").select("a", "b", "x", "y").mapInArrow(
             _confirm(percent), "a long, b long"))
         if not links.isEmpty():
@@ -290,20 +311,38 @@ def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFr
             break
         tried = found.where("a is not null") if tried is None else tried.unionByName(found.where("a is not null"))
         most = GROWTH if most is None else most * GROWTH
-    found = sets.select(F.col("key").alias("_key"), "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
-        "_key", F.coalesce("label", "rep").alias("component_id"))
-    out = sketch.select("doc_id", "n", "key").join(found, F.col("key") == F.col("_key"), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    own = sets.select("rep", "key", F.struct("head.last", "head.doc_id", "key").alias("head")).join(
+        labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep"))
+    own = cut_lineage(own.select("key", "label", "head"))
+    best = own.groupBy(F.col("label").alias("_l")).agg(F.min("head").alias("best"))
+    own = own.join(best, F.col("label") == F.col("_l")).select(F.col("key").alias("_key"), "best")
+    out = sketch.select("doc_id", "content", "n", "key").join(own, F.col("key") == F.col("_key"), "left")
+    kept = F.col("key").isNull() | ((F.col("key") == F.col("best.key")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id")))
+    return out.select("doc_id", "content", F.col("n").alias("n_shingles"), "key", F.when(
+        F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"), kept.alias("kept"))
+
+
+def group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every document."""
+    return _grouped(docs, width, percent).drop("content", "key")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; of equal rows with one doc_id one stays."""
-    gone = group(docs, width, percent).where("not kept").select("doc_id").distinct()
-    kept = matching(docs, gone, {"doc_id": F.col("doc_id")}, "left_anti")
-    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    """One document of each group, the one of the smallest doc_id; of its rows with that doc_id and equal sets, the one with
+    the smallest hash of the text stays.  Rows without words stay, equal ones of one doc_id once."""
+    rows = cut_lineage(_grouped(docs, width, percent).drop("n_shingles"))
+    first = rows.where("kept and key is not null").groupBy("doc_id", "key").agg(F.min("content").alias("_first"), F.max("content").alias("_other"))
+    first = first.where("_first < _other").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "_first")
+    less = rows.where("kept").join(first, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))).where("content > _first")
+    gone = rows.where("not kept").select("doc_id", "content").unionByName(less.select("doc_id", "content")).distinct()
+    key = {"doc_id": F.col("doc_id").cast("long"), "content": content_key(F.col("text"))}
+    left = matching(docs, gone, key, "left_anti")
+    again = rows.where("kept and (key is not null or doc_id is not null)").groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    again = cut_lineage(again.where("n > 1").select("doc_id", "content"))
+    if again.isEmpty():
+        return left
+    return matching(left, again, key, "left_anti").unionByName(
+        matching(left, again, key, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op9_neardup(spark, sf_dir: str) -> DataFrame:
