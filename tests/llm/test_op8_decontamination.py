@@ -67,3 +67,12 @@ def test_empty_tables(make_docs, spark):
     docs = make_docs([(1, "a b")])
     assert op.rate(docs.limit(0), bench).count() == 0
     assert not op.rate(docs, bench.limit(0)).first()["contaminated"]
+
+
+def test_proximity_with_skewed_and_absent_terms(make_docs, spark):
+    item = "r1 f2 f3 f4 f5 f6 f7 f8 f9 f10"
+    bench = spark.createDataFrame([(1, item), (2, "q1 absent q3 q4 q5 q6 q7 q8 q9 q10")], "item_id long, text string")
+    docs = [(1, "r1 new f2 f3 f4 f5 f6 f7 f8 f9 f10"), (2, "q1 other q3 q4 new q5 q6 q7 q8 q9 q10")]
+    docs += [(10 + i, " ".join(f"f{k}" for k in range(2, 11))) for i in range(20)] + [(50, "q1"), (51, "r1 " + "x " * 9 + "f2")]
+    got = {(r["_id"], r["item_id"], r["kind"]) for r in op.matches(make_docs(docs), bench, slop=2).collect()}
+    assert got == {(1, 1, "near"), (2, 2, "near")}

@@ -5,13 +5,14 @@ windows of an item that share it are looked up together.  The index holds the po
 around) of those terms and of second terms whose lists are not much longer.  Postings less the term's offset in the item
 name a diagonal of the document; the lists of both terms are intersected on it, and what is left is compared word by word
 outwards from the rarest term, which gives the exact extent of all windows that occur.  With ``slop`` the lists may
-differ by so many words, which gives proximity matches.
+differ by so many words, which gives proximity matches: each window is then looked up by the two rarest of its terms that
+occur, whatever the length of their lists.
 
 Bounds: item tables are broadcast only up to ``BROADCAST_ROWS`` rows, counted first; larger ones are joined by shuffle,
 where a frequent term's postings may be split.  Nothing is made for pairs of documents.
 
 Cases: null and empty texts have no words; an item of fewer words than a window is one window; a window with a term
-that no document has is dropped at once; repeated documents are rated alike; repeated items count once by id; an empty
+that no document has is dropped at once (with ``slop``, one of whose terms less than two occur has no proximity match); repeated documents are rated alike; repeated items count once by id; an empty
 table on either side gives no hits; extra columns are ignored.
 """
 
@@ -52,10 +53,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), text_words(F.col("text")).alias("_words"))
 
 
-def lookups(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def lookups(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: bool = False) -> DataFrame:
     """One row for each item and rarest-term place: item_id, term, j (its place), lo and hi (first and last start of
     the windows looked up by it), size (words in a window), left and right (the item's words outwards from j),
-    term2 and j2 (the rarest other term that all these windows share, if its list is short enough to help, or null)."""
+    term2 and j2 (the rarest other term that all these windows share, if its list is short enough to help, or null).
+    With ``near`` there is one row for each item and places of a window's two rarest terms that occur."""
     items = benchmark.select("item_id", text_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = cut_lineage(items.distinct().withColumn("item", F.xxhash64("item_id", "words")))
     terms = cut_lineage(items.select(F.explode("words").alias("term")).distinct())
@@ -70,16 +72,20 @@ def lookups(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     rows = items.join(places, "item").withColumn("freqs", F.col("places.freq")).withColumn("size", size)
     rows = rows.withColumn("s", F.explode(starts))
     inside = F.slice("places", F.col("s") + 1, F.col("size"))
-    rows = rows.where(~F.exists(inside, lambda p: p["freq"].isNull()))
-    rarest = F.array_min(F.transform(inside, lambda p: F.struct(p["freq"].alias("freq"), p["j"].alias("j"))))["j"]
-    rows = rows.withColumn("j", rarest).groupBy("item", "j").agg(
+    by_freq = F.transform(F.filter(inside, lambda p: p["freq"].isNotNull()), lambda p: F.struct(p["freq"].alias("freq"), p["j"].alias("j")))
+    if near:
+        rows = rows.withColumn("_two", F.slice(F.array_sort(by_freq), 1, 2)).where(F.size("_two") > 0)
+        rows = rows.withColumn("j", F.get("_two", F.lit(0))["j"]).withColumn("j2", F.get("_two", F.lit(1))["j"])
+    else:
+        rows = rows.where(~F.exists(inside, lambda p: p["freq"].isNull())).withColumn("j", F.array_min(by_freq)["j"])
+    rows = rows.groupBy("item", "j", *["j2"] * near).agg(
         F.first("item_id").alias("item_id"), F.first("words").alias("words"), F.first("places").alias("places"),
         F.first("size").alias("size"), F.min("s").alias("lo"), F.max("s").alias("hi"))
     core = F.filter(F.slice("places", F.col("hi") + 1, F.col("lo") + F.col("size") - F.col("hi")), lambda p: p["j"] != F.col("j"))
     second = F.array_min(F.transform(core, lambda p: F.struct(p["freq"].alias("freq"), p["j"].alias("j"))))
     first = F.get("places", F.col("j"))["freq"]
     reach = F.lit(window - 1)
-    rows = rows.withColumn("j2", F.when(second["freq"] <= SECOND * first, second["j"])).select(
+    rows = (rows if near else rows.withColumn("j2", F.when(second["freq"] <= SECOND * first, second["j"]))).select(
         "item", "item_id", "j", "lo", "hi", "size", F.get("words", F.col("j")).alias("term"), "j2",
         F.get("words", F.col("j2")).alias("term2"), *_around("words", F.col("j"), reach))
     return cut_lineage(rows)
@@ -112,7 +118,7 @@ def _shared(a: Column, b: Column) -> Column:
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """_id, _th, item_id, kind, a, b: exact matches cover the document's words a to b (inclusive); with ``slop``,
     proximity matches too: both rarest terms at words a and b, at most so many words out of place, exact or not."""
-    groups = lookups(docs, benchmark, window)
+    groups = lookups(docs, benchmark, window, slop > 0)
     index = postings(docs, groups, window)
     small = _small(groups)
     one = index.where("dleft is not null").join(small, "term").select(
@@ -121,8 +127,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     pairs = groups.where("term2 is not null").select("item", "j", "j2", F.col("term2").alias("term"))
     two = index.select("_id", "_th", "term", "pos").join(F.broadcast(pairs) if small is not groups else pairs, "term")
     two = two.select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("item").alias("_item2"), F.col("j").alias("_j2"),
-                     (F.col("pos") - F.col("j2")).alias("diagonal2"), F.col("pos").alias("pos2"))
+                     F.col("j2").alias("_second2"), (F.col("pos") - F.col("j2")).alias("diagonal2"), F.col("pos").alias("pos2"))
     same = (F.col("_th") == F.col("_th2")) & F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("item") == F.col("_item2")) & (F.col("j") == F.col("_j2"))
+    same = same & (F.col("j2") == F.col("_second2")) if slop else same
     met = one.where("j2 is not null").join(two, same & (F.col("diagonal") == F.col("diagonal2")), "left_semi")
     met = met.unionByName(one.where("j2 is null"))
     met = met.withColumn("l", _shared(F.col("left"), F.col("dleft"))).withColumn("r", _shared(F.col("right"), F.col("dright")))
