@@ -53,3 +53,34 @@ def test_held_out_accuracy_and_added_spans(make_docs, spark):
 
 def test_empty_table(make_docs):
     assert op.find(make_docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_windows_cover_the_whole_run():
+    for n in (12, 40, 41, 59, 60, 61, 80, 81, 200, 1001):
+        text = "before " + "".join(chr(0x4E00 + i) for i in range(n)) + " after"
+        views = op.windows(text, 7, 7 + n)
+        assert views[0] == op.window(text, 7, 7 + n) and all(len(v) == op.BEFORE + op.TOKEN + op.AFTER for v in views)
+        seen = [v[op.BEFORE:op.BEFORE + op.TOKEN] for v in views]
+        for a in range(n - min(n, 20) + 1):
+            assert any(text[7 + a:7 + a + min(n, 20)] in s for s in seen)
+
+
+def test_secret_after_the_fortieth_character_is_found(make_docs):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(n))
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"{word(6)} {word(14)} token = \"{hexes(24 + i % 17)}\" {word(5)}") for i in range(300)]
+    path = lambda: "/".join(word(9) for _ in range(4))
+    rows += [(1000 + i, f"{word(6)} \"mail{i % 9}.{word(8)}.com/{path()}\" {word(4)}") for i in range(300)]
+    rows += [(2000 + i, f"{word(6)} \"mail{i % 9}.{word(8)}.com/{path()}/{hexes(23)}\" {word(5)}") for i in range(5)]
+    got = {r["doc_id"]: r["n_model"] for r in op.find(make_docs(rows)).collect()}
+    assert sum(got[2000 + i] for i in range(5)) >= 4 and sum(got[1000 + i] for i in range(300)) <= 15
+
+
+def test_recall_wins_over_the_floor():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 96, (600, op.BEFORE + op.TOKEN + op.AFTER)), np.arange(600) % 10 == 0
+    net = op.CharNet().calibrate(x, y.astype(int))
+    assert (net.chance(x)[y] >= net.threshold).mean() >= op.RECALL

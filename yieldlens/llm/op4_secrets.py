@@ -2,8 +2,9 @@
 
 One pass over the texts finds the base spans (assign, access, hex) and the candidates: runs of 12 or more token
 characters that hold a letter and a digit, with the text around them.  A small network (character embedding,
-one convolution, maximum over positions, logistic output) is trained on labelled findings: what the base patterns
-matched is positive, other candidates and long plain words are negative.  Two networks are fitted on halves of the findings;
+one convolution, maximum over positions, logistic output) rates overlapping windows over the whole run; a run counts
+as a secret if any of its windows does.  It is trained on labelled findings: what the base patterns
+matched is positive, the windows of other candidates and long plain words are negative.  Two networks are fitted on halves of the findings;
 each is calibrated on the half it has not seen, where its threshold must keep the wanted recall, and rates that half.  Candidates above it that no base span touches
 are added as kind ``model``; base spans stay as they are.
 
@@ -30,7 +31,7 @@ BEFORE, TOKEN, AFTER = 24, 40, 8   # characters of the window the network sees
 TRAIN_ROWS = 2000
 LEAST_ROWS = 30
 RECALL = 0.98
-FLOOR = 0.5                        # no threshold below this calibrated chance
+FLOOR = 0.5                        # no threshold below this calibrated chance, unless the recall needs it
 
 
 def _letters(word: str) -> str:
@@ -65,11 +66,23 @@ def window(text: str, start: int, end: int) -> str:
     return before + text[start : min(end, start + TOKEN)].ljust(TOKEN) + text[end : end + AFTER].ljust(AFTER)
 
 
+def windows(text: str, start: int, end: int) -> list[str]:
+    """Views over a whole candidate: that of its start, one every half token, the last up to its end, and one from the
+    start of each of its parts of SHORTEST or more letters and digits.  What is before an inner view is of the same run,
+    so it is left blank, as for tokens alone."""
+    import re
+
+    starts = {*range(start + TOKEN // 2, end - TOKEN, TOKEN // 2), end - TOKEN} if end - start > TOKEN else set()
+    parts = re.compile(r"[A-Za-z0-9]{%d,}" % SHORTEST).finditer(text, start, end)
+    starts |= {m.start() for m in parts if m.start() > start}
+    return [window(text, start, end)] + [" " * BEFORE + window(text, a, min(end, a + TOKEN))[BEFORE:] for a in sorted(starts)]
+
+
 SCANNED = T.StructType([
     T.StructField("base", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
                                                     T.StructField("end", T.LongType())]))),
     T.StructField("candidates", T.ArrayType(T.StructType([
-        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("view", T.StringType())]))),
+        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("views", T.ArrayType(T.StringType()))]))),
     T.StructField("findings", T.ArrayType(T.StructType([T.StructField("label", T.IntegerType()), T.StructField("view", T.StringType())]))),
 ])
 
@@ -93,13 +106,13 @@ def _scan():
                     for m in runs.finditer(text):
                         a, b = m.span()
                         if digit.search(text, a, b) and letter.search(text, a, b) and not any(s < b and a < e for s, _, e in spans):
-                            free.append({"start": a, "end": b, "view": window(text, a, b)})
+                            free.append({"start": a, "end": b, "views": windows(text, a, b)})
                 for s, kind, e in spans:
                     at = s if kind else max(s, e - len(re.search(r"[A-Za-z0-9+/_.=-]*$", text[s:e])[0]))
                     view = window(text, at, e)
                     found.append({"label": 1, "view": view})
                     found.append({"label": 1, "view": " " * BEFORE + view[BEFORE:]})  # the token alone
-                found += [{"label": 0, "view": c["view"]} for c in free]
+                found += [{"label": 0, "view": view} for c in free for view in c["views"]]
                 if m := plain.search(text):
                     found.append({"label": 0, "view": window(text, *m.span())})
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
@@ -172,7 +185,8 @@ class CharNet:
 
     def calibrate(self, x, y, recall: float = RECALL):
         """Slope and offset of the logit that fit held-back findings, then the threshold: halfway from the highest
-        one that keeps the recall to the best-rated negative below it (or the floor), so new findings have room."""
+        one that keeps the recall to the best-rated negative below it (or the floor), so new findings have room; where
+        the recall needs a threshold below the floor, it is that highest one."""
         import numpy as np
 
         logit = self.forward(x)[0]
@@ -186,7 +200,7 @@ class CharNet:
         kept = np.sort(chance[y == 1])
         top = float(kept[int((1 - recall) * len(kept))])
         below = chance[(y == 0) & (chance < top)]
-        self.threshold = max(FLOOR, (top + float(below.max(initial=FLOOR))) / 2)
+        self.threshold = min(top, (top + float(below.max(initial=FLOOR))) / 2)
         return self
 
     def chance(self, x):
@@ -239,7 +253,7 @@ def _score(nets: list[CharNet] | None):
         import pandas as pd
 
         for pdf in batches:
-            views = [c["view"] for row in pdf["candidates"] for c in row]
+            views = [view for row in pdf["candidates"] for c in row for view in c["views"]]
             good = []
             for a in range(0, len(views) if nets else 0, 2000):
                 good += accepted(nets, views[a : a + 2000])
@@ -247,8 +261,11 @@ def _score(nets: list[CharNet] | None):
             for base, row in zip(pdf["base"], pdf["candidates"]):
                 spans = [(s["start"], s["kind"], s["end"]) for s in base]
                 said = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
-                more = [(c["start"], 3, c["end"]) for i, c in enumerate(row) if nets and good[at + i]]
-                at += len(row)
+                more = []
+                for c in row:
+                    if nets and any(good[at : at + len(c["views"])]):
+                        more.append((c["start"], 3, c["end"]))
+                    at += len(c["views"])
                 for k in range(3):
                     out["n_" + KINDS[k]].append(sum(s[1] == k for s in spans))
                 out["base_sha256"].append(hashlib.sha256(said(spans).encode()).hexdigest())
