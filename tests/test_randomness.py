@@ -21,3 +21,13 @@ def test_replicates_are_independent(spark):
     u = spark.range(3000).select(*[unit_hash(F.col("id"), F.lit(r), salt=42).alias(f"r{r}") for r in range(30)]).toPandas().to_numpy()
     assert abs(u.mean() - 0.5) < 0.005 and 0 <= u.min() and u.max() < 1
     assert abs(np.corrcoef(u.T)[np.triu_indices(30, 1)]).max() < 0.09
+
+
+def test_forest_does_not_depend_on_row_order(spark):
+    from yieldlens.operators.models import isolation_scores
+
+    wide = spark.range(3000).select(F.col("id").alias("o_orderkey"), F.col("id").cast("string").alias("record_id"), F.lit("reference").alias("side"),
+                                    F.lit(0).alias("target"), *[unit_hash(F.col("id"), F.lit(c), salt=5).alias(f"s{c}") for c in range(4)])
+    one, other = ({r["record_id"]: r["anomaly_score"] for r in isolation_scores(w, [f"s{c}" for c in range(4)], trees=3).collect()}
+                  for w in (wide.coalesce(1), wide.orderBy(F.desc("o_orderkey")).repartition(7)))
+    assert one == other

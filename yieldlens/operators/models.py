@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite
@@ -249,10 +249,10 @@ def calibrate(oof: DataFrame, method: str, k: int = FOLDS, key: str = "record_id
         "calibrated_probability"), F.lit(method).alias("method"))
 
 
-def isolation_scores(wide: DataFrame, features: Sequence[str], trees: int = 50, sample: int = 256,
+def isolation_scores(wide: DataFrame, features: Sequence[str], trees: int = 500, sample: int = 256,
                      key: str = "o_orderkey") -> DataFrame:
-    """Isolation forest: each tree is grown (in ``applyInPandas`` by tree id) on a hash sample of at most
-    ``sample`` pass rows from the reference side; the trees (small, bounded by trees x sample) are broadcast
+    """Isolation forest: each tree is grown (in ``applyInPandas`` by tree id) on the ``sample`` pass rows
+    of the reference side with the tree's smallest hashes, ties by key; the trees (small, bounded by trees x sample) are broadcast
     and every row's mean path length is computed in ``mapInPandas``; score = 2^(-E[h]/c(n))."""
     import numpy as np
     import pandas as pd
@@ -263,13 +263,15 @@ def isolation_scores(wide: DataFrame, features: Sequence[str], trees: int = 50,
     n_ref = ref.count()
     frac = min(1.0, 2.0 * sample / max(n_ref, 1))
     reps = wide.sparkSession.range(trees).select(F.col("id").cast("int").alias("tree"))
-    samp = ref.crossJoin(F.broadcast(reps)).where(unit_hash(F.col(key), F.col("tree"), salt=SEED) < frac)
+    samp = ref.crossJoin(F.broadcast(reps)).withColumn("_u", unit_hash(F.col(key), F.col("tree"), salt=SEED)).where(F.col("_u") < frac)
+    w = Window.partitionBy("tree").orderBy("_u", key)  # about 2 * sample rows of each tree
+    samp = samp.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= sample)
     cols = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
         rng = np.random.default_rng(SEED + t)
-        x = pdf[cols].to_numpy(dtype=float)[:sample]
+        x = pdf[cols].to_numpy(dtype=float)
         nodes = []  # (node id, feature idx, split, left, right, size)
 
         def build(idx, depth, limit):
