@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from yieldlens.operators import audit as A
 from yieldlens.session import cut_lineage
 from yieldlens.sources import fixtures as fx
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_chain_verifies_and_detects_tampering(spark):

@@ -3,7 +3,7 @@
 import pytest
 
 from oracle_harness import compare, duck
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 NAMES = ["feature_drift", "feature_manifest", "roc_auc", "policy_grid", "select_policy", "alerts",
          "error_diagnostics", "nearest_cases", "evidence_report", "session_analytics", "stream_window_profile",

@@ -4,7 +4,7 @@ import numpy as np
 
 from yieldlens.operators import similarity as SM
 from yieldlens.sources import fixtures as fx
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_knn_exact_against_brute_force(spark):
