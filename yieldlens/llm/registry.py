@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import op1_mixing, op2_token_ids, op3_licenses, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii
+from . import op1_mixing, op2_token_ids, op3_licenses, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii, op11_vector_codes
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination.op8_decontamination,
     "op9_neardup": op9_neardup.op9_neardup,
     "op10_pii": op10_pii.op10_pii,
+    "op11_vector_codes": op11_vector_codes.op11_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +27,5 @@ SQL = {
     "op5_quality": op5_quality.SQL,
     "op7_warc": op7_warc.SQL,
     "op8_decontamination": op8_decontamination.SQL,
+    "op11_vector_codes": op11_vector_codes.SQL,
 }
