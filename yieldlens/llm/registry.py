@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import op1_mixing, op2_token_ids, op3_licenses, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii, op11_vector_codes, op13_spellings
+from . import op1_mixing, op2_token_ids, op3_licenses, op4_secrets, op5_quality, op6_suffix_dedup, op7_warc, op8_decontamination, op9_neardup, op10_pii, op11_vector_codes, op12_toxicity, op13_spellings
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_neardup": op9_neardup.op9_neardup,
     "op10_pii": op10_pii.op10_pii,
     "op11_vector_codes": op11_vector_codes.op11_vector_codes,
+    "op12_toxicity": op12_toxicity.op12_toxicity,
     "op13_spellings": op13_spellings.op13_spellings,
     "pipeline": corpus_pipeline.run,
 }
