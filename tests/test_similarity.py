@@ -1,20 +1,64 @@
-"""Pivot-pruned kNN must equal brute force exactly."""
+"""Nearest cases through the partition tree must equal brute force exactly, and skip what can be skipped."""
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from yieldlens.operators import similarity as SM
 from yieldlens.sources import fixtures as fx
 from paths import SF_SMALL
 
 
-def test_knn_exact_against_brute_force(spark):
+def brute(R, Q, k, exclude_self=False):
+    out = {}
+    for q, v in Q.items():
+        order = sorted((i for i in R if not (exclude_self and i == q)), key=lambda i: (float(np.sqrt(((R[i] - v) ** 2).sum())), i))
+        out.update({(q, rank): rid for rank, rid in enumerate(order[:k], start=1)})
+    return out
+
+
+def vectors(df):
+    return {r.vec_id: np.array(r.embedding, dtype=float) for r in df.select("vec_id", "embedding").collect()}
+
+
+@pytest.mark.parametrize("leaf_rows", [SM.LEAF_ROWS, 16])
+def test_knn_exact_against_brute_force(spark, leaf_rows):
     emb = SM.split_reference(fx.table(spark, SF_SMALL, "embeddings"))
     ref = emb.where("is_reference")
     cur = emb.where("not is_reference")
-    got = {(r.query_id, r.rank): r.neighbour_id for r in SM.knn(ref, cur, 5).collect()}
-    R = {r.vec_id: np.array(r.embedding, dtype=float) for r in ref.select("vec_id", "embedding").collect()}
-    Q = {r.vec_id: np.array(r.embedding, dtype=float) for r in cur.select("vec_id", "embedding").collect()}
-    for q, v in Q.items():
-        order = sorted(R, key=lambda i: (float(np.sqrt(((R[i] - v) ** 2).sum())), i))[:5]
-        for rank, rid in enumerate(order, start=1):
-            assert got[(q, rank)] == rid
+    got = {(r.query_id, r.rank): r.neighbour_id for r in SM.knn(ref, cur, 5, leaf_rows=leaf_rows).collect()}
+    assert got == brute(vectors(ref), vectors(cur), 5)
+
+
+def clustered(spark, n=3000, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 10, (60, 8))
+    x = centres[rng.integers(0, 60, n)] + rng.normal(0, 0.3, (n, 8))
+    x[5] = x[6] = x[7]  # equal vectors: ties go to the smaller id
+    return spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_balls_skip_most_partitions_of_clustered_rows(spark, monkeypatch):
+    monkeypatch.setattr(SM, "BLOCK", 50)  # several blocks to a leaf
+    emb = clustered(spark)
+    found = SM.searched(emb, emb, 4, exclude_self=True, leaf_rows=50)
+    assert found.agg(F.sum("_computed")).first()[0] < 0.05 * 3000 * 3000
+    got = {(r.query_id, r.rank): r.neighbour_id for r in SM.knn(emb, emb, 4, exclude_self=True, leaf_rows=50).collect()}
+    v = vectors(emb)
+    some = {i: v[i] for i in [*range(0, 3000, 97), 5, 6, 7]}
+    want = brute(v, some, 4, True)
+    assert {key: got[key] for key in want} == want and len(got) == 4 * 3000
+
+
+def test_few_pairs_are_computed_in_full_on_the_given_vectors(spark):
+    emb = SM.split_reference(fx.table(spark, "/root/testdata/sf0.1", "embeddings"))
+    ref, cur = emb.where("is_reference"), emb.where("not is_reference")
+    computed = SM.searched(ref, cur, SM.K).agg(F.sum("_computed")).first()[0]
+    assert computed < 0.2 * ref.count() * cur.count()
+
+
+def test_fewer_rows_than_neighbours_nulls_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, None)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in SM.knn(rows, rows, 5, exclude_self=True).orderBy("query_id").collect()]
+    assert got == [(1, 1, 2, 5.0), (2, 1, 1, 5.0)]
+    assert SM.knn(rows.where("vec_id = 3"), rows, 5).count() == 0

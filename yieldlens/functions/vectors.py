@@ -1,22 +1,10 @@
-"""Vectorised array math for pandas UDFs (kept free of postponed annotations: the UDF type hints must be real)."""
+"""Vectorised helpers for pandas UDFs (kept free of postponed annotations: the UDF type hints must be real)."""
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.DoubleType())
-def euclidean_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow-batched Euclidean distance of two array columns (one numpy pass per batch)."""
-    if len(a) == 0:
-        return pd.Series([], dtype="float64")
-    x = np.stack(a.to_numpy()).astype("float64")
-    y = np.stack(b.to_numpy()).astype("float64")
-    d = x - y
-    return pd.Series(np.sqrt(np.einsum("ij,ij->i", d, d)))
-
-
 def text_udf(function):
     """A pandas UDF of one string column that maps every non-null value."""
 

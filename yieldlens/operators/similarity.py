@@ -1,99 +1,284 @@
-"""Historical similarity: exact k-nearest reference cases without an all-pairs join.
-
-Exact kNN by pivot pruning.  A few pivot vectors (a bounded, id-hashed
-sample) give every point its distances d_j to the pivots; by the triangle
-inequality |d_j(q) - d_j(x)| <= dist(q, x).  Points are bucketed on d_0 with a
-width chosen so a bucket holds about 4k points on average:
-
-1. an upper bound r(q) on the k-th neighbour distance comes from exact
-   distances to the points in q's own and adjacent buckets;
-2. every point with |d_j(q) - d_j(x)| <= r(q) for all pivots is a candidate
-   (range join by exploding q over the buckets its band touches, equi-join on
-   bucket, then the pivot filter), exact distances are computed, and the
-   top-k by (distance, id) is kept per query.
-
-Every true neighbour lies in the band, so the result is exact; only band
-pairs are ever formed.  Queries whose neighbourhood in step 1 is too sparse
-fall back to the whole bucket range (rare by construction).
+"""Historical similarity: exact k nearest reference cases through a partition tree, block by block.
+
+1. A bounded sample of the reference vectors gives an orthogonal basis (principal axes first) and a tree of median splits
+   along them; every reference row falls into one leaf, whose bounding ball (centre from the sample, radius over all
+   members) is exact.
+2. Best partitions first: each query visits the leaves nearest to it until they hold ``k`` members several times over; its k-th
+   distance there bounds the search.  Then it visits only leaves whose ball reaches into that bound.
+3. Leaves are dealt in blocks of rows, and the queries that visit a leaf in blocks too, so neither a full leaf nor a popular
+   one is one task's work.  A pair of blocks is one matrix product over the leading axes.  With what the other axes add
+   at least (the gap of the two lengths there) it never exceeds a distance, so only pairs below the running k-th distance
+   are computed in full.  A block gives at most k rows for a query; no row is made for a pair.
+
+The result is exact whatever the data; how much is skipped depends on them.  Vectors without any structure (directions drawn at
+random in 64 dimensions) reach into every ball, and only the matrix product saves work.  Rows without a vector
+are left out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import r6
 from ..functions.ranking import exact_quantiles
+from ..session import cut_lineage
 
 K = 10
-PIVOTS = 4
-BUCKET_LOAD = 4
+SAMPLE = 16_384         # reference vectors that shape the tree
+LEAVES = 1024           # leaves at most
+LEAF_ROWS = 4096        # reference rows of a leaf, about, while there are fewer leaves
+BLOCK = 8192            # reference rows, and queries, of one pair of blocks, about
+SLICE = 512             # queries of one matrix product
+LEADING = 0.9           # share of the variance that the leading axes hold
+FIRST_VISIT = 8         # members of the first leaves, in multiples of k
 STRENGTH = [(0.75, "Very Strong"), (0.55, "Strong"), (0.35, "Moderate"), (0.20, "Weak")]
 WILSON_Z = 1.96
 RETRIEVAL_LEVELS = [1, 2, 3, 5]
 
 
-def euclid(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
-                                            * (x.cast("double") - y.cast("double"))),
-                              F.lit(0.0), lambda acc, v: acc + v))
-
-
-def _pair_distance():
-    from ..functions.vectors import euclidean_distance
-
-    return euclidean_distance
-
-
-def _with_pivots(df: DataFrame, vec: str, pivots: list[list[float]]) -> DataFrame:
-    cols = [euclid(F.col(vec), F.array(*[F.lit(float(x)) for x in p])).alias(f"_d{j}") for j, p in enumerate(pivots)]
-    return df.select("*", *cols)
+@dataclass(frozen=True)
+class Tree:
+    """Orthogonal ``basis`` (columns are axes, ``leading`` of them in front) about ``mean``; ``splits`` of inner nodes as
+    (axis, value, left, right), leaves being negative numbers -1 - leaf; ``centres`` and ``radii`` of the leaves' balls."""
+
+    mean: np.ndarray
+    basis: np.ndarray
+    leading: int
+    splits: tuple
+    centres: np.ndarray
+    radii: np.ndarray | None = None
+    members: np.ndarray | None = None
+
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(x), np.int64) if self.splits else np.full(len(x), -1)
+        y = (x - self.mean) @ self.basis
+        while (at >= 0).any():
+            for node in np.unique(at[at >= 0]):
+                axis, value, left, right = self.splits[node]
+                own = at == node
+                at[own] = np.where(y[own, axis] < value, left, right)
+        return -1 - at
+
+    def balls(self, x: np.ndarray) -> np.ndarray:
+        """A lower bound of the distance from each row of x to any member of each leaf."""
+        to = np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(1), 0))
+        return np.maximum(to - self.radii - _slack(x), 0.0)
+
+
+def _slack(x: np.ndarray) -> float:
+    """What rounding may take from a distance computed through products."""
+    return 1e-6 * (1.0 + float(np.abs(x).max(initial=0.0)))
+
+
+def plant(sample: np.ndarray, leaves: int) -> Tree:
+    """A tree of up to ``leaves`` leaves over the sample: the fullest part is halved along its widest axis."""
+    mean = sample.mean(0)
+    spread, basis = np.linalg.eigh((sample - mean).T @ (sample - mean))
+    spread, basis = np.maximum(spread[::-1], 0.0), basis[:, ::-1]
+    leading = int(np.searchsorted(np.cumsum(spread) / max(float(spread.sum()), 1e-300), LEADING) + 1)
+    y = (sample - mean) @ basis
+    splits: list = []
+    parts = [(np.arange(len(sample)), None)]  # rows, (node, side) that leads to them
+    while len(parts) < leaves:
+        i = max(range(len(parts)), key=lambda j: len(parts[j][0]))
+        rows, via = parts[i]
+        own = y[rows]
+        axis = int(np.argmax(own.max(0) - own.min(0))) if len(rows) > 1 else 0
+        value = float(np.median(own[:, axis]))
+        low = own[:, axis] < value
+        if not low.any() or low.all():
+            break
+        if via:
+            splits[via[0]][via[1]] = len(splits)
+        parts[i] = (rows[low], (len(splits), 2))
+        parts.append((rows[~low], (len(splits), 3)))
+        splits.append([axis, value, None, None])
+    for leaf, (_, via) in enumerate(parts):
+        if via:
+            splits[via[0]][via[1]] = -1 - leaf
+    centres = np.array([sample[rows].mean(0) for rows, _ in parts])
+    return Tree(mean, basis, min(leading, sample.shape[1]), tuple(map(tuple, splits)), centres)
+
+
+def block_top(q: np.ndarray, qid: np.ndarray, bound: np.ndarray, x: np.ndarray, xid: np.ndarray, tree: Tree, k: int,
+              exclude_self: bool):
+    """(query row, reference row, distance, pairs computed) of the k nearest rows of x to each query, up to its bound.
+
+    ``pairs computed`` is the query's number of full distances, on its first row."""
+    def turned(v):
+        y = (v - tree.mean) @ tree.basis
+        rest = np.sqrt((y[:, tree.leading :] ** 2).sum(1))
+        return np.column_stack([y[:, : tree.leading], rest])  # the gap of the rests is what the other axes add at least
+
+    def full(i, j):
+        out = np.empty(len(i))
+        for a in range(0, len(i), 1 << 15):
+            d = q[i[a : a + (1 << 15)]] - x[j[a : a + (1 << 15)]]
+            out[a : a + (1 << 15)] = np.sqrt(np.einsum("ij,ij->i", d, d))
+        return out
+
+    found = []
+    y = turned(x)
+    lengths = (y**2).sum(1)
+    for a in range(0, len(q), SLICE):
+        z = turned(q[a : a + SLICE])
+        least = np.sqrt(np.maximum((z**2).sum(1)[:, None] - 2 * z @ y.T + lengths, 0.0))
+        if exclude_self:
+            least[qid[a : a + SLICE][:, None] == xid[None, :]] = np.inf
+        rows, limit = np.arange(len(z)), bound[a : a + SLICE].copy()
+        slack = _slack(z) + _slack(y)
+        if len(x) > k:  # the k rows with the least bounds give a k-th distance that the others must beat
+            near = np.argpartition(least, k - 1, axis=1)[:, :k]
+            hopeful = np.nonzero(np.take_along_axis(least, near, 1).min(1) <= limit + slack)[0]
+            d = full(a + np.repeat(hopeful, k), near[hopeful].ravel()).reshape(-1, k)
+            d[np.isinf(np.take_along_axis(least, near, 1)[hopeful])] = np.inf
+            limit[hopeful] = np.minimum(limit[hopeful], d.max(1))
+        i, j = np.nonzero((least <= (limit + slack)[:, None]) & np.isfinite(least))
+        d = full(a + i, j)
+        order = np.lexsort((xid[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        start = np.searchsorted(i, rows)
+        place = np.arange(len(i)) - start[i]
+        computed = np.where(place == 0, np.bincount(i, minlength=len(z))[i], 0)
+        kept = place < k
+        found.append((a + i[kept], j[kept], d[kept], computed[kept]))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def _vectors(column) -> np.ndarray:
+    """A float64 matrix from an Arrow list column."""
+    if hasattr(column, "combine_chunks"):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def _place(tree: Tree):
+    """Task function over (id, vector): adds the leaf and the distance to its centre."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                x = _vectors(batch.column(1))
+                leaf = tree.leaf_of(x)
+                gap = np.sqrt(((x - tree.centres[leaf]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32)), pa.array(gap)],
+                                                 names=["_rid", "_rv", "_leaf", "_gap"])
+
+    return run
+
+
+def _visits(tree: Tree, k: int, further: bool):
+    """Task function over (id, vector, bound): the leaves of the first visits, or those left within the bound."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, bound = _vectors(batch.column(1)), batch.column(2).to_numpy(zero_copy_only=False)
+            lists = []
+            for a in range(0, len(x), SLICE):
+                reach = tree.balls(x[a : a + SLICE])
+                to = ((x[a : a + SLICE, None, :] - tree.centres[None]) ** 2).sum(2) if len(tree.centres) <= 64 else (
+                    -2 * x[a : a + SLICE] @ tree.centres.T + (tree.centres**2).sum(1))
+                order = np.argsort(to, axis=1, kind="stable")
+                held = np.cumsum(tree.members[order], axis=1)
+                first = np.zeros(order.shape, bool)
+                np.put_along_axis(first, order, (held - tree.members[order]) < FIRST_VISIT * k, 1)
+                for i in range(len(reach)):
+                    wanted = ~first[i] & (reach[i] <= bound[a + i]) if further else first[i]
+                    lists.append(np.nonzero(wanted & (tree.members > 0))[0].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))],
+                                             names=["_qid", "_qv", "_bound", "_leaves"])
+
+    return run
+
+
+def _dealt(spark, counts: np.ndarray, column: Column) -> Column:
+    """Number of blocks of the leaf in ``column``, from the rows of each leaf."""
+    blocks = np.maximum(-(-counts // BLOCK), 1)
+    return F.get(F.array(*[F.lit(int(b)) for b in blocks]), column)
+
+
+def _searched(placed: DataFrame, visits: DataFrame, tree: Tree, k: int, exclude_self: bool) -> DataFrame:
+    """(query id, reference id, distance, pairs computed): the k nearest rows of each pair of blocks."""
+    spark = placed.sparkSession
+    visits = cut_lineage(visits.select("_qid", "_qv", "_bound", F.explode("_leaves").alias("_leaf")))
+    asked = np.zeros(len(tree.centres), np.int64)
+    for r in visits.groupBy("_leaf").count().collect():  # one row a leaf
+        asked[r["_leaf"]] = r["count"]
+    mine, theirs = _dealt(spark, tree.members, F.col("_leaf")), _dealt(spark, asked, F.col("_leaf"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = visits.select("*", F.pmod(F.xxhash64("_qid"), theirs).cast("int").alias("_chunk"), upto(mine).alias("_block"))
+    right = placed.join(F.broadcast(spark.createDataFrame([(int(i),) for i in np.nonzero(asked)[0]], "_leaf int")), "_leaf", "left_semi")
+    right = right.select("_rid", "_rv", "_leaf", F.pmod(F.xxhash64("_rid"), mine).cast("int").alias("_block"), upto(theirs).alias("_chunk"))
+    id_type = visits.schema["_qid"].dataType.simpleString()
+
+    def run(queries, rows):
+        import pyarrow as pa
+
+        out = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)]
+        if queries.num_rows and rows.num_rows:
+            qid, rid = (t.column(c).to_numpy() for t, c in ((queries, "_qid"), (rows, "_rid")))
+            i, j, d, computed = block_top(_vectors(queries.column("_qv")), qid, queries.column("_bound").to_numpy(),
+                                          _vectors(rows.column("_rv")), rid, tree, k, exclude_self)
+            out = [qid[i], rid[j], d, computed]
+        return pa.table([pa.array(c) for c in out], names=["_qid", "_rid", "_dist", "_computed"])
+
+    keys = ["_leaf", "_block", "_chunk"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        run, f"_qid {id_type}, _rid {id_type}, _dist double, _computed long")
+
+
+def searched(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec: str = "embedding",
+             exclude_self: bool = False, leaf_rows: int = LEAF_ROWS) -> DataFrame | None:
+    """Candidates (query id, reference id, distance, pairs computed) that hold the k nearest rows of every query; None
+    without reference rows."""
+    ref = reference.where(F.col(vec).isNotNull()).select(F.col(id_col).alias("_rid"), F.col(vec).alias("_rv"))
+    qry = queries.where(F.col(vec).isNotNull()).select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv"),
+                                                       F.lit(float("inf")).alias("_bound"))
+    n = ref.count()
+    if not n:
+        return None
+    sample = ref.orderBy(F.xxhash64("_rid"), "_rid").limit(SAMPLE).select("_rv").collect()
+    tree = plant(np.array([r["_rv"] for r in sample], float), int(min(LEAVES, max(1, -(-n // leaf_rows)), len(sample))))
+    placed = cut_lineage(ref.mapInArrow(_place(tree), T.StructType([*ref.schema.fields, T.StructField("_leaf", T.IntegerType()), T.StructField("_gap", T.DoubleType())])))
+    radii, members = np.zeros(len(tree.centres)), np.zeros(len(tree.centres), np.int64)
+    for r in placed.groupBy("_leaf").agg(F.max("_gap").alias("r"), F.count(F.lit(1)).alias("n")).collect():
+        radii[r["_leaf"]], members[r["_leaf"]] = r["r"], r["n"]
+    tree = Tree(tree.mean, tree.basis, tree.leading, tree.splits, tree.centres, radii, members)
+    schema = T.StructType([*qry.schema.fields, T.StructField("_leaves", T.ArrayType(T.IntegerType()))])
+    first = _searched(placed, qry.mapInArrow(_visits(tree, k, False), schema), tree, k, exclude_self)
+    if len(tree.centres) == 1:
+        return first
+    first = cut_lineage(first)
+    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each block of the first leaves
+    kth = first.withColumn("_r", F.row_number().over(near)).where(F.col("_r") == k).select("_qid", F.col("_dist").alias("_kth"))
+    bounded = qry.drop("_bound").join(kth, "_qid", "left").select("_qid", "_qv", F.coalesce("_kth", F.lit(float("inf"))).alias("_bound"))
+    rest = _searched(placed, bounded.mapInArrow(_visits(tree, k, True), schema), tree, k, exclude_self)
+    return first.unionByName(rest)
 
 
 def knn(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec: str = "embedding",
-        exclude_self: bool = False) -> DataFrame:
-    """(query_id, rank, neighbour_id, distance) for the k nearest reference rows of every query (exact)."""
-    ref = reference.select(F.col(id_col).alias("_rid"), F.col(vec).alias("_rv"))
-    qry = queries.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv"))
-    # pivots: a bounded, deterministic sample (id hash order); only P vectors reach the driver
-    piv = [list(r["_rv"]) for r in ref.orderBy(F.xxhash64("_rid"), "_rid").limit(PIVOTS).collect()]
-    refp = _with_pivots(ref, "_rv", piv)
-    qp = _with_pivots(qry, "_qv", piv)
-    st = refp.agg(F.min("_d0").alias("lo"), F.max("_d0").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if st is None or not st["n"]:
-        return qry.select(F.col("_qid").alias("query_id")).where(F.lit(False)).select(
-            "query_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("neighbour_id"),
+        exclude_self: bool = False, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """(query_id, rank, neighbour_id, distance) for the k nearest reference rows of every query (exact; ties by id)."""
+    found = searched(reference, queries, k, id_col, vec, exclude_self, leaf_rows)
+    if found is None:
+        return queries.where(F.lit(False)).select(
+            F.col(id_col).alias("query_id"), F.lit(0).alias("rank"), F.col(id_col).alias("neighbour_id"),
             F.lit(None).cast("double").alias("distance"))
-    lo, hi, n = float(st["lo"]), float(st["hi"]), int(st["n"])
-    width = max((hi - lo) * BUCKET_LOAD * k / n, 1e-9)
-    nb = int(math.floor((hi - lo) / width)) + 1
-    bucket = lambda c: F.least(F.greatest(F.floor((c - lo) / width), F.lit(0)), F.lit(nb - 1)).cast("int")
-    refb = refp.withColumn("_b", bucket(F.col("_d0")))
-    not_self = (F.col("_qid") != F.col("_rid")) if exclude_self else F.lit(True)
-
-    # step 1: an upper bound on the k-th distance from the query's own and adjacent buckets
-    q1 = qp.select("*", F.explode(F.sequence(bucket(F.col("_d0")) - 1, bucket(F.col("_d0")) + 1)).alias("_b"))
-    dist = _pair_distance()
-    near = q1.join(refb.select("_rid", "_rv", "_b"), "_b").where(not_self).select(
-        "_qid", dist(F.col("_qv"), F.col("_rv")).alias("_dist"))
-    w1 = Window.partitionBy("_qid").orderBy("_dist")  # a few buckets of ~4k points per query
-    bound = near.withColumn("_r", F.row_number().over(w1)).groupBy("_qid").agg(
-        F.max(F.when(F.col("_r") == k, F.col("_dist"))).alias("_ub"))
-    qb = qp.join(bound, "_qid", "left")
-    tol = 1e-9
-    span_lo = F.when(F.col("_ub").isNull(), F.lit(0)).otherwise(bucket(F.col("_d0") - F.col("_ub") - tol))
-    span_hi = F.when(F.col("_ub").isNull(), F.lit(nb - 1)).otherwise(bucket(F.col("_d0") + F.col("_ub") + tol))
-    q2 = qb.select("*", F.explode(F.sequence(span_lo, span_hi)).alias("_b"))
-    cand = q2.join(refb.select("_rid", "_rv", "_b", *[F.col(f"_d{j}").alias(f"_e{j}") for j in range(len(piv))]), "_b")
-    band = F.lit(True)
-    for j in range(len(piv)):
-        band = band & (F.col("_ub").isNull() | (F.abs(F.col(f"_d{j}") - F.col(f"_e{j}")) <= F.col("_ub") + tol))
-    pairs = cand.where(not_self & band).select("_qid", "_rid", dist(F.col("_qv"), F.col("_rv")).alias("_dist"))
-    w2 = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # band candidates of one query
-    top = pairs.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
+    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each block that the query reaches
+    top = found.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
     return top.select(F.col("_qid").alias("query_id"), "rank", F.col("_rid").alias("neighbour_id"),
                       F.col("_dist").alias("distance"))
 
