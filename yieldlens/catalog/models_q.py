@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import explain as X
 from ..operators import models as MO
+from ..operators import resampling as RS
 from ..sources import fixtures as fx
 from .metrics_q import model_scores
 
@@ -85,9 +86,7 @@ def q_permutation_importance(spark, sf):
 
 
 def q_bootstrap_ci(spark, sf):
-    w = _w(spark, sf)
-    s = fx.scores(spark, sf, w).where(F.col("side") == "current").join(w.select("record_id", "o_orderkey"), "record_id")
-    return MO.bootstrap_ci(s)
+    return RS.bootstrap_ci(fx.scores(spark, sf).where(F.col("side") == "current"))
 
 
 def _oof(spark, sf):

@@ -26,11 +26,7 @@ from . import metrics as M
 
 FOLDS = 5
 SEED = 42
-BOOTSTRAP_REPLICATES = 200
 PERMUTATION_REPEATS = 5
-# Poisson(1) cumulative probabilities P(K <= k), k = 0..7 (inverse-CDF sampling of bootstrap weights)
-POISSON_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-               0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999898508193548]
 
 
 def unit_hash(*cols: Column, salt: int = 0) -> Column:
@@ -159,31 +155,6 @@ def cv_benchmark(scores: DataFrame, keys: Sequence[str] = ("model",), fold: str
     return agg
 
 
-def bootstrap_ci(scores: DataFrame, replicates: int = BOOTSTRAP_REPLICATES, key: str = "o_orderkey") -> DataFrame:
-    """Class-stratified Poisson(1) bootstrap (weights from a hash of (row, replicate)); weighted ROC AUC and
-    AP per replicate, then the 2.5 % / 97.5 % percentiles."""
-    spark = scores.sparkSession
-    reps = spark.range(replicates).select(F.col("id").cast("int").alias("replicate"))
-    u = unit_hash(F.col(key), F.col("replicate"), salt=SEED)
-    w = F.lit(len(POISSON_CDF))
-    for k in range(len(POISSON_CDF) - 1, -1, -1):
-        w = F.when(u < POISSON_CDF[k], k).otherwise(w)
-    rows = scores.crossJoin(F.broadcast(reps)).select("replicate", "probability", "target", w.alias("w"))
-    sc = rows.where(F.col("w") > 0).groupBy("replicate", F.col("probability").alias("score")).agg(
-        F.sum(F.when(F.col("target") == 1, F.col("w")).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("target") == 0, F.col("w")).otherwise(0)).alias("neg"))
-    ranked = cumulative(sc, ["replicate"], ["score"], ["pos", "neg"], with_totals=True)
-    auc = M.roc_auc(ranked, ["replicate"])
-    ap = M.average_precision(ranked, ["replicate"])
-    per = auc.join(ap, "replicate").unpivot(["replicate"], ["roc_auc", "average_precision"], "metric", "value")
-    q = exact_quantiles(per, ["metric"], "value", [0.025, 0.5, 0.975])
-    return q.groupBy("metric").agg(
-        r6(F.max(F.when(F.col("j") == 0, F.col("quantile")))).alias("lower_95"),
-        r6(F.max(F.when(F.col("j") == 1, F.col("quantile")))).alias("median"),
-        r6(F.max(F.when(F.col("j") == 2, F.col("quantile")))).alias("upper_95"),
-        F.lit(replicates).alias("replicates"))
-
-
 def permutation_importance(wide: DataFrame, features: Sequence[str], coefs: dict[str, float],
                            repeats: int = PERMUTATION_REPEATS, key: str = "o_orderkey") -> DataFrame:
     """Drop in average precision of a linear score when one column is permuted.
