@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import explain as X
 from ..operators import models as MO
 from ..operators import resampling as RS
+from ..operators import trees as TR
 from ..sources import fixtures as fx
 from .metrics_q import model_scores
 
@@ -21,6 +22,11 @@ def _w(spark, sf):
     return fx.wide_records(spark, sf)
 
 
+def _sides():
+    """Fitted on the reference side, scored on the current one."""
+    return F.col("side") == "reference", F.col("side") == "current"
+
+
 def q_stratified_folds(spark, sf):
     return MO.stratified_folds(_w(spark, sf))
 
@@ -34,15 +40,15 @@ def q_forest_model(spark, sf):
 
 
 def q_boosted_trees(spark, sf):
-    return MO.fit_score(_w(spark, sf), SENS, "boosted")
+    return TR.boosted_trees(_w(spark, sf), SENS, *_sides())
 
 
 def q_balanced_forest(spark, sf):
-    return MO.ensemble_scores(MO.balanced_ensemble(_w(spark, sf), SENS, 5, "forest"), "balanced_forest")
+    return TR.balanced_forest(_w(spark, sf), SENS, *_sides())
 
 
 def q_easy_ensemble(spark, sf):
-    return MO.ensemble_scores(MO.balanced_ensemble(_w(spark, sf), SENS, 5, "boosted"), "easy_ensemble")
+    return TR.easy_ensemble(_w(spark, sf), SENS, *_sides())
 
 
 def q_fit_score(spark, sf):

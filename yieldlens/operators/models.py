@@ -1,6 +1,6 @@
 """Fitted models on Spark ML, cross-fitting, calibrators and resampling estimates.
 
-Model fits are the only actions inside operators.  Folds, bootstrap weights
+Model fits are the only actions inside operators.  Folds
 and permutations come from integer hashes of the record key, so results do
 not depend on partitioning.  Rank metrics reuse the distributed helpers in
 ``metrics``; nothing per-row reaches the driver (only fitted parameters).
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -61,9 +61,6 @@ def estimator(kind: str, features: Sequence[str], weight_col: str | None = None)
     elif kind == "forest":
         clf = RandomForestClassifier(labelCol="target", numTrees=100, maxDepth=8, seed=SEED, weightCol=weight_col) \
             if weight_col else RandomForestClassifier(labelCol="target", numTrees=100, maxDepth=8, seed=SEED)
-    elif kind == "boosted":
-        clf = GBTClassifier(labelCol="target", maxIter=40, maxDepth=4, seed=SEED, weightCol=weight_col) if weight_col \
-            else GBTClassifier(labelCol="target", maxIter=40, maxDepth=4, seed=SEED)
     else:
         raise ValueError(kind)
     return Pipeline(stages=[va, clf])
@@ -93,28 +90,6 @@ def fit_score(wide: DataFrame, features: Sequence[str], kind: str = "logistic",
     return scored.select("record_id", "target", F.lit(kind).alias("model"), r6(_prob(scored)).alias("probability"))
 
 
-def balanced_ensemble(wide: DataFrame, features: Sequence[str], members: int = 5, kind: str = "forest") -> DataFrame:
-    """Each member sees every failure and an equal-size hash sample of passes; probabilities averaged.
-    Member scores are kept (long form) for the spread operators."""
-    stats = FE.development_stats(wide, features, fit=F.col("side") == "reference")
-    data = _prepared(wide, features, stats).join(wide.select("record_id", "o_orderkey"), "record_id")
-    train = data.where(F.col("side") == "reference")
-    ratio = train.agg((F.sum("target") / F.sum(1 - F.col("target"))).alias("r")).first()["r"] or 1.0
-    cur = data.where(F.col("side") == "current")
-    outs = None
-    for m in range(members):
-        sample = train.where((F.col("target") == 1) | (unit_hash(F.col("o_orderkey"), salt=SEED + m) < ratio))
-        model = estimator(kind, features).fit(sample)
-        s = model.transform(cur).select("record_id", "target", F.lit(m).alias("member"), vector_to_array("probability")[1].alias("p"))
-        outs = s if outs is None else outs.unionByName(s)
-    return outs
-
-
-def ensemble_scores(member_scores: DataFrame, name: str) -> DataFrame:
-    return member_scores.groupBy("record_id", "target").agg(r6(F.avg("p")).alias("probability")).select(
-        "record_id", "target", F.lit(name).alias("model"), "probability")
-
-
 def out_of_fold_scores(wide: DataFrame, features: Sequence[str], kind: str = "logistic", k: int = FOLDS) -> DataFrame:
     """Every reference row scored by the model fitted without its fold (k fits, unioned)."""
     ref = wide.where(F.col("side") == "reference")
