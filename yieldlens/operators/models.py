@@ -22,6 +22,7 @@ from ..functions.expressions import r6
 from ..functions.ranking import cumulative, exact_quantiles
 from ..session import cut_lineage
 from . import features as FE
+from . import isotonic as IS
 from . import metrics as M
 
 FOLDS = 5
@@ -170,27 +171,22 @@ def permutation_importance(wide: DataFrame, features: Sequence[str], coefs: dict
 def calibrate(oof: DataFrame, method: str, k: int = FOLDS, key: str = "record_id") -> DataFrame:
     """Cross-fitted calibration of OOF scores: sigmoid (logistic on p), beta (logistic on ln p, ln(1-p)),
     isotonic, or identity; fold by hash of the key; clipped to [0, 1]."""
-    from pyspark.ml.regression import IsotonicRegression
-
     eps = 1e-6
     p = F.least(F.greatest(F.col("probability"), F.lit(eps)), F.lit(1 - eps))
     d = oof.select(key, "target", F.col("probability").alias("raw_probability"), (F.abs(F.xxhash64(key, F.lit(142))) % k).alias("_cf"),
                    p.alias("_p"), F.log(p).alias("_lp"), F.log(1 - p).alias("_lq"), F.col("target").cast("double").alias("label"))
     if method == "uncalibrated":
         return d.select(key, "target", F.col("raw_probability").alias("calibrated_probability"), F.lit(method).alias("method"))
-    out = None
-    for i in range(k):
+    if method == "isotonic":
+        data = d.select(key, "target", "label", F.col("_p").alias("score"), F.col("_cf").cast("int").alias("fold"))
+        out = IS.cross_fitted(data, k).select(key, "target", F.col("fitted").alias("cp"))
+    for i in range(k if method != "isotonic" else 0):
         tr, te = d.where(F.col("_cf") != i), d.where(F.col("_cf") == i)
-        if method == "isotonic":
-            va = VectorAssembler(inputCols=["_p"], outputCol="features")
-            m = IsotonicRegression(featuresCol="features", labelCol="label").fit(va.transform(tr))
-            s = m.transform(va.transform(te)).select(key, "target", F.col("prediction").alias("cp"))
-        else:
-            cols = ["_p"] if method == "sigmoid" else ["_lp", "_lq"]
-            va = VectorAssembler(inputCols=cols, outputCol="features")
-            m = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(va.transform(tr))
-            s = m.transform(va.transform(te)).select(key, "target", vector_to_array("probability")[1].alias("cp"))
-        out = s if out is None else out.unionByName(s)
+        cols = ["_p"] if method == "sigmoid" else ["_lp", "_lq"]
+        va = VectorAssembler(inputCols=cols, outputCol="features")
+        m = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(va.transform(tr))
+        s = m.transform(va.transform(te)).select(key, "target", vector_to_array("probability")[1].alias("cp"))
+        out = s if i == 0 else out.unionByName(s)
     return out.select(key, "target", r6(F.least(F.greatest(F.col("cp"), F.lit(0.0)), F.lit(1.0))).alias(
         "calibrated_probability"), F.lit(method).alias("method"))
 
