@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import explain as X
 from ..operators import models as MO
 from ..operators import resampling as RS
 from ..operators import trees as TR
@@ -88,7 +87,7 @@ def q_isolation_anomaly(spark, sf):
 
 
 def q_permutation_importance(spark, sf):
-    return MO.permutation_importance(_w(spark, sf), SENS, X.coefficients(SENS))
+    return MO.permutation_importance(_w(spark, sf), SENS)
 
 
 def q_bootstrap_ci(spark, sf):

@@ -24,10 +24,10 @@ from ..session import cut_lineage
 from . import features as FE
 from . import isotonic as IS
 from . import metrics as M
+from . import permutation as PM
 
 FOLDS = 5
 SEED = 42
-PERMUTATION_REPEATS = 5
 
 
 def unit_hash(*cols: Column, salt: int = 0) -> Column:
@@ -131,41 +131,15 @@ def cv_benchmark(scores: DataFrame, keys: Sequence[str] = ("model",), fold: str
     return agg
 
 
-def permutation_importance(wide: DataFrame, features: Sequence[str], coefs: dict[str, float],
-                           repeats: int = PERMUTATION_REPEATS, key: str = "o_orderkey") -> DataFrame:
-    """Drop in average precision of a linear score when one column is permuted.
-
-    The permutation of a column is a shift by one position in a seeded hash order of the records (a
-    derangement), computed from distributed ranks per (feature, repeat) and an equi-join on position."""
-    from ..functions.columns import to_long
-
-    cur = wide.where(F.col("side") == "current")
-    ref_long = to_long(wide.where(F.col("side") == "reference"), ["record_id"], features)
-    st = F.broadcast(ref_long.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s")))
-    cmap = F.create_map(*[x for f, c in coefs.items() for x in (F.lit(f), F.lit(c))])
-    long = to_long(cur, ["record_id", "target", key], features).join(st, "feature")
-    z = F.when(F.col("_s").isNull() | (F.col("_s") == 0) | F.col("value").isNull(), 0.0).otherwise(
-        (F.col("value") - F.col("_m")) / F.col("_s"))
-    contrib = long.select("record_id", "target", key, "feature", (cmap[F.col("feature")] * z).alias("c"))
-    base_score = contrib.groupBy("record_id", "target").agg(F.sum("c").alias("s"))
-    spark = wide.sparkSession
-    reps = spark.range(repeats).select(F.col("id").cast("int").alias("repeat"))
-    pc = contrib.crossJoin(F.broadcast(reps)).select(
-        "record_id", "feature", "repeat", "c", unit_hash(F.col(key), F.col("repeat"), salt=SEED + 7).alias("_u"),
-        F.lit(1).alias("_one"))
-    ranked = cumulative(pc, ["feature", "repeat"], ["_u", "record_id"], ["_one"], with_totals=True)
-    pos = ranked.select("record_id", "feature", "repeat", "c", (F.col("cum__one") - 1).alias("pos"),
-                        F.col("tot__one").alias("n"))
-    donor = pos.select("feature", "repeat", ((F.col("pos") + 1) % F.col("n")).alias("pos"), F.col("c").alias("c_new"))
-    swapped = pos.join(donor, ["feature", "repeat", "pos"]).select("record_id", "feature", "repeat",
-                                                                 (F.col("c_new") - F.col("c")).alias("delta"))
-    perm = swapped.join(base_score, "record_id").select("feature", "repeat", "target",
-                                                        (F.col("s") + F.col("delta")).alias("probability"))
-    ap_perm = M.average_precision(M.ranked_scores(perm, ["feature", "repeat"]), ["feature", "repeat"])
-    ap_base = M.average_precision(M.ranked_scores(base_score.withColumnRenamed("s", "probability"), []), []).first()[0]
-    d = ap_perm.select("feature", (F.lit(ap_base) - F.col("average_precision")).alias("drop"))
-    return d.groupBy("feature").agg(r6(F.avg("drop")).alias("importance_mean"), r6(F.stddev_samp("drop")).alias("importance_std"),
-                                    (F.avg("drop") > 0).alias("positive_importance"))
+def permutation_importance(wide: DataFrame, features: Sequence[str], repeats: int = PM.REPEATS) -> DataFrame:
+    """Drop in average precision on the current side when a column is permuted, for the class-weighted logistic model fitted on
+    the reference side (medians fitted there too, a flag for each missing value)."""
+    stats = FE.development_stats(wide, features, fit=F.col("side") == "reference")
+    train = _with_weights(_prepared(wide.where(F.col("side") == "reference"), features, stats))
+    model = estimator("logistic", features, "weight").fit(train).stages[-1]
+    coef, n = model.coefficients.toArray().tolist(), len(features)
+    return PM.permutation_importance(wide.where(F.col("side") == "current"), features, dict(zip(features, coef[:n])),
+                                     dict(zip(features, coef[n:])), float(model.intercept), FE._stat_map(stats, "median"), repeats)
 
 
 def calibrate(oof: DataFrame, method: str, k: int = FOLDS, key: str = "record_id") -> DataFrame:
