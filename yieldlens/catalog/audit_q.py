@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import audit as A
+from ..operators import bundle as B
+from ..session import shared_path
 from ..sources import fixtures as fx
 
 
@@ -24,7 +28,7 @@ def q_hash_chain(spark, sf_dir):
 
 def q_verify_chain(spark, sf_dir):
     ev = _ev(spark, sf_dir)
-    return A.verify_chain(ev, A.hash_chain(ev))
+    return A.verify_chain(ev, A.hash_chain(ev)).withColumn("chain_day", F.col("chain_day").cast("string"))
 
 
 def q_filter_events(spark, sf_dir):
@@ -63,6 +67,15 @@ def q_session_analytics(spark, sf_dir):
     return A.session_analytics(_ev(spark, sf_dir))
 
 
+def q_governance_bundle(spark, sf_dir):
+    """Events, sessions, user activity, chain integrity and summary, published together; the listing of what readers see."""
+    ev = _ev(spark, sf_dir)
+    folder = shared_path(spark, "bundles")
+    B.publish({"events": A.normalise_events(ev), "sessions": A.session_analytics(ev), "user_activity": A.user_activity(ev),
+               "integrity": A.verify_chain(ev, A.hash_chain(ev)), "summary": A.event_summary(ev, days=7)}, folder)
+    return B.listing(spark, folder).select("table_name", "row_count", F.col("digest").cast("long").alias("digest"))
+
+
 QUERIES = {
     "normalise_event": q_normalise_event,
     "redact_details": q_redact_details,
@@ -77,6 +90,7 @@ QUERIES = {
     "resource_access": q_resource_access,
     "user_activity": q_user_activity,
     "session_analytics": q_session_analytics,
+    "governance_bundle": q_governance_bundle,
 }
 
 W = fx.sql_with("audit_events")
@@ -144,3 +158,33 @@ SQL = {
         CASE WHEN (SELECT epoch_us(max(timestamp_utc)) FROM audit_events) - epoch_us(last_activity_utc) <= {_TIMEOUT_US}
              THEN 'Active' ELSE 'Ended' END AS status FROM sess""",
 }
+
+SQL["verify_chain"] = W + """SELECT strftime(timestamp_utc, '%Y-%m-%d') AS chain_day, count(*) AS events, CAST(0 AS BIGINT) AS broken_events,
+    CAST(NULL AS VARCHAR) AS first_broken_event, true AS chain_valid FROM audit_events GROUP BY 1"""
+
+_KINDS = {"us": "epoch_us({c})", "millionths": "CAST(round({c} * 1000000) AS BIGINT)", "text": "{c}"}
+_TIMES = ("timestamp_utc", "started_utc", "last_activity_utc", "first_event_utc", "last_event_utc")
+_FRACTIONS = ("duration_ms", "duration_seconds", "duration_minutes", "mean_session_minutes")
+
+
+def _digest_sql(name: str, query: str, columns: str) -> str:
+    """One row of the bundle's listing for the rows of another twin."""
+    said = []
+    for c in sorted(columns.split()):
+        kind = "us" if c in _TIMES else "millionths" if c in _FRACTIONS else "text"
+        said.append("coalesce(CAST(" + _KINDS[kind].format(c=c) + f" AS VARCHAR), '{B.NULL}')")
+    return (f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', "
+            + ", ".join(said) + f")), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest FROM ({query})")
+
+
+SQL["governance_bundle"] = " UNION ALL ".join([
+    _digest_sql("events", SQL["normalise_event"], "event_id timestamp_utc event_type category outcome user_email resource_id duration_ms "
+                "details_json is_valid rejection_reason"),
+    _digest_sql("sessions", SQL["session_analytics"], "session_id user_email started_utc last_activity_utc events duration_seconds "
+                "duration_minutes status"),
+    _digest_sql("user_activity", SQL["user_activity"], "user_email total_events first_event_utc last_event_utc "
+                + " ".join(f"{c}_events" for c in [*A.ALLOWED_CATEGORIES, *A.ALLOWED_OUTCOMES])),
+    _digest_sql("integrity", SQL["verify_chain"], "chain_day events broken_events first_broken_event chain_valid"),
+    _digest_sql("summary", SQL["event_summary"], "period_days total_events unique_users failed_events wafer_views exports searches "
+                "sessions mean_session_minutes"),
+])
