@@ -22,6 +22,14 @@ def test_folder_equals_file(spark, folder_tables, name):
     assert one == many
 
 
+def test_drift_does_not_depend_on_triggers(spark, folder_tables):
+    from yieldlens.streaming import streams as st
+
+    one = rows_of(st.drift(spark, SF_SMALL).toPandas())
+    several = rows_of(st.drift(spark, folder_tables, files_per_trigger=1).toPandas())  # every file spans the whole period
+    assert one == several and len(one) > 5
+
+
 def test_lockout_against_one_pass(spark):
     from yieldlens.streaming import streams as st
 

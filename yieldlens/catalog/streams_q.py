@@ -37,10 +37,12 @@ SQL = {
       i AS (SELECT list_slice(a, 2, len(a) - 1) AS a FROM e),
       b AS (SELECT unnest(range(len(a) + 1)) AS b FROM i),
       x AS (SELECT len([y for y in a if y <= value]) AS b, count(*) AS n FROM r, i GROUP BY 1),
-      z AS (SELECT len([y for y in a if y <= value]) AS b, count(*) AS n FROM events, i WHERE value IS NOT NULL GROUP BY 1),
-      p AS (SELECT b.b, greatest(coalesce(x.n, 0) / (SELECT sum(n) FROM x), 1e-8) AS pr,
-        greatest(coalesce(z.n, 0) / (SELECT sum(n) FROM z), 1e-8) AS pc FROM b LEFT JOIN x USING (b) LEFT JOIN z USING (b)),
-      q AS (SELECT pr / sum(pr) OVER () AS pr, pc / sum(pc) OVER () AS pc FROM p)
-      SELECT CAST(0 AS BIGINT) AS batch_id, CAST((SELECT sum(n) FROM z) AS BIGINT) AS events,
-        round(greatest(0.0, sum((pc - pr) * ln(pc / pr))), 6) AS psi FROM q""",
+      z AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS w, len([y for y in a if y <= value]) AS b, count(*) AS n
+        FROM events, i WHERE value IS NOT NULL GROUP BY 1, 2),
+      t AS (SELECT w, sum(n) AS total FROM z GROUP BY w),
+      p AS (SELECT t.w, t.total, greatest(coalesce(x.n, 0) / (SELECT sum(n) FROM x), 1e-8) AS pr,
+        greatest(coalesce(z.n, 0) / t.total, 1e-8) AS pc FROM t CROSS JOIN b LEFT JOIN x USING (b) LEFT JOIN z ON z.w = t.w AND z.b = b.b),
+      q AS (SELECT w, total, pr / sum(pr) OVER (PARTITION BY w) AS pr, pc / sum(pc) OVER (PARTITION BY w) AS pc FROM p)
+      SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(max(total) AS BIGINT) AS events,
+        round(greatest(0.0, sum((pc - pr) * ln(pc / pr))), 6) AS psi FROM q GROUP BY w""",
 }

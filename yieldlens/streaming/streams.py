@@ -38,11 +38,13 @@ def _status(spark: SparkSession, path: str):
     return (True, fs.getFileStatus(jpath).isDirectory()) if fs.exists(jpath) else (False, False)
 
 
-def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def source(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
     """A streaming file source over one of the given Parquet tables, a folder of part files or a single file
-    (schema taken from the batch read)."""
+    (schema taken from the batch read); by default one trigger takes all files there are."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_trigger:
+        stream = stream.option("maxFilesPerTrigger", files_per_trigger)
     if _status(spark, path)[1]:
         return stream.parquet(path)
     # a file stream watches a folder: watch the data folder, admit only this table's file
@@ -155,11 +157,13 @@ def alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(spark, d, "alert_dedupe", ["alert_id"], mode="append")
 
 
-def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8) -> DataFrame:
-    """Per micro-batch PSI of the event value against fixed reference edges (the first half of the period).
+def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8, width: str = "1 day",
+          files_per_trigger: int | None = None) -> DataFrame:
+    """PSI of the event value in each event-time window against fixed reference edges (the first half of the period).
 
-    The reference edges are computed once on the static table (bounded: ``bins + 1`` numbers) and the batch
-    proportions are counted inside ``foreachBatch``."""
+    The state is a count for each (window, bin), merged over micro-batches, so the rows depend on the events and not on
+    how files or triggers cut them.  No watermark: a replay may bring any window's events late, and the state is only
+    ``bins`` numbers a window.  Reference edges and counts (``bins`` numbers) come once from the static table."""
     from ..functions.ranking import exact_quantiles
 
     path = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -167,36 +171,25 @@ def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8) -
     mid = static.agg(((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).alias("m")).first()["m"]
     ref = static.where((F.unix_micros("ts") < mid) & F.col("value").isNotNull())
     q = exact_quantiles(ref.select("value"), [], "value", [j / bins for j in range(bins + 1)])
-    edges = sorted({float(r["quantile"]) for r in q.collect()})
-    inner = edges[1:-1]
+    inner = sorted({float(r["quantile"]) for r in q.collect()})[1:-1]
+    edges = F.array(*[F.lit(x) for x in inner]) if inner else F.array().cast("array<double>")
+    at = F.size(F.filter(edges, lambda e: e <= F.col("value"))).alias("bin")
     ref_counts = [0] * (len(inner) + 1)
-    for r in ref.select(F.size(F.filter(F.array(*[F.lit(x) for x in inner]) if inner else F.array().cast("array<double>"),
-                                        lambda e: e <= F.col("value"))).alias("b")).groupBy("b").count().collect():
-        ref_counts[r["b"]] = r["count"]
-    ck, sink = _dirs(spark, "stream_drift")
-    ref_total = sum(ref_counts) or 1
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        arr = F.array(*[F.lit(x) for x in inner]) if inner else F.array().cast("array<double>")
-        b = batch.where(F.col("value").isNotNull()).select(F.size(F.filter(arr, lambda e: e <= F.col("value"))).alias("b"))
-        cnt = {r["b"]: r["count"] for r in b.groupBy("b").count().collect()}  # at most bins rows
-        tot = sum(cnt.values())
-        import math
-        psi = None
-        if tot:
-            pr = [max(c / ref_total, eps) for c in ref_counts]
-            pc = [max(cnt.get(i, 0) / tot, eps) for i in range(len(ref_counts))]
-            sr, sc = sum(pr), sum(pc)
-            pr, pc = [x / sr for x in pr], [x / sc for x in pc]
-            psi = max(0.0, sum((c - r) * math.log(c / r) for r, c in zip(pr, pc)))
-        batch.sparkSession.createDataFrame([(batch_id, tot, psi)], "batch_id long, events long, psi double") \
-            .write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    s = source(spark, sf_dir, "events")
-    qq = s.writeStream.option("checkpointLocation", ck).foreachBatch(per_batch).trigger(availableNow=True).start()
-    qq.awaitTermination()
-    return read_sink(spark, sink, T.StructType.fromDDL("batch_id long, events long, psi double")).select(
-        "batch_id", "events", r6(F.col("psi")).alias("psi"))
+    for r in ref.select(at).groupBy("bin").count().collect():
+        ref_counts[r["bin"]] = r["count"]
+    share = [max(c / (sum(ref_counts) or 1), eps) for c in ref_counts]
+    share = [x / sum(share) for x in share]
+
+    events = source(spark, sf_dir, "events", files_per_trigger).withColumn("ts", F.col("ts").cast("timestamp")).where(F.col("value").isNotNull())
+    counts = events.groupBy(F.window("ts", width).alias("w"), at).agg(F.count(F.lit(1)).alias("n"))
+    held = run_to_table(spark, counts.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "bin", "n"),
+                        "stream_drift", ["window_start", "bin"])
+    wide = held.groupBy("window_start").agg(F.sum("n").alias("events"), *[
+        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in range(len(share))])
+    current = [F.greatest(F.col(f"n{i}") / F.col("events"), F.lit(eps)) for i in range(len(share))]
+    total = sum(current[1:], current[0])
+    parts = [(c / total - F.lit(r)) * F.log(c / total / F.lit(r)) for r, c in zip(share, current)]
+    return wide.select("window_start", "events", r6(F.greatest(sum(parts[1:], parts[0]), F.lit(0.0))).alias("psi"))
 
 
 LOCK_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("locked_at", T.TimestampType()),
