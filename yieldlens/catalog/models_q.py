@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import imputation as IM
 from ..operators import models as MO
 from ..operators import resampling as RS
 from ..operators import trees as TR
@@ -124,7 +125,11 @@ def q_cross_fit_calibration(spark, sf):
 
 
 def q_chained_impute(spark, sf):
-    return MO.chained_impute(_w(spark, sf), SENS)
+    return IM.chained_impute(_w(spark, sf), SENS, _sides()[0])
+
+
+def q_imputation_ranking(spark, sf):
+    return MO.imputation_ranking(_w(spark, sf), SENS)
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

@@ -22,6 +22,7 @@ from ..functions.expressions import r6
 from ..functions.ranking import cumulative, exact_quantiles
 from ..session import cut_lineage
 from . import features as FE
+from . import imputation as IM
 from . import isotonic as IS
 from . import metrics as M
 from . import permutation as PM
@@ -249,26 +250,12 @@ def isolation_scores(wide: DataFrame, features: Sequence[str], trees: int = 500,
         "record_id", r6(F.col("anomaly_score")).alias("anomaly_score"))
 
 
-def chained_impute(wide: DataFrame, features: Sequence[str], rounds: int = 2) -> DataFrame:
-    """Round-robin regression imputation: start from medians, then per round refit each column with missing
-    values on the others (rows where it is observed) and refill its missing cells."""
-    from pyspark.ml.regression import LinearRegression
-
-    stats = FE.development_stats(wide, features, fit=F.col("side") == "reference")
-    med = FE._stat_map(stats, "median")
-    cur = wide.select("record_id", "side", *[finite(c).alias(f"_o_{c}") for c in features],
-                      *[F.coalesce(finite(c), F.lit(med.get(c) or 0.0)).alias(c) for c in features])
-    miss = [c for c in features if (FE._stat_map(stats, "missing_rate").get(c) or 0) > 0]
-    for _ in range(rounds):
-        for c in miss:
-            others = [o for o in features if o != c]
-            va = VectorAssembler(inputCols=others, outputCol="_x")
-            train = va.transform(cur.where(F.col(f"_o_{c}").isNotNull() & (F.col("side") == "reference")))
-            lr = LinearRegression(featuresCol="_x", labelCol=c, regParam=0.01).fit(train)
-            coef = [float(v) for v in lr.coefficients]
-            pred = F.lit(float(lr.intercept))
-            for o, w in zip(others, coef):
-                pred = pred + F.lit(w) * F.col(o)
-            cur = cur.withColumn(c, F.when(F.col(f"_o_{c}").isNull(), pred).otherwise(F.col(c)))
-        cur = cut_lineage(cur)  # one refreshed table per round keeps plans (and recomputation) short
-    return cur.select("record_id", *[r6(F.col(c)).alias(c) for c in features])
+def imputation_ranking(wide: DataFrame, features: Sequence[str], rounds: int = IM.ROUNDS, trees: int = IM.TREES) -> DataFrame:
+    """Median against chained imputation: the same class-weighted logistic model on either, fitted on the reference side, compared on
+    the current side and ranked by cost, false alarms, precision, balanced accuracy and PR-AUC."""
+    ref = F.col("side") == "reference"
+    chained = IM.chained_impute(wide, features, ref, rounds, trees)
+    rest = wide.select("record_id", "target", "side")
+    scores = fit_score(wide, features, "logistic").withColumn("model", F.lit("median_imputation")).unionByName(
+        fit_score(rest.join(chained, "record_id"), features, "logistic").withColumn("model", F.lit("chained_imputation")))
+    return M.select_model(M.model_comparison(cut_lineage(scores)))

@@ -131,9 +131,11 @@ def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_
 
 
 def _rows(batch, width: int):
-    """Binned values, target and key of a batch of (x, target, key)."""
-    raw = b"".join(batch.column(0).to_pylist())
-    return (np.frombuffer(raw, np.uint8).reshape(batch.num_rows, width), batch.column(1).to_numpy(zero_copy_only=False),
+    """Binned values, target (a matrix where it is a list) and key of a batch of (x, target, key)."""
+    raw, y = b"".join(batch.column(0).to_pylist()), batch.column(1)
+    y = y.to_numpy(zero_copy_only=False) if not hasattr(y, "flatten") or not hasattr(y.type, "value_type") else (
+        y.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+    return (np.frombuffer(raw, np.uint8).reshape(batch.num_rows, width), y,
             batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
@@ -209,8 +211,9 @@ def _histograms(forest: Forest, trees: list[int], slots: dict, subset: dict, wid
 
 
 def grow(rows: DataFrame, width: int, trees: int, depth: int, weigh, kind: str = "gini", bins: int = BINS, per_node: int | None = None,
-         least: float = MIN_LEAF, seed: int = SEED) -> tuple[Forest, dict]:
-    """A forest over stored binned ``rows`` (x, target, key) and the root splits' rows by tree."""
+         least: float = MIN_LEAF, seed: int = SEED, closed: list[list[int]] | None = None) -> tuple[Forest, dict]:
+    """A forest over stored binned ``rows`` (x, target, key) and the root splits' rows by tree; ``closed`` names for each tree
+    the columns that it may not split on (``per_node`` leaves room for them)."""
     forest = Forest.empty(trees, depth)
     m = per_node or width
     open_nodes = {t: [0] for t in range(trees)}
@@ -231,6 +234,8 @@ def grow(rows: DataFrame, width: int, trees: int, depth: int, weigh, kind: str =
                 slots[t] = np.full(forest.feature.shape[1], -1)
                 slots[t][nodes] = np.arange(len(nodes))
                 dice = np.stack([uniform(nodes.astype(np.uint64), t * width + j, seed + 1) for j in range(width)], 1)
+                if closed:
+                    dice[:, closed[t]] = 2.0
                 subset[t] = np.sort(np.argsort(dice, axis=1)[:, :m], axis=1)
             sums = rows.select("x", "target", "key").mapInArrow(_histograms(forest, some, slots, subset, width, bins, weigh), schema)
             sums = sums.groupBy("tree", "node", "feature").agg(*[F.sum(c).alias(c) for c in columns])
