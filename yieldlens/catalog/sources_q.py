@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import ROLE_ALIASES
-from ..functions.columns import discover_roles, select_sensor_columns
 from ..operators import profile as P
 from ..sources import fixtures as fx
 from ..sources import readers as R
@@ -70,18 +69,6 @@ def q_load_tabular(spark, sf):
     return R.load_tabular(spark, path, "csv")
 
 
-def q_select_sensor_columns(spark, sf):
-    w = fx.wide_records(spark, sf)
-    cols = select_sensor_columns(w, role_columns=["record_id", "target"])
-    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, feature string")
-
-
-def q_discover_roles(spark, sf):
-    w = fx.wide_records(spark, sf).join(fx.scores(spark, sf).select("record_id", "probability", "confidence"), "record_id")
-    roles = discover_roles(w, ROLE_ALIASES)
-    return spark.createDataFrame([(k, v) for k, v in roles.items()], "role string, column_name string")
-
-
 def q_coerce_types(spark, sf):
     w = fx.wide_records(spark, sf)
     return R.coerce_types(w, SENS, "ts", "record_id")[1]
