@@ -39,7 +39,8 @@ def clustered(spark, n=3000, seed=4):
 
 
 def test_balls_skip_most_partitions_of_clustered_rows(spark, monkeypatch):
-    monkeypatch.setattr(SM, "BLOCK", 50)  # several blocks to a leaf
+    monkeypatch.setattr(SM, "BLOCK", 50)  # several blocks of queries to a slab,
+    monkeypatch.setattr(SM, "SLAB", 120)  # few leaves to a slab, and slabs to a leaf
     emb = clustered(spark)
     found = SM.searched(emb, emb, 4, exclude_self=True, leaf_rows=50)
     assert found.agg(F.sum("_computed")).first()[0] < 0.05 * 3000 * 3000

@@ -5,10 +5,11 @@
    members) is exact.
 2. Best partitions first: each query visits the leaves nearest to it until they hold ``k`` members several times over; its k-th
    distance there bounds the search.  Then it visits only leaves whose ball reaches into that bound.
-3. Leaves are dealt in blocks of rows, and the queries that visit a leaf in blocks too, so neither a full leaf nor a popular
-   one is one task's work.  A pair of blocks is one matrix product over the leading axes.  With what the other axes add
-   at least (the gap of the two lengths there) it never exceeds a distance, so only pairs below the running k-th distance
-   are computed in full.  A block gives at most k rows for a query; no row is made for a pair.
+3. Leaves share slabs of rows (a full leaf has several), and the queries that visit a slab are dealt in blocks, so neither a
+   full leaf nor a popular one is one task's work.  A task takes the leaves of its slab nearest first: a leaf's rows and
+   the queries that it can still serve are one matrix product over the leading axes.  With what the other axes add at least
+   (the gap of the two lengths there) it never exceeds a distance, so only pairs below the running k-th distance
+   are computed in full.  A slab gives at most k rows for a query; no row is made for a pair.
 
 The result is exact whatever the data; how much is skipped depends on them.  Vectors without any structure (directions drawn at
 random in 64 dimensions) reach into every ball, and only the matrix product saves work.  Rows without a vector
@@ -33,7 +34,8 @@ K = 10
 SAMPLE = 16_384         # reference vectors that shape the tree
 LEAVES = 1024           # leaves at most
 LEAF_ROWS = 4096        # reference rows of a leaf, about, while there are fewer leaves
-BLOCK = 8192            # reference rows, and queries, of one pair of blocks, about
+SLAB = 65_536           # reference rows, about, that one task holds
+BLOCK = 8192            # queries that it holds, about
 SLICE = 512             # queries of one matrix product
 LEADING = 0.9           # share of the variance that the leading axes hold
 FIRST_VISIT = 8         # members of the first leaves, in multiples of k
@@ -204,24 +206,44 @@ def _visits(tree: Tree, k: int, further: bool):
     return run
 
 
-def _dealt(spark, counts: np.ndarray, column: Column) -> Column:
-    """Number of blocks of the leaf in ``column``, from the rows of each leaf."""
-    blocks = np.maximum(-(-counts // BLOCK), 1)
-    return F.get(F.array(*[F.lit(int(b)) for b in blocks]), column)
+def _slabs(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First slab and number of slabs of each leaf: small leaves share one of up to SLAB rows, a large leaf has several."""
+    first, count = np.zeros(len(members), np.int64), np.ones(len(members), np.int64)
+    slab, held = 0, 0
+    for leaf, rows in enumerate(members.tolist()):
+        if held and held + rows > SLAB:
+            slab, held = slab + 1, 0
+        first[leaf], count[leaf] = slab, max(1, -(-rows // SLAB))
+        held += rows
+        if rows > SLAB:
+            slab, held = slab + int(count[leaf]), 0
+    return first, count
+
+
+def _merge(best_d, best_id, rows, i, d, ids, k):
+    """The k best of what the queries ``rows`` had and what they found: (i: place in rows, d, ids) in order of i and d."""
+    place = np.arange(len(i)) - np.searchsorted(i, np.arange(len(rows)))[i]
+    new_d, new_id = np.full((len(rows), k), np.inf), np.zeros((len(rows), k), best_id.dtype)
+    new_d[i, place], new_id[i, place] = d, ids
+    both_d, both_id = np.concatenate([best_d[rows], new_d], 1), np.concatenate([best_id[rows], new_id], 1)
+    order = np.lexsort((both_id, both_d), axis=-1)[:, :k]
+    best_d[rows], best_id[rows] = np.take_along_axis(both_d, order, 1), np.take_along_axis(both_id, order, 1)
 
 
 def _searched(placed: DataFrame, visits: DataFrame, tree: Tree, k: int, exclude_self: bool) -> DataFrame:
-    """(query id, reference id, distance, pairs computed): the k nearest rows of each pair of blocks."""
-    spark = placed.sparkSession
-    visits = cut_lineage(visits.select("_qid", "_qv", "_bound", F.explode("_leaves").alias("_leaf")))
-    asked = np.zeros(len(tree.centres), np.int64)
-    for r in visits.groupBy("_leaf").count().collect():  # one row a leaf
-        asked[r["_leaf"]] = r["count"]
-    mine, theirs = _dealt(spark, tree.members, F.col("_leaf")), _dealt(spark, asked, F.col("_leaf"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = visits.select("*", F.pmod(F.xxhash64("_qid"), theirs).cast("int").alias("_chunk"), upto(mine).alias("_block"))
-    right = placed.join(F.broadcast(spark.createDataFrame([(int(i),) for i in np.nonzero(asked)[0]], "_leaf int")), "_leaf", "left_semi")
-    right = right.select("_rid", "_rv", "_leaf", F.pmod(F.xxhash64("_rid"), mine).cast("int").alias("_block"), upto(theirs).alias("_chunk"))
+    """(query id, reference id, distance, pairs computed): the k nearest rows of each slab that a query visits."""
+    first, count = _slabs(tree.members)
+    of_leaf = lambda numbers, leaf: F.get(F.array(*[F.lit(int(v)) for v in numbers]), leaf)
+    slabs = F.array_distinct(F.flatten(F.transform("_leaves", lambda leaf: F.sequence(
+        of_leaf(first, leaf), of_leaf(first + count - 1, leaf)))))
+    visits = cut_lineage(visits.select("_qid", "_qv", "_bound", "_leaves", F.explode(slabs).alias("_slab")))
+    chunks = np.zeros(int((first + count).max()), np.int64)
+    for r in visits.groupBy("_slab").count().collect():  # one row a slab
+        chunks[r["_slab"]] = -(-r["count"] // BLOCK)
+    dealt = of_leaf(chunks, F.col("_slab"))
+    left = visits.withColumn("_chunk", F.pmod(F.xxhash64("_qid"), dealt).cast("int"))
+    right = placed.withColumn("_slab", of_leaf(first, F.col("_leaf")) + F.pmod(F.xxhash64("_rid"), of_leaf(count, F.col("_leaf"))).cast("int"))
+    right = right.where(dealt > 0).select("_rid", "_rv", "_leaf", "_slab", F.explode(F.sequence(F.lit(0), (dealt - 1).cast("int"))).alias("_chunk"))
     id_type = visits.schema["_qid"].dataType.simpleString()
 
     def run(queries, rows):
@@ -229,13 +251,28 @@ def _searched(placed: DataFrame, visits: DataFrame, tree: Tree, k: int, exclude_
 
         out = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)]
         if queries.num_rows and rows.num_rows:
-            qid, rid = (t.column(c).to_numpy() for t, c in ((queries, "_qid"), (rows, "_rid")))
-            i, j, d, computed = block_top(_vectors(queries.column("_qv")), qid, queries.column("_bound").to_numpy(),
-                                          _vectors(rows.column("_rv")), rid, tree, k, exclude_self)
-            out = [qid[i], rid[j], d, computed]
+            qid, rid, leaf = (t.column(c).to_numpy() for t, c in ((queries, "_qid"), (rows, "_rid"), (rows, "_leaf")))
+            q, x = _vectors(queries.column("_qv")), _vectors(rows.column("_rv"))
+            bound, reach = queries.column("_bound").to_numpy().copy(), tree.balls(q)
+            wanted = np.zeros((len(q), len(tree.centres)), bool)
+            lists = queries.column("_leaves").combine_chunks()
+            wanted[np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+            best_d, best_id = np.full((len(q), k), np.inf), np.zeros((len(q), k), qid.dtype)
+            computed = np.zeros(len(q), np.int64)
+            here = np.unique(leaf)
+            for one in here[np.argsort(reach[:, here].mean(0), kind="stable")]:  # best partitions first, bounds run along
+                own = np.nonzero(wanted[:, one] & (reach[:, one] <= bound))[0]
+                if len(own):
+                    at = np.nonzero(leaf == one)[0]
+                    i, j, d, c = block_top(q[own], qid[own], bound[own], x[at], rid[at], tree, k, exclude_self)
+                    computed += np.bincount(own[i], c, len(q)).astype(np.int64)
+                    _merge(best_d, best_id, own, i, d, rid[at][j], k)
+                    bound = np.minimum(bound, best_d[:, -1])
+            i, place = np.nonzero(np.isfinite(best_d))
+            out = [qid[i], best_id[i, place], best_d[i, place], np.where(place == 0, computed[i], 0)]
         return pa.table([pa.array(c) for c in out], names=["_qid", "_rid", "_dist", "_computed"])
 
-    keys = ["_leaf", "_block", "_chunk"]
+    keys = ["_slab", "_chunk"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         run, f"_qid {id_type}, _rid {id_type}, _dist double, _computed long")
 
@@ -262,7 +299,7 @@ def searched(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str =
     if len(tree.centres) == 1:
         return first
     first = cut_lineage(first)
-    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each block of the first leaves
+    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each slab of the first leaves
     kth = first.withColumn("_r", F.row_number().over(near)).where(F.col("_r") == k).select("_qid", F.col("_dist").alias("_kth"))
     bounded = qry.drop("_bound").join(kth, "_qid", "left").select("_qid", "_qv", F.coalesce("_kth", F.lit(float("inf"))).alias("_bound"))
     rest = _searched(placed, bounded.mapInArrow(_visits(tree, k, True), schema), tree, k, exclude_self)
@@ -277,7 +314,7 @@ def knn(reference: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
         return queries.where(F.lit(False)).select(
             F.col(id_col).alias("query_id"), F.lit(0).alias("rank"), F.col(id_col).alias("neighbour_id"),
             F.lit(None).cast("double").alias("distance"))
-    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each block that the query reaches
+    near = Window.partitionBy("_qid").orderBy("_dist", "_rid")  # k rows of each slab that the query reaches
     top = found.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
     return top.select(F.col("_qid").alias("query_id"), "rank", F.col("_rid").alias("neighbour_id"),
                       F.col("_dist").alias("distance"))
