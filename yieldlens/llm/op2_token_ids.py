@@ -28,9 +28,11 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 TOKENS_PER_SHARD = 8_000_000
 MAX_SHARDS = 10_000
-SLICE_BYTES = 6 << 20     # text encoded at a time
-GROUP_IDS = 1 << 20       # ids packed or unpacked at a time
-CACHED_PARTS = 400_000    # a task's table of encoded parts starts anew beyond this
+SLICE_BYTES = 3 << 20     # text encoded at a time
+GROUP_IDS = 1 << 19       # ids packed or unpacked at a time
+TABLE_BYTES = 64 << 20    # beyond this a worker's table of encoded parts keeps its most used third
+PART_BYTES = 130          # what a part takes in the table beside its string
+JOINED = 256              # new words encoded as one text
 
 
 def load_tokenizer(path: str):
@@ -55,6 +57,8 @@ def ranges(start, length):
     return np.repeat(start - ends + length, length) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+#: What byte-level vocabularies write for a space.
+SPACE_LETTER = "\u0120"
 #: Two white-space characters in a row, for the two regular-expression libraries.
 DOUBLE = r"[\t-\r \x{1c}-\x{1f}\x{85}\p{Z}]{2}"
 
@@ -65,39 +69,92 @@ class WordTable:
     A text is cut at single spaces between two characters that are no white space: the tokenizer cuts there too (the
     space begins the next piece).  A piece is cut further at single line ends, which are tokens of their own, and before
     a final comma or full stop that follows a letter.  So a text's ids are those of its parts, and each different
-    part is encoded once while it is remembered."""
+    part is encoded once while it is remembered.  The table outlives a task (``worker_table``); it is bounded by bytes."""
 
     def __init__(self, tokenizer, end_id: int):
         import re
 
-        self.tokenizer, self.end_id = tokenizer, end_id
-        self.double, self.single = re.compile(r"\s\s"), re.compile(r"(?<!\s) (?!\s)")
-        self.reset()
-
-    def reset(self):
         import numpy as np
 
+        self.tokenizer = tokenizer
+        self.double, self.single, self.white = re.compile(r"\s\s"), re.compile(r"(?<!\s) (?!\s)"), re.compile(r"\s")
+        size = max(tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+        self.opens = np.zeros(size, bool)  # the tokens that begin with a space
+        for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+            self.opens[i] = token.startswith(SPACE_LETTER)
         self.codes: dict[str, int] = {}   # of parts as they stand
         self.spaced: dict[str, int] = {}  # of words with the space before them
-        self.flat, self.start, self.length = np.array([self.end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.flat, self.start, self.length = np.array([end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.uses, self.held = np.zeros(1, np.int32), 0
+
+    def trim(self):
+        """Forget all parts but the third that most slices used; the end's part stays the first."""
+        import sys
+
+        import numpy as np
+
+        order = np.argsort(-self.uses[1:], kind="stable")[: len(self.uses) // 3] + 1
+        keep = np.append(0, np.sort(order))
+        code = np.full(len(self.start), -1)
+        code[keep] = np.arange(len(keep))
+        self.flat = self.flat[ranges(self.start[keep], self.length[keep])]
+        self.length, self.uses = self.length[keep], self.uses[keep] // 2
+        self.start = np.cumsum(self.length) - self.length
+        code = code.tolist()
+        self.codes = {k: code[c] for k, c in self.codes.items() if code[c] >= 0}
+        self.spaced = {k: code[c] for k, c in self.spaced.items() if code[c] >= 0}
+        self.held = sum(PART_BYTES + sys.getsizeof(k) for d in (self.codes, self.spaced) for k in d)
+
+    def one_by_one(self, parts: list[str]):
+        """Flat ids of parts and the number of each."""
+        import itertools
 
-    def find(self, table: dict, keys: list[str], space: str = ""):
+        import numpy as np
+
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum())), length
+
+    def after_space(self, words: list[str]):
+        """The same for words with a space before each.  Those without white space are encoded many in one text, where
+        each begins at a token that begins with a space; if the numbers differ, they are encoded one by one."""
+        import numpy as np
+
+        alone = list(filter(self.white.search, words))
+        if alone:
+            at = np.fromiter((bool(self.white.search(w)) for w in words), bool, len(words))
+            (a, n), (b, m) = (self.after_space([w for w, x in zip(words, at.tolist()) if not x]),
+                              self.one_by_one([" " + w for w in alone]))
+            length, start, flat = np.empty(len(words), np.int64), np.empty(len(words), np.int64), np.concatenate([a, b])
+            length[~at], length[at] = n, m
+            start[~at], start[at] = np.cumsum(n) - n, len(a) + np.cumsum(m) - m
+            return flat[ranges(start, length)], length
+        flat, _ = self.one_by_one([" " + " ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+        begin = np.nonzero(self.opens[flat])[0]
+        if len(begin) != len(words):
+            return self.one_by_one([" " + w for w in words])
+        return flat, np.diff(np.append(begin, len(flat)))
+
+    def find(self, table: dict, keys: list[str], encode):
         """Codes of keys, new ones encoded first."""
         import itertools
+        import sys
 
         import numpy as np
 
-        codes = np.fromiter((table.get(k, -1) for k in keys), np.int64, len(keys))
+        codes = np.fromiter(map(table.get, keys, itertools.repeat(-1)), np.int64, len(keys))
         missing = np.nonzero(codes < 0)[0]
         if len(missing):
-            new = list(dict.fromkeys(keys[i] for i in missing.tolist()))
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([space + k for k in new] if space else new, add_special_tokens=False)]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            new = list(dict.fromkeys([keys[i] for i in missing.tolist()]))
+            flat, length = encode(new)
             table.update(zip(new, range(len(self.start), len(self.start) + len(new))))
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
             self.length = np.concatenate([self.length, length])
-            self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(length.sum()))])
-            codes[missing] = [table[keys[i]] for i in missing.tolist()]
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
+            self.flat = np.concatenate([self.flat, flat])
+            self.held += sum(map(sys.getsizeof, new)) + PART_BYTES * len(new)
+            codes[missing] = np.fromiter(map(table.__getitem__, [keys[i] for i in missing.tolist()]), np.int64, len(missing))
+        self.uses[codes] += 1
         return codes
 
     def cut(self, piece: str) -> list[str]:
@@ -122,8 +179,8 @@ class WordTable:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        if len(self.start) > CACHED_PARTS:
-            self.reset()
+        if self.held > TABLE_BYTES:
+            self.trim()
         if pc.any(pc.match_substring_regex(texts, DOUBLE)).as_py():
             pieces = pa.array([self.single.split(t) if self.double.search(t) else t.split(" ") for t in texts.to_pylist()])
         else:
@@ -136,11 +193,11 @@ class WordTable:
         tail = pc.and_(plain, pc.match_substring_regex(words, r"\p{L}[,.]$")).to_numpy(zero_copy_only=False)
         stems = pc.if_else(pa.array(tail), pc.utf8_slice_codeunits(words, 0, -1), words).filter(plain).dictionary_encode()
         plain = plain.to_numpy(zero_copy_only=False)
-        stem = self.find(self.spaced, stems.dictionary.to_pylist(), " ")[stems.indices.to_numpy(zero_copy_only=False)]
+        stem = self.find(self.spaced, stems.dictionary.to_numpy(zero_copy_only=False).tolist(), self.after_space)[stems.indices.to_numpy(zero_copy_only=False)]
         other = [self.cut(" " + w) for w in words.filter(pa.array(~plain)).to_pylist()]
         other += [self.cut(w) for w in flat.take(pa.array(bounds[:-1])).to_pylist()]
-        rest = self.find(self.codes, [p for c in other for p in c])
-        comma, stop = self.find(self.codes, [",", "."])
+        rest = self.find(self.codes, [p for c in other for p in c], self.one_by_one)
+        comma, stop = self.find(self.codes, [",", "."], self.one_by_one)
         extra = np.fromiter(map(len, other), np.int64, len(other))
         many = np.concatenate([1 + tail, np.ones(len(texts) + 1, np.int64)])  # parts of each entry
         nests = np.append(np.nonzero(~plain)[0], len(words) + np.arange(len(texts)))
@@ -161,36 +218,45 @@ class WordTable:
         return ids, np.add.reduceat(size[pick], bounds[:-1] + np.arange(len(texts)))
 
 
-def _tokenise(path: str, end_id: int, id_type: str):
+def worker_table(path: str, end_id: int) -> WordTable:
+    """The table of this Python worker, which serves one task after another."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_token_id_tables", types.ModuleType("_token_id_tables")).__dict__
+    if (path, end_id) not in kept:
+        kept[path, end_id] = WordTable(load_tokenizer(path), end_id)
+    return kept[path, end_id]
+
+
+def _tokenise(path: str, end_id: int, size: int, id_type: str):
+    """Rows of ids; a task's last row has no ids but its count of each id."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        words = WordTable(load_tokenizer(path), end_id)
+        words = worker_table(path, end_id)
+        total, types = np.zeros(size, np.int64), None
+        names = ["doc_id", "tie", "n", "ids", "seen"]
+        seen = pa.list_(pa.struct([pa.field("id", pa.int64()), pa.field("n", pa.int64())]))
         for batch in batches:
+            types = [batch.schema.field("doc_id").type, batch.schema.field("tie").type]
             texts = batch.column("text").fill_null("")
             for at, to in slices(utf8(texts)[1], SLICE_BYTES):
                 ids, n = words.encode(texts.slice(at, to - at))
+                total += np.bincount(ids, minlength=size)
                 data = ids.astype(id_type)
                 ends = np.cumsum(n)
                 raw = [data[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, to - at), batch.column("tie").slice(at, to - at),
-                     pa.array(n, pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "tie", "n", "ids"])
-
-    return run
-
-
-def _count(size: int, id_type: str):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), id_type), minlength=size)
-        seen = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+                     pa.array(n, pa.int64()), pa.array(raw, pa.binary()), pa.nulls(to - at, seen)], names=names)
+        if types:
+            found = np.nonzero(total)[0]
+            counts = pa.StructArray.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["id", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, t) for t in types] + [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), counts)], names=names)
 
     return run
 
@@ -292,11 +358,14 @@ def write_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
     size = max(load_tokenizer(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1)
     id_type = "<u2" if size <= 1 << 16 else "<u4"
     key = T.StructField("doc_id", docs.schema["doc_id"].dataType)
-    ids = cut_lineage(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text").mapInArrow(
-        _tokenise(tokenizer, end_id, id_type),
+    rows = cut_lineage(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text").mapInArrow(
+        _tokenise(tokenizer, end_id, size, id_type),
         T.StructType([key, T.StructField("tie", T.LongType()), T.StructField("n", T.LongType()),
-                      T.StructField("ids", T.BinaryType())])), "zstd")
-    seen = ids.select("ids").mapInArrow(_count(size, id_type), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+                      T.StructField("ids", T.BinaryType()),
+                      T.StructField("seen", T.ArrayType(T.StructType([T.StructField("id", T.LongType()),
+                                                                      T.StructField("n", T.LongType())])))])), "zstd")
+    ids = rows.where(F.col("n").isNotNull()).drop("seen")
+    seen = rows.where(F.col("n").isNull()).select(F.inline("seen")).groupBy("id").agg(F.sum("n").alias("n"))
     often = np.zeros(size, np.int64)
     for row in seen.collect():  # at most one row for each id of the vocabulary
         often[row["id"]] = row["n"]
