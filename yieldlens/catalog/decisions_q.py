@@ -165,7 +165,7 @@ def q_review_queue(spark, sf):
 def _prio(spark, sf):
     w = _snap(spark, sf)
     att = X.attributions(w, SENS)
-    return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att))
+    return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att, None))
 
 
 def q_importance_reference(spark, sf):
@@ -392,7 +392,7 @@ _PRIO = [
       FROM long_records WHERE side = 'reference' AND value IS NOT NULL GROUP BY feature)""",
     """impn AS (SELECT feature, mean_absolute_contribution / max(mean_absolute_contribution) OVER () AS importance_normalized FROM gi2)""",
     """recn AS (SELECT feature, mean_absolute_contribution / max(mean_absolute_contribution) OVER () AS recurrence_normalized
-      FROM ff WHERE feature_rank <= 20)""",
+      FROM ff)""",
     """pt AS (SELECT a.record_id, a.feature, a.value, a.contribution,
       (a.value - pq.med) / CASE WHEN abs(pq.q3 - pq.q1) < 1e-12 THEN 1.0 ELSE pq.q3 - pq.q1 END AS robust_z,
       a.value IS NULL AS is_missing, coalesce(importance_normalized, 0.0) AS importance_normalized,

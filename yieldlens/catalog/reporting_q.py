@@ -30,7 +30,7 @@ def _parts(spark, sf):
 
 
 def _prio(w, att):
-    return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att))
+    return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att, None))
 
 
 def q_evidence_labels(spark, sf):

@@ -7,6 +7,7 @@ from ..streaming import streams as ST
 QUERIES = dict(ST.STREAMS)
 
 _GAP_US = 30 * 60 * 1_000_000
+_LOCK_AFTER, _LOCK_MINUTES = ST.LOCKOUT_FAILURES, ST.LOCKOUT_MINUTES
 
 SQL = {
     "stream_window_profile": """SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -24,6 +25,19 @@ SQL = {
       SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
         strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS events
       FROM n GROUP BY user_id, sn""",
+    # one step of the recursion is one event of each user, in time order
+    "stream_lockout": f"""WITH RECURSIVE e AS (SELECT user_id, ts, event_type = 'error' AS err,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+      s AS (SELECT user_id, ts, rn, CASE WHEN err THEN 1 ELSE 0 END AS streak, CAST(NULL AS TIMESTAMP) AS until, false AS locks
+        FROM e WHERE rn = 1
+        UNION ALL
+        SELECT user_id, ts, rn, CASE WHEN locks THEN 0 ELSE streak END AS streak, until, locks FROM (
+          SELECT user_id, ts, rn, streak, CASE WHEN streak >= {_LOCK_AFTER} THEN ts + INTERVAL {_LOCK_MINUTES} MINUTE ELSE until END AS until,
+            streak >= {_LOCK_AFTER} AS locks FROM (
+            SELECT e.user_id, e.ts, e.rn, s.until, CASE WHEN s.until IS NOT NULL AND e.ts < s.until THEN s.streak
+              WHEN e.err THEN s.streak + 1 ELSE 0 END AS streak
+            FROM s JOIN e ON e.user_id IS NOT DISTINCT FROM s.user_id AND e.rn = s.rn + 1)))
+      SELECT user_id, ts AS locked_at, until AS locked_until, CAST({_LOCK_AFTER} AS INTEGER) AS failures FROM s WHERE locks""",
     "stream_decide": """WITH t AS (SELECT 'R-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS record_id,
         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS target, o_orderkey, o_custkey FROM orders),
       s AS (SELECT record_id, target, CAST((o_orderkey * 7919 + o_custkey * 104729) % 10007 + 4000 * target AS DOUBLE) / 14006 AS p FROM t)

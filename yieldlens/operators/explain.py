@@ -106,14 +106,15 @@ def group_top_features(att: DataFrame, groups: DataFrame, group_col: str, top: i
         F.col("feature_rank") <= top)
 
 
-def failure_features(att: DataFrame, top: int = GROUP_TOP) -> DataFrame:
+def failure_features(att: DataFrame, top: int | None = GROUP_TOP) -> DataFrame:
+    """Features by mean absolute contribution over the failed records: the first ``top`` as a report, all for None."""
     a = att.where(F.col("target") == 1).groupBy("feature").agg(
         F.avg(F.abs("contribution")).alias("m"), F.avg((F.col("contribution") > 0).cast("int")).alias("sp"),
         F.count(F.lit(1)).alias("failures"))
     w = Window.orderBy(F.desc("m"), "feature")  # one row per feature
-    return a.select("feature", "failures", r6(F.col("m")).alias("mean_absolute_contribution"),
-                    r6(F.col("sp")).alias("share_positive"), F.row_number().over(w).alias("feature_rank")).where(
-        F.col("feature_rank") <= top)
+    ranked = a.select("feature", "failures", r6(F.col("m")).alias("mean_absolute_contribution"),
+                      r6(F.col("sp")).alias("share_positive"), F.row_number().over(w).alias("feature_rank"))
+    return ranked if top is None else ranked.where(F.col("feature_rank") <= top)
 
 
 def review_queue(u: DataFrame, size: int = QUEUE_SIZE, id_col: str = "record_id") -> DataFrame:

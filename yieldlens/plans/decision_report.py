@@ -38,7 +38,7 @@ class DecisionReport:
     @cached_property
     def priorities(self) -> DataFrame:
         att = self.attributions
-        return PR.sensor_priority(att, self.wide, self.features, X.global_importance(att), X.failure_features(att))
+        return PR.sensor_priority(att, self.wide, self.features, X.global_importance(att), X.failure_features(att, None))
 
     @cached_property
     def index(self) -> DataFrame:
