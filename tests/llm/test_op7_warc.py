@@ -41,3 +41,18 @@ def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     _, index = op.write_archives(pages)
     assert op.read_chunks(spark, index).count() == 0
+
+
+def test_records_state_the_mandatory_fields(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 2000), (2, "http://b/", "x" * 2000), (3, None, None)],
+                                  "page_id long, url string, html string")
+    _, index = op.write_archives(pages, date="2026-01-31T12:00:00Z")
+    kinds = set()
+    for name in {r["archive"] for r in index.collect()}:
+        store, path = op.open_store(name)
+        with store.open_input_stream(path, compression=None) as stream:
+            for fields, *_ in op.records(stream):
+                kinds.add(fields["warc-type"])
+                assert fields["warc-date"] == "2026-01-31T12:00:00Z"
+                assert {"warc-record-id", "warc-type", "content-length"} <= set(fields)
+    assert kinds == {"response", "revisit"}

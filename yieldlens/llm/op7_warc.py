@@ -11,12 +11,14 @@ and length of a payload are carried from chunk to chunk, and the last chunk's ro
 holds a whole payload, whatever the record's size.
 
 Cases: null html is an empty payload, null url an empty target; payloads below the limit are always responses; rows
-that repeat both page_id and payload are equal, and all of them are responses if their id is the largest; a null
+that repeat both page_id and payload are equal, and all of them are responses if their id is the largest; a record id
+repeats where its page_id does; a null
 page_id orders below all others; an empty table writes no archive and reads back no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import uuid
 import zlib
@@ -67,7 +69,7 @@ def record_id(page_id) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
-def _write(folder: str):
+def _write(folder: str, date: str):
     def run(batches):
         import pyarrow as pa
 
@@ -84,6 +86,7 @@ def _write(folder: str):
                 kind = fields["record_type"][i]
                 payload = memoryview(html[i].as_buffer()) if kind == "response" else memoryview(b"")
                 head = [f"WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(fields['page_id'][i])}",
+                        f"WARC-Date: {date}",
                         f"WARC-Target-URI: {fields['url'][i].encode('ascii', 'backslashreplace').decode().replace(chr(13), ' ').replace(chr(10), ' ')}",
                         f"WARC-Payload-Digest: sha1:{fields['payload_digest'][i]}",
                         f"X-Payload-Length: {fields['payload_bytes'][i]}"]
@@ -106,10 +109,14 @@ def _write(folder: str):
     return run
 
 
-def write_archives(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> tuple[str, DataFrame]:
-    """Write all pages as WARC records; returns the folder and its index (archive, offset, length)."""
+def write_archives(pages: DataFrame, min_revisit: int = MIN_REVISIT, date: str | None = None) -> tuple[str, DataFrame]:
+    """Write all pages as WARC records; returns the folder and its index (archive, offset, length).
+
+    ``date`` is the records' time of capture in UTC (2026-01-31T12:00:00Z); pages state none, so the time of this call
+    stands for it unless given."""
+    date = date or datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     folder = shared_path(pages.sparkSession, "warc")
-    index = plan_records(pages, min_revisit).mapInArrow(_write(folder), "archive string, offset long, length long")
+    index = plan_records(pages, min_revisit).mapInArrow(_write(folder, date), "archive string, offset long, length long")
     return folder, cut_lineage(index)
 
 
