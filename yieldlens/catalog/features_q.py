@@ -86,7 +86,8 @@ def q_robust_deviation_features(spark, sf):
 
 
 def q_zone_features(spark, sf):
-    return FE.zone_features(_w(spark, sf), SENS)
+    w = _w(spark, sf)
+    return FE.zone_features(w, SENS, _stats(w))
 
 
 def q_interaction_features(spark, sf):
@@ -186,7 +187,17 @@ def _zone_cols():
                  f"round(list_min({obs}), 6) AS zone{zi}_min", f"round(list_max({obs}), 6) AS zone{zi}_max",
                  f"round(list_max({obs}) - list_min({obs}), 6) AS zone{zi}_range",
                  f"{len(zf)} - len({obs}) AS zone{zi}_missing",
-                 f"round({_mean(f'list_transform({obs}, lambda x: abs(x))')}, 6) AS zone{zi}_abs_mean"]
+                 f"round({_mean(f'list_transform({obs}, lambda x: abs(x))')}, 6) AS zone{zi}_abs_mean",
+                 f"round({_median(obs)}, 6) AS zone{zi}_median", f"len({obs}) AS zone{zi}_observed",
+                 f"round(({len(zf)} - len({obs})) / {len(zf)}, 6) AS zone{zi}_missing_rate"]
+        zarr = "[" + ", ".join(f"abs({s} - med_{s}) / CASE WHEN abs(coalesce(iqr_{s}, 0.0)) > 1e-12 THEN iqr_{s} ELSE 1.0 END"
+                               for s in zf) + "]"
+        az = f"list_filter({zarr}, lambda x: x IS NOT NULL)"
+        over = [f"len(list_filter({zarr}, lambda x: x >= {t}))" for t in FE.DEVIATION_LEVELS]
+        cols += [f"round({_mean(az)}, 6) AS zone{zi}_mean_abs_z", f"round({_median(az)}, 6) AS zone{zi}_median_abs_z",
+                 f"round(list_max({az}), 6) AS zone{zi}_max_abs_z", f"{over[0]} AS zone{zi}_mild_count",
+                 f"{over[1]} AS zone{zi}_moderate_count", f"{over[2]} AS zone{zi}_extreme_count",
+                 f"round({over[2]} / greatest(len({obs}), 1), 6) AS zone{zi}_extreme_rate"]
     return ", ".join(cols)
 
 
@@ -267,7 +278,7 @@ SQL = {
         (SELECT count(*) FILTER (WHERE NOT matched) FROM t) AS unmatched_records FROM t""",
     "aggregate_features": fx.sql_with("wide_records", extra=[_AGG]) + "SELECT * FROM agg",
     "robust_deviation_features": _ws(_DEV) + "SELECT * FROM dev",
-    "zone_features": fx.sql_with("wide_records") + f"SELECT record_id, {_zone_cols()} FROM wide_records",
+    "zone_features": _ws() + f"SELECT record_id, {_zone_cols()} FROM wide_records, dsw",
     "interaction_features": _ws(_AGG, _DEV, _QUAL) + """, b AS (SELECT s.record_id, s.ood_percentile AS anomaly, q.quality_score AS quality,
         q.quality_score AS completeness, a.row_missing_count / """ + str(K) + """ AS missing_rate, d.abs_z_ge_3 AS extremes,
         a.row_range AS range, a.row_std AS std FROM scores s JOIN qual q USING (record_id) JOIN agg a USING (record_id) JOIN dev d USING (record_id))

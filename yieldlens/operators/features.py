@@ -203,18 +203,31 @@ def zones(features: Sequence[str], n_zones: int = ZONES) -> list[list[str]]:
     return [z for z in out if z]
 
 
-def zone_features(wide: DataFrame, features: Sequence[str], id_col: str = "record_id") -> DataFrame:
-    """Per zone: mean, std, min, max, range, missing count, mean |x| (row expressions, one column per stat)."""
+def zone_features(wide: DataFrame, features: Sequence[str], stats: DataFrame, id_col: str = "record_id") -> DataFrame:
+    """Seventeen statistics a zone: of its values, of their presence, and of |robust z| against the fitted statistics
+    (row expressions, one column per statistic).  A zone without values has NULL statistics, counts and rates of 0."""
     cols = []
     for zi, zf in enumerate(zones(features), start=1):
         arr = row_array(zf)
         obs = F.filter(arr, lambda x: x.isNotNull())
         mean, n = _row_mean(arr)
         amean, _ = _row_mean(F.transform(arr, lambda x: F.abs(x)))
-        cols += [r6(mean).alias(f"zone{zi}_mean"), r6(_row_std(arr)).alias(f"zone{zi}_std"),
-                 r6(F.array_min(obs)).alias(f"zone{zi}_min"), r6(F.array_max(obs)).alias(f"zone{zi}_max"),
-                 r6(F.array_max(obs) - F.array_min(obs)).alias(f"zone{zi}_range"),
-                 (F.lit(len(zf)) - n).alias(f"zone{zi}_missing"), r6(amean).alias(f"zone{zi}_abs_mean")]
+        az = F.transform(_z_array(zf, stats), lambda x: F.abs(x))
+        zmean, _ = _row_mean(az)
+
+        def at_least(t):
+            return F.size(F.filter(az, lambda x: x >= t))
+
+        mild, moderate, extreme = map(at_least, DEVIATION_LEVELS)
+        missing = F.lit(len(zf)) - n
+        named = {
+            "mean": r6(mean), "median": r6(_row_median(arr)), "std": r6(_row_std(arr)), "min": r6(F.array_min(obs)),
+            "max": r6(F.array_max(obs)), "range": r6(F.array_max(obs) - F.array_min(obs)), "abs_mean": r6(amean),
+            "missing": missing, "missing_rate": r6(missing / len(zf)), "observed": n,
+            "mean_abs_z": r6(zmean), "median_abs_z": r6(_row_median(az)), "max_abs_z": r6(F.array_max(az)),
+            "mild_count": mild, "moderate_count": moderate, "extreme_count": extreme,
+            "extreme_rate": r6(extreme / F.greatest(n, F.lit(1)))}
+        cols += [c.alias(f"zone{zi}_{name}") for name, c in named.items()]
     return wide.select(id_col, *cols)
 
 
