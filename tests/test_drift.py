@@ -31,3 +31,12 @@ def test_constant_reference_is_flagged(spark):
     fd = D.feature_drift(_two_sides(spark, [1.0] * 50, [float(i) for i in range(50)]), ["sensor_001"]).first()
     assert fd.reference_constant and not fd.current_constant
     assert fd.constant_sensor_change_severity == "Warning"
+
+
+def test_wasserstein_keeps_its_digits_far_from_zero(spark):
+    ref, cur = [i * 0.5 for i in range(200)], [i * 0.5 + (i % 7) * 0.25 for i in range(200)]
+    near = D.wasserstein(D.DriftBase(_two_sides(spark, ref, cur), ["sensor_001"])).first().wasserstein_distance
+    far = D.wasserstein(D.DriftBase(_two_sides(spark, [v + 1e12 for v in ref], [v + 1e12 for v in cur]), ["sensor_001"])).first()
+    want = sum(abs(a - b) for a, b in zip(sorted(ref), sorted(cur))) / 200
+    assert abs(near - want) < 1e-12
+    assert abs(far.wasserstein_distance - want) < 1e-9

@@ -175,38 +175,6 @@ def exact_quantiles(
     return _claim(pos, keys, value, grid)
 
 
-def exact_quantile_grid(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    q_table: DataFrame,
-    q_keys: Sequence[str],
-    *,
-    partitions: int | None = None,
-    bounded_keys: bool = False,
-) -> DataFrame:
-    """Quantiles at probabilities j/(Q-1), j = 0..Q-1, where ``q_table`` gives Q (column ``_q``) per
-    ``q_keys`` (a subset of keys).  Only the grid points a value row covers are generated, so the work is
-    O(rows + Q) per key and no group is gathered."""
-    keys = list(keys)
-    pos = positioned(df, keys, value, partitions=partitions, bounded_keys=bounded_keys)
-    qt = F.broadcast(q_table) if bounded_keys else q_table
-    pos = pos.join(qt, list(q_keys), "inner")
-    q = F.col("_q")
-    span = F.greatest(F.col("_n") - 1, F.lit(1))
-    jlo = F.greatest(F.lit(0), F.floor((F.col("_start") - 1) * (q - 1) / span))
-    jhi = F.least(q - 1, F.ceil((F.col("_end") + 1) * (q - 1) / span))
-    grid = F.transform(
-        F.sequence(jlo.cast("int"), jhi.cast("int")),
-        lambda j: F.struct(
-            j.alias("j"),
-            (j / (q - 1)).alias("p"),
-            ((F.col("_n") - 1) * (j / (q - 1))).alias("h"),
-        ),
-    )
-    return _claim(pos, keys, value, grid)
-
-
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, *, partitions: int | None = None,
                  bounded_keys: bool = False) -> DataFrame:
     """Tie-averaged 1-based rank of every distinct value within keys: keys..., value, _c, _n, avg_rank."""

@@ -243,12 +243,14 @@ def wasserstein(b: DriftBase, bins: int = 10) -> DataFrame:
     """Exact first Wasserstein distance: the area between the two distribution functions.
 
     The sum of |F_ref - F_cur| times the step to the next value is summed by parts, so each value needs only the running
-    counts before and at itself: no neighbour, no order within a task and no grid of points."""
+    counts before and at itself: no neighbour, no order within a task and no grid of points.  The steps' weights add up to
+    nothing, so values are taken from the reference mean: digits stay where all values are far from 0."""
     before = F.abs((F.col("cum_c_ref") - F.col("c_ref")) / F.col("tot_c_ref")
                    - (F.col("cum_c_cur") - F.col("c_cur")) / F.col("tot_c_cur"))
     after = F.abs(F.col("cum_c_ref") / F.col("tot_c_ref") - F.col("cum_c_cur") / F.col("tot_c_cur"))
     both = (F.col("tot_c_ref") > 0) & (F.col("tot_c_cur") > 0)
-    area = b.cum.where(both).groupBy("feature").agg(F.sum(F.col("value") * (before - after)).alias("area"))
+    area = b.cum.where(both).groupBy("feature").agg(
+        F.sum((F.col("value") - F.col("tot_sv_ref") / F.col("tot_c_ref")) * (before - after)).alias("area"))
     st = b.stats.select("feature", "n_ref", "n_cur")
     return st.join(area, "feature", "left").select(
         "feature", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.greatest("area", F.lit(0.0))).alias("wasserstein_distance"))
