@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import contributions as CO
 from ..operators import errors as E
 from ..operators import explain as X
 from ..operators import policy as PO
 from ..operators import priority as PR
 from ..operators import uncertainty as U
 from ..functions.expressions import r6
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 
 SENS = fx.SENSORS
@@ -22,7 +24,6 @@ def _w(spark, sf):
 
 
 def _snap(spark, sf):
-    from ..session import cut_lineage
     return cut_lineage(_w(spark, sf))  # one record snapshot for multi-stage queries
 
 
@@ -155,6 +156,19 @@ def q_failure_features(spark, sf):
     return X.failure_features(_att(spark, sf))
 
 
+def _tree_att(spark, sf):
+    return CO.forest_attributions(_w(spark, sf), SENS, F.col("side") == "reference", F.col("side") == "current")
+
+
+def q_tree_attributions(spark, sf):
+    return _tree_att(spark, sf).select("record_id", "target", "feature", *[r6(F.col(c)).alias(c) for c in (
+        "value", "contribution", "base_value", "score")])
+
+
+def q_tree_importance(spark, sf):
+    return X.global_importance(cut_lineage(_tree_att(spark, sf)))
+
+
 def q_review_queue(spark, sf):
     s = fx.scores(spark, sf)
     u = s.select("record_id", "target", "probability", (1 - F.col("confidence")).alias("uncertainty"),

@@ -53,17 +53,18 @@ HISTOGRAM_BYTES = 96 << 20
 @dataclass(frozen=True)
 class Forest:
     """Trees in heap order (children of i: 2 i + 1 and 2 i + 2): ``feature`` (-1: leaf), ``upto`` (last bin that goes left),
-    ``missing_left`` and ``value``, each of shape (trees, nodes)."""
+    ``missing_left``, ``value`` and ``cover`` (weight of the fitting rows), each of shape (trees, nodes)."""
 
     feature: np.ndarray
     upto: np.ndarray
     missing_left: np.ndarray
     value: np.ndarray
+    cover: np.ndarray
 
     @staticmethod
     def empty(trees: int, depth: int) -> "Forest":
         shape = (trees, 2 ** (depth + 1) - 1)
-        return Forest(np.full(shape, -1, np.int16), np.zeros(shape, np.uint8), np.zeros(shape, bool), np.zeros(shape))
+        return Forest(np.full(shape, -1, np.int16), np.zeros(shape, np.uint8), np.zeros(shape, bool), np.zeros(shape), np.zeros(shape))
 
     def nodes(self, tree: int, x: np.ndarray) -> np.ndarray:
         """The node that each row of binned values ends in."""
@@ -104,8 +105,9 @@ def bag(key: np.ndarray, y: np.ndarray, tree: int, small: int, share: float) ->
     return poisson(uniform(key, tree), np.where(y == small, 1.0, share))
 
 
-def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_id", bins: int = BINS) -> DataFrame:
-    """id, target, fit, key and ``x`` (a byte for each feature), stored; bins are quantiles of the rows where ``fit`` holds."""
+def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_id", bins: int = BINS, values: bool = False) -> DataFrame:
+    """id, target, fit, key and ``x`` (a byte for each feature), stored; bins are quantiles of the rows where ``fit`` holds.
+    With ``values`` the features themselves come along as the array ``values``."""
     cols = list(features)
     held = cut_lineage(wide.select(F.col(id_col), "target", F.coalesce(fit & F.col("target").isNotNull(), F.lit(False)).alias("fit"),
                                    F.xxhash64(F.col(id_col).cast("string")).alias("key"), *[finite(c).alias(c) for c in cols]))
@@ -124,10 +126,13 @@ def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_
                 v = batch.column(4 + j).to_numpy(zero_copy_only=False).astype(np.float64)
                 x[:, j] = np.where(np.isnan(v), 0, 1 + np.searchsorted(edge, v, "left"))
             packed = pa.array([row.tobytes() for row in x], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed], names=[id_col, "target", "fit", "key", "x"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed, *batch.columns[4 + len(cols):]],
+                                             names=[id_col, "target", "fit", "key", "x", *(["values"] if values else [])])
 
     kind = wide.schema[id_col].dataType.simpleString()
-    return cut_lineage(held.mapInArrow(run, f"{id_col} {kind}, target int, fit boolean, key long, x binary"))
+    schema = f"{id_col} {kind}, target int, fit boolean, key long, x binary" + (", values array<double>" if values else "")
+    source = held.withColumn("values", F.array(*[F.col(c).cast("double") for c in cols])) if values else held
+    return cut_lineage(source.mapInArrow(run, schema))
 
 
 def _rows(batch, width: int):
@@ -247,14 +252,14 @@ def grow(rows: DataFrame, width: int, trees: int, depth: int, weigh, kind: str =
         for r in found:
             t, node, b = r["tree"], r["node"], r["b"]
             left, total = np.array([b["l0"], b["l1"]]), np.array([b["t0"], b["t1"]])
-            forest.value[t, node] = _leaf(kind, total)
+            forest.value[t, node], forest.cover[t, node] = _leaf(kind, total), _cover(kind, total)
             if node == 0:
                 roots[t] = b
             if b["gain"] <= 1e-9:
                 continue
             forest.feature[t, node], forest.upto[t, node], forest.missing_left[t, node] = b["feature"], b["upto"], b["missing_left"]
             for child, side in ((2 * node + 1, left), (2 * node + 2, total - left)):
-                forest.value[t, child] = _leaf(kind, side)
+                forest.value[t, child], forest.cover[t, child] = _leaf(kind, side), _cover(kind, side)
                 enough = side[1] >= 2 * least if kind == "newton" else side.sum() >= MIN_SPLIT and min(side) > 0
                 if level + 1 < depth and enough:
                     open_nodes[t].append(child)
@@ -267,6 +272,10 @@ def _leaf(kind: str, s: np.ndarray) -> float:
     return float(s[0] / s.sum()) if s.sum() > 0 else 0.0
 
 
+def _cover(kind: str, s: np.ndarray) -> float:
+    return float(s[1]) if kind == "newton" else float(s.sum())
+
+
 def _classes(train: DataFrame) -> tuple[int, float] | None:
     """The smaller class and its size by the larger one's; None where a class is missing."""
     n = {r["target"]: r["count"] for r in train.groupBy("target").count().collect()}
@@ -400,7 +409,7 @@ def fit_boosted_trees(train: DataFrame, width: int, rounds: int = ROUNDS, depth:
 
         one, _ = grow(train, width, 1, depth, weigh, "newton", per_node=max(1, math.ceil(0.7 * width)), least=MIN_HESSIAN, seed=SEED + r)
         one = replace(one, value=one.value * rate)
-        done = Forest(*[np.concatenate([getattr(done, f), getattr(one, f)]) for f in ("feature", "upto", "missing_left", "value")])
+        done = Forest(*[np.concatenate([getattr(done, f), getattr(one, f)]) for f in ("feature", "upto", "missing_left", "value", "cover")])
     return 0.0, done
 
 
