@@ -192,54 +192,97 @@ def drift(spark: SparkSession, sf_dir: str, bins: int = 10, eps: float = 1e-8, w
     return wide.select("window_start", "events", r6(F.greatest(sum(parts[1:], parts[0]), F.lit(0.0))).alias("psi"))
 
 
-LOCK_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("locked_at", T.TimestampType()),
-                            T.StructField("locked_until", T.TimestampType()), T.StructField("failures", T.IntegerType())])
-LOCK_STATE = T.StructType([T.StructField("failures", T.IntegerType()), T.StructField("locked_until", T.TimestampType())])
+STATE_DAYS = 1  # an idle user's state is dropped so long after the watermark
 
 
-def lock_step(key, rows, failures: int, until):
-    """Locks of one user from (ts, is_error) rows in time order, and the state after them."""
+def lock_step(key, rows, failures: int, until, lock=None):
+    """Locks of one user from (ts, is_error) rows in time order, and the state after them; ``lock`` is what a lock adds to a ts."""
     import datetime
 
+    lock = datetime.timedelta(minutes=LOCKOUT_MINUTES) if lock is None else lock
     out = []
     for ts, error in rows:
         if until is not None and ts < until:
             continue
         failures = failures + 1 if error else 0
         if failures >= LOCKOUT_FAILURES:
-            until = ts + datetime.timedelta(minutes=LOCKOUT_MINUTES)
+            until = ts + lock
             out.append((key, ts, until, failures))
             failures = 0
     return out, failures, until
 
 
-def lockout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N consecutive failed logins lock a user for M minutes (per-user state, ``applyInPandasWithState``).
-
-    Failed login = an ``error`` event; any other event resets the count; failures while locked are ignored.  A user's
-    rows of a micro-batch are put in time order over all their Arrow batches; state without news for a day of event
-    time past the watermark is dropped."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    e = _events(spark, sf_dir).withWatermark("ts", WATERMARK).select(
-        "user_id", "ts", "event_id", (F.col("event_type") == "error").alias("error"))
-
-    def step(key, pdfs, state):
-        import pandas as pd
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        failures, until = (state.get if state.exists else (0, None))
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"])
-        out, failures, until = lock_step(key[0], zip(rows["ts"], rows["error"]), failures, until)
-        state.update((failures, until))
-        state.setTimeoutTimestamp(max(int(rows["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + 86_400_000)
-        yield pd.DataFrame(out, columns=["user_id", "locked_at", "locked_until", "failures"])
-
-    locks = e.groupBy("user_id").applyInPandasWithState(step, LOCK_SCHEMA, LOCK_STATE, "append",
-                                                         GroupStateTimeout.EventTimeTimeout)
-    return run_to_table(spark, locks, "lockout", mode="append")
+WALKED = "user_id long, locked_at long, locked_until long, failures int, seen long, state boolean"
+
+
+def walk_locks(batches):
+    """Locks and one state row for each user from rows sorted by user and time (user_id, at, error, failures, until), one Arrow batch
+    at a time: only the current user's state is kept.  A user's first row may be the state before (``error`` is null)."""
+    from itertools import groupby
+
+    import pyarrow as pa
+
+    schema = pa.schema([("user_id", pa.int64()), ("locked_at", pa.int64()), ("locked_until", pa.int64()), ("failures", pa.int32()),
+                        ("seen", pa.int64()), ("state", pa.bool_())])
+    minutes = LOCKOUT_MINUTES * 60_000_000
+    user, failures, until, seen = None, 0, None, None  # seen is null until the first row
+
+    def emitted(rows):
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    for batch in batches:
+        users, at, error, had, locked = (c.to_pylist() for c in batch.columns)
+        out = []
+        for key, span in groupby(range(len(users)), key=users.__getitem__):
+            span = list(span)
+            if seen is not None and key != user:
+                out.append((user, None, until, failures, seen, True))
+                failures, until, seen = 0, None, None
+            user = key
+            if error[span[0]] is None:
+                failures, until = had[span[0]], locked[span[0]]
+            locks, failures, until = lock_step(key, ((at[i], error[i]) for i in span if error[i] is not None), failures, until, minutes)
+            out += [(*row, None, False) for row in locks]
+            seen = at[span[-1]] if seen is None else max(seen, at[span[-1]])  # a batch may bring older events
+        if out:
+            yield emitted(out)
+    if seen is not None:
+        yield emitted([(user, None, until, failures, seen, True)])
+
+
+def lockout(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """N consecutive failed logins lock a user for M minutes.
+
+    Failed login = an ``error`` event; any other event resets the count; failures while locked are ignored; events without a
+    time are left out.  Spark sorts each micro-batch by user and time, behind the users' states of the batch before, and tasks walk
+    the sorted rows by Arrow batches, so a user with most of the events needs no more memory than any other.  Locks and states
+    are written together, in a folder for each batch, which a retried batch overwrites.  State without news for a
+    day of event time past the watermark is dropped."""
+    ckpt, sink = _dirs(spark, "lockout")
+    idle = 1_000_000 * (STATE_DAYS * 86_400 + int(WATERMARK.split()[0]) * 3_600)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where("ts IS NOT NULL").select(
+            F.col("user_id").cast("long").alias("user_id"), F.unix_micros("ts").alias("at"),
+            F.coalesce(F.col("event_type") == "error", F.lit(False)).alias("error"),
+            F.lit(None).cast("int").alias("failures"), F.lit(None).cast("long").alias("until"), "event_id", F.lit(1).alias("turn"))
+        if batch_id:
+            before = batch.sparkSession.read.parquet(f"{sink}/batch={batch_id - 1}").where("state")
+            newest = before.agg(F.max("seen")).first()[0] or 0
+            rows = rows.unionByName(before.where(F.col("seen") >= newest - idle).select(
+                "user_id", F.col("seen").alias("at"), F.lit(None).cast("boolean").alias("error"), "failures",
+                F.col("locked_until").alias("until"), F.lit(0).alias("turn")), allowMissingColumns=True)
+        rows = rows.repartition("user_id").sortWithinPartitions("user_id", "turn", "at", "event_id")
+        walked = rows.select("user_id", "at", "error", "failures", "until").mapInArrow(walk_locks, WALKED)
+        walked.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    events = source(spark, sf_dir, "events", files_per_trigger).withColumn("ts", F.col("ts").cast("timestamp"))
+    q = (events.select("user_id", "ts", "event_id", "event_type").writeStream.option("checkpointLocation", ckpt).foreachBatch(step)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    locks = read_sink(spark, sink, T._parse_datatype_string(WALKED)).where("not state")
+    return locks.select("user_id", F.timestamp_micros("locked_at").alias("locked_at"),
+                        F.timestamp_micros("locked_until").alias("locked_until"), "failures")
 
 
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
