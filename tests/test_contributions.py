@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_trees import COLS, CUR, REF, made
 from yieldlens.operators import contributions as CO
 from yieldlens.operators import explain as X
+from yieldlens.operators import priority as PR
 from yieldlens.operators import trees as TR
 
 
@@ -83,6 +84,8 @@ def test_forest_contributions_sum_to_its_scores(spark):
         assert all(values[r["record_id"], c] == r[c] for c in COLS)
     importance = [r["feature"] for r in X.global_importance(att).orderBy("importance_rank").collect()]
     assert importance[0] == "a"  # the table's target follows a, where b is positive
+    ranked = PR.sensor_priority(att, wide, COLS, X.global_importance(att), X.failure_features(att, None))
+    assert ranked.count() == 2400 and ranked.select("record_id", "feature").distinct().count() == 2400
     assert X.local_top_k(att, 2).count() == 1200 and X.local_summary(att).count() == 600
 
 

@@ -210,6 +210,12 @@ def q_sensor_priority_rollups(spark, sf):
     return PR.sensor_priority_rollups(_prio(spark, sf), _decisions(spark, sf))
 
 
+def q_tree_sensor_priority(spark, sf):
+    w = _snap(spark, sf)
+    att = cut_lineage(CO.forest_attributions(w, SENS, F.col("side") == "reference", F.col("side") == "current"))
+    return PR.sensor_priority(att, w, SENS, X.global_importance(att), X.failure_features(att, None))
+
+
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
 
 # ---------------------------------------------------------------------------
