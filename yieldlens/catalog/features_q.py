@@ -9,6 +9,7 @@ from ..functions.expressions import r6
 from ..operators import explain as X
 from ..operators import features as FE
 from ..operators import metrics as M
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from . import sqlbits as S
 
@@ -26,6 +27,10 @@ def _w(spark, sf):
     return fx.wide_records(spark, sf)
 
 
+def _snap(spark, sf):
+    return cut_lineage(_w(spark, sf))  # read by the fit and by the transform
+
+
 def _stats(w):
     return FE.development_stats(w, SENS, fit=_ref())
 
@@ -81,12 +86,12 @@ def q_aggregate_features(spark, sf):
 
 
 def q_robust_deviation_features(spark, sf):
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     return FE.robust_deviation_features(w, SENS, _stats(w))
 
 
 def q_zone_features(spark, sf):
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     return FE.zone_features(w, SENS, _stats(w))
 
 
