@@ -94,3 +94,17 @@ def test_one_class_and_empty_tables_have_no_rows(spark):
     for table in (wide.withColumn("target", F.lit(0)), wide.where("false")):
         out = CO.forest_attributions(table, COLS, REF(), CUR(), trees=3, depth=2)
         assert out.columns == ["record_id", "target", "feature", "value", "contribution", "base_value", "score"] and out.count() == 0
+
+
+def test_leaves_are_looked_up_together():
+    forest = TR.Forest.empty(1, 5)
+    rng = np.random.default_rng(3)
+    forest.feature[0, :31] = rng.integers(0, 4, 31)
+    forest.upto[0, :31] = rng.integers(1, 16, 31)
+    forest.value[0] = rng.random(63)
+    forest.cover[0] = 1.0
+    blocks = CO._blocks(forest, 0, TR.BINS)
+    assert len(CO.leaves(forest, 0)) == 32 and len(blocks) == 8  # one table for four leaves
+    x = rng.integers(0, 17, (200, 4)).astype(np.uint8)
+    sums = CO.contributions(forest, x).sum(1) + CO.base_value(forest)
+    assert np.allclose(sums, forest.value[0][forest.nodes(0, x)])

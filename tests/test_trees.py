@@ -113,3 +113,46 @@ def test_one_class_gives_no_scores(spark):
     for model in (TR.balanced_forest, TR.easy_ensemble, TR.boosted_trees):
         got = model(wide, COLS, REF(), CUR()).collect()
         assert len(got) == 50 and all(r["probability"] is None for r in got)
+
+
+def test_nodes_follow_the_splits_one_by_one():
+    rng = np.random.default_rng(5)
+    forest = TR.Forest.empty(3, 4)
+    forest.feature[:, :15] = rng.integers(-1, 6, (3, 15))
+    forest.upto[:, :15] = rng.integers(1, 16, (3, 15))
+    forest.missing_left[:, :15] = rng.random((3, 15)) < 0.5
+    x = rng.integers(0, 17, (500, 6)).astype(np.uint8)
+    for t in range(3):
+        for row, got in zip(x, forest.nodes(t, x)):
+            at = 0
+            while forest.feature[t, at] >= 0:
+                v = row[forest.feature[t, at]]
+                at = 2 * at + 2 - int(forest.missing_left[t, at] if v == 0 else v <= forest.upto[t, at])
+            assert at == got
+
+
+def test_poisson_numbers_invert_the_distribution():
+    u = np.array([0.0, math.exp(-1.0) - 1e-12, math.exp(-1.0) + 1e-12, 0.74, 0.95, 1 - 1e-16])
+    assert TR.poisson(u, 1.0).tolist() == [0, 0, 1, 2, 3, 12]
+
+
+def test_a_task_takes_many_batches_at_once():
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array([b"\x01\x02"] * 10), pa.array([1] * 10), pa.array(range(10))], names=["x", "target", "key"])
+    chunks = list(TR._chunks([batch] * 7, 2))
+    assert [len(c[0]) for c in chunks] == [70] and chunks[0][0].shape == (70, 2)
+
+
+def test_the_margin_of_boosted_trees_is_stored_every_few_rounds(spark, monkeypatch):
+    stored, cut = [], TR.cut_lineage
+    monkeypatch.setattr(TR, "cut_lineage", lambda df: stored.append(df) or cut(df))
+    rows = [(f"r{i}", int(i % 4 == 0), True, i, bytes([1 + i % 7 + 8 * (i % 4 == 0), i % 5])) for i in range(300)]
+    train = spark.createDataFrame(rows, "record_id string, target int, fit boolean, key long, x binary")
+    monkeypatch.setattr(TR, "MARGIN_ROUNDS", 100)
+    plain = TR.fit_boosted_trees(train, 2, rounds=5, depth=2)[1]
+    assert not stored
+    monkeypatch.setattr(TR, "MARGIN_ROUNDS", 2)
+    kept = TR.fit_boosted_trees(train, 2, rounds=5, depth=2)[1]
+    assert len(stored) == 2
+    assert (plain.feature == kept.feature).all() and (plain.upto == kept.upto).all() and np.allclose(plain.value, kept.value)

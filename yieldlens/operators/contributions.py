@@ -21,23 +21,25 @@ from pyspark.sql import functions as F
 
 from . import trees as TR
 
+BLOCK = 2
+SLICE = 1 << 13
+CHUNK_ROWS = 1 << 16
 
-def leaves(forest: TR.Forest, tree: int, bins: int = TR.BINS) -> list[tuple[float, dict, dict]]:
-    """(value, share, admits) of each leaf: by feature, the share of the fitting rows that its splits pass on and the bins they admit."""
-    out, todo = [], [(0, {}, {})]
+
+def leaves(forest: TR.Forest, tree: int, bins: int = TR.BINS) -> list[tuple[float, dict, list]]:
+    """(value, share, path) of each leaf: by feature, the share of the fitting rows that its splits pass on; the splits from the
+    root on as (node, whether the leaf is on its left)."""
+    out, todo = [], [(0, {}, [])]
     while todo:
-        node, share, admits = todo.pop()
+        node, share, path = todo.pop()
         f = int(forest.feature[tree, node])
         if f < 0:
-            out.append((float(forest.value[tree, node]), share, admits))
+            out.append((float(forest.value[tree, node]), share, path))
             continue
-        left = np.arange(bins + 1) <= forest.upto[tree, node]
-        left[0] = forest.missing_left[tree, node]
-        children = (2 * node + 1, left), (2 * node + 2, ~left)
-        both = sum(forest.cover[tree, child] for child, _ in children)
-        for child, side in children:
+        both = sum(forest.cover[tree, child] for child in (2 * node + 1, 2 * node + 2))
+        for child, left in ((2 * node + 1, True), (2 * node + 2, False)):
             part = float(forest.cover[tree, child] / both) if both else 0.5
-            todo.append((child, {**share, f: share.get(f, 1.0) * part}, {**admits, f: side & admits[f] if f in admits else side}))
+            todo.append((child, {**share, f: share.get(f, 1.0) * part}, [*path, (node, left)]))
     return out
 
 
@@ -67,27 +69,79 @@ def pattern_table(value: np.ndarray, share: np.ndarray) -> np.ndarray:
     return value[:, None, None] * (follows - z) * total
 
 
+def _blocks(forest: TR.Forest, tree: int, bins: int) -> dict[int, tuple[list, np.ndarray, list]]:
+    """Leaves taken together below the nodes BLOCK splits above the deepest: by node, the splits down to it and below it, a table of
+    contributions by which of these splits a record goes left at (bit i: split i) and the features of its lines."""
+    by_size: dict[int, list] = {}
+    for leaf in leaves(forest, tree, bins):
+        by_size.setdefault(len(leaf[1]), []).append(leaf)
+    by_size.pop(0, None)  # a tree without splits gives every record its base value
+    groups: dict[int, list] = {}
+    depth = max(0, _longest(forest, tree) - BLOCK)
+    for group in by_size.values():
+        used = [sorted(share) for _, share, _ in group]
+        tables = pattern_table(np.array([v for v, _, _ in group]), np.array([[share[f] for f in fs] for (_, share, _), fs in zip(group, used)]))
+        for (_, _, path), fs, table in zip(group, used, tables):
+            groups.setdefault(path[min(len(path) - 1, depth)][0], []).append((path, fs, table))
+    out = {}
+    for top, members in groups.items():
+        splits = sorted({node for path, _, _ in members for node, _ in path})  # heap order: from the root on
+        bit = {node: i for i, node in enumerate(splits)}
+        lines = sorted({f for _, fs, _ in members for f in fs})
+        left = (np.arange(2 ** len(splits)) >> np.arange(len(splits))[:, None] & 1).astype(bool)
+        total = np.zeros((len(lines), 2 ** len(splits)))
+        for path, fs, table in members:
+            follows = {f: np.ones(left.shape[1], bool) for f in fs}
+            for node, to_left in path:
+                follows[int(forest.feature[tree, node])] &= left[bit[node]] == to_left
+            pattern = sum(follows[f].astype(np.int64) << j for j, f in enumerate(fs))
+            for j, f in enumerate(fs):
+                total[lines.index(f)] += table[pattern, j]
+        out[top] = splits, total, lines
+    return out
+
+
+def _longest(forest: TR.Forest, tree: int) -> int:
+    """Splits on the tree's longest path."""
+    inner = np.nonzero(forest.feature[tree] >= 0)[0]
+    return int(inner[-1] + 1).bit_length() if len(inner) else 0
+
+
 def contributions(forest: TR.Forest, x: np.ndarray, bins: int = TR.BINS) -> np.ndarray:
     """(rows, features): contributions to the sum of the trees' values for binned rows."""
     columns = np.ascontiguousarray(x.T)
     out = np.zeros(columns.shape)
     for t in range(len(forest.feature)):
-        by_size: dict[int, list] = {}
-        for leaf in leaves(forest, t, bins):
-            by_size.setdefault(len(leaf[1]), []).append(leaf)
-        by_size.pop(0, None)  # a tree without splits gives every record its base value
-        for group in by_size.values():
-            used = [sorted(share) for _, share, _ in group]
-            table = pattern_table(np.array([v for v, _, _ in group]),
-                                  np.array([[share[f] for f in fs] for (_, share, _), fs in zip(group, used)]))
-            for (_, _, admits), fs, rows in zip(group, used, table):
-                pattern = np.zeros(columns.shape[1], np.int64)
-                for j, f in enumerate(fs):
-                    pattern |= admits[f][columns[f]].astype(np.int64) << j
-                out[fs] += rows[pattern].T
+        blocks = _blocks(forest, t, bins)
+        sides = {}
+        for node in {node for splits, _, _ in blocks.values() for node in splits}:
+            sides[node] = (np.arange(bins + 1) <= forest.upto[t, node]).astype(np.int64)
+            sides[node][0] = forest.missing_left[t, node]
+        for start in range(0, columns.shape[1], SLICE):
+            own, added = columns[:, start:start + SLICE], out[:, start:start + SLICE]
+            left = {node: side[own[forest.feature[t, node]]] for node, side in sides.items()}
+            for splits, table, lines in blocks.values():
+                pattern = left[splits[0]].copy()
+                for i, node in enumerate(splits[1:], start=1):
+                    pattern |= left[node] << i
+                for f, line in zip(lines, table):
+                    added[f] += line[pattern]
     return out.T
 
 
+def _chunks(pa, batches):
+    """The rows of many batches at once: a tree's tables are made once for each call."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= CHUNK_ROWS:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
 def explained(rows: DataFrame, features: Sequence[str], forest: TR.Forest, scale: float = 1.0, id_col: str = "record_id") -> DataFrame:
     """id, target, feature, value, contribution, base_value, score of stored binned rows with ``values`` (see ``trees.binned``);
     ``scale`` times the sum of the trees' values is the score."""
@@ -97,9 +151,7 @@ def explained(rows: DataFrame, features: Sequence[str], forest: TR.Forest, scale
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _chunks(pa, batches):
             x = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, len(cols))
             phi = scale * contributions(forest, x)
             score = scale * sum(forest.value[t][forest.nodes(t, x)] for t in range(len(forest.feature)))

@@ -108,9 +108,9 @@ def chained_impute(wide: DataFrame, features: Sequence[str], fit, rounds: int =
 
         def weigh(x, y, key, tree, seed=TR.SEED + 100 * (r + 1)):
             value = y[:, owner[tree]]
-            w = TR.poisson(TR.uniform(key, tree, seed), np.ones(len(value)))
-            rows = np.nonzero(w * ~np.isnan(value))[0]
-            w = w[rows].astype(np.float64)
+            rows = np.nonzero(~np.isnan(value))[0]
+            w = TR.poisson(TR.uniform(key[rows], tree, seed), 1.0)
+            rows, w = rows[w > 0], w[w > 0].astype(np.float64)
             return rows, -w * (value[rows] - means[owner[tree]]), w
 
         closed = [[c, *[j for j in range(len(cols)) if j not in known]] for c in owner]  # no tree sees its own column

@@ -48,6 +48,8 @@ MIN_HESSIAN = 3.0
 L2 = 1.0
 SEED = 42
 HISTOGRAM_BYTES = 96 << 20
+CHUNK_ROWS = 1 << 16
+MARGIN_ROUNDS = 5
 
 
 @dataclass(frozen=True)
@@ -66,17 +68,22 @@ class Forest:
         shape = (trees, 2 ** (depth + 1) - 1)
         return Forest(np.full(shape, -1, np.int16), np.zeros(shape, np.uint8), np.zeros(shape, bool), np.zeros(shape), np.zeros(shape))
 
-    def nodes(self, tree: int, x: np.ndarray) -> np.ndarray:
+    def nodes(self, tree: int, x: np.ndarray, bins: int = BINS) -> np.ndarray:
         """The node that each row of binned values ends in."""
-        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        while True:
-            feature = self.feature[tree, at]
-            inner = feature >= 0
-            if not inner.any():
-                return at
-            bins = x[rows, np.maximum(feature, 0)]
-            left = np.where(bins == 0, self.missing_left[tree, at], bins <= self.upto[tree, at])
-            at = np.where(inner, 2 * at + 2 - left, at)
+        feature = self.feature[tree]
+        inner = np.nonzero(feature >= 0)[0]
+        at = np.zeros(len(x), np.int64)
+        if not len(inner):
+            return at
+        step = np.repeat(np.arange(len(feature)), bins + 1).reshape(-1, bins + 1)  # a leaf leads to itself
+        left = np.arange(bins + 1) <= self.upto[tree, inner, None]
+        left[:, 0] = self.missing_left[tree, inner]
+        step[inner] = 2 * inner[:, None] + 2 - left
+        column, step, flat = np.maximum(feature, 0).astype(np.int64), step.ravel(), np.ascontiguousarray(x).ravel()
+        start = np.arange(len(x)) * x.shape[1]
+        for _ in range(int(inner[-1] + 1).bit_length()):  # levels with a split
+            at = step[at * (bins + 1) + flat[start + column[at]]]
+        return at
 
 
 def uniform(key: np.ndarray, tree: int, seed: int = SEED) -> np.ndarray:
@@ -88,21 +95,24 @@ def uniform(key: np.ndarray, tree: int, seed: int = SEED) -> np.ndarray:
     return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
-def poisson(u: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """Poisson numbers of the given rates (1 at most) by inverting their distribution at u; at most 12."""
-    out = np.zeros(len(u), np.int64)
-    term = np.exp(-rate)
-    total = term.copy()
-    for k in range(1, 13):
-        out += u >= total
+def poisson(u: np.ndarray, rate: float) -> np.ndarray:
+    """Poisson numbers of the given rate (1 at most) by inverting its distribution at u; at most 12."""
+    term = total = math.exp(-rate)
+    steps = [total]
+    for k in range(1, 12):
         term = term * rate / k
         total += term
-    return out
+        steps.append(total)
+    return np.searchsorted(np.array(steps), u, "right")
 
 
 def bag(key: np.ndarray, y: np.ndarray, tree: int, small: int, share: float) -> np.ndarray:
     """Weights of the rows in a tree's balanced bag; ``share`` is the smaller class's size by the larger one's."""
-    return poisson(uniform(key, tree), np.where(y == small, 1.0, share))
+    u, few = uniform(key, tree), y == small
+    out = np.zeros(len(u), np.int64)
+    for rows, rate in ((np.nonzero(few & (u >= math.exp(-1.0)))[0], 1.0), (np.nonzero(~few & (u >= math.exp(-share)))[0], share)):
+        out[rows] = poisson(u[rows], rate)
+    return out
 
 
 def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_id", bins: int = BINS, values: bool = False) -> DataFrame:
@@ -144,6 +154,20 @@ def _rows(batch, width: int):
             batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
+def _chunks(batches, width: int):
+    """What ``_rows`` gives, for many batches at once: the work of a tree has a fixed part for each call."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(_rows(batch, width))
+            n += batch.num_rows
+        if n >= CHUNK_ROWS:
+            yield tuple(np.concatenate(part) for part in zip(*held))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(part) for part in zip(*held))
+
+
 def _score(kind: str, s: np.ndarray) -> np.ndarray:
     """What a node with the sums ``s`` (last axis: two numbers) is worth; a split's gain is the sides' worth less its own."""
     a, b = s[..., 0], s[..., 1]
@@ -190,17 +214,15 @@ def _histograms(forest: Forest, trees: list[int], slots: dict, subset: dict, wid
         import pyarrow as pa
 
         sums = {t: np.zeros((subset[t].size * (bins + 1), 2)) for t in trees}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y, key = _rows(batch, width)
+        for x, y, key in _chunks(batches, width):
             for t in trees:
                 rows, first, second = weigh(x, y, key, t)
                 own = x[rows]
-                slot = slots[t][forest.nodes(t, own)]
+                slot = slots[t][forest.nodes(t, own, bins)]
                 open_ = slot >= 0
                 slot, own, m = slot[open_], own[open_], subset[t].shape[1]
-                cell = ((slot[:, None] * m + np.arange(m)) * (bins + 1) + np.take_along_axis(own, subset[t][slot], 1)).ravel()
+                held = own.ravel()[np.arange(len(own))[:, None] * width + subset[t][slot]]
+                cell = ((slot[:, None] * m + np.arange(m)) * (bins + 1) + held).ravel()
                 for i, v in enumerate((first, second)):
                     sums[t][:, i] += np.bincount(cell, np.repeat(v[open_], m), len(sums[t]))
         for t in trees:
@@ -388,6 +410,31 @@ def easy_ensemble(wide: DataFrame, features: Sequence[str], fit, test, members:
     return _scored(rest, width, mean, name, id_col)
 
 
+def _margin(forest: Forest, kept: int, x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Margins with the steps of the trees from ``kept`` on added."""
+    margin = start.copy()
+    for t in range(kept, len(forest.feature)):
+        margin += forest.value[t][forest.nodes(t, x)]
+    return margin
+
+
+def _advanced(forest: Forest, kept: int, width: int):
+    """Task function over (x, [target, margin], key): the margin with the trees from ``kept`` on."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y, _ = _rows(batch, width)
+            both = np.stack([y[:, 0], _margin(forest, kept, x, y[:, 1])], 1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * 2), pa.array(both.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, batch.column(2)], names=["x", "target", "key"])
+
+    return run
+
+
 def fit_boosted_trees(train: DataFrame, width: int, rounds: int = ROUNDS, depth: int = BOOSTED_DEPTH, rate: float = LEARNING_RATE):
     """(start, forest): log odds to start from and the trees, whose values are steps of the margin already times ``rate``."""
     classes = _classes(train)
@@ -396,18 +443,20 @@ def fit_boosted_trees(train: DataFrame, width: int, rounds: int = ROUNDS, depth:
     small, share = classes
     weight = {small: 1.0 / share, 1 - small: 1.0}  # both classes weigh the same, so the margin starts at 0
     done = Forest.empty(0, depth)
+    rows = train.select("x", F.array(F.col("target").cast("double"), F.lit(0.0)).alias("target"), "key")
+    kept = 0  # trees in the stored margin
     for r in range(rounds):
+        if len(done.feature) - kept >= MARGIN_ROUNDS:
+            rows, kept = cut_lineage(rows.mapInArrow(_advanced(done, kept, width), rows.schema)), len(done.feature)
         now = done
 
-        def weigh(x, y, key, tree, now=now):
-            margin = np.zeros(len(x))
-            for t in range(len(now.feature)):
-                margin += now.value[t][now.nodes(t, x)]
+        def weigh(x, y, key, tree, now=now, kept=kept):
+            margin, y = _margin(now, kept, x, y[:, 1]), y[:, 0]
             p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
             w = np.where(y == 1, weight[1], weight[0])
             return np.arange(len(x)), w * (p - y), w * p * (1 - p)
 
-        one, _ = grow(train, width, 1, depth, weigh, "newton", per_node=max(1, math.ceil(0.7 * width)), least=MIN_HESSIAN, seed=SEED + r)
+        one, _ = grow(rows, width, 1, depth, weigh, "newton", per_node=max(1, math.ceil(0.7 * width)), least=MIN_HESSIAN, seed=SEED + r)
         one = replace(one, value=one.value * rate)
         done = Forest(*[np.concatenate([getattr(done, f), getattr(one, f)]) for f in ("feature", "upto", "missing_left", "value", "cover")])
     return 0.0, done
