@@ -40,3 +40,39 @@ def test_wasserstein_keeps_its_digits_far_from_zero(spark):
     want = sum(abs(a - b) for a, b in zip(sorted(ref), sorted(cur))) / 200
     assert abs(near - want) < 1e-12
     assert abs(far.wasserstein_distance - want) < 1e-9
+
+
+def test_running_counts_are_stored_and_match_plain_counts(spark, monkeypatch):
+    monkeypatch.setattr(D, "CELLS", 64)  # many chunks
+    monkeypatch.setattr(D, "TASK_ROWS", 8)  # many tasks for few values
+    nan, inf = float("nan"), float("inf")
+    values = [0.0, -0.0, 1.5, 1.5, None, nan, inf, -3.0, 7.25, 1.5]
+    rows = [(None if i % 11 == 0 else f"r{i}", ("reference", "current", None, "other")[i * i % 7 % 4], values[i % 10], float(i % 23), 5.0)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "record_id string, side string, a double, b double, c double").repartition(5)
+    b = D.DriftBase(df, ["a", "b", "c"])
+    plan = b.cum._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Sort" not in plan  # readers add offsets, nothing is dealt or sorted again
+    got = sorted((r.feature, r.value, r.c_ref, r.c_cur, r.cum_c_ref, r.cum_c_cur, r.tot_c_ref, r.tot_c_cur) for r in b.cum.collect())
+    want = []
+    for k, name in enumerate("abc"):
+        sides = {s: [r[2 + k] + 0.0 for r in rows if r[1] == s and r[2 + k] is not None and abs(r[2 + k]) < inf] for s in (D.REF, D.CUR)}
+        for v in sorted(set(sides[D.REF]) | set(sides[D.CUR])):
+            own = [sides[s].count(v) for s in (D.REF, D.CUR)]
+            want.append((name, v, *own, *[sum(x <= v for x in sides[s]) for s in (D.REF, D.CUR)], *[len(sides[s]) for s in (D.REF, D.CUR)]))
+    assert got == want
+    for r in b.stats.collect():
+        k = 2 + "abc".index(r.feature)
+        assert (r.rows_ref, r.rows_cur) == tuple(sum(x[1] == s for x in rows) for s in (D.REF, D.CUR))
+        assert r.distinct_ref == len({x[k] + 0.0 for x in rows if x[1] == D.REF and x[k] is not None and abs(x[k]) < inf})
+
+
+def test_monitoring_run_stores_its_small_tables(spark):
+    from yieldlens.plans.monitoring_run import MonitoringRun
+
+    df = _two_sides(spark, [float(i) for i in range(40)], [float(i) + 9 for i in range(30)])
+    df = df.select("*", (F.col("sensor_001") / 100).alias("probability"), F.lit("Low").alias("decision"))
+    run = MonitoringRun(df, ["sensor_001"], "r", ["probability"])
+    for t in (run.feature_drift, run.output_drift, run.category_drift, run.data_quality):
+        plan = t._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" in plan and "Exchange" not in plan  # read again by alerts and health, computed once

@@ -20,7 +20,7 @@ OUT_METRICS = ["probability", "confidence", "uncertainty", "data_confidence"]
 
 def _scored(spark, sf_dir):
     w = fx.wide_records(spark, sf_dir)
-    s = fx.scores(spark, sf_dir, w).select("record_id", "probability", "confidence")
+    s = fx.scores(spark, sf_dir).select("record_id", "probability", "confidence")
     return w.join(s, "record_id").withColumn("uncertainty", 1 - F.col("confidence")).withColumn(
         "decision", PO.assign_decision(F.col("probability"), LOWER, UPPER))
 

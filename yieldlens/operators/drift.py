@@ -1,16 +1,17 @@
 """Feature and output drift between a reference and a current side.
 
-Both sides live in ONE long frame (id, side, feature, value).  It is reduced
-once to distinct (feature, value) rows with per-side counts -- the only
-shuffle over raw rows -- and those rows get pooled running counts from the
-distributed prefix-sum helper (materialised once, read by every metric).
-From that single ranked table:
-
-* moments come from one aggregation (means ride along in the broadcast offset
-  totals, so the spread is a one-pass sum of squared deviations);
-* every order statistic (medians, PSI reference edges, the Wasserstein grid)
-  is claimed by the value rows that cover its rank, in one explode + group;
-* KS is the largest gap between the two running counts.
+Both sides live in ONE wide frame.  Its values are counted by side in numpy, a
+chunk of rows at a time, dealt by range of (feature, value), sorted and stored
+once with their running counts inside the task -- the only shuffle over the
+values.  What a task needs to know of the tasks before it is a table of one
+row for each (task, feature), so every metric is a plain aggregation over the
+stored rows:
+
+* totals, extremes and numbers of values from one pass, which also gives the offsets;
+* spread, KS (the largest gap between the two running counts) and the
+  Wasserstein area from a second one;
+* every order statistic (medians, PSI reference edges, quartiles) from the
+  rows that cover its rank, looked up in the one task that holds the rank.
 
 No feature is ever gathered into one task.
 """
@@ -23,13 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DriftConfig
-from ..functions.columns import to_long
+from ..functions.columns import finite, to_long
 from ..functions.expressions import max_severity, r6, severity, severity_rank, weighted_health
-from ..functions.ranking import cumulative
+from ..functions.ranking import _partitions
 from ..session import cut_lineage
 
 REF, CUR = "reference", "current"
 SIDES = ((REF, "ref"), (CUR, "cur"))
+CELLS = 1 << 22  # values of a task that are counted at a time
+TASK_ROWS = 1 << 22  # counted values, about, that one task sorts
 
 
 def side_long(df: DataFrame, features: Sequence[str], id_col: str = "record_id", side_col: str = "side") -> DataFrame:
@@ -38,18 +41,93 @@ def side_long(df: DataFrame, features: Sequence[str], id_col: str = "record_id",
     return to_long(src, [id_col, "side"], features)
 
 
-def value_table(long: DataFrame) -> DataFrame:
-    """(feature, value, c_ref, c_cur, sv_ref, sv_cur): the one shuffle over raw rows.
-
-    The NULL-value row of each feature carries the missing counts."""
-    vt = long.groupBy("feature", "value").agg(
-        F.count(F.when(F.col("side") == REF, 1)).alias("c_ref"),
-        F.count(F.when(F.col("side") == CUR, 1)).alias("c_cur"),
-    )
-    return vt.select("*", (F.col("c_ref") * F.col("value")).alias("sv_ref"),
-                     (F.col("c_cur") * F.col("value")).alias("sv_cur"),
-                     (F.col("c_ref") * F.abs(F.col("value"))).alias("sa_ref"),
-                     (F.col("c_cur") * F.abs(F.col("value"))).alias("sa_cur"))
+def _counted(width: int):
+    """Task function over (side code, values of each feature): feature number, value and its counts by side in a chunk of rows.
+
+    The NULL value of each feature carries the missing counts; sides but 0 and 1 count nowhere."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def out(part):
+            side = part.column(0).to_numpy()
+            for k in range(width):
+                x = part.column(k + 1).to_numpy()
+                missing = np.isnan(x)
+                lost = np.bincount(side[missing], minlength=3)
+                own = ~missing & (side < 2)
+                x, s = x[own] + 0.0, side[own]
+                order = np.argsort(x)
+                x, s = x[order], s[order].astype(np.int64)
+                first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+                cur = np.add.reduceat(s, first) if len(first) else s
+                both = np.diff(np.append(first, len(x)))
+                cells = [np.append(x[first], 0.0), np.append(both - cur, lost[0]), np.append(cur, lost[1])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first) + 1, k, np.int32)), pa.array(cells[0], mask=np.arange(len(first) + 1) == len(first)),
+                     pa.array(cells[1], pa.int64()), pa.array(cells[2], pa.int64())], names=["_f", "value", "c_ref", "c_cur"])
+
+        held, rows, most = [], 0, max(1, CELLS // max(width, 1))
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= most:
+                yield from out(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from out(pa.Table.from_batches(held))
+
+    return run
+
+
+def _running(batches):
+    """Task function over rows sorted by (feature number, value): equal values become one row, with running counts by side
+    since the feature's first row in the task.  The NULL row takes no part in them."""
+    import numpy as np
+    import pyarrow as pa
+
+    names = ["_f", "value", "c_ref", "c_cur", "l_ref", "l_cur", "_pid"]
+    at, ran = -1, [0, 0]  # feature of the last row given out and its running counts
+    held = None
+
+    def merged(cols, last):
+        nonlocal at, ran, held
+        f, x, null, ref, cur, pid = cols
+        new = np.ones(len(f), bool)
+        new[1:] = (f[1:] != f[:-1]) | (null[1:] != null[:-1]) | (~null[1:] & (x[1:] != x[:-1]))
+        first = np.flatnonzero(new)
+        f, x, null, pid = f[first], x[first], null[first], pid[first]
+        ref, cur = np.add.reduceat(ref, first), np.add.reduceat(cur, first)
+        if not last:  # the last value may go on in the next batch
+            held = [c[-1:] for c in (f, x, null, ref, cur, pid)]
+            f, x, null, ref, cur, pid = (c[:-1] for c in (f, x, null, ref, cur, pid))
+        if not len(f):
+            return None
+        start = np.maximum.accumulate(np.where(np.append(True, f[1:] != f[:-1]), np.arange(len(f)), 0))
+        sums = []
+        for k, c in enumerate((ref, cur)):
+            counts = np.where(null, 0, c)
+            total = np.cumsum(counts)
+            sums.append(total - (total - counts)[start] + np.where(f == at, ran[k], 0))
+        at, ran = f[-1], [sums[0][-1], sums[1][-1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(f), pa.array(x, mask=null), pa.array(ref), pa.array(cur), pa.array(sums[0]), pa.array(sums[1]), pa.array(pid)],
+            names=names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value = batch.column(1)
+        cols = [batch.column(0).to_numpy(), value.to_numpy(zero_copy_only=False), value.is_null().to_numpy(zero_copy_only=False),
+                batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy()]
+        if held is not None:
+            cols = [np.concatenate(c) for c in zip(held, cols)]
+        rows = merged(cols, False)
+        if rows is not None:
+            yield rows
+    if held is not None:
+        yield merged(held, True)
 
 
 class DriftBase:
@@ -58,49 +136,85 @@ class DriftBase:
     def __init__(self, df: DataFrame, features: Sequence[str], eps: float = 1e-8, id_col: str = "record_id",
                  side_col: str = "side"):
         self.eps = eps
-        self.long = side_long(df, features, id_col, side_col)
-        # the reduced table is read by every metric: materialise it once in the shared checkpoint folder
-        self.vt = cut_lineage(value_table(self.long))
-        # running counts per side in value order, plus side totals and value sums (-> means)
-        self.cum = cumulative(
-            self.vt.where(F.col("value").isNotNull()), ["feature"], ["value"], ["c_ref", "c_cur"],
-            with_totals=True, totals_only=["sv_ref", "sv_cur", "sa_ref", "sa_cur"],
-        )
-        self.rows = self.vt.groupBy("feature").agg(
-            F.sum("c_ref").alias("rows_ref"), F.sum("c_cur").alias("rows_cur")
-        )
+        self.names = F.array(*[F.lit(f) for f in features])
+        side = F.coalesce(F.when(F.col(side_col) == REF, 0).when(F.col(side_col) == CUR, 1), F.lit(2))
+        cells = df.select(side.cast("int").alias("_side"), *[finite(f).alias(f"_v{k}") for k, f in enumerate(features)])
+        # stored, as the range partitioner reads it twice
+        counted = cut_lineage(cells.mapInArrow(_counted(len(features)), "_f int, value double, c_ref long, c_cur long"))
+        dealt = counted.repartitionByRange(max(_partitions(df, None), -(-counted.count() // TASK_ROWS)), "_f", "value")
+        dealt = dealt.withColumn("_pid", F.spark_partition_id()).sortWithinPartitions("_f", "value")
+        # the range bounds come from a sample: partition numbers and running counts are stored together, every reader sees the same
+        self.stored = cut_lineage(dealt.mapInArrow(
+            _running, "_f int, value double, c_ref long, c_cur long, l_ref long, l_cur long, _pid int"))
+        self.values = self.stored.where(F.col("value").isNotNull())
+        self.pieces = cut_lineage(self._pieces())
         self._stats = None
         self._order = None
 
-    # -- one pass of aggregates over the ranked table -----------------------
+    def _pieces(self) -> DataFrame:
+        """One row for each (task, feature): counts before it (o_), in it (t_) and of the whole feature (tot_), and the
+        feature's rows, extremes and numbers of values."""
+        value, there = F.col("value"), F.col("value").isNotNull()
+        aggs, w = [], Window.partitionBy("_f")
+        for _, s in SIDES:
+            c = F.col(f"c_{s}")
+            aggs += [
+                F.sum(c).alias(f"rows_{s}"), F.max(f"l_{s}").alias(f"t_{s}"), F.sum(c * value).alias(f"sv_{s}"),
+                F.sum(c * F.abs(value)).alias(f"sa_{s}"), F.count(F.when(there & (c > 0), 1)).alias(f"distinct_{s}"),
+                F.min(F.when(c > 0, value)).alias(f"min_{s}"), F.max(F.when(c > 0, value)).alias(f"max_{s}"),
+            ]
+        before = w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        cols = ["_pid", "_f"]
+        for _, s in SIDES:
+            cols += [F.col(f"t_{s}"), F.coalesce(F.sum(f"t_{s}").over(before), F.lit(0)).alias(f"o_{s}"),
+                     F.sum(f"t_{s}").over(w).alias(f"tot_c_{s}")]
+            cols += [F.sum(f"{c}_{s}").over(w).alias(n) for c, n in (
+                ("sv", f"tot_sv_{s}"), ("sa", f"tot_sa_{s}"), ("rows", f"rows_{s}"), ("distinct", f"distinct_{s}"))]
+            cols += [F.min(f"min_{s}").over(w).alias(f"min_{s}"), F.max(f"max_{s}").over(w).alias(f"max_{s}")]
+        return self.stored.groupBy("_pid", "_f").agg(*aggs).select(*cols)
+
+    def named(self) -> Column:
+        return F.element_at(self.names, F.col("_f") + 1).alias("feature")
+
+    def _joined(self) -> DataFrame:
+        """The stored values with the running counts (cum_c_) and the totals of their feature."""
+        tot = [f"tot_{c}_{s}" for c in ("c", "sv", "sa") for _, s in SIDES]
+        offsets = F.broadcast(self.pieces.select("_pid", "_f", "o_ref", "o_cur", *tot))  # tasks + features rows
+        return self.values.join(offsets, ["_pid", "_f"]).select(
+            "_f", "value", "c_ref", "c_cur", (F.col("o_ref") + F.col("l_ref")).alias("cum_c_ref"),
+            (F.col("o_cur") + F.col("l_cur")).alias("cum_c_cur"), *tot)
+
+    @property
+    def cum(self) -> DataFrame:
+        """(feature, value, c_, cum_c_, tot_) by side: running counts in value order, side totals and value sums."""
+        j = self._joined()
+        return j.select(self.named(), *j.columns[1:])
+
+    @property
+    def whole(self) -> DataFrame:
+        """One row a feature: totals, rows, extremes and numbers of values by side."""
+        cols = [f"{c}_{s}" for c in ("tot_c", "tot_sv", "tot_sa", "rows", "distinct", "min", "max") for _, s in SIDES]
+        return self.pieces.groupBy("_f").agg(*[F.first(c).alias(c) for c in cols])
+
+    # -- one pass of aggregates over the stored values ----------------------
     @property
     def stats(self) -> DataFrame:
         if self._stats is None:
-            c = self.cum
-            aggs = [
-                F.max(F.abs(F.col("cum_c_ref") / F.col("tot_c_ref") - F.col("cum_c_cur") / F.col("tot_c_cur"))).alias(
-                    "ks_d"
-                )
-            ]
-            for _, s in SIDES:
-                cnt, mean = F.col(f"c_{s}"), F.col(f"tot_sv_{s}") / F.col(f"tot_c_{s}")
-                aggs += [
-                    F.first(f"tot_c_{s}").alias(f"n_{s}"),
-                    F.first(mean).alias(f"mean_{s}"),
-                    F.first(F.col(f"tot_sa_{s}") / F.col(f"tot_c_{s}")).alias(f"mean_abs_{s}"),
-                    F.count(F.when(cnt > 0, 1)).alias(f"distinct_{s}"),
-                    F.sum(cnt * F.pow(F.col("value") - mean, 2)).alias(f"ss_{s}"),
-                    F.min(F.when(cnt > 0, F.col("value"))).alias(f"min_{s}"),
-                    F.max(F.when(cnt > 0, F.col("value"))).alias(f"max_{s}"),
-                ]
-            st = self.rows.join(c.groupBy("feature").agg(*aggs), "feature", "left")
-            cols = ["feature", "rows_ref", "rows_cur", "ks_d"]
+            share = lambda n, s: n / F.nullif(F.col(f"tot_c_{s}"), F.lit(0))
+            cum = lambda s: share(F.col(f"cum_c_{s}"), s)
+            past = lambda s: share(F.col(f"cum_c_{s}") - F.col(f"c_{s}"), s)
+            mean = {s: share(F.col(f"tot_sv_{s}"), s) for _, s in SIDES}
+            gap, before = F.abs(cum("ref") - cum("cur")), F.abs(past("ref") - past("cur"))
+            aggs = [F.max(gap).alias("ks_d"), F.sum((F.col("value") - mean["ref"]) * (before - gap)).alias("area")]
+            aggs += [F.sum(F.col(f"c_{s}") * F.pow(F.col("value") - mean[s], 2)).alias(f"ss_{s}") for _, s in SIDES]
+            passed = self._joined().groupBy("_f").agg(*aggs)
+            cols = [self.named(), "rows_ref", "rows_cur", "ks_d", "area"]
             for _, s in SIDES:
-                n = F.coalesce(F.col(f"n_{s}"), F.lit(0))
+                n = F.coalesce(F.col(f"tot_c_{s}"), F.lit(0))
                 cols += [
                     n.alias(f"n_{s}"),
-                    F.when(n > 0, F.col(f"mean_{s}")).alias(f"mean_{s}"),
-                    F.when(n > 0, F.col(f"mean_abs_{s}")).alias(f"mean_abs_{s}"),
+                    F.when(n > 0, mean[s]).alias(f"mean_{s}"),
+                    F.when(n > 0, share(F.col(f"tot_sa_{s}"), s)).alias(f"mean_abs_{s}"),
                     F.coalesce(F.col(f"distinct_{s}"), F.lit(0)).alias(f"distinct_{s}"),
                     F.when(n > 1, F.col(f"ss_{s}")).alias(f"ss_{s}"),
                     F.when(n > 1, F.sqrt(F.col(f"ss_{s}") / (n - 1))).alias(f"std_{s}"),
@@ -109,54 +223,40 @@ class DriftBase:
                     F.when(n == 0, False).when(n == 1, True)
                     .otherwise(F.abs(F.col(f"max_{s}") - F.col(f"min_{s}")) <= self.eps).alias(f"constant_{s}"),
                 ]
-            self._stats = st.select(*cols)
+            # one row a feature, read by every metric
+            self._stats = cut_lineage(self.whole.join(passed, "_f", "left").select(*cols))
         return self._stats
 
-    # -- every order statistic in one claim pass ----------------------------
+    # -- every order statistic in one pass -----------------------------------
     def order_stats(self, bins: int = 10, extra_probs: Sequence[float] = (0.25, 0.75)) -> DataFrame:
         """(feature, side, kind, j, quantile): kind 0 = median, 1 = PSI reference edge j/bins,
         3 = extra_probs[j] (quartiles by default)."""
         if self._order is not None:
             return self._order
-        c = self.cum.select(
-            "feature", "value", "c_ref", "c_cur", "cum_c_ref", "cum_c_cur", "tot_c_ref", "tot_c_cur",
-        )
-        spans = None
+        items = [(0, 0, 0.5)] + [(3, j, float(p)) for j, p in enumerate(extra_probs)]
+        edges = [(1, j, j / bins) for j in range(bins + 1)]
+        wanted = None
         for side, s in SIDES:
-            part = c.where(F.col(f"c_{s}") > 0).select(
-                "feature", F.lit(side).alias("side"), "value",
-                F.col(f"tot_c_{s}").alias("_n"),
-                (F.col(f"cum_c_{s}") - F.col(f"c_{s}")).alias("_start"),
-                (F.col(f"cum_c_{s}") - 1).alias("_end"),
-            )
-            spans = part if spans is None else spans.unionByName(part)
-        n1 = F.col("_n") - 1
-
-        def item(kind, j, p):
-            return F.struct(F.lit(kind).alias("k"), j.alias("j"), p.alias("p"), (n1 * p).alias("h"))
-
-        median = F.array(item(0, F.lit(0), F.lit(0.5)))
-        edge_probs = F.array(*[F.lit(j / bins) for j in range(bins + 1)])
-        edges = F.when(
-            F.col("side") == REF,
-            F.transform(edge_probs, lambda p, j: item(1, j, p)),
-        ).otherwise(F.array().cast("array<struct<k:int,j:int,p:double,h:double>>"))
-        extra = F.array(*[item(3, F.lit(j), F.lit(float(p))) for j, p in enumerate(extra_probs)])
-        grid = F.concat(median, edges, extra)
-        in_span = lambda x: (x >= F.col("_start")) & (x <= F.col("_end"))
-        claims = spans.select(
-            "feature", "side", "value",
-            F.explode(F.filter(grid, lambda g: in_span(F.floor(g["h"])) | in_span(F.ceil(g["h"])))).alias("g"),
-            "_start", "_end",
-        )
-        agg = claims.groupBy("feature", "side", F.col("g.k").alias("kind"), F.col("g.j").alias("j")).agg(
-            F.first("g.h").alias("_h"),
-            F.max(F.when(in_span(F.floor(F.col("g.h"))), F.col("value"))).alias("_vlo"),
-            F.max(F.when(in_span(F.ceil(F.col("g.h"))), F.col("value"))).alias("_vhi"),
-        )
+            grid = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(j).alias("j"), F.lit(p).alias("p"))
+                             for k, j, p in items + (edges if side == REF else [])])
+            part = self.pieces.where(F.col(f"t_{s}") > 0).select(
+                "_pid", "_f", F.lit(side).alias("side"), F.explode(grid).alias("g"), F.col(f"o_{s}").alias("_o"),
+                F.col(f"t_{s}").alias("_t"), (F.col(f"tot_c_{s}") - 1).alias("_n1"))
+            wanted = part if wanted is None else wanted.unionByName(part)
+        h = F.col("_n1") * F.col("g.p")
+        ends = F.array(F.struct(F.lit(False).alias("up"), F.floor(h).alias("at")), F.struct(F.lit(True).alias("up"), F.ceil(h).alias("at")))
+        wanted = wanted.select("*", h.alias("_h"), F.explode(ends).alias("e")).select(
+            "_pid", "_f", "side", "g.kind", "g.j", "_h", "e.up", (F.col("e.at") - F.col("_o")).alias("_at"), "_t")
+        wanted = F.broadcast(wanted.where((F.col("_at") >= 0) & (F.col("_at") < F.col("_t"))))  # features x ranks rows
+        end = F.when(F.col("side") == REF, F.col("l_ref")).otherwise(F.col("l_cur"))
+        own = F.when(F.col("side") == REF, F.col("c_ref")).otherwise(F.col("c_cur"))
+        claims = self.values.join(wanted, ["_pid", "_f"]).where((F.col("_at") < end) & (F.col("_at") >= end - own))
+        agg = claims.groupBy("_f", "side", "kind", "j").agg(
+            F.first("_h").alias("_h"), F.max(F.when(~F.col("up"), F.col("value"))).alias("_vlo"),
+            F.max(F.when(F.col("up"), F.col("value"))).alias("_vhi"))
         frac = F.col("_h") - F.floor(F.col("_h"))
         order = agg.select(
-            "feature", "side", "kind", "j",
+            self.named(), "side", "kind", "j",
             F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(
                 "quantile"
             ),
@@ -189,11 +289,16 @@ def psi(b: DriftBase, bins: int = 10) -> DataFrame:
         F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     )
     ed = F.broadcast(e.select("feature", "n_ref", "n_cur", inner.alias("inner_edges")))  # one row per feature
+    numbered = b.whole.select("_f", b.named()).join(ed, "feature").select(
+        "_f", *[F.get("inner_edges", F.lit(i)).alias(f"_e{i}") for i in range(bins - 1)])
+    place = F.lit(0)
+    for i in range(bins - 1):
+        place = place + F.when(F.col("value") >= F.col(f"_e{i}"), 1).otherwise(0)
     binned = (
-        b.cum.join(ed.select("feature", "inner_edges"), "feature")
-        .select("feature", "c_ref", "c_cur", F.size(F.filter("inner_edges", lambda x: x <= F.col("value"))).alias("bin"))
-        .groupBy("feature", "bin")
+        b.values.join(F.broadcast(numbered), "_f")
+        .groupBy("_f", place.alias("bin"))
         .agg(F.sum("c_ref").alias("cnt_ref"), F.sum("c_cur").alias("cnt_cur"))
+        .select(b.named(), "bin", "cnt_ref", "cnt_cur")
     )
     domain = ed.select("feature", F.explode(F.sequence(F.lit(0), F.size("inner_edges"))).alias("bin"))
     full = domain.join(binned, ["feature", "bin"], "left").fillna(0, ["cnt_ref", "cnt_cur"])
@@ -240,20 +345,13 @@ def ks_two_sample(b: DriftBase) -> DataFrame:
 
 
 def wasserstein(b: DriftBase, bins: int = 10) -> DataFrame:
-    """Exact first Wasserstein distance: the area between the two distribution functions.
+    """Exact first Wasserstein distance: the area between the two distribution functions (summed in the pass of ``stats``).
 
     The sum of |F_ref - F_cur| times the step to the next value is summed by parts, so each value needs only the running
     counts before and at itself: no neighbour, no order within a task and no grid of points.  The steps' weights add up to
     nothing, so values are taken from the reference mean: digits stay where all values are far from 0."""
-    before = F.abs((F.col("cum_c_ref") - F.col("c_ref")) / F.col("tot_c_ref")
-                   - (F.col("cum_c_cur") - F.col("c_cur")) / F.col("tot_c_cur"))
-    after = F.abs(F.col("cum_c_ref") / F.col("tot_c_ref") - F.col("cum_c_cur") / F.col("tot_c_cur"))
-    both = (F.col("tot_c_ref") > 0) & (F.col("tot_c_cur") > 0)
-    area = b.cum.where(both).groupBy("feature").agg(
-        F.sum((F.col("value") - F.col("tot_sv_ref") / F.col("tot_c_ref")) * (before - after)).alias("area"))
-    st = b.stats.select("feature", "n_ref", "n_cur")
-    return st.join(area, "feature", "left").select(
-        "feature", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.greatest("area", F.lit(0.0))).alias("wasserstein_distance"))
+    ok = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    return b.stats.select("feature", F.when(ok, F.greatest("area", F.lit(0.0))).alias("wasserstein_distance"))
 
 
 def _notes(c: dict[str, Column]) -> Column:

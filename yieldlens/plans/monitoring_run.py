@@ -2,6 +2,7 @@
 
 One ``MonitoringRun`` builds each intermediate once (the feature-drift base is a
 materialised, ranked distinct-value table) and every output is derived from it.
+The drift and quality tables (a row a feature or metric) are stored, as alerts, health and summaries all read them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DriftConfig
 from ..operators import drift as D
 from ..operators import health as H
+from ..session import cut_lineage
 
 
 class MonitoringRun:
@@ -27,7 +29,7 @@ class MonitoringRun:
 
     @cached_property
     def feature_drift(self) -> DataFrame:
-        return D.feature_drift(self.records, self.features, self.cfg)
+        return cut_lineage(D.feature_drift(self.records, self.features, self.cfg))
 
     @cached_property
     def feature_summary(self) -> DataFrame:
@@ -35,15 +37,15 @@ class MonitoringRun:
 
     @cached_property
     def output_drift(self) -> DataFrame:
-        return H.output_drift(self.records, self.output_metrics, self.cfg)
+        return cut_lineage(H.output_drift(self.records, self.output_metrics, self.cfg))
 
     @cached_property
     def category_drift(self) -> DataFrame:
-        return H.category_drift(self.records, self.decision_col, self.cfg)
+        return cut_lineage(H.category_drift(self.records, self.decision_col, self.cfg))
 
     @cached_property
     def data_quality(self) -> DataFrame:
-        return H.data_quality(self.records, self.features)
+        return cut_lineage(H.data_quality(self.records, self.features))
 
     @cached_property
     def data_quality_summary(self) -> DataFrame:
