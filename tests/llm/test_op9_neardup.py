@@ -117,3 +117,19 @@ def test_null_and_repeated_doc_ids_are_judged_by_their_sets(make_docs):
     assert len(b) == 1 and b[0] in (text("b"), near("b")) and len(f) == 1 and f[0] in (text("f"), text("F"), near("f"))
     assert [r for r in got if r[1] not in (b[0], f[0])] == [
         (1, text("a")), (2, text("d")), (5, text("e")), (7, ""), (None, None), (None, ""), (None, text("c"))]
+
+
+def test_rounds_deal_out_only_what_they_need(spark):
+    from yieldlens.llm import op9_neardup as op9
+
+    sets = spark.createDataFrame([(i, [i // 2, 100 + i, 7]) for i in range(6)], "rep long, bands array<long>")
+    met = op9.buckets(sets)
+    assert met.columns == ["band", "hash", "lo", "hi", "block", "rep"]  # signatures and bands are not repeated for every bucket
+    rows = sorted((r.band, r.hash, r.rep) for r in met.collect())
+    assert rows == sorted([(0, i // 2, i) for i in range(6)] + [(2, 7, i) for i in range(6)])
+    full = spark.createDataFrame([(i, bytes([i])) for i in range(6)], "node long, items binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 3), (2, 3)], "a long, b long")
+    both = op9._both(pairs, full)
+    assert sorted((r.a, r.b, bytes(r.x), bytes(r.y)) for r in both.collect()) == [
+        (a, b, bytes([a]), bytes([b])) for a, b in ((0, 1), (0, 3), (2, 3))]
+    assert "BroadcastHashJoin" in both._jdf.queryExecution().executedPlan().toString()

@@ -167,17 +167,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """band, hash, lo, hi, block, rep, n, sign for the members of buckets of several distinct sets; a bucket of more than
+    """band, hash, lo, hi, block, rep for the members of buckets of several distinct sets; a bucket of more than
     BLOCK members is dealt out as all pairs (lo, hi) of its blocks."""
     rows = sets.select("rep", F.posexplode("bands").alias("band", "hash"))
     many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h"))).select("band", "hash", "rep", "blocks")
-    met = cut_lineage(met).join(sets.select(F.col("rep").alias("_rep"), "n", "sign", "bands"), F.col("rep") == F.col("_rep"))
     met = met.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select("band", "hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                      "rep", "n", "sign", "bands")
+    return met.select("band", "hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep")
 
 
 def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent: int, most: int | None):
@@ -255,6 +253,20 @@ def _candidates(percent: int, most: int | None):
     return run
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """Rows of stored numbers, sent to every task if they are few, so that wide rows to be joined with them stay where they are."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _both(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """a, b and their sets x and y: only sets of ``pairs`` are dealt out."""
+    pairs = _small(cut_lineage(pairs.select("a", "b")))
+    ends = _small(cut_lineage(pairs.select(F.col("a").alias("node")).distinct()))
+    x = full.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    y = full.join(ends, "node", "left_semi").select(F.col("node").alias("a"), F.col("items").alias("x"))
+    return x.join(pairs, "b").join(y, "a").select("a", "b", "x", "y")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, text of the row (doc_id, content) that stands for each set of ``wanted``, one row a node."""
     rows = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
@@ -268,11 +280,15 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     sketch = cut_lineage(docs.mapInArrow(
         _sketch(width, BANDS, ROWS, SIZE), "doc_id long, content long, n long, key binary, bands array<long>, sign binary"))
     sets = sketch.where("key is not null").groupBy("key").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("head"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("head"), F.first("bands").alias("bands"))
     sets = cut_lineage(sets.withColumn("rep", F.monotonically_increasing_id()))  # stored: every reader sees the same numbers
     members = cut_lineage(buckets(sets))
     wanted = cut_lineage(members.select("rep").distinct())
+    # signatures are looked up for sets that meet others, and join the members of open buckets only
+    named = sets.select("key", "rep").join(_small(wanted), "rep").select(F.col("key").alias("_key"), "rep")
+    signs = sketch.join(_small(cut_lineage(named)), F.col("key") == F.col("_key")).groupBy("rep").agg(
+        *[F.first(c).alias(c) for c in ("n", "sign", "bands")])
+    signs = cut_lineage(signs)
     heads = cut_lineage(wanted.join(sets.select(F.col("rep").alias("node"), "head.doc_id", "head.content"), F.col("rep") == F.col("node"))
                         .select("node", "doc_id", "content"))
     again = heads.join(sketch.groupBy(F.col("doc_id").alias("_d"), F.col("content").alias("_c")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
@@ -291,14 +307,12 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
             rows = members.join(open_.select("band", "hash"), ["band", "hash"], "left_semi")
             rows = rows.join(labels, F.col("rep") == F.col("node"))
         key = ["band", "hash", "lo", "hi"]
+        rows = rows.select(*key, "block", "rep", "label").join(signs, "rep")
         found = cut_lineage(rows.select(*key, "sign", "rep", "n", "label", "block", "bands").repartition(*key).sortWithinPartitions(*key)
                             .mapInArrow(_candidates(percent, most), "a long, b long").distinct())
         pairs = found.where("a is not null")
         pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
-        x = full.select(F.col("node").alias("b"), F.col("items").alias("y"))
-        y = full.select(F.col("node").alias("a"), F.col("items").alias("x"))
-        links = cut_lineage(pairs.join(x, "b").join(y, "a").select("a", "b", "x", "y").mapInArrow(
-            _confirm(percent), "a long, b long"))
+        links = cut_lineage(_both(pairs, full).mapInArrow(_confirm(percent), "a long, b long"))
         if not links.isEmpty():
             own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
             other = labels.select(F.col("node").alias("_m"), F.col("label").alias("_k"))
