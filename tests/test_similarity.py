@@ -63,3 +63,20 @@ def test_fewer_rows_than_neighbours_nulls_and_no_rows(spark):
     got = [tuple(r) for r in SM.knn(rows, rows, 5, exclude_self=True).orderBy("query_id").collect()]
     assert got == [(1, 1, 2, 5.0), (2, 1, 1, 5.0)]
     assert SM.knn(rows.where("vec_id = 3"), rows, 5).count() == 0
+
+
+def test_a_full_leaf_is_searched_in_bounded_memory():
+    """512 queries against the 65,536 rows of a slab: the products were as large as the leaf times the queries."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    x, q = rng.normal(size=(SM.SLAB, 16)), rng.normal(size=(SM.SLICE, 16))
+    tree = SM.plant(x[:2000], 1)
+    tracemalloc.start()
+    i, j, d, _ = SM.block_top(q, np.arange(len(q)), np.full(len(q), np.inf), x, np.arange(len(x)), tree, 5, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    for row in (0, 511):
+        want = np.sqrt(((x - q[row]) ** 2).sum(1))
+        assert j[i == row].tolist() == np.argsort(want, kind="stable")[:5].tolist()

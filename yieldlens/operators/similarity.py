@@ -36,7 +36,8 @@ LEAVES = 1024           # leaves at most
 LEAF_ROWS = 4096        # reference rows of a leaf, about, while there are fewer leaves
 SLAB = 65_536           # reference rows, about, that one task holds
 BLOCK = 8192            # queries that it holds, about
-SLICE = 512             # queries of one matrix product
+SLICE = 512             # queries of one matrix product, at most
+CELLS = 1 << 21         # cells of one matrix product: a task's memory does not grow with its leaf
 LEADING = 0.9           # share of the variance that the leading axes hold
 FIRST_VISIT = 8         # members of the first leaves, in multiples of k
 STRENGTH = [(0.75, "Very Strong"), (0.55, "Strong"), (0.35, "Moderate"), (0.20, "Weak")]
@@ -69,8 +70,12 @@ class Tree:
 
     def balls(self, x: np.ndarray) -> np.ndarray:
         """A lower bound of the distance from each row of x to any member of each leaf."""
-        to = np.sqrt(np.maximum((x**2).sum(1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(1), 0))
-        return np.maximum(to - self.radii - _slack(x), 0.0)
+        out, slack, lengths = np.empty((len(x), len(self.centres))), _slack(x), (self.centres**2).sum(1)
+        for a in range(0, len(x), SLICE):
+            q = x[a : a + SLICE]
+            to = np.sqrt(np.maximum((q**2).sum(1)[:, None] - 2 * q @ self.centres.T + lengths, 0))
+            out[a : a + SLICE] = np.maximum(to - self.radii - slack, 0.0)
+        return out
 
 
 def _slack(x: np.ndarray) -> float:
@@ -128,12 +133,13 @@ def block_top(q: np.ndarray, qid: np.ndarray, bound: np.ndarray, x: np.ndarray,
     found = []
     y = turned(x)
     lengths = (y**2).sum(1)
-    for a in range(0, len(q), SLICE):
-        z = turned(q[a : a + SLICE])
+    step = max(1, min(SLICE, CELLS // max(len(x), 1)))
+    for a in range(0, len(q), step):
+        z = turned(q[a : a + step])
         least = np.sqrt(np.maximum((z**2).sum(1)[:, None] - 2 * z @ y.T + lengths, 0.0))
         if exclude_self:
-            least[qid[a : a + SLICE][:, None] == xid[None, :]] = np.inf
-        rows, limit = np.arange(len(z)), bound[a : a + SLICE].copy()
+            least[qid[a : a + step][:, None] == xid[None, :]] = np.inf
+        rows, limit = np.arange(len(z)), bound[a : a + step].copy()
         slack = _slack(z) + _slack(y)
         if len(x) > k:  # the k rows with the least bounds give a k-th distance that the others must beat
             near = np.argpartition(least, k - 1, axis=1)[:, :k]
