@@ -133,3 +133,43 @@ def test_rounds_deal_out_only_what_they_need(spark):
     assert sorted((r.a, r.b, bytes(r.x), bytes(r.y)) for r in both.collect()) == [
         (a, b, bytes([a]), bytes([b])) for a, b in ((0, 1), (0, 3), (2, 3))]
     assert "BroadcastHashJoin" in both._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("items", [1 << 20, 3000])
+def test_pairs_of_a_group_below_the_limit_are_not_dealt_out(make_docs, monkeypatch, items):
+    """60 texts, all alike in 0.82 of their shingles, and a chain of linked ones: signatures leave 1,770 pairs open."""
+    monkeypatch.setattr(op, "ITEMS", items, raising=False)
+    dealt, both = [], op._both
+
+    def counted(pairs, full):
+        dealt.append(pairs.count())
+        return both(pairs, full)
+
+    monkeypatch.setattr(op, "_both", counted)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(d, " ".join(base + [f"x{d}y{i}" for i in range(44)])) for d in range(60)]
+    rows += [(100 + d, " ".join(base + [f"x{d}y{i}" for i in range(22)])) for d in range(0, 6)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
+    assert got == brute(rows)
+    assert sum(dealt) < 700, dealt
+
+
+def test_links_of_full_sets_join_labels_once():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 700).astype(np.uint64)
+    sets = [np.unique(pool[rng.random(700) < 0.93]) for _ in range(300)]
+    n, labels = np.array([len(s) for s in sets]), np.arange(300)
+    i, j = np.triu_indices(300, 1)
+    keep = op.linking(sets, n, labels, i, j, 85)
+    linked = [(a, b) for a, b in zip(i.tolist(), j.tolist())
+              if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))]
+    assert {(int(i[k]), int(j[k])) for k in keep} <= set(linked)
+
+    def groups(links):
+        up = list(range(300))
+        for a, b in links:
+            old, new = up[a], up[b]
+            up = [new if x == old else x for x in up]
+        return [up.index(x) for x in up]
+
+    assert groups((int(i[k]), int(j[k])) for k in keep) == groups(linked) and len(keep) < 300

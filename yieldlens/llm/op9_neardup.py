@@ -3,12 +3,12 @@
 1. One pass over the texts makes each document's set of word shingles, its size, a digest of the set and the
    SuperMinHash signature, folded to one number for each band.  Documents with equal sets are grouped by the digest.
 2. Among distinct sets, those that share a band meet in a bucket.  A bucket never emits its pairs: it compares the
-   members' signatures where it stands and first emits the tree of most similar pairs that joins what may be linked.
-   Later rounds look only at buckets with members in different groups and emit the most similar pairs of each two
-   groups, more in each round, until none is left that was not tried.  Buckets of more than BLOCK members are dealt out
-   as pairs of blocks.
-3. Pairs are confirmed on the full sets.  Confirmed links are folded into groups by minimum labels with pointer jumping,
-   all in tables of the shared folder.
+   members' signatures where it stands and emits the tree of most similar pairs that joins what may be linked; these
+   pairs are confirmed on the full sets.  Buckets of more than BLOCK members are dealt out as pairs of blocks.
+3. Of buckets with more such pairs, members that have one in another group come once more with their full sets, dealt in
+   blocks of up to ITEMS shingles; every pair left is confirmed where it stands, and only links that join groups
+   leave, fewer than members.
+4. Confirmed links are folded into groups by minimum labels with pointer jumping, all in tables of the shared folder.
 
 A pair with similarity s shares a band with chance 1 - (1 - s**5)**25: 0.9999996 at 0.85.  Pairs go on to the full sets if
 their signatures agree in all but SLACK less than the wanted share of SIZE places, 5.5 standard deviations at 0.85: by the
@@ -38,7 +38,7 @@ SIZE = 200     # components of a signature; the first BANDS * ROWS make the band
 SLACK = 0.14   # how far below the wanted similarity signatures may agree
 PERCENT = 85
 BLOCK = 4096   # members of a bucket that one task compares with as many others
-GROWTH = 16    # how many more pairs of two groups a round tries than the one before
+ITEMS = 1 << 20  # shingles of a bucket that one task holds twice over, about
 SLICE = 1 << 20  # bytes of text whose shingles are made at a time
 
 
@@ -170,18 +170,22 @@ def buckets(sets: DataFrame) -> DataFrame:
     """band, hash, lo, hi, block, rep for the members of buckets of several distinct sets; a bucket of more than
     BLOCK members is dealt out as all pairs (lo, hi) of its blocks."""
     rows = sets.select("rep", F.posexplode("bands").alias("band", "hash"))
-    many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h"))).select("band", "hash", "rep", "blocks")
+    return _dealt(rows, F.count(F.lit(1)) / BLOCK).select("band", "hash", "lo", "hi", "block", "rep")
+
+
+def _dealt(rows: DataFrame, blocks) -> DataFrame:
+    """Members (band, hash, rep) of buckets of several, each bucket dealt out as all pairs (lo, hi) of its blocks."""
+    many = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members"), F.ceil(blocks).cast("int").alias("blocks")).where("members > 1")
+    many = many.select(F.col("band").alias("_b"), F.col("hash").alias("_h"), "blocks")
+    met = rows.join(many, (F.col("band") == F.col("_b")) & (F.col("hash") == F.col("_h"))).drop("_b", "_h")
     met = met.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select("band", "hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep")
+    return met.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("blocks", "other")
 
 
-def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent: int, most: int | None):
-    """(i, j) index arrays of pairs of different labels that may be linked: the tree of the most similar pairs that joins
-    them (``most`` None), or the ``most`` most similar of each two labels; and whether more are left.  A pair that shares
-    several bands is looked at in the first of them only."""
+def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent: int):
+    """(share, i, j) arrays of pairs of different labels that may be linked.  A pair that shares several bands is looked at in
+    the first of them only."""
     import numpy as np
 
     found, step = [], max(1, (1 << 24) // (len(signs) * signs.shape[1] + 1))
@@ -195,15 +199,13 @@ def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent:
         share, i, j = share[good], i[good], j[good]
         once = ~(bands[i, :band] == bands[j, :band]).any(1)
         found.append((share[once], i[once], j[once]))
-    share, i, j = (np.concatenate(x) for x in zip(*found))
-    if most is not None:
-        key = np.stack([np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])])
-        order = np.lexsort((-share, key[1], key[0]))
-        i, j, key = i[order], j[order], key[:, order]
-        new = np.ones(len(i), bool)
-        new[1:] = (key[:, 1:] != key[:, :-1]).any(0)
-        at = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
-        return i[at < most], j[at < most], bool((at >= most).any())
+    return [np.concatenate(x) for x in zip(*found)]
+
+
+def tree(share, i, j, labels):
+    """Places of the most similar pairs that join the labels."""
+    import numpy as np
+
     up = {}
 
     def find(x):
@@ -217,42 +219,134 @@ def likely(signs, sizes, labels, sides, bands, band: int, least: float, percent:
         if x != y:
             up[x] = y
             keep.append(k)
-    return i[keep], j[keep], len(keep) < len(i)
+    return keep
+
 
+def linking(items, sizes, labels, i, j, percent: int):
+    """Places of pairs that are linked by their full sets and join two labels that the ones before do not join.
+
+    One member is compared with all others at a time: its items are marked among those of all members."""
+    import numpy as np
 
-def _candidates(percent: int, most: int | None):
-    """Pairs (a, b) of each bucket to be confirmed, and a row without pair if a bucket has more; rows arrive sorted by bucket."""
+    codes = np.unique(np.concatenate(items), return_inverse=True)[1].astype(np.int32)
+    start = np.concatenate([[0], np.cumsum([len(x) for x in items])])
+    marked, labels, keep = np.zeros(int(codes.max()) + 1, bool), labels.copy(), []
+    order = np.argsort(i, kind="stable")
+    cut = np.searchsorted(i[order], np.arange(len(items) + 1))
+    for a in range(len(items)):
+        pairs = order[cut[a] : cut[a + 1]]
+        pairs = pairs[labels[j[pairs]] != labels[a]]
+        if not len(pairs):
+            continue
+        own = codes[start[a] : start[a + 1]]
+        marked[own] = True
+        for p in np.array_split(pairs, -(-len(pairs) // 256)):
+            b = j[p]
+            counts = start[b + 1] - start[b]
+            ends = np.cumsum(counts)
+            at = np.repeat(start[b] - (ends - counts), counts) + np.arange(int(ends[-1]))
+            both = np.add.reduceat(marked[codes[at]].astype(np.int64), ends - counts)
+            for k in p[100 * both >= percent * (sizes[a] + sizes[b] - both)].tolist():
+                if labels[j[k]] != labels[a]:
+                    keep.append(k)
+                    labels[labels == labels[j[k]]] = labels[a]
+        marked[own] = False
+    return keep
+
+
+def _by_bucket(columns: list[str], out: str, settle):
+    """Task function over rows sorted by bucket: ``settle`` (key, its rows) gives the rows of the columns ``out``."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        def settle(band, rows):
-            signs = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), -1)
-            reps, sizes, labels, block, bands = (np.array([r[k] for r in rows], np.int64) for k in range(1, 6))
-            sides = block if block.min() != block.max() else None
-            i, j, more = likely(signs, sizes, labels, sides, bands, band, percent / 100 - SLACK, percent, most)
-            return np.minimum(reps[i], reps[j]).tolist() + [None] * more, np.maximum(reps[i], reps[j]).tolist() + [None] * more
+        names = [c.split()[0] for c in out.split(", ")]
+        types = [pa.int32() if c.split()[1] == "int" else pa.int64() for c in out.split(", ")]
 
-        def out(a, b):
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        def table(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
         now, rows = None, []
         for batch in batches:
-            a, b = [], []
-            cols = [batch.column(c).to_pylist() for c in ("band", "hash", "lo", "hi", "sign", "rep", "n", "label", "block", "bands")]
-            for *key, sign, rep, n, label, block, bands in zip(*cols):
+            done = []
+            for *key, row in zip(*[batch.column(c).to_pylist() for c in ("band", "hash", "lo", "hi")],
+                                 zip(*[batch.column(c).to_pylist() for c in columns])):
                 if key != now and rows:
-                    x, y = settle(now[0], rows)
-                    a, b, rows = a + x, b + y, []
+                    done += settle(now, rows)
+                    rows = []
                 now = key
-                rows.append((sign, rep, n, label, block, bands))
-            yield out(a, b)
+                rows.append(row)
+            yield table(done)
         if rows:
-            yield out(*settle(now[0], rows))
+            yield table(settle(now, rows))
 
     return run
 
 
+SHOWN = ["sign", "rep", "n", "label", "block", "bands"]
+
+
+def _seen(band: int, rows, percent: int):
+    """reps, sizes and labels of the rows (SHOWN) of a bucket, and its pairs that may be linked."""
+    import numpy as np
+
+    signs = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), -1)
+    reps, sizes, labels, block, bands = (np.array([r[k] for r in rows], np.int64) for k in range(1, 6))
+    sides = block if block.min() != block.max() else None
+    return reps, sizes, labels, likely(signs, sizes, labels, sides, bands, band, percent / 100 - SLACK, percent)
+
+
+def _candidates(percent: int):
+    """The tree of pairs (a, b) of each bucket to be confirmed, and a row without pair for a bucket that has more."""
+    def settle(key, rows):
+        reps, _, labels, (share, i, j) = _seen(key[0], rows, percent)
+        keep = tree(share, i, j, labels)
+        more = [(None, None, *key[:2])] if len(keep) < len(i) else []
+        return [(min(a, b), max(a, b), None, None) for a, b in zip(reps[i[keep]].tolist(), reps[j[keep]].tolist())] + more
+
+    return _by_bucket(SHOWN, "a long, b long, band int, hash long", settle)
+
+
+def _open(percent: int):
+    """Members of each bucket that have a pair to be confirmed there."""
+    def settle(key, rows):
+        import numpy as np
+
+        reps, sizes, _, (_, i, j) = _seen(key[0], rows, percent)
+        at = np.unique(np.concatenate([i, j]))
+        return [(*key[:2], rep, n) for rep, n in zip(reps[at].tolist(), sizes[at].tolist())]
+
+    return _by_bucket(SHOWN, "band int, hash long, rep long, n long", settle)
+
+
+def _links(percent: int):
+    """Links (a, b) of each bucket by the full sets, as many as join what is linked there."""
+    def settle(key, rows):
+        import numpy as np
+
+        reps, sizes, labels, (_, i, j) = _seen(key[0], rows, percent)
+        if not len(i):
+            return []
+        keep = linking([np.frombuffer(r[6], np.uint64) for r in rows], sizes, labels, i, j, percent)
+        return [(min(a, b), max(a, b)) for a, b in zip(reps[i[keep]].tolist(), reps[j[keep]].tolist())]
+
+    return _by_bucket([*SHOWN, "items"], "a long, b long", settle)
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after the labels of linked nodes are joined."""
+    if links.isEmpty():
+        return labels
+    own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+    other = labels.select(F.col("node").alias("_m"), F.col("label").alias("_k"))
+    between = links.join(own, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(
+        F.col("_l").alias("a"), F.col("_k").alias("b")).where("a <> b")
+    if between.isEmpty():
+        return labels
+    joined = components(between).select(F.col("node").alias("_n"), F.col("label").alias("_to"))
+    return cut_lineage(labels.join(joined, F.col("label") == F.col("_n"), "left").select(
+        "node", F.coalesce("_to", "label").alias("label")))
+
+
 def _small(rows: DataFrame) -> DataFrame:
     """Rows of stored numbers, sent to every task if they are few, so that wide rows to be joined with them stay where they are."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
@@ -297,34 +391,26 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     texts = texts if again.isEmpty() else texts.dropDuplicates(["node"])  # repeated rows
     full = cut_lineage(texts.mapInArrow(_sets(width), "node long, items binary"))
     labels = cut_lineage(wanted.select(F.col("rep").alias("node"), F.col("rep").alias("label")))
-    tried, most = None, None
-    while True:
-        if most is None:
-            rows = members.withColumn("label", F.col("rep"))
-        else:  # buckets whose members are all joined need no more comparisons
-            named = members.select("band", "hash", "rep").join(labels, F.col("rep") == F.col("node"))
-            open_ = named.groupBy("band", "hash").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
-            rows = members.join(open_.select("band", "hash"), ["band", "hash"], "left_semi")
-            rows = rows.join(labels, F.col("rep") == F.col("node"))
-        key = ["band", "hash", "lo", "hi"]
-        rows = rows.select(*key, "block", "rep", "label").join(signs, "rep")
-        found = cut_lineage(rows.select(*key, "sign", "rep", "n", "label", "block", "bands").repartition(*key).sortWithinPartitions(*key)
-                            .mapInArrow(_candidates(percent, most), "a long, b long").distinct())
-        pairs = found.where("a is not null")
-        pairs = pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs
-        links = cut_lineage(_both(pairs, full).mapInArrow(_confirm(percent), "a long, b long"))
-        if not links.isEmpty():
-            own = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-            other = labels.select(F.col("node").alias("_m"), F.col("label").alias("_k"))
-            between = links.join(own, F.col("a") == F.col("_n")).join(other, F.col("b") == F.col("_m")).select(
-                F.col("_l").alias("a"), F.col("_k").alias("b"))
-            joined = components(between).select(F.col("node").alias("_n"), F.col("label").alias("_to"))
-            labels = cut_lineage(labels.join(joined, F.col("label") == F.col("_n"), "left").select(
-                "node", F.coalesce("_to", "label").alias("label")))
-        if found.where("a is null").isEmpty():
-            break
-        tried = found.where("a is not null") if tried is None else tried.unionByName(found.where("a is not null"))
-        most = GROWTH if most is None else most * GROWTH
+    key = ["band", "hash", "lo", "hi"]
+
+    def settled(rows, task, schema):
+        return cut_lineage(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(task, schema).distinct())
+
+    rows = members.withColumn("label", F.col("rep")).join(signs, "rep").select(*key, *SHOWN)
+    found = settled(rows, _candidates(percent), "a long, b long, band int, hash long")
+    links = cut_lineage(_both(found.where("a is not null"), full).mapInArrow(_confirm(percent), "a long, b long"))
+    labels = _joined(labels, links)
+    more = found.where("a is null").select("band", "hash")
+    if not more.isEmpty():  # buckets whose members are all joined need no more comparisons
+        rows = members.join(_small(cut_lineage(more)), ["band", "hash"], "left_semi").join(labels, F.col("rep") == F.col("node"))
+        rows = cut_lineage(rows.select(*key, "block", "rep", "label"))
+        apart = rows.groupBy("band", "hash").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
+        rows = rows.join(apart.select("band", "hash"), ["band", "hash"], "left_semi").join(signs, "rep").select(*key, *SHOWN)
+        rest = settled(rows, _open(percent), "band int, hash long, rep long, n long")
+        rest = _dealt(rest, F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / ITEMS)).drop("n")
+        rest = rest.join(labels, F.col("rep") == F.col("node")).join(signs, "rep")
+        rest = rest.join(full.select(F.col("node").alias("rep"), "items"), "rep").select(*key, *SHOWN, "items")
+        labels = _joined(labels, settled(rest, _links(percent), "a long, b long"))
     own = sets.select("rep", "key", F.struct("head.last", "head.doc_id", "key").alias("head")).join(
         labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep"))
     own = cut_lineage(own.select("key", "label", "head"))
