@@ -137,7 +137,7 @@ def test_rounds_deal_out_only_what_they_need(spark):
 
 @pytest.mark.parametrize("items", [1 << 20, 3000])
 def test_pairs_of_a_group_below_the_limit_are_not_dealt_out(make_docs, monkeypatch, items):
-    """60 texts, all alike in 0.82 of their shingles, and a chain of linked ones: signatures leave 1,770 pairs open."""
+    """60 texts, all alike in 0.82 of their shingles, and 6 near copies: signatures leave about 2,000 pairs open."""
     monkeypatch.setattr(op, "ITEMS", items, raising=False)
     dealt, both = [], op._both
 
@@ -148,10 +148,10 @@ def test_pairs_of_a_group_below_the_limit_are_not_dealt_out(make_docs, monkeypat
     monkeypatch.setattr(op, "_both", counted)
     base = [f"w{i}" for i in range(400)]
     rows = [(d, " ".join(base + [f"x{d}y{i}" for i in range(44)])) for d in range(60)]
-    rows += [(100 + d, " ".join(base + [f"x{d}y{i}" for i in range(22)])) for d in range(0, 6)]
+    rows += [(100 + d, " ".join(base + [f"x{d}y{i}" for i in range(40)])) for d in range(6)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op.group(make_docs(rows)).collect()}
     assert got == brute(rows)
-    assert sum(dealt) < 700, dealt
+    assert sum(dealt) < 1000, dealt
 
 
 def test_links_of_full_sets_join_labels_once():
