@@ -123,13 +123,13 @@ def test_rounds_deal_out_only_what_they_need(spark):
     from yieldlens.llm import op9_neardup as op9
 
     sets = spark.createDataFrame([(i, [i // 2, 100 + i, 7]) for i in range(6)], "rep long, bands array<long>")
-    met = op9.buckets(sets)
+    met = op.buckets(sets)
     assert met.columns == ["band", "hash", "lo", "hi", "block", "rep"]  # signatures and bands are not repeated for every bucket
     rows = sorted((r.band, r.hash, r.rep) for r in met.collect())
     assert rows == sorted([(0, i // 2, i) for i in range(6)] + [(2, 7, i) for i in range(6)])
     full = spark.createDataFrame([(i, bytes([i])) for i in range(6)], "node long, items binary")
     pairs = spark.createDataFrame([(0, 1), (0, 3), (2, 3)], "a long, b long")
-    both = op9._both(pairs, full)
+    both = op._both(pairs, full)
     assert sorted((r.a, r.b, bytes(r.x), bytes(r.y)) for r in both.collect()) == [
         (a, b, bytes([a]), bytes([b])) for a, b in ((0, 1), (0, 3), (2, 3))]
     assert "BroadcastHashJoin" in both._jdf.queryExecution().executedPlan().toString()
@@ -173,3 +173,14 @@ def test_links_of_full_sets_join_labels_once():
         return [up.index(x) for x in up]
 
     assert groups((int(i[k]), int(j[k])) for k in keep) == groups(linked) and len(keep) < 300
+
+
+def test_texts_are_sketched_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(op, "SLICE", 2000)
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": texts, "content": list(range(40)), "node": list(range(40))})
+    for task, key in ((op._sketch(5, op.BANDS, op.ROWS, op.SIZE), "doc_id"), (op._sets(5), "node")):
+        out = list(task([batch]))
+        assert len(out) > 10 and [i for b in out for i in b.column(key).to_pylist()] == list(range(40))

@@ -60,6 +60,24 @@ def shingle_sets(column, width: int):
             yield np.unique(hashes[k : k + n])
 
 
+def _pieces(batches):
+    """The batches in pieces of about SLICE bytes of text, so that a task holds and hands on the sets of few texts at a time."""
+    for batch in batches:
+        for a, b in slices(utf8(batch.column("text"))[1], SLICE):
+            yield batch.slice(a, b - a)
+
+
+def _released(run):
+    """The task function ``run``, after which its worker, kept for other tasks, hands unused memory back."""
+    def task(batches):
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def superminhash(elements, m: int):
     """The SuperMinHash signature of distinct 64-bit elements as whole part and fraction in one number.
 
@@ -100,7 +118,7 @@ def _sketch(width: int, bands: int, rows: int, size: int):
 
         weights = mixed(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
         salt = mixed(np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(20))
-        for batch in batches:
+        for batch in _pieces(batches):
             sizes, keys, folded, signs = [], [], [], []
             for s in shingle_sets(batch.column("text"), width):
                 sizes.append(len(s))
@@ -117,18 +135,18 @@ def _sketch(width: int, bands: int, rows: int, size: int):
                  pa.array(folded, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
                 names=["doc_id", "content", "n", "key", "bands", "sign"])
 
-    return run
+    return _released(run)
 
 
 def _sets(width: int):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _pieces(batches):
             raw = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(raw, pa.binary())], names=["node", "items"])
 
-    return run
+    return _released(run)
 
 
 def _confirm(percent: int):
@@ -145,7 +163,7 @@ def _confirm(percent: int):
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return run
+    return _released(run)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -279,7 +297,7 @@ def _by_bucket(columns: list[str], out: str, settle):
         if rows:
             yield table(settle(now, rows))
 
-    return run
+    return _released(run)
 
 
 SHOWN = ["sign", "rep", "n", "label", "block", "bands"]
