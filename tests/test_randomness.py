@@ -31,3 +31,32 @@ def test_forest_does_not_depend_on_row_order(spark):
     one, other = ({r["record_id"]: r["anomaly_score"] for r in isolation_scores(w, [f"s{c}" for c in range(4)], trees=3).collect()}
                   for w in (wide.coalesce(1), wide.orderBy(F.desc("o_orderkey")).repartition(7)))
     assert one == other
+
+
+def test_isolation_reads_records_once_and_keeps_repeated_ids(spark, monkeypatch):
+    from yieldlens.operators import models as MO
+
+    stored = []
+    monkeypatch.setattr(MO, "_stored", lambda wide, *a, f=MO._stored: stored.append(1) or f(wide, *a))
+    one = spark.range(600).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") != 7, F.col("id").cast("string")).alias("record_id"),
+                                  F.lit("reference").alias("side"), F.lit(0).alias("target"), F.rand(1).alias("a"), F.rand(2).alias("b")).cache()
+    got = MO.isolation_scores(one, ["a", "b"], trees=4).groupBy("record_id").count().collect()
+    assert stored == [1] and len(got) == 599 and {r["count"] for r in got} == {1}
+    twice = MO.isolation_scores(one.unionByName(one.where("o_orderkey = 3")), ["a", "b"], trees=4)
+    assert twice.where("record_id = '3'").count() == 4 and twice.count() == 602  # each row with each key of its id, as ever
+
+
+def test_path_lengths_follow_the_trees():
+    from yieldlens.operators.models import path_lengths
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3))
+    trees = [([rng.integers(0, 3, 1 << d) for d in range(3)], [rng.normal(size=1 << d) for d in range(3)], rng.normal(size=8)) for _ in range(4)]
+    want = np.zeros(200)
+    for feats, splits, leaves in trees:
+        for i, row in enumerate(x):
+            at = 0
+            for f, s in zip(feats, splits):
+                at = 2 * at + int(not row[f[at]] < s[at])
+            want[i] += leaves[at]
+    assert (path_lengths(x, trees) == want).all()

@@ -69,3 +69,29 @@ def test_helpers_carry_state_across_small_arrow_batches(spark):
         assert sorted(c.select("k", "t", "cum_one").collect()) == sorted(want2.collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_column_quantiles_are_those_of_the_long_form(spark, monkeypatch):
+    from yieldlens.functions import ranking as R
+
+    rows = [(float(i * 7919 % 5000) / 3, float(i % 3), 1.0, None if i % 4 else float(-i), float("nan") if i % 2 else float(i), None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(5)
+    cols, probs = df.columns, [0.0, 0.05, 0.5, 0.975, 1.0]
+    long = df.select(*[R.finite(c).alias(c) for c in cols]).unpivot([], cols, "feature", "value")
+    want = sorted((r["feature"], r["j"], r["prob"], r["quantile"]) for r in R.exact_quantiles(long, ["feature"], "value", probs).collect())
+    for sketched in (R.SKETCHED, 1000, 2):  # all rows, some, so few that all values are ranked
+        monkeypatch.setattr(R, "SKETCHED", sketched)
+        got = R.column_quantiles(df, cols, probs).collect()
+        assert sorted((r["feature"], r["j"], r["prob"], r["quantile"]) for r in got) == want
+    assert R.column_quantiles(df.limit(0), cols, probs).count() == 0
+
+
+def test_only_values_near_a_quantile_are_handed_on():
+    import pyarrow as pa
+
+    from yieldlens.functions.ranking import _between
+
+    batch = pa.RecordBatch.from_pydict({"a": [*map(float, range(1000)), None], "b": [1.0] * 1001})
+    rows = pa.Table.from_batches(list(_between({("a", 0): (499.0, 501.0), ("b", 0): (1.0, 1.0)})([batch]))).to_pylist()
+    assert [(r["feature"], r["value"], r["_c"], r["_n"], r["_below"]) for r in rows] == [
+        ("a", 499.0, 1, 0, 0), ("a", 500.0, 1, 0, 0), ("a", 501.0, 1, 0, 0), ("b", 1.0, 1001, 0, 0), ("a", None, 0, 1000, 499), ("b", None, 0, 1001, 0)]
