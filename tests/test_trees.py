@@ -156,3 +156,26 @@ def test_the_margin_of_boosted_trees_is_stored_every_few_rounds(spark, monkeypat
     kept = TR.fit_boosted_trees(train, 2, rounds=5, depth=2)[1]
     assert len(stored) == 2
     assert (plain.feature == kept.feature).all() and (plain.upto == kept.upto).all() and np.allclose(plain.value, kept.value)
+
+
+def test_boosting_takes_all_rounds_and_grows_the_trees_of_single_levels(spark):
+    import inspect
+
+    assert inspect.signature(TR.boosted_trees).parameters["rounds"].default == 500 and TR.LEARNING_RATE == 0.03
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 17, (900, 5)), rng.random(900) < 0.2
+    y |= (x[:, 1] > 12) & (x[:, 3] == 0)
+    train = spark.createDataFrame([(f"r{i}", int(y[i]), True, i, bytes(x[i].tolist())) for i in range(900)],
+                                  "record_id string, target int, fit boolean, key long, x binary").repartition(5)
+    got = TR.fit_boosted_trees(train, 5, rounds=3, depth=3, rate=0.5)[1]
+    weight, margin, by_key = {1: (~y).sum() / y.sum(), 0: 1.0}, np.zeros(900), x.astype(np.uint8)
+    for r in range(3):
+        def weigh(x, y, key, tree, margin=margin.copy()):
+            p, w = 1 / (1 + np.exp(-margin[key.astype(int)])), np.where(y == 1, weight[1], weight[0])
+            return np.arange(len(x)), w * (p - y), w * p * (1 - p)
+
+        one, _ = TR.grow(train, 5, 1, 3, weigh, "newton", per_node=4, least=TR.MIN_HESSIAN, seed=TR.SEED + r)
+        inner = one.feature[0] >= 0
+        assert (got.feature[r] == one.feature[0]).all() and (got.upto[r][inner] == one.upto[0][inner]).all()
+        assert np.allclose(got.value[r], 0.5 * one.value[0]) and np.allclose(got.cover[r], one.cover[0])
+        margin += 0.5 * one.value[0][one.nodes(0, by_key)]

@@ -22,26 +22,29 @@ on; a table without both classes gives NULL probabilities.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import finite, to_long
+from ..functions.columns import finite
 from ..functions.expressions import r6
-from ..functions.ranking import exact_quantiles
+from ..functions.ranking import column_quantiles
 from ..session import cut_lineage
+from . import together as TG
 
 BINS = 16
 TREES = 500
 DEPTH = 8
 MEMBERS = 20
 STUMPS = 50
-ROUNDS = 40
+ROUNDS = 500
 BOOSTED_DEPTH = 4
-LEARNING_RATE = 0.1
+LEARNING_RATE = 0.03
 MIN_SPLIT = 6.0
 MIN_LEAF = 2.0
 MIN_HESSIAN = 3.0
@@ -49,7 +52,8 @@ L2 = 1.0
 SEED = 42
 HISTOGRAM_BYTES = 96 << 20
 CHUNK_ROWS = 1 << 16
-MARGIN_ROUNDS = 5
+MARGIN_ROUNDS = 100
+PACKED = "n int, x binary, target binary, key binary"
 
 
 @dataclass(frozen=True)
@@ -68,31 +72,56 @@ class Forest:
         shape = (trees, 2 ** (depth + 1) - 1)
         return Forest(np.full(shape, -1, np.int16), np.zeros(shape, np.uint8), np.zeros(shape, bool), np.zeros(shape), np.zeros(shape))
 
-    def nodes(self, tree: int, x: np.ndarray, bins: int = BINS) -> np.ndarray:
-        """The node that each row of binned values ends in."""
+    def steps(self, tree: int, bins: int = BINS) -> tuple[np.ndarray, np.ndarray, int]:
+        """What ``walked`` needs of a tree: the child for each (node, bin), the nodes' features, the levels with a split."""
         feature = self.feature[tree]
         inner = np.nonzero(feature >= 0)[0]
-        at = np.zeros(len(x), np.int64)
-        if not len(inner):
-            return at
         step = np.repeat(np.arange(len(feature)), bins + 1).reshape(-1, bins + 1)  # a leaf leads to itself
         left = np.arange(bins + 1) <= self.upto[tree, inner, None]
         left[:, 0] = self.missing_left[tree, inner]
         step[inner] = 2 * inner[:, None] + 2 - left
-        column, step, flat = np.maximum(feature, 0).astype(np.int64), step.ravel(), np.ascontiguousarray(x).ravel()
-        start = np.arange(len(x)) * x.shape[1]
-        for _ in range(int(inner[-1] + 1).bit_length()):  # levels with a split
-            at = step[at * (bins + 1) + flat[start + column[at]]]
-        return at
+        return step.ravel(), np.maximum(feature, 0).astype(np.int64), int(inner[-1] + 1).bit_length() if len(inner) else 0
 
+    def nodes(self, tree: int, x: np.ndarray, bins: int = BINS) -> np.ndarray:
+        """The node that each row of binned values ends in."""
+        return walked(self.steps(tree, bins), np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1], bins)
 
-def uniform(key: np.ndarray, tree: int, seed: int = SEED) -> np.ndarray:
-    """Numbers in [0, 1) from a mixing hash of 64-bit keys and a tree's number."""
+
+def walked(steps: tuple, flat: np.ndarray, start: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """The node that each row ends in; a row's binned values begin at its place ``start`` in ``flat``."""
+    step, column, levels = steps
+    at = np.zeros(len(start), np.int64)
+    for _ in range(levels):
+        held = flat.take(start + column.take(at))
+        at *= bins + 1
+        at += held
+        at = step.take(at)
+    return at
+
+
+def drawn(key: np.ndarray, tree: int, seed: int = SEED) -> np.ndarray:
+    """53 random bits from a mixing hash of 64-bit keys and a tree's number."""
     start = (seed * 0x9E3779B97F4A7C15 + (tree + 1) * 0xD1B54A32D192ED03) % 2**64
-    z = key.astype(np.uint64) ^ np.uint64(start)
+    z = key.astype(np.uint64, copy=False) ^ np.uint64(start)
+    high = np.empty_like(z)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
-    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+        np.right_shift(z, np.uint64(shift), out=high)
+        z ^= high
+        z *= np.uint64(factor)
+    np.right_shift(z, np.uint64(31), out=high)
+    z ^= high
+    z >>= np.uint64(11)
+    return z
+
+
+def uniform(key: np.ndarray, tree: int, seed: int = SEED) -> np.ndarray:
+    """Numbers in [0, 1) from ``drawn``."""
+    return drawn(key, tree, seed).astype(np.float64) / (1 << 53)
+
+
+def least_drawn(chance: float) -> np.uint64:
+    """The smallest ``drawn`` whose number is ``chance`` or more."""
+    return np.uint64(math.ceil(chance * (1 << 53)))
 
 
 def poisson(u: np.ndarray, rate: float) -> np.ndarray:
@@ -115,13 +144,31 @@ def bag(key: np.ndarray, y: np.ndarray, tree: int, small: int, share: float) ->
     return out
 
 
+def _bags(small: int, share: float):
+    """``weigh`` of a balanced forest: the rows of ``bag`` with their weights, and 0 for class 1, 1 for the other."""
+    held: list = [None, None]
+
+    def weigh(x, y, key, tree):
+        if held[0] is not y:  # one chunk after the other
+            held[:] = y, np.where(y == small, least_drawn(math.exp(-1.0)), least_drawn(math.exp(-share)))
+        z = drawn(key, tree)
+        rows = np.flatnonzero(z >= held[1])
+        u, own = z.take(rows).astype(np.float64) / (1 << 53), y.take(rows)
+        few = own == small
+        w = np.empty(len(rows))
+        w[few], w[~few] = poisson(u[few], 1.0), poisson(u[~few], share)
+        return rows, w, (own != 1).astype(np.int64)
+
+    return weigh
+
+
 def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_id", bins: int = BINS, values: bool = False) -> DataFrame:
     """id, target, fit, key and ``x`` (a byte for each feature), stored; bins are quantiles of the rows where ``fit`` holds.
     With ``values`` the features themselves come along as the array ``values``."""
     cols = list(features)
     held = cut_lineage(wide.select(F.col(id_col), "target", F.coalesce(fit & F.col("target").isNotNull(), F.lit(False)).alias("fit"),
                                    F.xxhash64(F.col(id_col).cast("string")).alias("key"), *[finite(c).alias(c) for c in cols]))
-    at = exact_quantiles(to_long(held.where("fit"), [id_col], cols), ["feature"], "value", [i / bins for i in range(1, bins)], bounded_keys=True)
+    at = column_quantiles(held.where("fit").select(*cols), cols, [i / bins for i in range(1, bins)])
     cuts = {c: set() for c in cols}
     for r in at.select("feature", "quantile").collect():  # features x bins
         cuts[r["feature"]].add(r["quantile"])
@@ -135,7 +182,7 @@ def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_
             for j, edge in enumerate(edges):
                 v = batch.column(4 + j).to_numpy(zero_copy_only=False).astype(np.float64)
                 x[:, j] = np.where(np.isnan(v), 0, 1 + np.searchsorted(edge, v, "left"))
-            packed = pa.array([row.tobytes() for row in x], pa.binary())
+            packed = _binary(pa, x)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], packed, *batch.columns[4 + len(cols):]],
                                              names=[id_col, "target", "fit", "key", "x", *(["values"] if values else [])])
 
@@ -145,12 +192,26 @@ def binned(wide: DataFrame, features: Sequence[str], fit, id_col: str = "record_
     return cut_lineage(source.mapInArrow(run, schema))
 
 
+def _binary(pa, x: np.ndarray):
+    """An array of binaries, one for each row of the bytes ``x``."""
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def _bytes(column) -> np.ndarray:
+    """The bytes of all binaries of a column without nulls, one after the other."""
+    if not len(column):
+        return np.empty(0, np.uint8)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.empty(0, np.uint8)
+
+
 def _rows(batch, width: int):
     """Binned values, target (a matrix where it is a list) and key of a batch of (x, target, key)."""
-    raw, y = b"".join(batch.column(0).to_pylist()), batch.column(1)
+    y = batch.column(1)
     y = y.to_numpy(zero_copy_only=False) if not hasattr(y, "flatten") or not hasattr(y.type, "value_type") else (
         y.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
-    return (np.frombuffer(raw, np.uint8).reshape(batch.num_rows, width), y,
+    return (_bytes(batch.column(0)).reshape(batch.num_rows, width), y,
             batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
@@ -168,6 +229,43 @@ def _chunks(batches, width: int):
         yield tuple(np.concatenate(part) for part in zip(*held))
 
 
+def packed(rows: DataFrame, width: int, block: int = CHUNK_ROWS) -> DataFrame:
+    """``rows`` (x, target, key) as blocks of up to about ``block`` of them: n, and the bytes of all x, targets (doubles; of all columns
+    where the target is a list) and keys.  Rows that are read many times over cost little to read like this."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, n = [], 0
+
+        def blocks():
+            x, y, key = (np.concatenate(part) for part in zip(*held))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(x)], pa.int32()), *[pa.array([np.ascontiguousarray(v).tobytes()], pa.binary())
+                                                   for v in (x, y.astype(np.float64), key)]], names=["n", "x", "target", "key"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(_rows(batch, width))
+                n += batch.num_rows
+            if n >= block:
+                yield from blocks()
+                held, n = [], 0
+        if held:
+            yield from blocks()
+
+    return rows.select("x", "target", "key").mapInArrow(run, PACKED)
+
+
+def _blocks(batches, width: int):
+    """The blocks of a packed table: x, target (a matrix where it has several columns) and key."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            n = batch.column(0)[i].as_py()
+            x, y, key = (np.frombuffer(batch.column(1 + k)[i].as_buffer(), kind) for k, kind in enumerate((np.uint8, np.float64, np.uint64)))
+            yield x.reshape(n, width), y if len(y) == n else y.reshape(n, -1), key
+
+
 def _score(kind: str, s: np.ndarray) -> np.ndarray:
     """What a node with the sums ``s`` (last axis: two numbers) is worth; a split's gain is the sides' worth less its own."""
     a, b = s[..., 0], s[..., 1]
@@ -178,6 +276,23 @@ def _score(kind: str, s: np.ndarray) -> np.ndarray:
     return np.divide(a * a + b * b, a + b, out=np.zeros_like(a), where=a + b > 0)
 
 
+def _best_splits(kind: str, h: np.ndarray, least: float) -> list[np.ndarray]:
+    """The best split of each histogram of ``h`` (lines, bins + 1, 2): gain, upto, missing_left, the sums on its left and of all."""
+    bins = h.shape[1] - 1
+    total = h.sum(1)
+    known = np.cumsum(h[:, 1:], axis=1)
+    left = np.stack([known, known + h[:, :1]], 1)                 # missing right, missing left
+    right = total[:, None, None] - left
+    weight = (lambda s: s[..., 1]) if kind == "newton" else (lambda s: s.sum(-1))
+    gain = _score(kind, left) + _score(kind, right) - _score(kind, total)[:, None, None]
+    gain = np.where((weight(left) >= least) & (weight(right) >= least), gain, -1.0)
+    flat = gain.reshape(len(h), -1).argmax(1)
+    at = np.arange(len(h))
+    chosen = left.reshape(len(h), -1, 2)[at, flat]
+    return [gain.reshape(len(h), -1)[at, flat], (flat % bins + 1).astype(np.int32), flat >= bins, chosen[:, 0], chosen[:, 1],
+            total[:, 0], total[:, 1]]
+
+
 def _best(kind: str, bins: int, least: float):
     """Task function over (tree, node, feature, h0, h1, ...): the best split of each, with the sums on its left."""
 
@@ -186,18 +301,7 @@ def _best(kind: str, bins: int, least: float):
 
         for batch in batches:
             h = np.stack([batch.column(3 + i).to_numpy(zero_copy_only=False) for i in range(2 * (bins + 1))], 1).reshape(-1, bins + 1, 2)
-            total = h.sum(1)
-            known = np.cumsum(h[:, 1:], axis=1)
-            left = np.stack([known, known + h[:, :1]], 1)                 # missing right, missing left
-            right = total[:, None, None] - left
-            weight = (lambda s: s[..., 1]) if kind == "newton" else (lambda s: s.sum(-1))
-            gain = _score(kind, left) + _score(kind, right) - _score(kind, total)[:, None, None]
-            gain = np.where((weight(left) >= least) & (weight(right) >= least), gain, -1.0)
-            flat = gain.reshape(len(h), -1).argmax(1)
-            at = np.arange(len(h))
-            chosen = left.reshape(len(h), -1, 2)[at, flat]
-            out = [gain.reshape(len(h), -1)[at, flat], (flat % bins + 1).astype(np.int32), flat >= bins, chosen[:, 0], chosen[:, 1],
-                   total[:, 0], total[:, 1]]
+            out = _best_splits(kind, h, least)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, out)],
                                              names=["tree", "node", "feature", "gain", "upto", "missing_left", "l0", "l1", "t0", "t1"])
 
@@ -205,28 +309,42 @@ def _best(kind: str, bins: int, least: float):
 
 
 def _histograms(forest: Forest, trees: list[int], slots: dict, subset: dict, width: int, bins: int, weigh):
-    """Task function over (x, target, key): the sums of each open node of ``trees`` for its features.
+    """Task function over packed rows: the sums of each open node of ``trees`` for its features.
 
     ``slots[t]`` numbers the open nodes of tree t (-1: closed), ``subset[t]`` has their features; ``weigh`` gives the rows that count in a
-    tree and their two numbers."""
+    tree and their two numbers, or one number and which of the two it is (whole numbers)."""
 
     def run(batches):
         import pyarrow as pa
 
-        sums = {t: np.zeros((subset[t].size * (bins + 1), 2)) for t in trees}
-        for x, y, key in _chunks(batches, width):
+        sums = {t: np.zeros((2, subset[t].size * (bins + 1))) for t in trees}
+        steps = {t: forest.steps(t, bins) for t in trees}
+        parts = {t: np.ascontiguousarray(subset[t].T) for t in trees}
+        for x, y, key in _blocks(batches, width):
+            flat = np.ascontiguousarray(x).ravel()
             for t in trees:
                 rows, first, second = weigh(x, y, key, t)
-                own = x[rows]
-                slot = slots[t][forest.nodes(t, own, bins)]
-                open_ = slot >= 0
-                slot, own, m = slot[open_], own[open_], subset[t].shape[1]
-                held = own.ravel()[np.arange(len(own))[:, None] * width + subset[t][slot]]
-                cell = ((slot[:, None] * m + np.arange(m)) * (bins + 1) + held).ravel()
-                for i, v in enumerate((first, second)):
-                    sums[t][:, i] += np.bincount(cell, np.repeat(v[open_], m), len(sums[t]))
+                start = rows * width
+                slot = slots[t].take(walked(steps[t], flat, start, bins))
+                open_ = np.flatnonzero(slot >= 0)
+                if len(open_) < len(slot):
+                    slot, start, first, second = slot.take(open_), start.take(open_), first.take(open_), second.take(open_)
+                m, size = len(parts[t]), sums[t].shape[1]
+                coded = second.dtype.kind == "i"
+                base = slot * (m * (bins + 1))
+                if coded:
+                    base += second * size
+                for j, part in enumerate(parts[t]):
+                    cell = flat.take(start + part.take(slot)) + base
+                    if j:
+                        cell += j * (bins + 1)
+                    if coded:
+                        sums[t] += np.bincount(cell, first, 2 * size).reshape(2, size)
+                    else:
+                        for i, v in enumerate((first, second)):
+                            sums[t][i] += np.bincount(cell, v, size)
         for t in trees:
-            h = sums[t].reshape(subset[t].size, -1)
+            h = np.stack(sums[t], 1).reshape(subset[t].size, -1)
             used = np.nonzero(h.any(1))[0]
             node = np.nonzero(slots[t] >= 0)[0][used // subset[t].shape[1]]
             yield pa.RecordBatch.from_arrays(
@@ -239,9 +357,11 @@ def _histograms(forest: Forest, trees: list[int], slots: dict, subset: dict, wid
 
 def grow(rows: DataFrame, width: int, trees: int, depth: int, weigh, kind: str = "gini", bins: int = BINS, per_node: int | None = None,
          least: float = MIN_LEAF, seed: int = SEED, closed: list[list[int]] | None = None) -> tuple[Forest, dict]:
-    """A forest over stored binned ``rows`` (x, target, key) and the root splits' rows by tree; ``closed`` names for each tree
-    the columns that it may not split on (``per_node`` leaves room for them)."""
+    """A forest over stored binned ``rows`` (x, target, key; or a packed table) and the root splits' rows by tree; ``closed`` names for
+    each tree the columns that it may not split on (``per_node`` leaves room for them)."""
     forest = Forest.empty(trees, depth)
+    if "n" not in rows.columns:
+        rows = cut_lineage(packed(rows, width), "none")
     m = per_node or width
     open_nodes = {t: [0] for t in range(trees)}
     roots: dict = {}
@@ -264,7 +384,7 @@ def grow(rows: DataFrame, width: int, trees: int, depth: int, weigh, kind: str =
                 if closed:
                     dice[:, closed[t]] = 2.0
                 subset[t] = np.sort(np.argsort(dice, axis=1)[:, :m], axis=1)
-            sums = rows.select("x", "target", "key").mapInArrow(_histograms(forest, some, slots, subset, width, bins, weigh), schema)
+            sums = rows.mapInArrow(_histograms(forest, some, slots, subset, width, bins, weigh), schema)
             sums = sums.groupBy("tree", "node", "feature").agg(*[F.sum(c).alias(c) for c in columns])
             best = sums.mapInArrow(_best(kind, bins, least), "tree int, node int, feature int, gain double, upto int, "
                                                              "missing_left boolean, l0 double, l1 double, t0 double, t1 double")
@@ -330,15 +450,7 @@ def fit_balanced_forest(train: DataFrame, width: int, trees: int = TREES, depth:
     classes = _classes(train)
     if classes is None:
         return None
-    small, share = classes
-
-    def weigh(x, y, key, tree):
-        w = bag(key, y, tree, small, share)
-        rows = np.nonzero(w)[0]
-        w = w[rows].astype(np.float64)
-        return rows, w * (y[rows] == 1), w * (y[rows] != 1)
-
-    return grow(train, width, trees, depth, weigh, "gini", per_node=max(1, int(math.sqrt(width))))[0]
+    return grow(train, width, trees, depth, _bags(*classes), "gini", per_node=max(1, int(math.sqrt(width))))[0]
 
 
 def balanced_forest(wide: DataFrame, features: Sequence[str], fit, test, trees: int = TREES, depth: int = DEPTH,
@@ -358,41 +470,8 @@ def fit_easy_ensemble(train: DataFrame, width: int, members: int = MEMBERS, stum
     classes = _classes(train)
     if classes is None:
         return None
-    small, share = classes
-    scores = np.zeros((members, width, bins + 1))
-    votes: list[list[float]] = [[] for _ in range(members)]
-    going = set(range(members))
-    for _ in range(stumps):
-        if not going:
-            break
-        now = scores.copy()
-
-        def weigh(x, y, key, tree, now=now, going=frozenset(going)):
-            if tree not in going:
-                return np.empty(0, np.int64), np.empty(0), np.empty(0)
-            rows = np.nonzero((y == small) | (uniform(key, tree) < share))[0]
-            sign = np.where(y[rows] == 1, 1.0, -1.0)
-            w = np.exp(-0.5 * sign * now[tree][np.arange(width)[None, :], x[rows]].sum(1))
-            return rows, w * (sign > 0), w * (sign < 0)
-
-        _, roots = grow(train, width, members, 1, weigh, "error", bins, least=1e-12)
-        for t in sorted(going):
-            b = roots.get(t)
-            left = np.array([b["l0"], b["l1"]]) if b is not None else np.zeros(2)
-            total = np.array([b["t0"], b["t1"]]) if b is not None else np.zeros(2)
-            right = total - left
-            wrong = 1 - (left.max() + right.max()) / total.sum() if total.sum() > 0 else 0.5
-            if b is None or wrong >= 0.5:
-                going.discard(t)
-                continue
-            alpha = math.log((1 - wrong) / max(wrong, 1e-10))
-            side = np.where(np.arange(bins + 1) <= b["upto"], *[1.0 if s[0] >= s[1] else -1.0 for s in (left, right)])
-            side[0] = side[1] if b["missing_left"] else (1.0 if right[0] >= right[1] else -1.0)
-            scores[t, b["feature"]] += alpha * side
-            votes[t].append(alpha)
-            if wrong <= 1e-10:
-                going.discard(t)
-    return scores, votes
+    fitted = TG.run_together(packed(train, width), partial(TG.stumps, width, bins, members, stumps, *classes), "fitted binary").collect()
+    return pickle.loads(fitted[0]["fitted"])
 
 
 def easy_ensemble(wide: DataFrame, features: Sequence[str], fit, test, members: int = MEMBERS, stumps: int = STUMPS,
@@ -410,31 +489,6 @@ def easy_ensemble(wide: DataFrame, features: Sequence[str], fit, test, members:
     return _scored(rest, width, mean, name, id_col)
 
 
-def _margin(forest: Forest, kept: int, x: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Margins with the steps of the trees from ``kept`` on added."""
-    margin = start.copy()
-    for t in range(kept, len(forest.feature)):
-        margin += forest.value[t][forest.nodes(t, x)]
-    return margin
-
-
-def _advanced(forest: Forest, kept: int, width: int):
-    """Task function over (x, [target, margin], key): the margin with the trees from ``kept`` on."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y, _ = _rows(batch, width)
-            both = np.stack([y[:, 0], _margin(forest, kept, x, y[:, 1])], 1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * 2), pa.array(both.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, batch.column(2)], names=["x", "target", "key"])
-
-    return run
-
-
 def fit_boosted_trees(train: DataFrame, width: int, rounds: int = ROUNDS, depth: int = BOOSTED_DEPTH, rate: float = LEARNING_RATE):
     """(start, forest): log odds to start from and the trees, whose values are steps of the margin already times ``rate``."""
     classes = _classes(train)
@@ -442,24 +496,17 @@ def fit_boosted_trees(train: DataFrame, width: int, rounds: int = ROUNDS, depth:
         return None
     small, share = classes
     weight = {small: 1.0 / share, 1 - small: 1.0}  # both classes weigh the same, so the margin starts at 0
-    done = Forest.empty(0, depth)
-    rows = train.select("x", F.array(F.col("target").cast("double"), F.lit(0.0)).alias("target"), "key")
-    kept = 0  # trees in the stored margin
-    for r in range(rounds):
-        if len(done.feature) - kept >= MARGIN_ROUNDS:
-            rows, kept = cut_lineage(rows.mapInArrow(_advanced(done, kept, width), rows.schema)), len(done.feature)
-        now = done
-
-        def weigh(x, y, key, tree, now=now, kept=kept):
-            margin, y = _margin(now, kept, x, y[:, 1]), y[:, 0]
-            p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-            w = np.where(y == 1, weight[1], weight[0])
-            return np.arange(len(x)), w * (p - y), w * p * (1 - p)
-
-        one, _ = grow(rows, width, 1, depth, weigh, "newton", per_node=max(1, math.ceil(0.7 * width)), least=MIN_HESSIAN, seed=SEED + r)
-        one = replace(one, value=one.value * rate)
-        done = Forest(*[np.concatenate([getattr(done, f), getattr(one, f)]) for f in ("feature", "upto", "missing_left", "value", "cover")])
-    return 0.0, done
+    rows = packed(train.select("x", F.array(F.col("target").cast("double"), F.lit(0.0)).alias("target"), "key"), width)
+    names = ("feature", "upto", "missing_left", "value", "cover")
+    done = [[getattr(Forest.empty(0, depth), name) for name in names]]
+    for first in range(0, rounds, MARGIN_ROUNDS):
+        some, more = min(MARGIN_ROUNDS, rounds - first), first + MARGIN_ROUNDS < rounds
+        task = partial(TG.boosting, width, BINS, first, some, depth, rate, weight, max(1, math.ceil(0.7 * width)), MIN_HESSIAN, SEED + 1, more)
+        out = TG.run_together(rows, task, PACKED + ", forest binary")
+        out = cut_lineage(out) if more else out
+        done.append(pickle.loads(out.where("forest is not null").select("forest").collect()[0]["forest"]))
+        rows = out.where("forest is null").select("n", "x", "target", "key")
+    return 0.0, Forest(*[np.concatenate(part) for part in zip(*done)])
 
 
 def boosted_trees(wide: DataFrame, features: Sequence[str], fit, test, rounds: int = ROUNDS, depth: int = BOOSTED_DEPTH,
