@@ -45,3 +45,17 @@ def test_ranking_names_both(spark):
     _, _, wide = made(spark)
     got = MO.imputation_ranking(wide, COLS, rounds=1, trees=2).collect()
     assert {r["model"] for r in got} == {"median_imputation", "chained_imputation"}
+
+
+def test_blocks_hold_rows_of_one_side_and_refill_without_dealing_rows():
+    import pyarrow as pa
+
+    nan, edges = float("nan"), [np.array([1.0, 2.0]), np.array([5.0])]
+    o = [[1.0, nan], [nan, 4.0], [2.5, 6.0]]
+    batch = pa.record_batch([pa.array(["a", None, "c"]), pa.array([True, False, True]), pa.array([1, 2, 3]), pa.array(o)], names=["id", "fit", "key", "o"])
+    blocks = list(IM._started(edges, np.array([1.5, 7.0]))([batch, batch]))
+    assert [(b.column("fit")[0].as_py(), b.column("n")[0].as_py()) for b in blocks] == [(True, 4), (False, 2)]
+    assert blocks[0].column("ids")[0].as_py() == ["a", "c", "a", "c"] and blocks[1].column("ids")[0].as_py() == [None, None]
+    assert list(blocks[0].column("x")[0].as_py()) == [1, 2, 3, 2] * 2
+    rows = [r for b in blocks for out in IM._refilled(edges, None, [0, 1], 1, np.zeros(2), np.array([1.5, 7.0]), True)([b]) for r in out.to_pylist()]
+    assert [(r["id"], r["v"]) for r in rows] == [("a", [1.0, 7.0]), ("c", [2.5, 6.0])] * 2 + [(None, [1.5, 4.0])] * 2

@@ -124,15 +124,20 @@ def least_drawn(chance: float) -> np.uint64:
     return np.uint64(math.ceil(chance * (1 << 53)))
 
 
-def poisson(u: np.ndarray, rate: float) -> np.ndarray:
-    """Poisson numbers of the given rate (1 at most) by inverting its distribution at u; at most 12."""
+def poisson_steps(rate: float) -> list[float]:
+    """Where the distribution of a Poisson number (rate 1 at most) rises to the next number, up to 12."""
     term = total = math.exp(-rate)
     steps = [total]
     for k in range(1, 12):
         term = term * rate / k
         total += term
         steps.append(total)
-    return np.searchsorted(np.array(steps), u, "right")
+    return steps
+
+
+def poisson(u: np.ndarray, rate: float) -> np.ndarray:
+    """Poisson numbers of the given rate (1 at most) by inverting its distribution at u; at most 12."""
+    return np.searchsorted(np.array(poisson_steps(rate)), u, "right")
 
 
 def bag(key: np.ndarray, y: np.ndarray, tree: int, small: int, share: float) -> np.ndarray:
@@ -146,18 +151,23 @@ def bag(key: np.ndarray, y: np.ndarray, tree: int, small: int, share: float) ->
 
 def _bags(small: int, share: float):
     """``weigh`` of a balanced forest: the rows of ``bag`` with their weights, and 0 for class 1, 1 for the other."""
-    held: list = [None, None]
+    chances = [[least_drawn(c) for c in poisson_steps(rate)] for rate in (share, 1.0)]
+    held: list = [None, None, None]
 
     def weigh(x, y, key, tree):
         if held[0] is not y:  # one chunk after the other
-            held[:] = y, np.where(y == small, least_drawn(math.exp(-1.0)), least_drawn(math.exp(-share)))
+            few = y == small
+            held[:] = y, few, np.where(few, chances[1][0], chances[0][0])
         z = drawn(key, tree)
-        rows = np.flatnonzero(z >= held[1])
-        u, own = z.take(rows).astype(np.float64) / (1 << 53), y.take(rows)
-        few = own == small
-        w = np.empty(len(rows))
-        w[few], w[~few] = poisson(u[few], 1.0), poisson(u[~few], share)
-        return rows, w, (own != 1).astype(np.int64)
+        rows = np.flatnonzero(z >= held[2])
+        z, few = z.take(rows), held[1].take(rows)
+        w = np.ones(len(rows))
+        for many, one in zip(chances[0][1:], chances[1][1:]):
+            more = z >= np.where(few, one, many)
+            if not more.any():
+                break
+            w += more
+        return rows, w, (few if small == 0 else ~few).astype(np.int64)
 
     return weigh
 
