@@ -108,3 +108,12 @@ def test_leaves_are_looked_up_together():
     x = rng.integers(0, 17, (200, 4)).astype(np.uint8)
     sums = CO.contributions(forest, x).sum(1) + CO.base_value(forest)
     assert np.allclose(sums, forest.value[0][forest.nodes(0, x)])
+
+
+def test_tables_of_a_tree_serve_many_rows():
+    import pyarrow as pa
+
+    from yieldlens.operators import contributions as CO
+
+    batch = pa.record_batch([pa.array(np.arange(10_000))], names=["a"])
+    assert [b.num_rows for b in CO._chunks(pa, [batch] * 20)] == [200_000]

@@ -23,7 +23,7 @@ from . import trees as TR
 
 BLOCK = 2
 SLICE = 1 << 13
-CHUNK_ROWS = 1 << 16
+CHUNK_ROWS = 1 << 18
 
 
 def leaves(forest: TR.Forest, tree: int, bins: int = TR.BINS) -> list[tuple[float, dict, list]]:
@@ -107,25 +107,36 @@ def _longest(forest: TR.Forest, tree: int) -> int:
     return int(inner[-1] + 1).bit_length() if len(inner) else 0
 
 
+def _most_splits(forest: TR.Forest) -> int:
+    """The most splits that a block can have: on the way to its top, and below."""
+    return max((_longest(forest, t) for t in range(len(forest.feature))), default=0) + 2 ** BLOCK
+
+
 def contributions(forest: TR.Forest, x: np.ndarray, bins: int = TR.BINS) -> np.ndarray:
     """(rows, features): contributions to the sum of the trees' values for binned rows."""
     columns = np.ascontiguousarray(x.T)
     out = np.zeros(columns.shape)
+    kind = np.uint16 if _most_splits(forest) <= 16 else np.uint64
     for t in range(len(forest.feature)):
         blocks = _blocks(forest, t, bins)
         sides = {}
         for node in {node for splits, _, _ in blocks.values() for node in splits}:
-            sides[node] = (np.arange(bins + 1) <= forest.upto[t, node]).astype(np.int64)
+            sides[node] = (np.arange(bins + 1) <= forest.upto[t, node]).astype(kind)
             sides[node][0] = forest.missing_left[t, node]
         for start in range(0, columns.shape[1], SLICE):
             own, added = columns[:, start:start + SLICE], out[:, start:start + SLICE]
-            left = {node: side[own[forest.feature[t, node]]] for node, side in sides.items()}
+            left = {node: side.take(own[forest.feature[t, node]]) for node, side in sides.items()}
+            paths: dict = {(): np.zeros(own.shape[1], kind)}  # patterns of the splits that blocks have in common
+            at, found = np.empty(own.shape[1], np.intp), np.empty(own.shape[1])
             for splits, table, lines in blocks.values():
-                pattern = left[splits[0]].copy()
-                for i, node in enumerate(splits[1:], start=1):
-                    pattern |= left[node] << i
+                for i, node in enumerate(splits):
+                    path = tuple(splits[:i + 1])
+                    if path not in paths:
+                        paths[path] = paths[path[:-1]] | left[node] << kind(i)
+                np.copyto(at, paths[tuple(splits)])
                 for f, line in zip(lines, table):
-                    added[f] += line[pattern]
+                    line.take(at, out=found, mode="clip")
+                    added[f] += found
     return out.T
 
 
