@@ -60,3 +60,13 @@ def test_path_lengths_follow_the_trees():
                 at = 2 * at + int(not row[f[at]] < s[at])
             want[i] += leaves[at]
     assert (path_lengths(x, trees) == want).all()
+
+
+def test_stress_scores_records_without_a_row_for_each_cell(spark, monkeypatch):
+    from yieldlens.catalog import features_q as Q
+
+    unpivoted, long = [], Q.to_long
+    monkeypatch.setattr(Q, "to_long", lambda *a, **k: unpivoted.append(a[1]) or long(*a, **k))
+    got = {r["rate"]: r["missing_cell_rate"] for r in Q.q_missingness_stress(spark, "/root/testdata/sf0.001").collect()}
+    assert unpivoted == [["record_id"]]  # the reference side's means only
+    assert sorted(got) == [0.0, 0.05, 0.1, 0.2, 0.3, 0.4] and all(got[a] < got[b] for a, b in zip(sorted(got), sorted(got)[1:]))

@@ -108,23 +108,27 @@ def q_interaction_features(spark, sf):
 
 def q_missingness_stress(spark, sf):
     """Re-score under extra missingness r: linear attribution score (missing -> mean), AUC/AP per r."""
-    w = _w(spark, sf)
+    w = _snap(spark, sf)
     coefs = X.coefficients(SENS)
     ref_long = to_long(w.where(_ref()), ["record_id"], SENS)
-    st = ref_long.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
-    cmap = F.create_map(*[x for f, c in coefs.items() for x in (F.lit(f), F.lit(c))])
+    st = ref_long.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s")).collect()  # one row per feature
     rates = spark.createDataFrame([(r,) for r in FE.STRESS_RATES], "rate double")
-    parts = None
-    for r in FE.STRESS_RATES:
-        inj = FE.inject_missingness(w.where(~_ref()), SENS, r).withColumn("rate", F.lit(r))
-        parts = inj if parts is None else parts.unionByName(inj)
+    cur = w.where(~_ref())
+
+    def cells(r):
+        """A record's score and its number of missing cells under the rate."""
+        injected = FE.injected(SENS, r)
+        z = [coefs[x["feature"]] * F.coalesce((injected[x["feature"]] - x["_m"]) / x["_s"], F.lit(0.0)) for x in st if x["_s"]]
+        gone = [injected[x["feature"]].isNull().cast("int") for x in st]
+        return F.struct(F.lit(r).alias("rate"), sum(z, F.lit(0.0)).alias("p"), sum(gone, F.lit(0)).alias("m"))
+
+    each = cur.select("record_id", *[cells(r).alias(f"_{i}") for i, r in enumerate(FE.STRESS_RATES)])
+    each = each.where(F.lit(bool(st))).groupBy("record_id").agg(*[F.struct(
+        F.lit(r).alias("rate"), F.sum(f"_{i}.p").alias("probability"), (F.sum(f"_{i}.m") / (F.count(F.lit(1)) * max(len(st), 1))).alias("_miss")
+    ).alias(f"_{i}") for i, r in enumerate(FE.STRESS_RATES)])
     tgt = w.select("record_id", "target")
-    long = to_long(parts, ["record_id", "rate"], SENS).join(F.broadcast(st), "feature")
-    z = F.when(F.col("_s").isNull() | (F.col("_s") == 0) | F.col("value").isNull(), 0.0).otherwise(
-        (F.col("value") - F.col("_m")) / F.col("_s"))
-    sc = long.groupBy("rate", "record_id").agg(F.sum(cmap[F.col("feature")] * z).alias("probability"),
-                                               F.avg(F.col("value").isNull().cast("int")).alias("_miss"))
-    sc = sc.join(tgt, "record_id")
+    sc = each.join(tgt, "record_id").select("record_id", "target", F.explode(F.array(*[f"_{i}" for i in range(len(FE.STRESS_RATES))])).alias("_x"))
+    sc = cut_lineage(sc.select("target", "_x.*"))
     ranked = M.ranked_scores(sc.select("rate", "probability", "target"), ["rate"])
     auc = M.roc_auc(ranked, ["rate"])
     ap = M.average_precision(ranked, ["rate"])

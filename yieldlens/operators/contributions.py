@@ -172,7 +172,8 @@ def explained(rows: DataFrame, features: Sequence[str], forest: TR.Forest, scale
                 names=[id_col, "target", "values", "phi", "score"])
 
     kind = rows.schema[id_col].dataType.simpleString()
-    out = rows.select(id_col, "target", "values", "x").mapInArrow(
+    few = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)  # every task makes the tables of all trees
+    out = few.select(id_col, "target", "values", "x").mapInArrow(
         run, f"{id_col} {kind}, target int, values array<double>, phi array<double>, score double")
     names = F.array(*[F.lit(c) for c in cols])
     out = out.select(id_col, "target", "score", F.explode(F.arrays_zip(names.alias("feature"), F.col("values").alias("value"),
